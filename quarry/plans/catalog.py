@@ -60,3 +60,55 @@ def running_miss_count(spark, d):
     lab = R.running_miss_count(log, "user_id", "ts", F.col("state") == "broken", keep=["event_id"])
     return lab.select("user_id", "event_id", fmt_ts("ts").alias("ts"),
                       F.col("is_hit").cast("long").alias("is_hit"), "miss_cum")
+
+
+# ---------------------------------------------------------------- quality
+from quarry.operators import quality as Q  # noqa: E402
+
+
+def _orders_typed(spark, d):
+    return Q.parse_orders(V.dirty_orders(spark, d))
+
+
+def _orders_out(df: DataFrame, *extra) -> DataFrame:
+    return df.select(*extra, "Order_id", "city", "country", "facility_name", "lat", "lng", "menu_item",
+                     F.col("price").cast("long").alias("price"),
+                     fmt_ts("datetime").alias("datetime"),
+                     F.date_format("date", "yyyy-MM-dd").alias("date"))
+
+
+@query("typed_parse")
+def typed_parse(spark, d):
+    return _orders_out(_orders_typed(spark, d))
+
+
+@query("clean_good")
+def clean_good(spark, d):
+    return _orders_out(Q.split_by_rules(_orders_typed(spark, d), Q.order_rules())["good"])
+
+
+@query("clean_bad")
+def clean_bad(spark, d):
+    bad = Q.split_by_rules(_orders_typed(spark, d), Q.order_rules())["bad"]
+    return _orders_out(bad, F.array_join("reject_reason", ";").alias("reject_reason"))
+
+
+@query("clean_reason_counts")
+def clean_reason_counts(spark, d):
+    bad = Q.split_by_rules(_orders_typed(spark, d), Q.order_rules())["bad"]
+    return Q.reason_counts(bad)
+
+
+@query("null_profile")
+def null_profile(spark, d):
+    return Q.null_profile(_orders_typed(spark, d))
+
+
+@query("dropna_rows")
+def dropna_rows(spark, d):
+    return _orders_out(Q.drop_incomplete(_orders_typed(spark, d)))
+
+
+@query("missing_country_filter")
+def missing_country_filter(spark, d):
+    return Q.keep_present(V.job_postings(spark, d), "country").select("doc_id", "country")

@@ -43,3 +43,79 @@ SELECT {_RUN_COLS}, CAST(pos AS BIGINT) AS pos FROM top WHERE pos <= 10"""
 SQL["running_miss_count"] = f"""WITH {_EVENT_LOG}
 SELECT user_id, event_id, strftime(ts, {TS}) AS ts, CAST(is_hit AS BIGINT) AS is_hit,
        CAST(miss_cum AS BIGINT) AS miss_cum FROM cum"""
+
+# ---------------------------------------------------------------- quality
+_DIRTY = """
+li AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate,
+              (l_orderkey * 31 + l_partkey * 17 + l_linenumber) % 100 AS dirt FROM lineitem),
+dirty AS (
+  SELECT CASE WHEN dirt BETWEEN 8 AND 9 THEN NULL ELSE CAST(l_orderkey AS VARCHAR) END AS Order_id,
+         n_name AS city, r_name AS country,
+         CASE WHEN dirt < 5 THEN NULL ELSE s_name END AS facility_name,
+         CAST(CASE WHEN (l_suppkey * 13 + l_orderkey) % 20 = 0 THEN -999.999::DOUBLE
+                   ELSE s_suppkey * 0.01::DOUBLE END AS VARCHAR) AS lat,
+         CAST(CASE WHEN (l_partkey * 11 + l_orderkey) % 20 = 0 THEN -999.999::DOUBLE
+                   ELSE s_suppkey * 0.02::DOUBLE END AS VARCHAR) AS lng,
+         CASE WHEN dirt BETWEEN 5 AND 7 THEN NULL ELSE p_type END AS menu_item,
+         CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) AS price,
+         strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS datetime
+  FROM li JOIN supplier ON l_suppkey = s_suppkey
+          JOIN nation ON s_nationkey = n_nationkey
+          JOIN region ON n_regionkey = r_regionkey
+          JOIN part ON l_partkey = p_partkey),
+typed AS (
+  SELECT TRY_CAST(Order_id AS BIGINT) AS Order_id, city, country, facility_name,
+         TRY_CAST(lat AS DOUBLE) AS lat, TRY_CAST(lng AS DOUBLE) AS lng, menu_item,
+         TRY_CAST(price AS INTEGER) AS price,
+         try_strptime(datetime, '%Y-%m-%d %H:%M:%S') AS datetime,
+         CAST(try_strptime(datetime, '%Y-%m-%d %H:%M:%S') AS DATE) AS date
+  FROM dirty),
+tagged AS (
+  SELECT *, concat_ws(';',
+      CASE WHEN lat = -999.999 THEN 'lat_sentinel' WHEN lat IS NULL THEN 'lat_sentinel:unknown' END,
+      CASE WHEN lng = -999.999 THEN 'lng_sentinel' WHEN lng IS NULL THEN 'lng_sentinel:unknown' END,
+      CASE WHEN facility_name IS NULL THEN 'facility_missing' END,
+      CASE WHEN menu_item IS NULL THEN 'item_missing' END,
+      CASE WHEN Order_id IS NULL THEN 'id_missing' END,
+      CASE WHEN datetime IS NULL THEN 'datetime_invalid' END) AS reject_reason
+  FROM typed)
+"""
+
+_ORDER_COLS = f"""Order_id, city, country, facility_name, lat, lng, menu_item,
+       CAST(price AS BIGINT) AS price, strftime(datetime, {TS}) AS datetime,
+       strftime(date, '%Y-%m-%d') AS date"""
+
+SQL["typed_parse"] = f"WITH {_DIRTY} SELECT {_ORDER_COLS} FROM typed"
+SQL["clean_good"] = f"WITH {_DIRTY} SELECT {_ORDER_COLS} FROM tagged WHERE reject_reason = ''"
+SQL["clean_bad"] = f"WITH {_DIRTY} SELECT {_ORDER_COLS}, reject_reason FROM tagged WHERE reject_reason <> ''"
+SQL["clean_reason_counts"] = f"""WITH {_DIRTY},
+r AS (SELECT unnest(string_split(reject_reason, ';')) AS reason FROM tagged WHERE reject_reason <> '')
+SELECT reason, COUNT(*) AS n FROM r GROUP BY reason"""
+SQL["null_profile"] = f"""WITH {_DIRTY}
+SELECT column_name, null_count FROM (
+  SELECT 'Order_id' AS column_name, COUNT(*) - COUNT(Order_id) AS null_count FROM typed UNION ALL
+  SELECT 'city', COUNT(*) - COUNT(city) FROM typed UNION ALL
+  SELECT 'country', COUNT(*) - COUNT(country) FROM typed UNION ALL
+  SELECT 'facility_name', COUNT(*) - COUNT(facility_name) FROM typed UNION ALL
+  SELECT 'lat', COUNT(*) - COUNT(lat) FROM typed UNION ALL
+  SELECT 'lng', COUNT(*) - COUNT(lng) FROM typed UNION ALL
+  SELECT 'menu_item', COUNT(*) - COUNT(menu_item) FROM typed UNION ALL
+  SELECT 'price', COUNT(*) - COUNT(price) FROM typed UNION ALL
+  SELECT 'datetime', COUNT(*) - COUNT(datetime) FROM typed UNION ALL
+  SELECT 'date', COUNT(*) - COUNT(date) FROM typed)"""
+SQL["dropna_rows"] = f"""WITH {_DIRTY} SELECT {_ORDER_COLS} FROM typed
+WHERE Order_id IS NOT NULL AND city IS NOT NULL AND country IS NOT NULL AND facility_name IS NOT NULL
+  AND lat IS NOT NULL AND lng IS NOT NULL AND menu_item IS NOT NULL AND price IS NOT NULL
+  AND datetime IS NOT NULL AND date IS NOT NULL"""
+
+_JOBS = """
+jobs AS (SELECT d.doc_id, d.text AS title,
+                CASE WHEN d.lang = 'de' THEN 'NULL' WHEN d.lang = 'es' THEN '' ELSE upper(d.lang) END AS country,
+                d.source AS payment_type,
+                CASE WHEN l.quality = 1 THEN 'True' ELSE 'False' END AS is_hourly,
+                CAST(d.n_chars AS DOUBLE) AS budget_clean,
+                length(d.text) / 100.0 AS hourly_rate
+         FROM documents d JOIN labels l ON d.doc_id = l.doc_id)
+"""
+SQL["missing_country_filter"] = f"""WITH {_JOBS}
+SELECT doc_id, country FROM jobs WHERE country IS NOT NULL AND country NOT IN ('NULL', '')"""
