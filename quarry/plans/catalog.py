@@ -112,3 +112,86 @@ def dropna_rows(spark, d):
 @query("missing_country_filter")
 def missing_country_filter(spark, d):
     return Q.keep_present(V.job_postings(spark, d), "country").select("doc_id", "country")
+
+
+# ---------------------------------------------------------------- modelling
+from quarry.operators import modeling as M  # noqa: E402
+
+
+def _good_lines(spark, d):
+    return Q.split_by_rules(_orders_typed(spark, d), Q.order_rules())["good"]
+
+
+def _nf(spark, d, name):
+    return M.to_3nf(_good_lines(spark, d))[name]
+
+
+@query("nf_cities")
+def nf_cities(spark, d):
+    return _nf(spark, d, "cities")
+
+
+@query("nf_facilities")
+def nf_facilities(spark, d):
+    return _nf(spark, d, "facilities")
+
+
+@query("nf_menu_items")
+def nf_menu_items(spark, d):
+    return _nf(spark, d, "menu_items").select("menu_item", F.col("price").cast("long").alias("price"))
+
+
+@query("nf_orders")
+def nf_orders(spark, d):
+    o = _nf(spark, d, "orders")
+    return o.select("order_id", fmt_ts("datetime").alias("datetime"), "facility_name", "city")
+
+
+@query("nf_order_items")
+def nf_order_items(spark, d):
+    return _nf(spark, d, "order_items")
+
+
+def _star(spark, d, name):
+    return M.to_star(_good_lines(spark, d))[name]
+
+
+@query("star_dim_date")
+def star_dim_date(spark, d):
+    t = _star(spark, d, "dim_date")
+    return t.select(F.col("date_key").cast("long").alias("date_key"),
+                    F.date_format("date", "yyyy-MM-dd").alias("date"),
+                    *[F.col(c).cast("long").alias(c) for c in ("year", "month", "day")])
+
+
+@query("star_dim_city")
+def star_dim_city(spark, d):
+    return _star(spark, d, "dim_city")
+
+
+@query("star_dim_facility")
+def star_dim_facility(spark, d):
+    return _star(spark, d, "dim_facility")
+
+
+@query("star_dim_menu")
+def star_dim_menu(spark, d):
+    return _star(spark, d, "dim_menu")
+
+
+@query("star_fact")
+def star_fact(spark, d):
+    f = _star(spark, d, "fact_sales")
+    return f.select("order_id", fmt_ts("datetime").alias("datetime"),
+                    F.col("date_key").cast("long").alias("date_key"), "city_key", "facility_key",
+                    "menu_key", F.col("price").cast("long").alias("price"))
+
+
+@query("order_documents")
+def order_documents(spark, d):
+    docs = M.to_documents(_good_lines(spark, d))
+    items = F.array_join(F.array_sort(F.transform(
+        "items", lambda x: F.concat_ws(":", x["menu_item"], x["price"].cast("string")))), "|")
+    return docs.select("_id", "city", "country", "facility_name", "lat", "lng",
+                       fmt_ts("datetime").alias("datetime"), "order_total",
+                       items.alias("items"), "part", "n_parts")

@@ -119,3 +119,54 @@ jobs AS (SELECT d.doc_id, d.text AS title,
 """
 SQL["missing_country_filter"] = f"""WITH {_JOBS}
 SELECT doc_id, country FROM jobs WHERE country IS NOT NULL AND country NOT IN ('NULL', '')"""
+
+# ---------------------------------------------------------------- modelling
+_GOOD = _DIRTY + """,
+good AS (SELECT * EXCLUDE (reject_reason) FROM tagged WHERE reject_reason = '')
+"""
+
+SQL["nf_cities"] = f"WITH {_GOOD} SELECT DISTINCT city, country FROM good"
+SQL["nf_facilities"] = f"WITH {_GOOD} SELECT DISTINCT facility_name, city, lat, lng FROM good"
+SQL["nf_menu_items"] = f"WITH {_GOOD} SELECT DISTINCT menu_item, CAST(price AS BIGINT) AS price FROM good"
+SQL["nf_orders"] = f"""WITH {_GOOD} SELECT DISTINCT Order_id AS order_id, strftime(datetime, {TS}) AS datetime,
+       facility_name, city FROM good"""
+SQL["nf_order_items"] = f"""WITH {_GOOD}
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY Order_id NULLS FIRST, menu_item NULLS FIRST) AS BIGINT) AS order_item_id,
+       Order_id AS order_id, menu_item FROM good"""
+
+_STAR = _GOOD + """,
+dim_city AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY city NULLS FIRST, country NULLS FIRST) AS BIGINT) AS city_key,
+                    city, country FROM (SELECT DISTINCT city, country FROM good)),
+fac AS (SELECT facility_name, city, country, MIN(lat) AS lat, MIN(lng) AS lng
+        FROM good GROUP BY facility_name, city, country),
+dim_facility AS (
+  SELECT CAST(ROW_NUMBER() OVER (ORDER BY f.facility_name NULLS FIRST, c.city_key NULLS FIRST) AS BIGINT) AS facility_key,
+         f.facility_name, c.city_key, f.lat, f.lng
+  FROM fac f JOIN dim_city c ON f.city IS NOT DISTINCT FROM c.city AND f.country IS NOT DISTINCT FROM c.country),
+dim_menu AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY menu_item NULLS FIRST) AS BIGINT) AS menu_key, menu_item
+             FROM (SELECT DISTINCT menu_item FROM good))
+"""
+SQL["star_dim_date"] = f"""WITH {_GOOD}
+SELECT CAST(year(date) * 10000 + month(date) * 100 + day(date) AS BIGINT) AS date_key,
+       strftime(date, '%Y-%m-%d') AS date, CAST(year(date) AS BIGINT) AS year,
+       CAST(month(date) AS BIGINT) AS month, CAST(day(date) AS BIGINT) AS day
+FROM (SELECT DISTINCT CAST(datetime AS DATE) AS date FROM good WHERE datetime IS NOT NULL)"""
+SQL["star_dim_city"] = f"WITH {_STAR} SELECT city_key, city, country FROM dim_city"
+SQL["star_dim_facility"] = f"WITH {_STAR} SELECT facility_key, facility_name, city_key, lat, lng FROM dim_facility"
+SQL["star_dim_menu"] = f"WITH {_STAR} SELECT menu_key, menu_item FROM dim_menu"
+SQL["star_fact"] = f"""WITH {_STAR}
+SELECT g.Order_id AS order_id, strftime(g.datetime, {TS}) AS datetime,
+       CAST(year(g.datetime) * 10000 + month(g.datetime) * 100 + day(g.datetime) AS BIGINT) AS date_key,
+       c.city_key, f.facility_key, m.menu_key, CAST(g.price AS BIGINT) AS price
+FROM good g
+JOIN dim_city c ON g.city = c.city AND g.country = c.country
+JOIN dim_facility f ON g.facility_name = f.facility_name AND c.city_key = f.city_key
+JOIN dim_menu m ON g.menu_item = m.menu_item"""
+SQL["order_documents"] = f"""WITH {_GOOD}
+SELECT Order_id AS _id, city, country, facility_name, lat, lng,
+       strftime(MIN(datetime), {TS}) AS datetime, CAST(SUM(price) AS BIGINT) AS order_total,
+       string_agg(concat_ws(':', menu_item, CAST(price AS VARCHAR)), '|'
+                  ORDER BY concat_ws(':', menu_item, CAST(price AS VARCHAR))) AS items,
+       CAST(0 AS BIGINT) AS part,
+       CAST(greatest(1, ceil(COUNT(*) / 100000.0)) AS BIGINT) AS n_parts
+FROM good GROUP BY Order_id, city, country, facility_name, lat, lng"""
