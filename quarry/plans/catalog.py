@@ -195,3 +195,37 @@ def order_documents(spark, d):
     return docs.select("_id", "city", "country", "facility_name", "lat", "lng",
                        fmt_ts("datetime").alias("datetime"), "order_total",
                        items.alias("items"), "part", "n_parts")
+
+
+# ---------------------------------------------------------------- detections
+from quarry.functions.expressions import r6  # noqa: E402
+from quarry.operators import detections as B  # noqa: E402
+
+
+@query("frame_sample_plan")
+def frame_sample_plan(spark, d):
+    p = B.sample_plan(V.videos(spark, d))
+    return p.select("video_file", F.col("frame_idx").cast("long").alias("frame_idx"),
+                    r6("t_sec").alias("t_sec"), "step")
+
+
+@query("best_detection")
+def best_detection(spark, d):
+    b = B.best_detection(V.detections(spark, d))
+    return b.select("video_file", F.col("frame_idx").cast("long").alias("frame_idx"), "det_idx",
+                    F.col("cls").cast("long").alias("cls"), r6("conf").alias("conf"),
+                    r6("cx").alias("cx"), r6("cy").alias("cy"))
+
+
+@query("detection_log")
+def detection_log(spark, d):
+    log = B.event_log(V.videos(spark, d), V.detections(spark, d))
+    return log.select("video_file", F.col("frame_idx").cast("long").alias("frame_idx"), "t_sec",
+                      "target_type", "x_rel", "y_rel", "state", "conf")
+
+
+@query("bbox_labels")
+def bbox_labels(spark, d):
+    lb = B.box_labels(V.clicks(spark, d))
+    return lb.select("name", "label_line", r6("cx_n").alias("cx_n"), r6("cy_n").alias("cy_n"),
+                     r6("w_n").alias("w_n"), r6("h_n").alias("h_n"))

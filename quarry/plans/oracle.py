@@ -170,3 +170,75 @@ SELECT Order_id AS _id, city, country, facility_name, lat, lng,
        CAST(0 AS BIGINT) AS part,
        CAST(greatest(1, ceil(COUNT(*) / 100000.0)) AS BIGINT) AS n_parts
 FROM good GROUP BY Order_id, city, country, facility_name, lat, lng"""
+
+# ---------------------------------------------------------------- detections
+_DET = """
+vids AS (SELECT 'video_' || CAST(user_id AS VARCHAR) || '.MP4' AS video_file,
+                CASE user_id % 4 WHEN 0 THEN 24.0 WHEN 1 THEN 25.0 WHEN 2 THEN 30.0 ELSE 0.0 END::DOUBLE AS fps0,
+                CAST(MAX(date_diff('hour', TIMESTAMP '2024-01-01 00:00:00', ts)) + 1 AS BIGINT) AS total_frames,
+                640 AS width, 480 AS height
+         FROM events GROUP BY user_id),
+vfps AS (SELECT *, CASE WHEN fps0 = 0 THEN 30.0::DOUBLE ELSE fps0 END AS fps FROM vids),
+vstep AS (SELECT *, CAST(greatest(1, round_even(fps * 0.5, 0)) AS BIGINT) AS step FROM vfps),
+plan AS (SELECT video_file, fps, step, width, height,
+                unnest(generate_series(0, total_frames - 1, step)) AS frame_idx
+         FROM vstep WHERE total_frames > 0),
+det AS (SELECT 'video_' || CAST(user_id AS VARCHAR) || '.MP4' AS video_file,
+               CAST(date_diff('hour', TIMESTAMP '2024-01-01 00:00:00', ts) AS BIGINT) AS frame_idx,
+               event_id AS det_idx,
+               CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 0 ELSE 9 END AS cls,
+               value / 500.0 AS conf,
+               CAST(event_id % 600 AS DOUBLE) AS x1, CAST(event_id % 400 AS DOUBLE) AS y1,
+               CAST(event_id % 600 AS DOUBLE) + 32 AS x2, CAST(event_id % 400 AS DOUBLE) + 32 AS y2
+        FROM events),
+ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY video_file, frame_idx ORDER BY conf DESC, det_idx) AS rn
+           FROM det WHERE conf > 0.25 AND cls IN (0, 1)),
+best AS (SELECT video_file, frame_idx, det_idx, cls, conf, (x1 + x2) / 2.0 AS cx, (y1 + y2) / 2.0 AS cy
+         FROM ranked WHERE rn = 1)
+"""
+
+
+def _be(x: str, n: int) -> str:
+    return f"CAST(round_even(CAST({x} AS DECIMAL(18,9)), {n}) AS DOUBLE)"
+
+
+SQL["frame_sample_plan"] = f"""WITH {_DET}
+SELECT video_file, CAST(frame_idx AS BIGINT) AS frame_idx, round(frame_idx / fps, 6) AS t_sec, step FROM plan"""
+SQL["best_detection"] = f"""WITH {_DET}
+SELECT video_file, frame_idx, det_idx, CAST(cls AS BIGINT) AS cls, round(conf, 6) AS conf,
+       round(cx, 6) AS cx, round(cy, 6) AS cy FROM best"""
+SQL["detection_log"] = f"""WITH {_DET}
+SELECT p.video_file, CAST(p.frame_idx AS BIGINT) AS frame_idx, {_be('p.frame_idx / p.fps', 2)} AS t_sec,
+       'unknown' AS target_type,
+       CASE WHEN b.cls IS NULL THEN -1.0 ELSE {_be('b.cx / p.width', 4)} END AS x_rel,
+       CASE WHEN b.cls IS NULL THEN -1.0 ELSE {_be('b.cy / p.height', 4)} END AS y_rel,
+       CASE b.cls WHEN 0 THEN 'whole' WHEN 1 THEN 'broken' ELSE 'unknown' END AS state,
+       CASE WHEN b.cls IS NULL THEN 0.0 ELSE {_be('b.conf', 3)} END AS conf
+FROM plan p LEFT JOIN best b ON p.video_file = b.video_file AND p.frame_idx = b.frame_idx"""
+
+
+def _rhe(num: str, den: str) -> str:
+    a, b = f"(({num}) * 1000000)", f"({den})"
+    q = f"({a} // {b})"
+    return (f"(CASE WHEN 2 * ({a} - {q} * {b}) > {b} OR (2 * ({a} - {q} * {b}) = {b} AND {q} % 2 = 1) "
+            f"THEN {q} + 1 ELSE {q} END)")
+
+
+def _fx(s: str) -> str:
+    return f"(CAST({s} // 1000000 AS VARCHAR) || '.' || lpad(CAST({s} % 1000000 AS VARCHAR), 6, '0'))"
+
+
+SQL["bbox_labels"] = f"""WITH {_DET},
+clk AS (SELECT video_file, frame_idx, 640 AS width, 480 AS height, CAST(x1 AS BIGINT) + 16 AS cx,
+               CAST(y1 AS BIGINT) + 16 + 60 AS cy, 1 AS cls FROM det WHERE cls = 1),
+box AS (SELECT video_file, frame_idx, cls, width, height,
+               greatest(0, cx - 16) AS x1, greatest(0, cy - 16) AS y1,
+               least(width - 1, cx + 16) AS x2, least(height - 1, cy + 16) AS y2 FROM clk),
+s AS (SELECT *, {_rhe('x1 + x2', 'width * 2')} AS cxn, {_rhe('y1 + y2', 'height * 2')} AS cyn,
+             {_rhe('x2 - x1', 'width')} AS wn, {_rhe('y2 - y1', 'height')} AS hn FROM box)
+SELECT regexp_extract(video_file, '^(.+?)(\\.[^.]*)?$', 1) || '_f' || lpad(CAST(frame_idx AS VARCHAR), 6, '0') AS name,
+       CAST(cls AS VARCHAR) || ' ' || {_fx('cxn')} || ' ' || {_fx('cyn')} || ' ' || {_fx('wn')} || ' ' || {_fx('hn')}
+         AS label_line,
+       round(cxn / 1e6, 6) AS cx_n, round(cyn / 1e6, 6) AS cy_n, round(wn / 1e6, 6) AS w_n,
+       round(hn / 1e6, 6) AS h_n
+FROM s"""
