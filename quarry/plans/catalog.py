@@ -229,3 +229,82 @@ def bbox_labels(spark, d):
     lb = B.box_labels(V.clicks(spark, d))
     return lb.select("name", "label_line", r6("cx_n").alias("cx_n"), r6("cy_n").alias("cy_n"),
                      r6("w_n").alias("w_n"), r6("h_n").alias("h_n"))
+
+
+# ---------------------------------------------------------------- messages
+from quarry.functions.expressions import iso_ts  # noqa: E402
+from quarry.operators import aggregates as A  # noqa: E402
+from quarry.operators import messages as MS  # noqa: E402
+
+_USER_COLS = ["id", "name", "email", "country", "created_at"]
+
+
+def _messages(spark, d):
+    return MS.to_messages(V.user_events(spark, d).select(*_USER_COLS, "seq"), "country",
+                          value_cols=_USER_COLS)
+
+
+@query("keyed_messages")
+def keyed_messages(spark, d):
+    m = _messages(spark, d)
+    return m.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+
+
+@query("decode_messages")
+def decode_messages(spark, d):
+    dec = MS.decode_messages(_messages(spark, d))["good"]
+    return dec.select("msg_key", *_USER_COLS)
+
+
+@query("latest_by_key")
+def latest_by_key(spark, d):
+    ue = V.user_events(spark, d)
+    lt = MS.latest_by_key(ue, ["country", "id"], ["created_at", "seq"])
+    return lt.select("country", "id", "name", "email", "created_at", "seq")
+
+
+@query("minute_batches")
+def minute_batches(spark, d):
+    mb = MS.minute_batches(V.user_events(spark, d), "created_at")
+    return mb.select(fmt_ts("batch_start").alias("batch_start"), fmt_ts("batch_end").alias("batch_end"),
+                     "file_name", "n_records", fmt_ts("first_ts").alias("first_ts"),
+                     fmt_ts("last_ts").alias("last_ts"))
+
+
+@query("unique_append")
+def unique_append(spark, d):
+    res = MS.append_unique(V.users_existing(spark, d), V.users_incoming(spark, d))
+    acc = res["accepted"].select("seq", "name", "email", "country", F.lit("accepted").alias("status"),
+                                 F.lit(None).cast("string").alias("reason"))
+    rej = res["rejected"].select("seq", "name", "email", "country", F.lit("rejected").alias("status"), "reason")
+    return acc.unionByName(rej)
+
+
+@query("user_lookup")
+def user_lookup(spark, d):
+    req = (V._t(spark, d, "events").filter(F.col("event_type") == "signup")
+           .select(F.col("event_id").alias("request_id"), F.col("user_id").cast("string").alias("user_id")))
+    res = MS.lookup(req, V.users_existing(spark, d), "user_id", "id")
+    return res.select("request_id", "user_id", "name", "email", "country", "status")
+
+
+# ------------------------------------------------------- categories / sorting
+@query("category_counts")
+def category_counts(spark, d):
+    return A.category_counts(V.used_cars(spark, d), "Body Type", "Fuel Type") \
+        .withColumnRenamed("Body Type", "body_type").withColumnRenamed("Fuel Type", "fuel_type")
+
+
+@query("topk_category_filter")
+def topk_category_filter(spark, d):
+    cars = V.used_cars(spark, d)
+    kept = A.filter_top_categories(cars, "Body Type", 5)
+    return kept.select("row_id", F.col("Body Type").alias("body_type"), r6("Price").alias("price"))
+
+
+@query("sorted_groups")
+def sorted_groups(spark, d):
+    prof = A.group_profile(V.used_cars(spark, d), "Condition", ["Price"])
+    out = A.ordered(prof, ["-avg_Price", "Condition"])
+    return out.select(F.col("Condition").alias("condition"), r6("avg_Price").alias("avg_price"),
+                      "count", "pos")

@@ -242,3 +242,69 @@ SELECT regexp_extract(video_file, '^(.+?)(\\.[^.]*)?$', 1) || '_f' || lpad(CAST(
        round(cxn / 1e6, 6) AS cx_n, round(cyn / 1e6, 6) AS cy_n, round(wn / 1e6, 6) AS w_n,
        round(hn / 1e6, 6) AS h_n
 FROM s"""
+
+# ---------------------------------------------------------------- messages
+_USERS = """
+ue AS (SELECT CAST(e.user_id AS VARCHAR) AS id, c.c_name AS name,
+              lower(replace(c.c_name, '#', '')) || '@example.com' AS email,
+              n.n_name AS country, strftime(e.ts, '%Y-%m-%dT%H:%M:%S.%f') AS created_at,
+              e.event_id AS seq
+       FROM events e JOIN customer c ON e.user_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey)
+"""
+SQL["keyed_messages"] = f"""WITH {_USERS}
+SELECT country AS key, to_json({{'id': id, 'name': name, 'email': email, 'country': country,
+       'created_at': created_at}})::VARCHAR AS value FROM ue"""
+SQL["decode_messages"] = f"WITH {_USERS} SELECT country AS msg_key, id, name, email, country, created_at FROM ue"
+SQL["latest_by_key"] = f"""WITH {_USERS},
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY country, id ORDER BY created_at DESC, seq DESC) AS rn FROM ue)
+SELECT country, id, name, email, created_at, seq FROM r WHERE rn = 1"""
+SQL["minute_batches"] = f"""WITH {_USERS},
+t AS (SELECT CAST(created_at AS TIMESTAMP) AS ts FROM ue),
+g AS (SELECT time_bucket(INTERVAL '1 minute', ts) AS s, COUNT(*) AS n, MIN(ts) AS f, MAX(ts) AS l FROM t GROUP BY 1)
+SELECT strftime(s, {TS}) AS batch_start, strftime(s + INTERVAL '1 minute', {TS}) AS batch_end,
+       'users_' || strftime(s + INTERVAL '1 minute', '%Y%m%d_%H%M%S') || '.jsonl' AS file_name,
+       n AS n_records, strftime(f, {TS}) AS first_ts, strftime(l, {TS}) AS last_ts FROM g"""
+SQL["unique_append"] = """WITH
+inc AS (SELECT c.c_custkey AS seq, c.c_name AS name,
+               'customer' || lpad(CAST(c.c_custkey // 2 AS VARCHAR), 9, '0')
+                 || CASE WHEN c.c_acctbal < 0 THEN '.example.com' ELSE '@example.com' END AS email,
+               n.n_name AS country
+        FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
+ex AS (SELECT DISTINCT lower(replace(c_name, '#', '')) || '@example.com' AS email FROM customer WHERE c_acctbal > 0),
+chk AS (SELECT *, concat_ws(';', CASE WHEN name IS NULL THEN 'name_missing' END,
+                               CASE WHEN email IS NULL THEN 'email_missing' END,
+                               CASE WHEN country IS NULL THEN 'country_missing' END,
+                               CASE WHEN NOT regexp_matches(email, '^[^@\\s]+@[^@\\s]+\\.[^@\\s]+$')
+                                    THEN 'email_format' END) AS vr FROM inc),
+valid AS (SELECT *, MIN(seq) OVER (PARTITION BY email) AS first_seq FROM chk WHERE vr = '')
+SELECT seq, name, email, country,
+       CASE WHEN email IN (SELECT email FROM ex) OR seq <> first_seq THEN 'rejected' ELSE 'accepted' END AS status,
+       CASE WHEN email IN (SELECT email FROM ex) THEN 'email_exists'
+            WHEN seq <> first_seq THEN 'duplicate_in_batch' END AS reason
+FROM valid
+UNION ALL
+SELECT seq, name, email, country, 'rejected', vr FROM chk WHERE vr <> ''"""
+SQL["user_lookup"] = """WITH
+ex AS (SELECT CAST(c.c_custkey AS VARCHAR) AS id, c.c_name AS name,
+              lower(replace(c.c_name, '#', '')) || '@example.com' AS email, n.n_name AS country
+       FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE c.c_acctbal > 0)
+SELECT e.event_id AS request_id, CAST(e.user_id AS VARCHAR) AS user_id, ex.name, ex.email, ex.country,
+       CASE WHEN ex.id IS NULL THEN 404 ELSE 200 END AS status
+FROM events e LEFT JOIN ex ON CAST(e.user_id AS VARCHAR) = ex.id WHERE e.event_type = 'signup'"""
+
+# ------------------------------------------------------- categories / sorting
+_CARS = """
+cars AS (SELECT l.l_orderkey * 8 + l.l_linenumber AS row_id, l.l_extendedprice AS Price,
+                l.l_quantity AS Mileage, year(l.l_shipdate) AS Year, p.p_type AS body_type,
+                l.l_linestatus AS fuel_type, l.l_returnflag AS condition
+         FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)
+"""
+SQL["category_counts"] = f"""WITH {_CARS}
+SELECT body_type, fuel_type, COUNT(*) AS count FROM cars GROUP BY body_type, fuel_type"""
+SQL["topk_category_filter"] = f"""WITH {_CARS},
+top AS (SELECT body_type FROM cars GROUP BY body_type ORDER BY COUNT(*) DESC, body_type NULLS FIRST LIMIT 5)
+SELECT row_id, body_type, round(Price, 6) AS price FROM cars WHERE body_type IN (SELECT body_type FROM top)"""
+SQL["sorted_groups"] = f"""WITH {_CARS},
+g AS (SELECT condition, AVG(Price) AS avg_price, COUNT(*) AS count FROM cars GROUP BY condition)
+SELECT condition, round(avg_price, 6) AS avg_price, count,
+       CAST(ROW_NUMBER() OVER (ORDER BY avg_price DESC, condition) AS BIGINT) AS pos FROM g"""
