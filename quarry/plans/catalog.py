@@ -308,3 +308,268 @@ def sorted_groups(spark, d):
     out = A.ordered(prof, ["-avg_Price", "Condition"])
     return out.select(F.col("Condition").alias("condition"), r6("avg_Price").alias("avg_price"),
                       "count", "pos")
+
+
+# ---------------------------------------------------------------- ML features
+from pyspark.ml.feature import StopWordsRemover, Tokenizer  # noqa: E402
+
+from quarry.operators import evaluate as EV  # noqa: E402
+from quarry.operators import features as FE  # noqa: E402
+from quarry.operators import models as ML  # noqa: E402
+
+_IRIS = ["SepalLengthCm", "SepalWidthCm", "PetalLengthCm", "PetalWidthCm"]
+
+
+@query("string_index")
+def string_index(spark, d):
+    cars = V.used_cars(spark, d)
+    m = FE.string_indexer("Body Type", "label").fit(cars)
+    return (m.transform(cars).select(F.col("Body Type").alias("body_type"),
+                                     F.col("label").cast("long").alias("label")).distinct())
+
+
+@query("standardize")
+def standardize(spark, d):
+    cars = V.used_cars(spark, d).withColumn("Year", F.col("Year").cast("double"))
+    stages = [FE.assembler(["Price", "Mileage", "Year"], "raw_features"), FE.scaler("raw_features", "features")]
+    out = ML.fit_stages(stages, cars).transform(cars)
+    arr = vector_to_array_col("features")
+    return out.select("row_id", *[F.round(arr[i], 6).alias(n)
+                                  for i, n in enumerate(["z_price", "z_mileage", "z_year"])])
+
+
+def vector_to_array_col(c):
+    from pyspark.ml.functions import vector_to_array
+    return vector_to_array(F.col(c))
+
+
+@query("assembled_features")
+def assembled_features(spark, d):
+    iris = V.iris(spark, d)
+    out = FE.assembler(_IRIS).transform(iris)
+    arr = vector_to_array_col("features")
+    return out.select("row_id", *[F.round(arr[i], 6).alias(f"f{i}") for i in range(4)])
+
+
+def _jobs_clean(spark, d):
+    return V.job_postings(spark, d).withColumn("clean_title", FE.clean_title(F.col("title")))
+
+
+@query("clean_title")
+def clean_title(spark, d):
+    return _jobs_clean(spark, d).select("doc_id", "clean_title")
+
+
+@query("keyword_flags")
+def keyword_flags(spark, d):
+    flagged = FE.keyword_flags(_jobs_clean(spark, d))
+    return flagged.select("doc_id", *[f"has_{k}" for k in FE.SKILL_KEYWORDS])
+
+
+def _words(spark, d):
+    jobs = V.job_postings(spark, d)
+    w = Tokenizer(inputCol="title", outputCol="words").transform(jobs)
+    return StopWordsRemover(inputCol="words", outputCol="filtered_words").transform(w)
+
+
+@query("tokens")
+def tokens(spark, d):
+    w = _words(spark, d)
+    return w.select("doc_id", F.size("words").cast("long").alias("n_tokens"),
+                    F.size(F.array_distinct("words")).cast("long").alias("n_distinct"))
+
+
+@query("stopword_filter")
+def stopword_filter(spark, d):
+    w = _words(spark, d)
+    return w.select("doc_id", F.size("filtered_words").cast("long").alias("n_kept"),
+                    F.size(F.array_distinct("filtered_words")).cast("long").alias("n_kept_distinct"))
+
+
+@query("tfidf_terms")
+def tfidf_terms(spark, d):
+    t = FE.tfidf(_words(spark, d), "doc_id", "filtered_words")
+    return t.select("doc_id", "term", "tf", "df", r6("idf").alias("idf"), r6("tfidf").alias("tfidf"))
+
+
+@query("hashed_tf")
+def hashed_tf(spark, d):
+    from pyspark.ml.feature import HashingTF
+    h = HashingTF(inputCol="filtered_words", outputCol="tf", numFeatures=1000).transform(_words(spark, d))
+    arr = vector_to_array_col("tf")
+    return h.select("doc_id", F.aggregate(arr, F.lit(0.0), lambda a, x: a + x).cast("long").alias("total_tf"))
+
+
+@query("hash_split")
+def hash_split(spark, d):
+    cars = V.used_cars(spark, d)
+    parts = FE.hash_split(cars, F.col("row_id"))
+    return (parts["train"].select("row_id", F.lit("train").alias("side"))
+            .unionByName(parts["test"].select("row_id", F.lit("test").alias("side"))))
+
+
+@query("center_distance")
+def center_distance(spark, d):
+    b = V.bike_stations(spark, d)
+    return b.select("row_id", r6(FE.distance_from(F.col("latitude"), F.col("longitude"))).alias("distance_from_center"))
+
+
+# ---------------------------------------------------------------- evaluators
+def _iris_rule(spark, d):
+    """Threshold baseline on one feature: the prediction source whose
+    metrics the evaluators are checked on."""
+    iris = V.iris(spark, d)
+    pred = F.least(F.lit(9), F.greatest(F.lit(0), F.floor((F.col("SepalLengthCm") + 0.4) * 12.5)))
+    lab = F.regexp_extract("Species", r"(\d+)$", 1).cast("double")
+    return iris.select("row_id", lab.alias("label"), pred.cast("double").alias("prediction"), *_IRIS)
+
+
+@query("eval_accuracy_f1")
+def eval_accuracy_f1(spark, d):
+    m = EV.accuracy_f1(_iris_rule(spark, d))
+    return m.select(r6("accuracy").alias("accuracy"), r6("f1").alias("f1"))
+
+
+@query("eval_confusion")
+def eval_confusion(spark, d):
+    c = EV.confusion(_iris_rule(spark, d))
+    return c.select(F.col("label").cast("long").alias("label"),
+                    F.col("prediction").cast("long").alias("prediction"), "count")
+
+
+def _scored_jobs(spark, d):
+    j = V.job_postings(spark, d)
+    return j.select("doc_id", F.when(F.col("is_hourly") == "True", 1.0).otherwise(0.0).alias("label"),
+                    (F.floor(F.col("budget_clean") / 100) / 100.0).alias("score"))
+
+
+@query("eval_auc")
+def eval_auc(spark, d):
+    return EV.area_under_roc(_scored_jobs(spark, d)).select(r6("auc").alias("auc"))
+
+
+@query("eval_pr")
+def eval_pr(spark, d):
+    return EV.area_under_pr(_scored_jobs(spark, d)).select(r6("aupr").alias("aupr"))
+
+
+@query("eval_silhouette")
+def eval_silhouette(spark, d):
+    iris = _iris_rule(spark, d)
+    feats = iris.select(F.array(*[F.col(c) for c in _IRIS]).alias("features"),
+                        F.col("label").alias("prediction"))
+    return EV.silhouette(feats).select(r6("silhouette").alias("silhouette"))
+
+
+def _ols_pred(spark, d):
+    cars = V.used_cars(spark, d)
+    # fit: one aggregate, two numbers reach the driver; score: a projection
+    c = cars.agg(F.regr_slope("Price", "Mileage").alias("b"), F.regr_intercept("Price", "Mileage").alias("a")).first()
+    return cars.select(F.col("Price").alias("label"),
+                       (F.lit(c["a"]) + F.lit(c["b"]) * F.col("Mileage")).alias("prediction"))
+
+
+@query("eval_regression")
+def eval_regression(spark, d):
+    m = EV.regression_metrics(_ols_pred(spark, d))
+    return m.select(F.round("rmse", 4).alias("rmse"), r6("r2").alias("r2"), F.round("mae", 4).alias("mae"))
+
+
+@query("group_profile")
+def group_profile(spark, d):
+    b = V.bike_stations(spark, d)
+    p = A.group_profile(b, "status", ["latitude", "longitude"], "station_count")
+    return p.select("status", r6("avg_latitude").alias("avg_latitude"),
+                    r6("avg_longitude").alias("avg_longitude"), "station_count")
+
+
+# ---------------------------------------------------------------- estimators
+@query("linreg_fit")
+def linreg_fit(spark, d):
+    cars = V.used_cars(spark, d)
+    model = ML.fit_stages([FE.assembler(["Mileage"]), ML.linear_regression(label="Price")], cars)
+    lr = model.stages[-1]
+    rows = [(float(lr.coefficients[0]), float(lr.intercept))]
+    # model parameters (two numbers) as a one-row result
+    return spark.createDataFrame(rows, "slope double, intercept double").select(
+        F.round("slope", 4).alias("slope"), F.round("intercept", 4).alias("intercept"))
+
+
+def _nb_data(spark, d):
+    jobs = FE.keyword_flags(Q.keep_present(_jobs_clean(spark, d), "country"))
+    return jobs
+
+
+@query("naive_bayes_fit")
+def naive_bayes_fit(spark, d):
+    data = _nb_data(spark, d)
+    flags = [f"has_{k}" for k in FE.SKILL_KEYWORDS]
+    idx = FE.string_indexer("country", "label", "error").fit(data)
+    stages = [idx, FE.assembler(flags, "skills_features", "keep"),
+              ML.naive_bayes("skills_features", "label")]
+    nb = ML.fit_stages(stages, data).stages[-1]
+    labels = idx.labels
+    pi, theta = nb.pi.toArray(), nb.theta.toArray()
+    rows = [(labels[k], "__prior__", float(pi[k])) for k in range(len(labels))]
+    rows += [(labels[k], flags[j], float(theta[k][j])) for k in range(len(labels)) for j in range(len(flags))]
+    # model parameters (classes x features numbers) as a table
+    return spark.createDataFrame(rows, "country string, feature string, log_prob double") \
+        .select("country", "feature", r6("log_prob").alias("log_prob"))
+
+
+def _iris_split(spark, d):
+    iris = V.iris(spark, d)
+    return FE.hash_split(iris, F.col("row_id"))
+
+
+@query("logreg_multi")
+def logreg_multi(spark, d):
+    sp = _iris_split(spark, d)
+    stages = [FE.string_indexer("Species", "label"), FE.assembler(_IRIS), ML.logistic()]
+    _, pred = ML.fit_score(stages, sp["train"], sp["test"])
+    return pred.select("row_id", F.col("prediction").cast("long").alias("prediction"))
+
+
+@query("decision_tree")
+def decision_tree(spark, d):
+    sp = _iris_split(spark, d)
+    stages = [FE.string_indexer("Species", "label"), FE.assembler(_IRIS), ML.decision_tree()]
+    _, pred = ML.fit_score(stages, sp["train"], sp["test"])
+    return pred.select("row_id", F.col("prediction").cast("long").alias("prediction"))
+
+
+@query("random_forest")
+def random_forest(spark, d):
+    bike = V.bike_stations(spark, d)
+    sp = FE.hash_split(bike, F.col("row_id"))
+    stages = [FE.string_indexer("status", "label"), FE.string_indexer("location", "location_index"),
+              FE.assembler(["latitude", "longitude", "location_index"]), ML.random_forest()]
+    _, pred = ML.fit_score(stages, sp["train"], sp["test"])
+    return pred.select("row_id", F.col("prediction").cast("long").alias("prediction"))
+
+
+@query("kmeans_clusters")
+def kmeans_clusters(spark, d):
+    iris = V.iris(spark, d)
+    model = ML.fit_stages([FE.assembler(_IRIS), ML.kmeans(3)], iris)
+    return model.transform(iris).select("row_id", F.col("prediction").cast("long").alias("prediction"))
+
+
+@query("gmm_clusters")
+def gmm_clusters(spark, d):
+    bike = V.bike_stations(spark, d).withColumn(
+        "distance_from_center", FE.distance_from(F.col("latitude"), F.col("longitude")))
+    stages = [FE.assembler(["latitude", "longitude", "distance_from_center"], "raw_features"),
+              FE.scaler("raw_features", "features"), ML.gaussian_mixture(3)]
+    model = ML.fit_stages(stages, bike)
+    return model.transform(bike).select("row_id", F.col("prediction").cast("long").alias("prediction"))
+
+
+@query("logreg_tfidf")
+def logreg_tfidf(spark, d):
+    jobs = V.job_postings(spark, d).withColumn(
+        "is_hourly_bool", F.when(F.col("is_hourly") == "True", 1.0).otherwise(0.0))
+    sp = FE.hash_split(jobs, F.col("doc_id"))
+    stages = FE.text_stages("title") + [ML.logistic(label="is_hourly_bool")]
+    _, pred = ML.fit_score(stages, sp["train"], sp["test"])
+    return pred.select("doc_id", F.col("prediction").cast("long").alias("prediction"))
