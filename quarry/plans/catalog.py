@@ -573,3 +573,77 @@ def logreg_tfidf(spark, d):
     stages = FE.text_stages("title") + [ML.logistic(label="is_hourly_bool")]
     _, pred = ML.fit_score(stages, sp["train"], sp["test"])
     return pred.select("doc_id", F.col("prediction").cast("long").alias("prediction"))
+
+
+# ------------------------------------------------------------ files / streams
+import uuid  # noqa: E402
+
+from quarry.operators import generate as G  # noqa: E402
+from quarry.session import checkpoint_dir  # noqa: E402
+from quarry.sinks import files as SK  # noqa: E402
+from quarry.sources import files as SR  # noqa: E402
+from quarry.sources.tables import TABLES, load_table  # noqa: E402
+from quarry.streaming import jobs as ST  # noqa: E402
+
+
+def scratch(spark, name: str) -> str:
+    """A fresh folder under the session's (shared) checkpoint directory."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/quarry-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _user_files(spark, d, n_files: int = 8) -> str:
+    """The sign-up records as NDJSON files (the web API's output)."""
+    path = scratch(spark, "users-ndjson")
+    V.user_events(spark, d).select(*_USER_COLS).repartition(n_files, "id").write.json(path)
+    return path
+
+
+@query("stream_to_messages")
+def stream_to_messages(spark, d):
+    src, out, ck = _user_files(spark, d), scratch(spark, "msgs"), scratch(spark, "msgs-ck")
+    q = ST.start_file_to_messages(spark, src, ck, out, fmt="parquet", max_files_per_trigger=2,
+                                  trigger={"availableNow": True})
+    q.awaitTermination()
+    m = spark.read.parquet(out)
+    return m.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+
+
+@query("stream_upsert")
+def stream_upsert(spark, d):
+    src, root, ck = _user_files(spark, d), scratch(spark, "users-table"), scratch(spark, "ups-ck")
+    msgs = MS.to_messages(SR.read_json_stream(spark, src, MS.USER_EVENT_SCHEMA, 2), "country")
+    sink = ST.KeyedUpsertSink(root, ["country", "id"], ["created_at"])
+    ST.start_upsert(spark, msgs, sink, ck, trigger={"availableNow": True}).awaitTermination()
+    return sink.current(spark).select("country", "id", "name", "email", "created_at")
+
+
+@query("csv_round_trip")
+def csv_round_trip(spark, d):
+    path = scratch(spark, "orders-csv")
+    SK.write_csv(V.dirty_orders(spark, d), path)
+    return _orders_out(Q.parse_orders(SR.read_csv_text(spark, path)))
+
+
+@query("row_counts")
+def row_counts(spark, d):
+    parts = [load_table(spark, d, t).agg(F.count(F.lit(1)).alias("n_rows"))
+             .select(F.lit(t).alias("table_name"), "n_rows") for t in TABLES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("generated_orders_profile")
+def generated_orders_profile(spark, d):
+    rows = load_table(spark, d, "lineitem").count()
+    gen = G.generate_orders(spark, rows)
+    typed = Q.parse_orders(gen.select(*[F.col(c).cast("string") for c in gen.columns]))
+    tagged = typed.withColumn("_r", Q.reject_reasons(Q.order_rules()))
+    return tagged.agg(F.count(F.lit(1)).alias("n_rows"),
+                      F.sum((F.size("_r") > 0).cast("long")).alias("n_bad"),
+                      F.sum(F.when(F.col("menu_item") == "Coffee", 1).otherwise(0)).alias("n_coffee"),
+                      F.count("menu_item").alias("n_items_present"),
+                      F.countDistinct("facility_name").alias("n_facilities"),
+                      F.countDistinct("city").alias("n_cities"),
+                      F.countDistinct("Order_id").alias("n_order_ids"))

@@ -431,3 +431,14 @@ FROM per p, tot t
 UNION ALL
 SELECT c.country, c.feature, round(ln(c.c + 1.0) - ln(r.s + {len(SKILL_KEYWORDS)}.0), 6)
 FROM cells c JOIN rowsum r ON c.country = r.country"""
+
+# ------------------------------------------------------------ files / streams
+SQL["stream_to_messages"] = SQL["keyed_messages"]
+SQL["stream_upsert"] = f"""WITH {_USERS},
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY country, id ORDER BY created_at DESC) AS rn FROM ue)
+SELECT country, id, name, email, created_at FROM r WHERE rn = 1"""
+SQL["csv_round_trip"] = SQL["typed_parse"]
+SQL["row_counts"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows FROM {t}"
+    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+              "documents", "embeddings", "pages", "benchmark", "labels", "conversations"))
