@@ -106,15 +106,17 @@ def to_star(df: DataFrame, fact_mode: str = "inner", key_mode: str = "rank",
                   .select(date_key("date").alias("date_key"), "date",
                           F.year("date").alias("year"), F.month("date").alias("month"),
                           F.dayofmonth("date").alias("day")))
-    dim_city = materialize(assign_keys(df.select("city", "country").distinct(),
+    present = lambda *cs: F.expr(" AND ".join(f"{c} IS NOT NULL" for c in cs))
+    # a NULL natural key is not a member: such lines map to -1 / are dropped
+    dim_city = materialize(assign_keys(df.filter(present("city", "country")).select("city", "country").distinct(),
                                        ["city", "country"], "city_key", key_mode)
                            .select("city_key", "city", "country"))
-    fac = (df.groupBy("facility_name", "city", "country")
+    fac = (df.filter(present("facility_name", "city", "country")).groupBy("facility_name", "city", "country")
              .agg(F.min("lat").alias("lat"), F.min("lng").alias("lng")))
     fac = join_null_safe(fac, maybe_broadcast(dim_city, max_broadcast_rows), ["city", "country"])
     dim_facility = materialize(assign_keys(fac, ["facility_name", "city_key"], "facility_key", key_mode)
                                .select("facility_key", "facility_name", "city_key", "lat", "lng"))
-    dim_menu = materialize(assign_keys(df.select("menu_item").distinct(), ["menu_item"],
+    dim_menu = materialize(assign_keys(df.filter(present("menu_item")).select("menu_item").distinct(), ["menu_item"],
                                        "menu_key", key_mode).select("menu_key", "menu_item"))
 
     how = "inner" if fact_mode == "inner" else "left"
