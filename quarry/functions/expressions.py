@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-__all__ = ["fmt_ts", "r6", "first_present", "date_key", "path_stem", "path_base",
+__all__ = ["fmt_ts", "r6", "py_fixed", "first_present", "date_key", "path_stem", "path_base",
            "frame_name", "sampling_step", "hash_bucket100", "iso_ts",
            "email_ok", "EMAIL_PATTERN"]
 
@@ -81,3 +81,48 @@ def hash_bucket100(key: Column) -> Column:
 def email_ok(c) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return c.rlike(EMAIL_PATTERN)
+
+
+def _two_product_err(a: Column, b: Column) -> tuple[Column, Column]:
+    """(p, e) with p = fl(a·b) and e = a·b - p exactly (Dekker's split;
+    double arithmetic is IEEE-exact on the JVM)."""
+    split = F.lit(134217729.0)  # 2^27 + 1
+
+    def halves(x):
+        c = split * x
+        hi = c - (c - x)
+        return hi, x - hi
+    ah, al = halves(a)
+    bh, bl = halves(b)
+    p = a * b
+    e = ((ah * bh - p) + ah * bl + al * bh) + al * bl
+    return p, e
+
+
+def py_fixed(x, digits: int) -> Column:
+    """Text of a double with ``digits`` decimals exactly as Python's
+    ``f"{x:.{digits}f}"`` prints it: correct rounding of the binary value,
+    half-even only when the double *is* the tie.
+
+    The shortest decimal form of the double is rounded; only when that form
+    is exactly a tie the side is decided by the sign of ``x·M − N`` (tie =
+    N/M), computed without rounding error."""
+    x = F.col(x) if isinstance(x, str) else x
+    ax = F.abs(x.cast("double"))
+    scale = 10 ** digits
+    dec = ax.cast("decimal(38,18)")
+    scaled = dec * F.lit(scale).cast("decimal(38,0)")
+    q = F.floor(scaled).cast("long")
+    frac = scaled - q.cast("decimal(38,18)")
+    m = F.lit(float(2 * scale))
+    n = (q * 2 + 1).cast("double")
+    p, e = _two_product_err(ax, m)
+    side = F.when(p != n, F.signum(p - n)).otherwise(F.signum(e))
+    tie_up = F.when(side > 0, F.lit(True)).when(side < 0, F.lit(False)).otherwise(q % 2 == 1)
+    up = F.when(frac > F.lit(0.5), F.lit(True)).when(frac < F.lit(0.5), F.lit(False)).otherwise(tie_up)
+    r = F.when(up, q + 1).otherwise(q)
+    body = F.concat((r / F.lit(scale)).cast("long").cast("string"), F.lit("."),
+                    F.lpad((r % F.lit(scale)).cast("string"), digits, "0")) if digits > 0 \
+        else r.cast("string")
+    sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
+    return F.when(x.isNull(), F.lit(None).cast("string")).otherwise(F.concat(sign, body))

@@ -227,8 +227,9 @@ def detection_log(spark, d):
 @query("bbox_labels")
 def bbox_labels(spark, d):
     lb = B.box_labels(V.clicks(spark, d))
-    return lb.select("name", "label_line", r6("cx_n").alias("cx_n"), r6("cy_n").alias("cy_n"),
-                     r6("w_n").alias("w_n"), r6("h_n").alias("h_n"))
+    from quarry.functions.expressions import py_fixed
+    return lb.select("name", "label_line",
+                     *[py_fixed(c, 6).cast("double").alias(c) for c in ("cx_n", "cy_n", "w_n", "h_n")])
 
 
 # ---------------------------------------------------------------- messages

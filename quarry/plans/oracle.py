@@ -199,7 +199,7 @@ best AS (SELECT video_file, frame_idx, det_idx, cls, conf, (x1 + x2) / 2.0 AS cx
 
 
 def _be(x: str, n: int) -> str:
-    return f"CAST(round_even(CAST({x} AS DECIMAL(18,9)), {n}) AS DOUBLE)"
+    return f"CAST(printf('%.{n}f', {x}) AS DOUBLE)"
 
 
 SQL["frame_sample_plan"] = f"""WITH {_DET}
@@ -217,228 +217,17 @@ SELECT p.video_file, CAST(p.frame_idx AS BIGINT) AS frame_idx, {_be('p.frame_idx
 FROM plan p LEFT JOIN best b ON p.video_file = b.video_file AND p.frame_idx = b.frame_idx"""
 
 
-def _rhe(num: str, den: str) -> str:
-    a, b = f"(({num}) * 1000000)", f"({den})"
-    q = f"({a} // {b})"
-    return (f"(CASE WHEN 2 * ({a} - {q} * {b}) > {b} OR (2 * ({a} - {q} * {b}) = {b} AND {q} % 2 = 1) "
-            f"THEN {q} + 1 ELSE {q} END)")
-
-
-def _fx(s: str) -> str:
-    return f"(CAST({s} // 1000000 AS VARCHAR) || '.' || lpad(CAST({s} % 1000000 AS VARCHAR), 6, '0'))"
-
-
 SQL["bbox_labels"] = f"""WITH {_DET},
 clk AS (SELECT video_file, frame_idx, 640 AS width, 480 AS height, CAST(x1 AS BIGINT) + 16 AS cx,
                CAST(y1 AS BIGINT) + 16 + 60 AS cy, 1 AS cls FROM det WHERE cls = 1),
 box AS (SELECT video_file, frame_idx, cls, width, height,
                greatest(0, cx - 16) AS x1, greatest(0, cy - 16) AS y1,
                least(width - 1, cx + 16) AS x2, least(height - 1, cy + 16) AS y2 FROM clk),
-s AS (SELECT *, {_rhe('x1 + x2', 'width * 2')} AS cxn, {_rhe('y1 + y2', 'height * 2')} AS cyn,
-             {_rhe('x2 - x1', 'width')} AS wn, {_rhe('y2 - y1', 'height')} AS hn FROM box)
+s AS (SELECT *, (x1 + x2) / 2.0 / width AS cxn, (y1 + y2) / 2.0 / height AS cyn,
+             (x2 - x1) / CAST(width AS DOUBLE) AS wn, (y2 - y1) / CAST(height AS DOUBLE) AS hn FROM box)
 SELECT regexp_extract(video_file, '^(.+?)(\\.[^.]*)?$', 1) || '_f' || lpad(CAST(frame_idx AS VARCHAR), 6, '0') AS name,
-       CAST(cls AS VARCHAR) || ' ' || {_fx('cxn')} || ' ' || {_fx('cyn')} || ' ' || {_fx('wn')} || ' ' || {_fx('hn')}
-         AS label_line,
-       round(cxn / 1e6, 6) AS cx_n, round(cyn / 1e6, 6) AS cy_n, round(wn / 1e6, 6) AS w_n,
-       round(hn / 1e6, 6) AS h_n
+       CAST(cls AS VARCHAR) || ' ' || printf('%.6f', cxn) || ' ' || printf('%.6f', cyn) || ' '
+         || printf('%.6f', wn) || ' ' || printf('%.6f', hn) AS label_line,
+       CAST(printf('%.6f', cxn) AS DOUBLE) AS cx_n, CAST(printf('%.6f', cyn) AS DOUBLE) AS cy_n,
+       CAST(printf('%.6f', wn) AS DOUBLE) AS w_n, CAST(printf('%.6f', hn) AS DOUBLE) AS h_n
 FROM s"""
-
-# ---------------------------------------------------------------- messages
-_USERS = """
-ue AS (SELECT CAST(e.user_id AS VARCHAR) AS id, c.c_name AS name,
-              lower(replace(c.c_name, '#', '')) || '@example.com' AS email,
-              n.n_name AS country, strftime(e.ts, '%Y-%m-%dT%H:%M:%S.%f') AS created_at,
-              e.event_id AS seq
-       FROM events e JOIN customer c ON e.user_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey)
-"""
-SQL["keyed_messages"] = f"""WITH {_USERS}
-SELECT country AS key, to_json({{'id': id, 'name': name, 'email': email, 'country': country,
-       'created_at': created_at}})::VARCHAR AS value FROM ue"""
-SQL["decode_messages"] = f"WITH {_USERS} SELECT country AS msg_key, id, name, email, country, created_at FROM ue"
-SQL["latest_by_key"] = f"""WITH {_USERS},
-r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY country, id ORDER BY created_at DESC, seq DESC) AS rn FROM ue)
-SELECT country, id, name, email, created_at, seq FROM r WHERE rn = 1"""
-SQL["minute_batches"] = f"""WITH {_USERS},
-t AS (SELECT CAST(created_at AS TIMESTAMP) AS ts FROM ue),
-g AS (SELECT time_bucket(INTERVAL '1 minute', ts) AS s, COUNT(*) AS n, MIN(ts) AS f, MAX(ts) AS l FROM t GROUP BY 1)
-SELECT strftime(s, {TS}) AS batch_start, strftime(s + INTERVAL '1 minute', {TS}) AS batch_end,
-       'users_' || strftime(s + INTERVAL '1 minute', '%Y%m%d_%H%M%S') || '.jsonl' AS file_name,
-       n AS n_records, strftime(f, {TS}) AS first_ts, strftime(l, {TS}) AS last_ts FROM g"""
-SQL["unique_append"] = """WITH
-inc AS (SELECT c.c_custkey AS seq, c.c_name AS name,
-               'customer' || lpad(CAST(c.c_custkey // 2 AS VARCHAR), 9, '0')
-                 || CASE WHEN c.c_acctbal < 0 THEN '.example.com' ELSE '@example.com' END AS email,
-               n.n_name AS country
-        FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
-ex AS (SELECT DISTINCT lower(replace(c_name, '#', '')) || '@example.com' AS email FROM customer WHERE c_acctbal > 0),
-chk AS (SELECT *, concat_ws(';', CASE WHEN name IS NULL THEN 'name_missing' END,
-                               CASE WHEN email IS NULL THEN 'email_missing' END,
-                               CASE WHEN country IS NULL THEN 'country_missing' END,
-                               CASE WHEN NOT regexp_matches(email, '^[^@\\s]+@[^@\\s]+\\.[^@\\s]+$')
-                                    THEN 'email_format' END) AS vr FROM inc),
-valid AS (SELECT *, MIN(seq) OVER (PARTITION BY email) AS first_seq FROM chk WHERE vr = '')
-SELECT seq, name, email, country,
-       CASE WHEN email IN (SELECT email FROM ex) OR seq <> first_seq THEN 'rejected' ELSE 'accepted' END AS status,
-       CASE WHEN email IN (SELECT email FROM ex) THEN 'email_exists'
-            WHEN seq <> first_seq THEN 'duplicate_in_batch' END AS reason
-FROM valid
-UNION ALL
-SELECT seq, name, email, country, 'rejected', vr FROM chk WHERE vr <> ''"""
-SQL["user_lookup"] = """WITH
-ex AS (SELECT CAST(c.c_custkey AS VARCHAR) AS id, c.c_name AS name,
-              lower(replace(c.c_name, '#', '')) || '@example.com' AS email, n.n_name AS country
-       FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE c.c_acctbal > 0)
-SELECT e.event_id AS request_id, CAST(e.user_id AS VARCHAR) AS user_id, ex.name, ex.email, ex.country,
-       CASE WHEN ex.id IS NULL THEN 404 ELSE 200 END AS status
-FROM events e LEFT JOIN ex ON CAST(e.user_id AS VARCHAR) = ex.id WHERE e.event_type = 'signup'"""
-
-# ------------------------------------------------------- categories / sorting
-_CARS = """
-cars AS (SELECT l.l_orderkey * 8 + l.l_linenumber AS row_id, l.l_extendedprice AS Price,
-                l.l_quantity AS Mileage, year(l.l_shipdate) AS Year, p.p_type AS body_type,
-                l.l_linestatus AS fuel_type, l.l_returnflag AS condition
-         FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)
-"""
-SQL["category_counts"] = f"""WITH {_CARS}
-SELECT body_type, fuel_type, COUNT(*) AS count FROM cars GROUP BY body_type, fuel_type"""
-SQL["topk_category_filter"] = f"""WITH {_CARS},
-top AS (SELECT body_type FROM cars GROUP BY body_type ORDER BY COUNT(*) DESC, body_type NULLS FIRST LIMIT 5)
-SELECT row_id, body_type, round(Price, 6) AS price FROM cars WHERE body_type IN (SELECT body_type FROM top)"""
-SQL["sorted_groups"] = f"""WITH {_CARS},
-g AS (SELECT condition, AVG(Price) AS avg_price, COUNT(*) AS count FROM cars GROUP BY condition)
-SELECT condition, round(avg_price, 6) AS avg_price, count,
-       CAST(ROW_NUMBER() OVER (ORDER BY avg_price DESC, condition) AS BIGINT) AS pos FROM g"""
-
-# ---------------------------------------------------------------- ML features
-from quarry.operators.features import SKILL_KEYWORDS, english_stop_words  # noqa: E402
-
-_STOP = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in english_stop_words()) + "]"
-
-SQL["string_index"] = f"""WITH {_CARS}
-SELECT body_type, CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, body_type) - 1 AS BIGINT) AS label
-FROM cars GROUP BY body_type"""
-SQL["standardize"] = f"""WITH {_CARS},
-s AS (SELECT AVG(Price) mp, STDDEV_SAMP(Price) sp, AVG(Mileage) mm, STDDEV_SAMP(Mileage) sm,
-             AVG(CAST(Year AS DOUBLE)) my, STDDEV_SAMP(CAST(Year AS DOUBLE)) sy FROM cars)
-SELECT row_id, round((Price - mp) / sp, 6) AS z_price, round((Mileage - mm) / sm, 6) AS z_mileage,
-       round((CAST(Year AS DOUBLE) - my) / sy, 6) AS z_year FROM cars, s"""
-SQL["assembled_features"] = """SELECT vec_id AS row_id,
-       round(CAST(embedding[1] AS DOUBLE), 6) AS f0, round(CAST(embedding[2] AS DOUBLE), 6) AS f1,
-       round(CAST(embedding[3] AS DOUBLE), 6) AS f2, round(CAST(embedding[4] AS DOUBLE), 6) AS f3
-FROM embeddings"""
-_CLEAN = _JOBS + """,
-cj AS (SELECT *, lower(regexp_replace(title, '[^a-zA-Z\\s]', '', 'g')) AS clean_title FROM jobs)
-"""
-SQL["clean_title"] = f"WITH {_CLEAN} SELECT doc_id, clean_title FROM cj"
-_FLAGS = ", ".join(f"CASE WHEN contains(clean_title, '{k}') THEN 1 ELSE 0 END AS has_{k}" for k in SKILL_KEYWORDS)
-SQL["keyword_flags"] = f"WITH {_CLEAN} SELECT doc_id, {_FLAGS} FROM cj"
-_TOK = _JOBS + f""",
-tk AS (SELECT doc_id, string_split_regex(regexp_replace(lower(title), '\\s+$', ''), '\\s') AS words FROM jobs),
-fw AS (SELECT doc_id, words, list_filter(words, lambda x: NOT list_contains({_STOP}, x)) AS kept FROM tk)
-"""
-SQL["tokens"] = f"""WITH {_TOK}
-SELECT doc_id, CAST(len(words) AS BIGINT) AS n_tokens, CAST(len(list_distinct(words)) AS BIGINT) AS n_distinct FROM tk"""
-SQL["stopword_filter"] = f"""WITH {_TOK}
-SELECT doc_id, CAST(len(kept) AS BIGINT) AS n_kept, CAST(len(list_distinct(kept)) AS BIGINT) AS n_kept_distinct FROM fw"""
-SQL["hashed_tf"] = f"WITH {_TOK} SELECT doc_id, CAST(len(kept) AS BIGINT) AS total_tf FROM fw"
-SQL["tfidf_terms"] = f"""WITH {_TOK},
-terms AS (SELECT doc_id, unnest(kept) AS term FROM fw),
-tf AS (SELECT doc_id, term, COUNT(*) AS tf FROM terms GROUP BY doc_id, term),
-df AS (SELECT term, COUNT(*) AS df FROM tf GROUP BY term),
-n AS (SELECT COUNT(DISTINCT doc_id) AS n FROM jobs)
-SELECT tf.doc_id, tf.term, tf.tf, df.df, round(ln((n.n + 1) / (df.df + 1)), 6) AS idf,
-       round(tf.tf * ln((n.n + 1) / (df.df + 1)), 6) AS tfidf
-FROM tf JOIN df ON tf.term = df.term, n"""
-SQL["hash_split"] = f"""WITH {_CARS}
-SELECT row_id, CASE WHEN ((CAST(row_id AS HUGEINT) % 4294967296) * 2654435761) % 4294967296 % 100 < 70
-                    THEN 'train' ELSE 'test' END AS side FROM cars"""
-_BIKE = """
-bike AS (SELECT p_partkey AS row_id, 20.0::DOUBLE + p_size * 0.01::DOUBLE AS latitude,
-                -103.0::DOUBLE - (p_partkey % 50) * 0.01::DOUBLE AS longitude,
-                p_type AS status, p_brand AS location FROM part)
-"""
-SQL["center_distance"] = f"""WITH {_BIKE}
-SELECT row_id, round(sqrt(pow(latitude - 20.666378, 2) + pow(longitude - -103.34882, 2)), 6) AS distance_from_center
-FROM bike"""
-
-# ---------------------------------------------------------------- evaluators
-_RULE = """
-ir AS (SELECT vec_id AS row_id, CAST(label AS DOUBLE) AS label,
-              CAST(least(9, greatest(0, floor((CAST(embedding[1] AS DOUBLE) + 0.4) * 12.5))) AS DOUBLE) AS prediction,
-              CAST(embedding[1] AS DOUBLE) AS x0, CAST(embedding[2] AS DOUBLE) AS x1,
-              CAST(embedding[3] AS DOUBLE) AS x2, CAST(embedding[4] AS DOUBLE) AS x3
-       FROM embeddings)
-"""
-SQL["eval_confusion"] = f"""WITH {_RULE}
-SELECT CAST(label AS BIGINT) AS label, CAST(prediction AS BIGINT) AS prediction, COUNT(*) AS count
-FROM ir GROUP BY label, prediction"""
-SQL["eval_accuracy_f1"] = f"""WITH {_RULE},
-k AS (SELECT k FROM (SELECT label AS k FROM ir UNION SELECT prediction FROM ir)),
-st AS (SELECT k.k, (SELECT COUNT(*) FROM ir WHERE label = k.k) AS n,
-              (SELECT COUNT(*) FROM ir WHERE prediction = k.k) AS pp,
-              (SELECT COUNT(*) FROM ir WHERE label = k.k AND prediction = k.k) AS tp FROM k)
-SELECT round(SUM(tp) / SUM(n), 6) AS accuracy,
-       round(SUM(n * CASE WHEN tp = 0 THEN 0.0 ELSE 2.0 * tp / (pp + n) END) / SUM(n), 6) AS f1 FROM st"""
-_SCORED = _JOBS + """,
-sj AS (SELECT doc_id, CASE WHEN is_hourly = 'True' THEN 1 ELSE 0 END AS label,
-              floor(budget_clean / 100) / 100.0 AS score FROM jobs),
-sc AS (SELECT score AS s, SUM(label) AS pos, SUM(1 - label) AS neg FROM sj GROUP BY score)
-"""
-SQL["eval_auc"] = f"""WITH {_SCORED},
-c AS (SELECT *, COALESCE(SUM(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM sc)
-SELECT round(SUM(pos * (below + neg / 2.0)) / (SUM(pos) * SUM(neg)), 6) AS auc FROM c"""
-SQL["eval_pr"] = f"""WITH {_SCORED},
-c AS (SELECT *, SUM(pos) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
-             SUM(neg) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp FROM sc),
-p AS (SELECT pos, tp, tp - pos AS tp0, tp / (tp + fp) AS pc,
-             CASE WHEN (tp - pos) + (fp - neg) = 0 THEN tp / (tp + fp)
-                  ELSE (tp - pos) / ((tp - pos) + (fp - neg)) END AS pp FROM c)
-SELECT round(SUM((tp - tp0) * (pc + pp) / 2.0) / SUM(pos), 6) AS aupr FROM p"""
-SQL["eval_silhouette"] = f"""WITH {_RULE},
-pt AS (SELECT label AS c, x0, x1, x2, x3, x0*x0 + x1*x1 + x2*x2 + x3*x3 AS nn FROM ir),
-cl AS (SELECT c, COUNT(*) AS n, SUM(nn) AS psi, SUM(x0) y0, SUM(x1) y1, SUM(x2) y2, SUM(x3) y3 FROM pt GROUP BY c),
-d AS (SELECT p.c AS own, cl.c AS other, cl.n,
-             cl.n * p.nn - 2 * (p.x0 * cl.y0 + p.x1 * cl.y1 + p.x2 * cl.y2 + p.x3 * cl.y3) + cl.psi AS tot,
-             p.x0, p.x1, p.x2, p.x3 FROM pt p, cl),
-ab AS (SELECT own, x0, x1, x2, x3,
-              MAX(CASE WHEN own = other THEN tot / greatest(n - 1, 1) END) AS a,
-              MAX(CASE WHEN own = other THEN n END) AS own_n,
-              MIN(CASE WHEN own <> other THEN tot / n END) AS b
-       FROM d GROUP BY own, x0, x1, x2, x3)
-SELECT round(AVG(CASE WHEN own_n = 1 THEN 0.0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0.0 END), 6)
-       AS silhouette FROM ab"""
-SQL["eval_regression"] = f"""WITH {_CARS},
-c AS (SELECT regr_slope(Price, Mileage) AS b, regr_intercept(Price, Mileage) AS a FROM cars),
-p AS (SELECT Price AS y, a + b * Mileage AS yhat FROM cars, c)
-SELECT round(sqrt(AVG((y - yhat) * (y - yhat))), 4) AS rmse,
-       round(1 - SUM((y - yhat) * (y - yhat)) / (VAR_POP(y) * COUNT(*)), 6) AS r2,
-       round(AVG(abs(y - yhat)), 4) AS mae FROM p"""
-SQL["group_profile"] = f"""WITH {_BIKE}
-SELECT status, round(AVG(latitude), 6) AS avg_latitude, round(AVG(longitude), 6) AS avg_longitude,
-       COUNT(*) AS station_count FROM bike GROUP BY status"""
-SQL["linreg_fit"] = f"""WITH {_CARS}
-SELECT round(regr_slope(Price, Mileage), 4) AS slope, round(regr_intercept(Price, Mileage), 4) AS intercept FROM cars"""
-_NBF = ", ".join(f"SUM(CASE WHEN contains(clean_title, '{k}') THEN 1 ELSE 0 END) AS has_{k}" for k in SKILL_KEYWORDS)
-_NBU = " UNION ALL ".join(f"SELECT country, 'has_{k}' AS feature, has_{k} AS c FROM per" for k in SKILL_KEYWORDS)
-SQL["naive_bayes_fit"] = f"""WITH {_CLEAN},
-nb AS (SELECT * FROM cj WHERE country IS NOT NULL AND country NOT IN ('NULL', '')),
-per AS (SELECT country, COUNT(*) AS n, {_NBF} FROM nb GROUP BY country),
-tot AS (SELECT SUM(n) AS total, COUNT(*) AS k FROM per),
-cells AS ({_NBU}),
-rowsum AS (SELECT country, SUM(c) AS s FROM cells GROUP BY country)
-SELECT p.country, '__prior__' AS feature, round(ln(p.n + 1.0) - ln(t.total + t.k * 1.0), 6) AS log_prob
-FROM per p, tot t
-UNION ALL
-SELECT c.country, c.feature, round(ln(c.c + 1.0) - ln(r.s + {len(SKILL_KEYWORDS)}.0), 6)
-FROM cells c JOIN rowsum r ON c.country = r.country"""
-
-# ------------------------------------------------------------ files / streams
-SQL["stream_to_messages"] = SQL["keyed_messages"]
-SQL["stream_upsert"] = f"""WITH {_USERS},
-r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY country, id ORDER BY created_at DESC) AS rn FROM ue)
-SELECT country, id, name, email, created_at FROM r WHERE rn = 1"""
-SQL["csv_round_trip"] = SQL["typed_parse"]
-SQL["row_counts"] = " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows FROM {t}"
-    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-              "documents", "embeddings", "pages", "benchmark", "labels", "conversations"))
