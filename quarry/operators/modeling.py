@@ -101,6 +101,9 @@ def to_star(df: DataFrame, fact_mode: str = "inner", key_mode: str = "rank",
     * ``fact_mode="inner"`` drops lines with no dimension member,
       ``"unknown_member"`` keeps them with key -1.
     """
+    # five consumers (four dimensions and the fact) read the lines: keep
+    # them once (lost blocks are recomputed from lineage)
+    df = df.persist()
     dt = F.col("datetime")
     dim_date = (df.select(F.to_date(dt).alias("date")).filter(F.col("date").isNotNull()).distinct()
                   .select(date_key("date").alias("date_key"), "date",
@@ -108,16 +111,18 @@ def to_star(df: DataFrame, fact_mode: str = "inner", key_mode: str = "rank",
                           F.dayofmonth("date").alias("day")))
     present = lambda *cs: F.expr(" AND ".join(f"{c} IS NOT NULL" for c in cs))
     # a NULL natural key is not a member: such lines map to -1 / are dropped
-    dim_city = materialize(assign_keys(df.filter(present("city", "country")).select("city", "country").distinct(),
-                                       ["city", "country"], "city_key", key_mode)
-                           .select("city_key", "city", "country"))
+    # assign_keys checkpoints the sorted member set, so the keys below are
+    # fixed; recomputing a dimension from it is deterministic and cheap
+    dim_city = (assign_keys(df.filter(present("city", "country")).select("city", "country").distinct(),
+                            ["city", "country"], "city_key", key_mode)
+                .select("city_key", "city", "country"))
     fac = (df.filter(present("facility_name", "city", "country")).groupBy("facility_name", "city", "country")
              .agg(F.min("lat").alias("lat"), F.min("lng").alias("lng")))
     fac = join_null_safe(fac, maybe_broadcast(dim_city, max_broadcast_rows), ["city", "country"])
-    dim_facility = materialize(assign_keys(fac, ["facility_name", "city_key"], "facility_key", key_mode)
-                               .select("facility_key", "facility_name", "city_key", "lat", "lng"))
-    dim_menu = materialize(assign_keys(df.filter(present("menu_item")).select("menu_item").distinct(), ["menu_item"],
-                                       "menu_key", key_mode).select("menu_key", "menu_item"))
+    dim_facility = (assign_keys(fac, ["facility_name", "city_key"], "facility_key", key_mode)
+                    .select("facility_key", "facility_name", "city_key", "lat", "lng"))
+    dim_menu = (assign_keys(df.filter(present("menu_item")).select("menu_item").distinct(), ["menu_item"],
+                            "menu_key", key_mode).select("menu_key", "menu_item"))
 
     how = "inner" if fact_mode == "inner" else "left"
     f = df.select(_order_id(df).alias("order_id"), "datetime", date_key(dt).alias("date_key"),

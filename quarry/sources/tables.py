@@ -1,6 +1,14 @@
 """Loading the parquet tables of a data directory (one ``<name>.parquet``
 per table). Column selection is left to Catalyst: callers project what they
-need and the scan's ReadSchema shrinks accordingly."""
+need and the scan's ReadSchema shrinks accordingly.
+
+Scan parallelism: a scan yields one task per file split. On a cluster a big
+table has thousands of splits; a small file written as a single row group
+yields ONE task, and every narrow operator after it (broadcast joins,
+projections, filters) would then run on one core. ``spread`` detects a
+scan with fewer splits than the session's parallelism and round-robins it
+once; scans that are already wide are left untouched (no extra shuffle).
+"""
 
 from __future__ import annotations
 
@@ -9,12 +17,26 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark", "labels", "conversations")
+# Dimension-like tables whose size is small by construction: never spread.
+SMALL_TABLES = frozenset({"region", "nation", "supplier", "labels", "benchmark"})
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster if its scan is narrower than
+    the default parallelism."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
-def load_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
+def load_table(spark: SparkSession, data_dir: str, name: str, widen: bool = True) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+    if widen and name not in SMALL_TABLES:
+        df = spread(df)
+    return df
 
 
 def register_tables(spark: SparkSession, data_dir: str, names=TABLES) -> None:
