@@ -102,25 +102,20 @@ def _two_product_err(a: Column, b: Column) -> tuple[Column, Column]:
 def py_fixed(x, digits: int) -> Column:
     """Text of a double with ``digits`` decimals exactly as Python's
     ``f"{x:.{digits}f}"`` prints it: correct rounding of the binary value,
-    half-even only when the double *is* the tie.
+    half-even only when the scaled value is exactly a tie.
 
-    The shortest decimal form of the double is rounded; only when that form
-    is exactly a tie the side is decided by the sign of ``x·M − N`` (tie =
-    N/M), computed without rounding error."""
+    ``|x|·10^d = p + e`` exactly (error-free product); with ``q = floor(p)``
+    the side of the tie ``q + ½`` is the sign of ``(p − (q + ½)) + e`` — the
+    subtraction is exact whenever the two are close (Sterbenz), and a
+    floating sum never flips the sign of an exact sum."""
     x = F.col(x) if isinstance(x, str) else x
     ax = F.abs(x.cast("double"))
     scale = 10 ** digits
-    dec = ax.cast("decimal(38,18)")
-    scaled = dec * F.lit(scale).cast("decimal(38,0)")
-    q = F.floor(scaled).cast("long")
-    frac = scaled - q.cast("decimal(38,18)")
-    m = F.lit(float(2 * scale))
-    n = (q * 2 + 1).cast("double")
-    p, e = _two_product_err(ax, m)
-    side = F.when(p != n, F.signum(p - n)).otherwise(F.signum(e))
-    tie_up = F.when(side > 0, F.lit(True)).when(side < 0, F.lit(False)).otherwise(q % 2 == 1)
-    up = F.when(frac > F.lit(0.5), F.lit(True)).when(frac < F.lit(0.5), F.lit(False)).otherwise(tie_up)
-    r = F.when(up, q + 1).otherwise(q)
+    p, e = _two_product_err(ax, F.lit(float(scale)))
+    q = F.floor(p)
+    diff = (p - (q + F.lit(0.5))) + e
+    up = (diff > 0) | ((diff == 0) & (F.pmod(q, F.lit(2)) == 1))
+    r = (q + F.when(up, F.lit(1)).otherwise(F.lit(0))).cast("long")
     body = F.concat((r / F.lit(scale)).cast("long").cast("string"), F.lit("."),
                     F.lpad((r % F.lit(scale)).cast("string"), digits, "0")) if digits > 0 \
         else r.cast("string")

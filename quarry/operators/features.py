@@ -142,8 +142,13 @@ def remove_stop_words(tokens: Column, words=None) -> Column:
 
 
 def term_table(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
-    """(id, term, tf) — one row per distinct term of a document."""
-    return (df.select(id_col, F.explode(tokens_col).alias("term"))
+    """(id, term, tf) — one row per distinct term of a document.
+
+    ``explode_outer`` + a filter on the generated column: plain ``explode``
+    makes the optimizer infer ``size(tokens) > 0`` and push it under
+    upstream shuffles, evaluating the whole tokenization twice."""
+    return (df.select(id_col, F.explode_outer(tokens_col).alias("term"))
+              .filter(F.col("term").isNotNull())
               .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 

@@ -6,17 +6,18 @@ Surrogate keys (``assign_keys``) come from the natural key, never from
 partitioning and are recomputed by every action that re-evaluates the
 lineage, so dimension and fact keys could disagree):
 
-* ``mode="rank"`` — consecutive keys 1..n in natural-key order, computed
-  without funnelling rows into one task: the set is range-partitioned by a
+* ``mode="rank"`` — consecutive keys 1..n in natural-key order. A set
+  whose measured size is small is numbered by one ordered window; a large
+  set is never funnelled into one task: it is range-partitioned by a
   global sort and checkpointed (fixing partition ids), per-partition counts
   (one row per partition) give each partition its offset, and a row's key
   is its offset plus its row number inside the partition.
 * ``mode="hash"`` — ``xxhash64`` of the natural key: no sort, no
   checkpoint; uniqueness is asserted with one aggregation.
 
-Dimensions are materialized once (checkpoint) so keys are computed once
-and reused by every consumer; they are broadcast to the fact join only
-after their row count has been measured.
+Keys are deterministic functions of the member set, so every consumer
+sees the same keys; dimensions are broadcast to the fact join only after
+their row count has been measured.
 """
 
 from __future__ import annotations
@@ -29,16 +30,30 @@ from quarry.operators.joins import join_null_safe, maybe_broadcast
 from quarry.session import materialize
 
 
+SMALL_SET_ROWS = 200_000
+
+
 def assign_keys(df: DataFrame, order_cols: list[str], key_col: str,
-                mode: str = "rank") -> DataFrame:
+                mode: str = "rank", small_rows: int = SMALL_SET_ROWS,
+                known_rows: int | None = None) -> DataFrame:
     """Add ``key_col`` to ``df``. With ``mode="rank"`` rows are numbered
     1..n in ``order_cols`` order (``df`` should be distinct on them, or
-    carry extra columns in ``order_cols`` that separate equal rows)."""
+    carry extra columns in ``order_cols`` that separate equal rows).
+
+    The set's size is checked first (a count capped at ``small_rows``): a
+    small set is numbered by one ordered window — one task holding at most
+    ``small_rows`` rows, deterministic because the order is total
+    (``known_rows`` skips the count when the caller measured it). A
+    larger set takes the distributed path (range partitioning, checkpoint,
+    per-partition offsets)."""
     if mode == "hash":
         return df.withColumn(key_col, F.xxhash64(*[F.col(c) for c in order_cols]))
     if mode != "rank":
         raise ValueError(mode)
     sort_cols = [F.col(c).asc_nulls_first() for c in order_cols]
+    n = known_rows if known_rows is not None else df.limit(small_rows + 1).count()
+    if n <= small_rows:
+        return df.withColumn(key_col, F.row_number().over(Window.orderBy(*sort_cols)).cast("long"))
     ranged = materialize(df.orderBy(*sort_cols)).withColumn("__pid", F.spark_partition_id())
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     # one row per partition: a window over it is bounded by the partition count
@@ -90,47 +105,74 @@ def to_3nf(df: DataFrame, dedupe_items: bool = False, key_mode: str = "rank") ->
 
 
 # ------------------------------------------------------------------ star
+_STAR_COLS = ["city", "country", "facility_name", "menu_item", "date"]
+_STAR_SETS = {"city": ["city", "country"], "facility": ["facility_name", "city", "country"],
+              "menu": ["menu_item"], "date": ["date"]}
+
+
+def _gid(members: list[str]) -> int:
+    """grouping_id() of a grouping set over ``_STAR_COLS`` (bit = column
+    not in the set, first column most significant)."""
+    n = len(_STAR_COLS)
+    return sum(1 << (n - 1 - i) for i, c in enumerate(_STAR_COLS) if c not in members)
+
+
+def _keyed(members: DataFrame, order: list[str], key: str, mode: str) -> tuple[DataFrame, int]:
+    """Members with consecutive keys, and the member count."""
+    n = members.count()
+    return assign_keys(members, order, key, mode, known_rows=n), n
+
+
 def to_star(df: DataFrame, fact_mode: str = "inner", key_mode: str = "rank",
             max_broadcast_rows: int = 2_000_000) -> dict[str, DataFrame]:
     """Flat clean lines → ``dim_date, dim_city, dim_facility, dim_menu,
     fact_sales``.
 
+    * one pass over the lines derives the members of every dimension
+      (GROUPING SETS; the small result is checkpointed), instead of one scan of
+      the lines per dimension;
     * city identity is (city, country); facility identity is
       (facility_name, city, country) with one row per facility (min of the
-      coordinates), so no dimension join can fan out fact rows;
+      coordinates), so no dimension join can fan out fact rows; a NULL
+      natural key is not a member;
+    * dimensions are broadcast to the fact join when their measured size
+      allows, else joined by shuffle (AQE handles skew);
     * ``fact_mode="inner"`` drops lines with no dimension member,
       ``"unknown_member"`` keeps them with key -1.
     """
-    # five consumers (four dimensions and the fact) read the lines: keep
-    # them once (lost blocks are recomputed from lineage)
-    df = df.persist()
-    dt = F.col("datetime")
-    dim_date = (df.select(F.to_date(dt).alias("date")).filter(F.col("date").isNotNull()).distinct()
-                  .select(date_key("date").alias("date_key"), "date",
-                          F.year("date").alias("year"), F.month("date").alias("month"),
-                          F.dayofmonth("date").alias("day")))
-    present = lambda *cs: F.expr(" AND ".join(f"{c} IS NOT NULL" for c in cs))
-    # a NULL natural key is not a member: such lines map to -1 / are dropped
-    # assign_keys checkpoints the sorted member set, so the keys below are
-    # fixed; recomputing a dimension from it is deterministic and cheap
-    dim_city = (assign_keys(df.filter(present("city", "country")).select("city", "country").distinct(),
-                            ["city", "country"], "city_key", key_mode)
-                .select("city_key", "city", "country"))
-    fac = (df.filter(present("facility_name", "city", "country")).groupBy("facility_name", "city", "country")
-             .agg(F.min("lat").alias("lat"), F.min("lng").alias("lng")))
-    fac = join_null_safe(fac, maybe_broadcast(dim_city, max_broadcast_rows), ["city", "country"])
-    dim_facility = (assign_keys(fac, ["facility_name", "city_key"], "facility_key", key_mode)
-                    .select("facility_key", "facility_name", "city_key", "lat", "lng"))
-    dim_menu = (assign_keys(df.filter(present("menu_item")).select("menu_item").distinct(), ["menu_item"],
-                            "menu_key", key_mode).select("menu_key", "menu_item"))
+    lines = df.withColumn("date", F.to_date("datetime"))
+    # small (one row per member of each dimension): checkpointed, so it is
+    # computed once, survives executor loss and pins no executor memory
+    members = materialize(lines.groupingSets(list(_STAR_SETS.values()), *_STAR_COLS)
+                               .agg(F.min("lat").alias("lat"), F.min("lng").alias("lng"),
+                                    F.grouping_id().alias("_gid")))
+
+    def part(name):
+        cols = _STAR_SETS[name]
+        return members.filter((F.col("_gid") == _gid(cols)) &
+                              F.expr(" AND ".join(f"{c} IS NOT NULL" for c in cols)))
+
+    dim_date = part("date").select(date_key("date").alias("date_key"), "date",
+                                   F.year("date").alias("year"), F.month("date").alias("month"),
+                                   F.dayofmonth("date").alias("day"))
+    city, n_city = _keyed(part("city").select("city", "country"), ["city", "country"], "city_key", key_mode)
+    dim_city = city.select("city_key", "city", "country")
+    small = lambda d, n: F.broadcast(d) if n <= max_broadcast_rows else d
+    fac = join_null_safe(part("facility").select("facility_name", "city", "country", "lat", "lng"),
+                         small(dim_city, n_city), ["city", "country"])
+    fac, n_fac = _keyed(fac, ["facility_name", "city_key"], "facility_key", key_mode)
+    dim_facility = fac.select("facility_key", "facility_name", "city_key", "lat", "lng")
+    menu, n_menu = _keyed(part("menu").select("menu_item"), ["menu_item"], "menu_key", key_mode)
+    dim_menu = menu.select("menu_key", "menu_item")
 
     how = "inner" if fact_mode == "inner" else "left"
+    dt = F.col("datetime")
     f = df.select(_order_id(df).alias("order_id"), "datetime", date_key(dt).alias("date_key"),
                   "city", "country", "facility_name", "menu_item", "price")
-    f = join_null_safe(f, maybe_broadcast(dim_city, max_broadcast_rows), ["city", "country"], how)
-    f = join_null_safe(f, maybe_broadcast(dim_facility.select("facility_key", "facility_name", "city_key"),
-                                          max_broadcast_rows), ["facility_name", "city_key"], how)
-    f = join_null_safe(f, maybe_broadcast(dim_menu, max_broadcast_rows), ["menu_item"], how)
+    f = join_null_safe(f, small(dim_city, n_city), ["city", "country"], how)
+    f = join_null_safe(f, small(dim_facility.select("facility_key", "facility_name", "city_key"), n_fac),
+                       ["facility_name", "city_key"], how)
+    f = join_null_safe(f, small(dim_menu, n_menu), ["menu_item"], how)
     keys = ["city_key", "facility_key", "menu_key"]
     if fact_mode != "inner":
         f = f.select(*[c for c in f.columns if c not in keys],
@@ -155,25 +197,30 @@ def to_documents(df: DataFrame, id_cols: list[str] | None = None,
     Document size is bounded: a group larger than ``max_items_per_doc``
     lines is emitted as ``n_parts`` documents (``part`` 0..n_parts-1, lines
     spread by a hash of the line), each carrying the whole group's
-    datetime and total. Group statistics come from a partial aggregation
-    first, so no step holds a hot group's lines in one task beyond a part.
+    datetime and total. Group sizes come from a partial aggregation; only
+    the oversized groups (at most lines / max_items_per_doc of them) are
+    joined back — by broadcast when their measured count allows — so no
+    task holds more than a part of a hot group.
     """
     df = df.withColumn("order_id", _order_id(df)) if "order_id" not in df.columns else df
     keys = ["order_id"] + ([] if unique_id else list(id_cols or group_cols))
-    stats = (df.groupBy(*keys)
-               .agg(F.min(ts_col).alias("__first_ts"),
-                    F.sum(F.col(total_col).cast("long")).alias("__total"),
-                    F.count(F.lit(1)).alias("__n"))
-               .withColumn("__parts", F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(max_items_per_doc)))))
-    lines = join_null_safe(df.select(*keys, *item_cols), stats, keys)
-    part = F.when(F.col("__parts") == 1, F.lit(0)).otherwise(
+    # groups too large for one document: at most lines / max_items of them
+    big = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
+                                 F.min(ts_col).alias("__first_ts"),
+                                 F.sum(F.col(total_col).cast("long")).alias("__total"))
+             .filter(F.col("__n") > max_items_per_doc)
+             .withColumn("__parts", F.ceil(F.col("__n") / F.lit(max_items_per_doc))))
+    lines = join_null_safe(df.select(*keys, ts_col, total_col, *item_cols),
+                           maybe_broadcast(big.drop("__n")), keys, "left")
+    part = F.when(F.col("__parts").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*[F.col(c) for c in item_cols], F.monotonically_increasing_id()),
                F.col("__parts"))).cast("long")
     item = F.struct(*[F.col(c) for c in item_cols])
     docs = (lines.withColumn("part", part)
                  .groupBy(*keys, "part")
-                 .agg(F.first("__first_ts").alias(ts_col), F.first("__total").alias("order_total"),
-                      F.first("__parts").cast("long").alias("n_parts"),
+                 .agg(F.coalesce(F.first("__first_ts"), F.min(ts_col)).alias(ts_col),
+                      F.coalesce(F.first("__total"), F.sum(F.col(total_col).cast("long"))).alias("order_total"),
+                      F.coalesce(F.first("__parts"), F.lit(1)).cast("long").alias("n_parts"),
                       F.array_sort(F.collect_list(item)).alias("items")))
     return docs.select(F.col("order_id").alias("_id"), *keys[1:], ts_col, "order_total",
                        "items", "part", "n_parts")

@@ -227,9 +227,9 @@ def detection_log(spark, d):
 @query("bbox_labels")
 def bbox_labels(spark, d):
     lb = B.box_labels(V.clicks(spark, d))
-    from quarry.functions.expressions import py_fixed
+    parts = F.split("label_line", " ")
     return lb.select("name", "label_line",
-                     *[py_fixed(c, 6).cast("double").alias(c) for c in ("cx_n", "cy_n", "w_n", "h_n")])
+                     *[parts[i + 1].cast("double").alias(c) for i, c in enumerate(("cx_n", "cy_n", "w_n", "h_n"))])
 
 
 # ---------------------------------------------------------------- messages

@@ -7,7 +7,7 @@ table has thousands of splits; a small file written as a single row group
 yields ONE task, and every narrow operator after it (broadcast joins,
 projections, filters) would then run on one core. ``spread`` detects a
 scan with fewer splits than the session's parallelism and round-robins it
-once; scans that are already wide are left untouched (no extra shuffle).
+once (hash of a row id); scans that are already wide are left untouched (no extra shuffle).
 """
 
 from __future__ import annotations
@@ -21,21 +21,36 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
 SMALL_TABLES = frozenset({"region", "nation", "supplier", "labels", "benchmark"})
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster if its scan is narrower than
-    the default parallelism."""
+_SPLITS: dict[str, int] = {}
+
+
+def _scan_splits(df: DataFrame, path: str) -> int:
+    """Split count of a file scan (memoized per path for the session)."""
+    if path not in _SPLITS:
+        _SPLITS[path] = df.rdd.getNumPartitions()
+    return _SPLITS[path]
+
+
+def spread(df: DataFrame, min_partitions: int | None = None, path: str | None = None) -> DataFrame:
+    """Spread ``df`` over the cluster if its scan is narrower than the
+    default parallelism. Rows are hash-partitioned on a per-row id (unique,
+    so balanced; derived from the scan position, so a retried task sends
+    every row to the same place) — unlike round-robin, no local sort."""
+    from pyspark.sql import functions as F
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
+    n = _scan_splits(df, path) if path else df.rdd.getNumPartitions()
+    if n < target:
+        return df.repartition(target, F.monotonically_increasing_id())
     return df
 
 
 def load_table(spark: SparkSession, data_dir: str, name: str, widen: bool = True) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    df = spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+    path = f"{data_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
     if widen and name not in SMALL_TABLES:
-        df = spread(df)
+        df = spread(df, path=path)
     return df
 
 

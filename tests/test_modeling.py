@@ -86,3 +86,10 @@ def test_documents_split_large_groups(spark):
     assert len(docs) >= 10 and all(d.n_parts == 10 for d in docs)
     assert sum(len(d["items"]) for d in docs) == 1000
     assert all(d.order_total == 1000 for d in docs)
+
+
+def test_assign_keys_distributed_path(spark):
+    df = spark.range(0, 3000).select((F.col("id") * 7919 % 3000).alias("k"))
+    for n in (1, 5):
+        keyed = M.assign_keys(df.repartition(n), ["k"], "key", small_rows=10)
+        assert sorted((r.k, r.key) for r in keyed.collect()) == [(k, k + 1) for k in range(3000)]
