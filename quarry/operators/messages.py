@@ -33,6 +33,12 @@ def to_messages(df: DataFrame, key_col: str = "country", value_cols: list[str] |
                      payload.cast("binary").alias("value"))
 
 
+def partition_by_key(msgs: DataFrame, partitions: int = 10, key_col: str = "key") -> DataFrame:
+    """Batch analogue of a key-partitioned topic: every message with the
+    same key lands in the same one of ``partitions`` partitions."""
+    return msgs.repartition(partitions, F.col(key_col))
+
+
 def decode_messages(msgs: DataFrame, schema: T.StructType = USER_EVENT_SCHEMA,
                     keep: list[str] | None = None) -> dict[str, DataFrame]:
     """Parse the JSON value PERMISSIVE-ly; ``good`` has the typed fields,

@@ -107,3 +107,26 @@ def keep_present(df: DataFrame, col: str, missing=("NULL", "")) -> DataFrame:
     """Keep rows whose ``col`` is not NULL and not one of ``missing``."""
     c = F.col(col)
     return df.filter(c.isNotNull() & ~c.isin(*missing))
+
+
+def store_clean_orders(raw: DataFrame, good_path: str, dead_letter_path: str,
+                       formats=("parquet",), rules: list[Rule] | None = None,
+                       partition_cols=("date", "city")) -> dict[str, int]:
+    """The cleaning job: typed parse → rule split → dead letters (one CSV
+    file when few) and the good rows partitioned by (date, city) in every
+    requested format (``parquet``, ``avro`` when present). The tagged rows
+    are persisted once, so the input is parsed once for all outputs.
+    Returns the row counts of both sides."""
+    from quarry.sinks.files import write_dead_letters, write_partitioned
+
+    tagged = parse_orders(raw).withColumn("reject_reason", reject_reasons(rules or order_rules())).persist()
+    try:
+        bad = tagged.filter(F.size("reject_reason") > 0)
+        good = tagged.filter(F.size("reject_reason") == 0).drop("reject_reason")
+        write_dead_letters(bad, dead_letter_path)
+        for fmt in formats:
+            write_partitioned(good, f"{good_path.rstrip('/')}/{fmt}", partition_cols, fmt=fmt)
+        counts = tagged.groupBy((F.size("reject_reason") > 0).alias("bad")).count().collect()
+        return {("bad" if r["bad"] else "good"): r["count"] for r in counts}
+    finally:
+        tagged.unpersist()

@@ -70,3 +70,25 @@ def test_upsert_sink_idempotent_and_latest(spark, tmp):
     cur2 = {(r.country, r.id): r.name for r in sink.current(spark).collect()}
     assert cur2 == cur
     assert "ingested_at" in sink.current(spark).columns
+
+
+def test_key_partitioned_messages(spark):
+    msgs = MS.to_messages(spark.createDataFrame(
+        [(str(i), "n", "e@x.io", c, "2024-01-01T00:00:00") for i, c in enumerate(["FR", "DE", "US"] * 20)],
+        MS.USER_EVENT_SCHEMA))
+    part = MS.partition_by_key(msgs, 10).select(F.col("key").cast("string").alias("k"),
+                                               F.spark_partition_id().alias("p"))
+    per_key = part.groupBy("k").agg(F.countDistinct("p").alias("n")).collect()
+    assert all(r.n == 1 for r in per_key) and len(per_key) == 3
+
+
+def test_minute_files_processing_time_trigger(spark, tmp):
+    src, out, ck = f"{tmp}/in", f"{tmp}/out", f"{tmp}/ck"
+    _write_files(src, RECS)
+    q = ST.start_minute_files(SR.read_json_stream(spark, src, MS.USER_EVENT_SCHEMA, 10), out, ck,
+                              interval="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.schema(MS.USER_EVENT_SCHEMA).json(out).count() == 5
