@@ -43,7 +43,8 @@ def assign_keys(df: DataFrame, order_cols: list[str], key_col: str,
     The set's size is checked first (a count capped at ``small_rows``): a
     small set is numbered by one ordered window — one task holding at most
     ``small_rows`` rows, deterministic because the order is total
-    (``known_rows`` skips the count when the caller measured it). A
+    (``known_rows`` skips the count when the caller measured it;
+    ``small_rows=0`` goes straight to the distributed path). A
     larger set takes the distributed path (range partitioning, checkpoint,
     per-partition offsets)."""
     if mode == "hash":
@@ -51,10 +52,17 @@ def assign_keys(df: DataFrame, order_cols: list[str], key_col: str,
     if mode != "rank":
         raise ValueError(mode)
     sort_cols = [F.col(c).asc_nulls_first() for c in order_cols]
-    n = known_rows if known_rows is not None else df.limit(small_rows + 1).count()
-    if n <= small_rows:
-        return df.withColumn(key_col, F.row_number().over(Window.orderBy(*sort_cols)).cast("long"))
-    ranged = materialize(df.orderBy(*sort_cols)).withColumn("__pid", F.spark_partition_id())
+    if small_rows > 0:
+        n = known_rows if known_rows is not None else df.limit(small_rows + 1).count()
+        if n <= small_rows:
+            return df.withColumn(key_col, F.row_number().over(Window.orderBy(*sort_cols)).cast("long"))
+    # the range partitioner samples its input before sorting it: keep the
+    # input once for both passes, release it once the sorted copy is saved
+    src = df.persist()
+    try:
+        ranged = materialize(src.orderBy(*sort_cols)).withColumn("__pid", F.spark_partition_id())
+    finally:
+        src.unpersist()
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     # one row per partition: a window over it is bounded by the partition count
     offsets = counts.select("__pid", F.coalesce(
@@ -99,7 +107,9 @@ def to_3nf(df: DataFrame, dedupe_items: bool = False, key_mode: str = "rank") ->
                           F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("__h"),
                           F.monotonically_increasing_id().alias("__m"))
         order = ["order_id", "menu_item", "__h", "__m"]
-    keyed = assign_keys(items, order, "order_item_id", key_mode)
+    # line grain is large by construction: no size probe
+    keyed = assign_keys(items, order, "order_item_id", key_mode,
+                        small_rows=SMALL_SET_ROWS if dedupe_items else 0)
     out["order_items"] = keyed.select("order_item_id", "order_id", "menu_item")
     return out
 
@@ -210,8 +220,10 @@ def to_documents(df: DataFrame, id_cols: list[str] | None = None,
                                  F.sum(F.col(total_col).cast("long")).alias("__total"))
              .filter(F.col("__n") > max_items_per_doc)
              .withColumn("__parts", F.ceil(F.col("__n") / F.lit(max_items_per_doc))))
+    # small by construction: saved once so the count and the join reuse it
+    big = materialize(big.drop("__n"))
     lines = join_null_safe(df.select(*keys, ts_col, total_col, *item_cols),
-                           maybe_broadcast(big.drop("__n")), keys, "left")
+                           maybe_broadcast(big), keys, "left")
     part = F.when(F.col("__parts").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*[F.col(c) for c in item_cols], F.monotonically_increasing_id()),
                F.col("__parts"))).cast("long")

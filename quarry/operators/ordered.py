@@ -20,7 +20,11 @@ def cumulative_sums(df: DataFrame, order: list[Column], values: list[str],
                     prefix: str = "cum_") -> DataFrame:
     """Add ``<prefix><v>`` = sum of ``v`` over all rows up to and including
     this one in ``order`` (``order`` should be total)."""
-    ranged = materialize(df.orderBy(*order)).withColumn("__pid", F.spark_partition_id())
+    src = df.persist()   # sampled by the range partitioner, then sorted
+    try:
+        ranged = materialize(src.orderBy(*order)).withColumn("__pid", F.spark_partition_id())
+    finally:
+        src.unpersist()
     tot = ranged.groupBy("__pid").agg(*[F.sum(v).alias(f"__t_{v}") for v in values])
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = tot.select("__pid", *[F.coalesce(F.sum(f"__t_{v}").over(before), F.lit(0)).alias(f"__o_{v}")

@@ -53,8 +53,8 @@ class KeyedUpsertSink:
     ``root/log/batch_id=<n>`` with overwrite: replaying a batch after a
     failure rewrites the same folder, so the sink is exactly-once with the
     stream's checkpoint. The current table is the latest row per key over
-    the log (a partial aggregation, read side); ``compact`` folds the log
-    into a snapshot.
+    the last snapshot plus later log batches (a partial aggregation, read
+    side); ``compact`` folds the log into a new snapshot.
     """
 
     def __init__(self, root: str, keys: list[str], order: list[str]):
@@ -64,9 +64,40 @@ class KeyedUpsertSink:
         latest = latest_by_key(batch, self.keys, self.order)
         latest.write.mode("overwrite").parquet(f"{self.root}/log/batch_id={batch_id}")
 
+    def _snapshot(self, spark: SparkSession) -> tuple[DataFrame | None, int]:
+        """Latest compacted snapshot and the last batch id it contains."""
+        marker = f"{self.root}/_snapshot"
+        try:
+            row = spark.read.json(marker).first()
+        except Exception:  # noqa: BLE001 — no snapshot yet
+            return None, -1
+        if row is None:
+            return None, -1
+        return spark.read.parquet(row["path"]), int(row["upto"])
+
     def current(self, spark: SparkSession) -> DataFrame:
-        log = spark.read.parquet(f"{self.root}/log")
-        return latest_by_key(log.drop("batch_id"), self.keys, self.order)
+        """Latest row per key: the last snapshot plus the log batches after it."""
+        snap, upto = self._snapshot(spark)
+        log = spark.read.parquet(f"{self.root}/log").filter(F.col("batch_id") > upto).drop("batch_id")
+        rows = log if snap is None else snap.unionByName(log, allowMissingColumns=True)
+        return latest_by_key(rows, self.keys, self.order)
+
+    def compact(self, spark: SparkSession) -> int:
+        """Fold the log into a new snapshot (written first, then the marker
+        is replaced), so reads stop growing with the number of batches.
+        Returns the last batch id folded in."""
+        upto = spark.read.parquet(f"{self.root}/log").agg(F.max("batch_id")).first()[0]
+        if upto is None:
+            return -1
+        path = f"{self.root}/snapshot/upto={upto}"
+        snap, prev = self._snapshot(spark)
+        log = spark.read.parquet(f"{self.root}/log").filter(
+            (F.col("batch_id") > prev) & (F.col("batch_id") <= upto)).drop("batch_id")
+        rows = log if snap is None else snap.unionByName(log, allowMissingColumns=True)
+        latest_by_key(rows, self.keys, self.order).write.mode("overwrite").parquet(path)
+        spark.createDataFrame([(path, int(upto))], "path string, upto long") \
+            .coalesce(1).write.mode("overwrite").json(f"{self.root}/_snapshot")
+        return int(upto)
 
 
 def start_upsert(spark: SparkSession, messages: DataFrame, sink: KeyedUpsertSink, checkpoint: str,

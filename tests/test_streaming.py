@@ -92,3 +92,18 @@ def test_minute_files_processing_time_trigger(spark, tmp):
     finally:
         q.stop()
     assert spark.read.schema(MS.USER_EVENT_SCHEMA).json(out).count() == 5
+
+
+def test_upsert_compaction(spark, tmp):
+    src, root, ck = f"{tmp}/in", f"{tmp}/table", f"{tmp}/ck"
+    _write_files(src, RECS[:1])
+    sink = ST.KeyedUpsertSink(root, ["country", "id"], ["created_at"])
+    msgs = lambda: MS.to_messages(SR.read_json_stream(spark, src, MS.USER_EVENT_SCHEMA))
+    ST.start_upsert(spark, msgs(), sink, ck, trigger={"availableNow": True}).awaitTermination()
+    before = sorted(tuple(r) for r in sink.current(spark).drop("ingested_at").collect())
+    assert sink.compact(spark) >= 0
+    assert sorted(tuple(r) for r in sink.current(spark).drop("ingested_at").collect()) == before
+    _write_files(src, RECS[2:], start=5)
+    ST.start_upsert(spark, msgs(), sink, ck, trigger={"availableNow": True}).awaitTermination()
+    cur = {(r.country, r.id): r.name for r in sink.current(spark).collect()}
+    assert cur == {("FR", "1"): "A2", ("DE", "2"): "B", ("FR", "3"): "C"}
