@@ -5,14 +5,30 @@ text with microseconds, doubles rounded to 6 places) so the SQL twins in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.ml.feature import StopWordsRemover, Tokenizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.expressions import fmt_ts
+from quarry.functions.expressions import fmt_ts, r6
+from quarry.operators import aggregates as A
+from quarry.operators import detections as B
+from quarry.operators import evaluate as EV
+from quarry.operators import features as FE
+from quarry.operators import generate as G
+from quarry.operators import messages as MS
+from quarry.operators import modeling as M
+from quarry.operators import models as ML
+from quarry.operators import quality as Q
 from quarry.operators import runs as R
 from quarry.plans import views as V
+from quarry.session import checkpoint_dir
+from quarry.sinks import files as SK
+from quarry.sources import files as SR
+from quarry.sources.tables import TABLES, load_table
+from quarry.streaming import jobs as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -63,7 +79,6 @@ def running_miss_count(spark, d):
 
 
 # ---------------------------------------------------------------- quality
-from quarry.operators import quality as Q  # noqa: E402
 
 
 def _orders_typed(spark, d):
@@ -115,7 +130,6 @@ def missing_country_filter(spark, d):
 
 
 # ---------------------------------------------------------------- modelling
-from quarry.operators import modeling as M  # noqa: E402
 
 
 def _good_lines(spark, d):
@@ -198,8 +212,6 @@ def order_documents(spark, d):
 
 
 # ---------------------------------------------------------------- detections
-from quarry.functions.expressions import r6  # noqa: E402
-from quarry.operators import detections as B  # noqa: E402
 
 
 @query("frame_sample_plan")
@@ -233,9 +245,6 @@ def bbox_labels(spark, d):
 
 
 # ---------------------------------------------------------------- messages
-from quarry.functions.expressions import iso_ts  # noqa: E402
-from quarry.operators import aggregates as A  # noqa: E402
-from quarry.operators import messages as MS  # noqa: E402
 
 _USER_COLS = ["id", "name", "email", "country", "created_at"]
 
@@ -312,11 +321,7 @@ def sorted_groups(spark, d):
 
 
 # ---------------------------------------------------------------- ML features
-from pyspark.ml.feature import StopWordsRemover, Tokenizer  # noqa: E402
 
-from quarry.operators import evaluate as EV  # noqa: E402
-from quarry.operators import features as FE  # noqa: E402
-from quarry.operators import models as ML  # noqa: E402
 
 _IRIS = ["SepalLengthCm", "SepalWidthCm", "PetalLengthCm", "PetalWidthCm"]
 
@@ -577,14 +582,6 @@ def logreg_tfidf(spark, d):
 
 
 # ------------------------------------------------------------ files / streams
-import uuid  # noqa: E402
-
-from quarry.operators import generate as G  # noqa: E402
-from quarry.session import checkpoint_dir  # noqa: E402
-from quarry.sinks import files as SK  # noqa: E402
-from quarry.sources import files as SR  # noqa: E402
-from quarry.sources.tables import TABLES, load_table  # noqa: E402
-from quarry.streaming import jobs as ST  # noqa: E402
 
 
 def scratch(spark, name: str) -> str:
