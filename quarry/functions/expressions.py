@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-__all__ = ["fmt_ts", "r6", "py_fixed", "first_present", "date_key", "path_stem", "path_base",
+__all__ = ["fmt_ts", "r6", "py_fixed", "py_isoformat", "first_present", "date_key", "path_stem", "path_base",
            "frame_name", "sampling_step", "hash_bucket100", "iso_ts",
            "email_ok", "EMAIL_PATTERN"]
 
@@ -121,3 +121,11 @@ def py_fixed(x, digits: int) -> Column:
         else r.cast("string")
     sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
     return F.when(x.isNull(), F.lit(None).cast("string")).otherwise(F.concat(sign, body))
+
+
+def py_isoformat(ts) -> Column:
+    """Python ``datetime.isoformat()`` text: microseconds only when not 0."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    micros = F.date_format(ts, "SSSSSS")
+    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"),
+                    F.when(micros == "000000", F.lit("")).otherwise(F.concat(F.lit("."), micros)))

@@ -645,3 +645,37 @@ def generated_orders_profile(spark, d):
                       F.countDistinct("facility_name").alias("n_facilities"),
                       F.countDistinct("city").alias("n_cities"),
                       F.countDistinct("Order_id").alias("n_order_ids"))
+
+
+# ------------------------------------------------- validation / text helpers
+@query("validated_users")
+def validated_users(spark, d):
+    inc = V.users_incoming(spark, d)
+    sp = Q.split_by_rules(inc, MS.user_rules())
+    good = sp["good"].select("seq", "email", F.lit(True).alias("valid"), F.lit("").alias("reasons"))
+    bad = sp["bad"].select("seq", "email", F.lit(False).alias("valid"),
+                           F.array_join("reject_reason", ";").alias("reasons"))
+    return good.unionByName(bad)
+
+
+@query("path_stem")
+def path_stem(spark, d):
+    from quarry.functions.expressions import path_base, path_stem as stem
+    pages = load_table(spark, d, "pages").select("page_id", "url")
+    return pages.select("page_id", path_base(F.col("url")).alias("base_name"), stem(F.col("url")).alias("stem"))
+
+
+@query("formatted_dates")
+def formatted_dates(spark, d):
+    from quarry.functions.expressions import py_isoformat
+    ev = load_table(spark, d, "events").select("event_id", "ts")
+    return ev.select("event_id",
+                     F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts_text"),
+                     py_isoformat(F.col("ts")).alias("ts_iso"),
+                     F.date_format("ts", "yyyyMMdd_HHmmss").alias("ts_stamp"))
+
+
+@query("tagged_rows")
+def tagged_rows(spark, d):
+    log = B.event_log(V.videos(spark, d), V.detections(spark, d), target_type="skeet")
+    return log.select("video_file", F.col("frame_idx").cast("long").alias("frame_idx"), "target_type", "state")

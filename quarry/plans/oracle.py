@@ -431,3 +431,27 @@ SQL["row_counts"] = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows FROM {t}"
     for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
               "documents", "embeddings", "pages", "benchmark", "labels", "conversations"))
+
+# ------------------------------------------------- validation / text helpers
+SQL["validated_users"] = """WITH
+inc AS (SELECT c.c_custkey AS seq, c.c_name AS name,
+               'customer' || lpad(CAST(c.c_custkey // 2 AS VARCHAR), 9, '0')
+                 || CASE WHEN c.c_acctbal < 0 THEN '.example.com' ELSE '@example.com' END AS email,
+               n.n_name AS country
+        FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
+chk AS (SELECT seq, email, concat_ws(';', CASE WHEN name IS NULL THEN 'name_missing' END,
+                               CASE WHEN email IS NULL THEN 'email_missing' END,
+                               CASE WHEN country IS NULL THEN 'country_missing' END,
+                               CASE WHEN NOT regexp_matches(email, '^[^@\\s]+@[^@\\s]+\\.[^@\\s]+$')
+                                    THEN 'email_format' END) AS reasons FROM inc)
+SELECT seq, email, reasons = '' AS valid, reasons FROM chk"""
+SQL["path_stem"] = """SELECT page_id, regexp_extract(url, '([^/]*)$', 1) AS base_name,
+       regexp_extract(regexp_extract(url, '([^/]*)$', 1), '^(.+?)(\\.[^.]*)?$', 1) AS stem FROM pages"""
+SQL["formatted_dates"] = """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_text,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN strftime(ts, '%f') = '000000' THEN ''
+                                                 ELSE '.' || strftime(ts, '%f') END AS ts_iso,
+       strftime(ts, '%Y%m%d_%H%M%S') AS ts_stamp FROM events"""
+SQL["tagged_rows"] = f"""WITH {_DET}
+SELECT p.video_file, CAST(p.frame_idx AS BIGINT) AS frame_idx, 'skeet' AS target_type,
+       CASE b.cls WHEN 0 THEN 'whole' WHEN 1 THEN 'broken' ELSE 'unknown' END AS state
+FROM plan p LEFT JOIN best b ON p.video_file = b.video_file AND p.frame_idx = b.frame_idx"""
