@@ -112,3 +112,28 @@ def test_plan_has_no_single_key_window(spark):
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
     # the top-1 per key is an aggregation, not a window over the key
     assert plan.count("Window [") + plan.count("Window(") <= 2 or plan.count(" Window ") <= 2
+
+
+def test_hot_key_third_of_rows_matches_sql(spark, tmp_path):
+    """One key holding a third of all rows: results equal a plain SQL
+    window (DuckDB, in-process) and the key is split over time slices."""
+    import duckdb
+
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    hot = ev.select(F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")).alias("user_id"),
+                    "ts", "event_type")
+    path = str(tmp_path / "hot.parquet")
+    hot.write.parquet(path)
+    df = spark.read.parquet(path)
+    hit = F.col("event_type") == "click"
+    got = sorted(tuple(r) for r in R.streak_runs(df, "user_id", "ts", hit)
+                 .select("user_id", "run_id", "streak_len", "start_t", "end_t").collect())
+    want = duckdb.sql(f"""
+        WITH c AS (SELECT user_id, ts, event_type = 'click' AS h,
+                          SUM(CASE WHEN event_type = 'click' THEN 0 ELSE 1 END)
+                              OVER (PARTITION BY user_id ORDER BY ts) AS m
+                   FROM read_parquet('{path}/*.parquet'))
+        SELECT user_id, m, COUNT(*), MIN(ts), MAX(ts) FROM c WHERE h GROUP BY user_id, m""").fetchall()
+    assert got == sorted(tuple(r) for r in want)
+    slices = df.filter("user_id = -1").select(R.default_bucket(df, "ts").alias("b")).distinct().count()
+    assert df.filter("user_id = -1").count() * 3 >= df.count() - 3 and slices >= 28
