@@ -66,28 +66,41 @@ def _as_array(df: DataFrame, col: str):
 
 
 def silhouette(df: DataFrame, features: str = "features", cluster: str = "prediction") -> DataFrame:
-    """Mean silhouette with squared Euclidean distance. Fit: per-cluster
-    (n, Σy, Σ‖y‖²) — k rows reach the driver; score: one projection."""
+    """Mean silhouette with squared Euclidean distance.
+
+    Fit: per-cluster count, vector sum and sum of squared norms — k rows
+    (bounded by the number of clusters) reach the driver. Score: one
+    projection; for a point x the summed squared distance to cluster C is
+    ``n_C·‖x‖² − 2·x·Σy + Σ‖y‖²``. The statistics enter as ONE array
+    literal, so the generated code does not change with the data."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+
     x = _as_array(df, features)
-    dim = df.select(F.size(x).alias("d")).first()["d"]
-    pts = df.select(F.col(cluster).alias("c"), *[x[i].cast("double").alias(f"x{i}") for i in range(dim)])
-    norm = sum(F.col(f"x{i}") * F.col(f"x{i}") for i in range(dim))
-    stats = pts.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.sum(norm).alias("psi"),
-                                 *[F.sum(f"x{i}").alias(f"y{i}") for i in range(dim)]).collect()
-    a, b = None, []
-    own_n = None
-    for r in stats:
-        dot = sum(F.col(f"x{i}") * F.lit(r[f"y{i}"]) for i in range(dim))
-        total = F.lit(float(r["n"])) * norm - 2 * dot + F.lit(r["psi"])
-        is_own = F.col("c") == F.lit(r["c"])
-        own = F.when(is_own, total / F.lit(max(r["n"] - 1, 1)))
-        a = own if a is None else F.coalesce(a, own)
-        own_n = F.when(is_own, F.lit(r["n"])) if own_n is None else F.coalesce(own_n, F.when(is_own, F.lit(r["n"])))
-        b.append(F.when(~is_own, total / F.lit(float(r["n"]))))
-    bmin = F.least(*b) if len(b) > 1 else b[0]
-    s = (F.when(own_n == 1, F.lit(0.0))
-          .when(a < bmin, 1 - a / bmin).when(a > bmin, bmin / a - 1).otherwise(F.lit(0.0)))
-    return pts.agg(F.avg(s).alias("silhouette"))
+    pts = df.select(F.col(cluster).cast("double").alias("c"), x.cast("array<double>").alias("x"))
+    pts = pts.withColumn("nn", F.aggregate("x", F.lit(0.0), lambda acc, v: acc + v * v))
+    rows = (pts.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.sum("nn").alias("psi"),
+                                 Summarizer.sum(array_to_vector("x")).alias("y"))
+               .collect())
+    stats = F.array(*[F.struct(F.lit(float(r["c"])).alias("c"), F.lit(float(r["n"])).alias("n"),
+                               F.lit(float(r["psi"])).alias("psi"),
+                               F.array(*[F.lit(float(v)) for v in r["y"].toArray()]).alias("y"))
+                      for r in rows])
+
+    def total(s):
+        dot = F.aggregate(F.zip_with("x", s["y"], lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+        return s["n"] * F.col("nn") - 2 * dot + s["psi"]
+
+    scored = pts.select(
+        F.transform(stats, lambda s: F.struct(s["c"].alias("c"), s["n"].alias("n"),
+                                              total(s).alias("t"))).alias("d"), "c")
+    own = F.filter("d", lambda d: d["c"] == F.col("c"))[0]
+    others = F.transform(F.filter("d", lambda d: d["c"] != F.col("c")), lambda d: d["t"] / d["n"])
+    a = own["t"] / F.greatest(own["n"] - 1, F.lit(1.0))
+    b = F.array_min(others)
+    s_x = (F.when(own["n"] == 1, F.lit(0.0))
+            .when(a < b, 1 - a / b).when(a > b, b / a - 1).otherwise(F.lit(0.0)))
+    return scored.agg(F.avg(s_x).alias("silhouette"))
 
 
 def regression_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
