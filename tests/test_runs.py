@@ -137,3 +137,28 @@ def test_hot_key_third_of_rows_matches_sql(spark, tmp_path):
     assert got == sorted(tuple(r) for r in want)
     slices = df.filter("user_id = -1").select(R.default_bucket(df, "ts").alias("b")).distinct().count()
     assert df.filter("user_id = -1").count() * 3 >= df.count() - 3 and slices >= 28
+
+
+@pytest.mark.parametrize("name", ["time_tie", "null_state_middle", "two_keys", "leading_misses"])
+def test_row_balanced_slices_match(spark, name):
+    rows = CASES[name]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = R.streak_runs(df, "video_file", "t_sec", F.col("state") == "broken", balance="rows")
+    got = sorted((r.video_file, r.run_id, r.streak_len, r.start_t, r.end_t) for r in got.collect())
+    assert got == brute(rows)
+
+
+def test_row_balanced_equals_time_balanced(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    hit = F.col("event_type") == "click"
+    a = sorted(tuple(r) for r in R.streak_runs(df, "user_id", "ts", hit).collect())
+    spark.conf.set("spark.sql.shuffle.partitions", "37")    # many small range partitions
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        b = sorted(tuple(r) for r in R.streak_runs(df, "user_id", "ts", hit, balance="rows").collect())
+        lab = R.running_miss_count(df, "user_id", "ts", hit, balance="rows")
+        assert lab.count() == df.count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert a == b
