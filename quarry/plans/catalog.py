@@ -679,3 +679,32 @@ def formatted_dates(spark, d):
 def tagged_rows(spark, d):
     log = B.event_log(V.videos(spark, d), V.detections(spark, d), target_type="skeet")
     return log.select("video_file", F.col("frame_idx").cast("long").alias("frame_idx"), "target_type", "state")
+
+
+# ------------------------------------------------------------ option variants
+@query("streak_runs_balanced")
+def streak_runs_balanced(spark, d):
+    """Same runs as ``streak_runs``, slices balanced by row count."""
+    log = V.event_log(spark, d)
+    runs = R.streak_runs(log, "user_id", "ts", F.col("state") == "broken", balance="rows")
+    return _runs_out(runs)
+
+
+@query("order_documents_by_id")
+def order_documents_by_id(spark, d):
+    docs = M.to_documents(_good_lines(spark, d), unique_id=True)
+    items = F.array_join(F.array_sort(F.transform(
+        "items", lambda x: F.concat_ws(":", x["menu_item"], x["price"].cast("string")))), "|")
+    return docs.select("_id", fmt_ts("datetime").alias("datetime"), "order_total",
+                       items.alias("items"), "part", "n_parts")
+
+
+@query("nf_order_items_dedup")
+def nf_order_items_dedup(spark, d):
+    return M.to_3nf(_good_lines(spark, d), dedupe_items=True)["order_items"]
+
+
+@query("keyword_flags_token")
+def keyword_flags_token(spark, d):
+    flagged = FE.keyword_flags(_jobs_clean(spark, d), mode="token")
+    return flagged.select("doc_id", *[f"has_{k}" for k in FE.SKILL_KEYWORDS])

@@ -455,3 +455,19 @@ SQL["tagged_rows"] = f"""WITH {_DET}
 SELECT p.video_file, CAST(p.frame_idx AS BIGINT) AS frame_idx, 'skeet' AS target_type,
        CASE b.cls WHEN 0 THEN 'whole' WHEN 1 THEN 'broken' ELSE 'unknown' END AS state
 FROM plan p LEFT JOIN best b ON p.video_file = b.video_file AND p.frame_idx = b.frame_idx"""
+
+# ------------------------------------------------------------ option variants
+SQL["streak_runs_balanced"] = SQL["streak_runs"]
+SQL["order_documents_by_id"] = f"""WITH {_GOOD}
+SELECT Order_id AS _id, strftime(MIN(datetime), {TS}) AS datetime, CAST(SUM(price) AS BIGINT) AS order_total,
+       string_agg(concat_ws(':', menu_item, CAST(price AS VARCHAR)), '|'
+                  ORDER BY concat_ws(':', menu_item, CAST(price AS VARCHAR))) AS items,
+       CAST(0 AS BIGINT) AS part, CAST(greatest(1, ceil(COUNT(*) / 100000.0)) AS BIGINT) AS n_parts
+FROM good GROUP BY Order_id"""
+SQL["nf_order_items_dedup"] = f"""WITH {_GOOD}
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY Order_id NULLS FIRST, menu_item NULLS FIRST) AS BIGINT) AS order_item_id,
+       Order_id AS order_id, menu_item FROM (SELECT DISTINCT Order_id, menu_item FROM good)"""
+_TFLAGS = ", ".join(
+    f"CASE WHEN list_contains(string_split_regex(clean_title, '\\s+'), '{k}') THEN 1 ELSE 0 END AS has_{k}"
+    for k in SKILL_KEYWORDS)
+SQL["keyword_flags_token"] = f"WITH {_CLEAN} SELECT doc_id, {_TFLAGS} FROM cj"
