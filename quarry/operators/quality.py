@@ -66,20 +66,34 @@ def order_rules(check_datetime: bool = True) -> list[Rule]:
 
 
 def reject_reasons(rules: list[Rule]) -> Column:
-    """array<string> of fired rule names, in rule order."""
-    return F.array_compact(F.array(*[
-        F.when(r.predicate, F.lit(r.name))
-         .when(r.predicate.isNull(), F.lit(f"{r.name}:unknown"))
-        for r in rules]))
+    """array<string> of fired rule names, in rule order. Built without a
+    lambda (``array_except`` drops the NULLs of rules that did not fire):
+    higher-order functions have no generated code and would drag the whole
+    predicate tree into interpreted evaluation."""
+    fired = F.array(*[F.when(r.predicate, F.lit(r.name))
+                       .when(r.predicate.isNull(), F.lit(f"{r.name}:unknown"))
+                      for r in rules])
+    return F.array_except(fired, F.array(F.lit(None).cast("string")))
+
+
+def is_rejected(rules: list[Rule]) -> Column:
+    """True when any rule fires or is unknown (NULL counts as fired)."""
+    out = None
+    for r in rules:
+        c = F.coalesce(r.predicate, F.lit(True))
+        out = c if out is None else out | c
+    return out if out is not None else F.lit(False)
 
 
 def split_by_rules(df: DataFrame, rules: list[Rule],
                    reason_col: str = "reject_reason") -> dict[str, DataFrame]:
-    """``{"good", "bad"}``; ``bad`` carries ``reason_col`` (array). Callers
-    that consume both sides should ``persist`` the input once."""
-    tagged = df.withColumn(reason_col, reject_reasons(rules))
-    bad = tagged.filter(F.size(reason_col) > 0)
-    good = tagged.filter(F.size(reason_col) == 0).drop(reason_col)
+    """``{"good", "bad"}``; ``bad`` carries ``reason_col`` (array). The
+    split itself is a plain boolean (codegen'd); reasons are built for the
+    rejected rows only. Callers that consume both sides should ``persist``
+    the input once."""
+    bad_flag = is_rejected(rules)
+    bad = df.filter(bad_flag).withColumn(reason_col, reject_reasons(rules))
+    good = df.filter(~bad_flag)
     return {"good": good, "bad": bad}
 
 
@@ -119,14 +133,15 @@ def store_clean_orders(raw: DataFrame, good_path: str, dead_letter_path: str,
     Returns the row counts of both sides."""
     from quarry.sinks.files import write_dead_letters, write_partitioned
 
-    tagged = parse_orders(raw).withColumn("reject_reason", reject_reasons(rules or order_rules())).persist()
+    rules = rules or order_rules()
+    tagged = parse_orders(raw).withColumn("_bad", is_rejected(rules)).persist()
     try:
-        bad = tagged.filter(F.size("reject_reason") > 0)
-        good = tagged.filter(F.size("reject_reason") == 0).drop("reject_reason")
+        bad = tagged.filter("_bad").drop("_bad").withColumn("reject_reason", reject_reasons(rules))
+        good = tagged.filter(~F.col("_bad")).drop("_bad")
         write_dead_letters(bad, dead_letter_path)
         for fmt in formats:
             write_partitioned(good, f"{good_path.rstrip('/')}/{fmt}", partition_cols, fmt=fmt)
-        counts = tagged.groupBy((F.size("reject_reason") > 0).alias("bad")).count().collect()
+        counts = tagged.groupBy(F.col("_bad").alias("bad")).count().collect()
         return {("bad" if r["bad"] else "good"): r["count"] for r in counts}
     finally:
         tagged.unpersist()
