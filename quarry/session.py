@@ -46,7 +46,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     the bench) a scratch folder is created under ``QUARRY_SCRATCH`` or the
     system temp folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 — remote sessions manage it server-side
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current

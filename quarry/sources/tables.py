@@ -24,22 +24,32 @@ SMALL_TABLES = frozenset({"region", "nation", "supplier", "labels", "benchmark"}
 _SPLITS: dict[str, int] = {}
 
 
-def _scan_splits(df: DataFrame, path: str) -> int:
-    """Split count of a file scan (memoized per path for the session)."""
-    if path not in _SPLITS:
-        _SPLITS[path] = df.rdd.getNumPartitions()
-    return _SPLITS[path]
+def _scan_splits(df: DataFrame, path: str | None) -> int | None:
+    """Split count of a file scan (memoized per path for the session);
+    None when the session cannot tell (e.g. no RDD access)."""
+    if path is not None and path in _SPLITS:
+        return _SPLITS[path]
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 — sessions without RDD access
+        return None
+    if path is not None:
+        _SPLITS[path] = n
+    return n
 
 
 def spread(df: DataFrame, min_partitions: int | None = None, path: str | None = None) -> DataFrame:
-    """Spread ``df`` over the cluster if its scan is narrower than the
+    """Spread ``df`` over the cluster if its scan is narrower than twice the
     default parallelism. Rows are hash-partitioned on a per-row id (unique,
     so balanced; derived from the scan position, so a retried task sends
     every row to the same place) — unlike round-robin, no local sort."""
     from pyspark.sql import functions as F
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    n = _scan_splits(df, path) if path else df.rdd.getNumPartitions()
-    if n < target:
+    try:
+        target = min_partitions or 2 * df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return df
+    n = _scan_splits(df, path)
+    if n is not None and n < target:
         return df.repartition(target, F.monotonically_increasing_id())
     return df
 
