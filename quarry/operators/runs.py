@@ -34,7 +34,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (BooleanType, DateType, NumericType, StringType, TimestampNTZType,
+                               TimestampType)
 
 
 def default_bucket(df: DataFrame, order_col: str) -> Column:
@@ -47,6 +48,22 @@ def default_bucket(df: DataFrame, order_col: str) -> Column:
     raise TypeError(f"cannot bucket order column of type {dtype}")
 
 
+def _filled(c: Column, dtype) -> Column:
+    """``c`` with NULL replaced by a value of its type; paired with an
+    ``isNull`` flag it is a non-null, collision-free join key."""
+    if isinstance(dtype, NumericType):
+        fill = F.lit(0).cast(dtype)
+    elif isinstance(dtype, StringType):
+        fill = F.lit("")
+    elif isinstance(dtype, BooleanType):
+        fill = F.lit(False)
+    elif isinstance(dtype, (TimestampType, TimestampNTZType, DateType)):
+        fill = F.lit("1970-01-01").cast(dtype)
+    else:
+        raise TypeError(f"unsupported key type {dtype}")
+    return F.coalesce(c, fill)
+
+
 def running_miss_count(df: DataFrame, key: str, order: str, hit: Column,
                        bucket: Column | None = None,
                        keep: list[str] | None = None, balance: str = "time") -> DataFrame:
@@ -76,20 +93,24 @@ def running_miss_count(df: DataFrame, key: str, order: str, hit: Column,
     else:
         raise ValueError(balance)
     base = base.withColumn("miss_flag", (F.lit(1) - F.col("is_hit")).cast("int"))
-
-    local_w = Window.partitionBy(key, "_bucket").orderBy(order)
+    # non-null join keys (value + null flag): the local window is
+    # partitioned by exactly these columns and the offsets join on them
+    # with plain equality, so the big side's shuffle is reused by the join
+    kt, bt = base.schema[key].dataType, base.schema["_bucket"].dataType
+    base = base.select("*", _filled(F.col(key), kt).alias("_k0"), F.col(key).isNull().alias("_k1"),
+                       _filled(F.col("_bucket"), bt).alias("_b0"), F.col("_bucket").isNull().alias("_b1"))
+    slice_cols = ["_k0", "_k1", "_b0", "_b1"]
+
+    local_w = Window.partitionBy(*slice_cols).orderBy(order)
     local = base.withColumn("_local_cum", F.sum("miss_flag").over(local_w))
 
-    totals = base.groupBy(key, "_bucket").agg(F.sum("miss_flag").alias("_tot"))
-    prev_w = (Window.partitionBy(key).orderBy("_bucket")
+    totals = base.groupBy(*slice_cols).agg(F.sum("miss_flag").alias("_tot"))
+    # NULL slice first, as in an ascending order with NULLS FIRST
+    prev_w = (Window.partitionBy("_k0", "_k1").orderBy(F.col("_b1").desc(), F.col("_b0").asc())
               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(key, "_bucket",
-                            F.sum("_tot").over(prev_w).alias("_offset"))
+    offsets = totals.select(*slice_cols, F.sum("_tot").over(prev_w).alias("_offset"))
 
-    # null-safe: NULL keys / times form their own partition, as in a window
-    o = offsets.withColumnRenamed(key, "_okey").withColumnRenamed("_bucket", "_obucket")
-    out = local.join(o, local[key].eqNullSafe(o["_okey"]) &
-                     local["_bucket"].eqNullSafe(o["_obucket"]), "inner")
+    out = local.join(offsets, slice_cols, "inner")
     miss_cum = F.when(F.col("_local_cum").isNull() & F.col("_offset").isNull(),
                       F.lit(None).cast("long")) \
         .otherwise(F.coalesce(F.col("_local_cum"), F.lit(0)) +
