@@ -6,8 +6,9 @@ Scan parallelism: a scan yields one task per file split. On a cluster a big
 table has thousands of splits; a small file written as a single row group
 yields ONE task, and every narrow operator after it (broadcast joins,
 projections, filters) would then run on one core. ``spread`` detects a
-scan with fewer splits than the session's parallelism and round-robins it
-once (hash of a row id); scans that are already wide are left untouched (no extra shuffle).
+scan with at most half as many splits as the session's parallelism and
+spreads it once (hash of a row id); scans that are already wide are left
+untouched (no extra shuffle).
 """
 
 from __future__ import annotations
@@ -38,19 +39,24 @@ def _scan_splits(df: DataFrame, path: str | None) -> int | None:
     return n
 
 
-def spread(df: DataFrame, min_partitions: int | None = None, path: str | None = None) -> DataFrame:
-    """Spread ``df`` over the cluster if its scan is narrower than twice the
-    default parallelism. Rows are hash-partitioned on a per-row id (unique,
-    so balanced; derived from the scan position, so a retried task sends
-    every row to the same place) — unlike round-robin, no local sort."""
+def spread(df: DataFrame, min_partitions: int | None = None, path: str | None = None,
+           max_fanout: int = 16) -> DataFrame:
+    """Spread ``df`` if its scan is clearly narrower than the cluster (at
+    most half the default parallelism): into ``2 × parallelism``
+    partitions, but never more than ``max_fanout`` pieces per input split,
+    so a small table is not shredded into tiny partitions. A scan already
+    about as wide as the cluster is left alone (no shuffle). Rows are
+    hash-partitioned on a per-row id (unique, so balanced; derived from the
+    scan position, so a retried task sends every row to the same place) —
+    unlike round-robin, no local sort."""
     from pyspark.sql import functions as F
     try:
-        target = min_partitions or 2 * df.sparkSession.sparkContext.defaultParallelism
+        parallelism = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     except Exception:  # noqa: BLE001
         return df
     n = _scan_splits(df, path)
-    if n is not None and n < target:
-        return df.repartition(target, F.monotonically_increasing_id())
+    if n is not None and 2 * n <= parallelism:
+        return df.repartition(min(2 * parallelism, max_fanout * max(n, 1)), F.monotonically_increasing_id())
     return df
 
 
