@@ -35,7 +35,7 @@ SMALL_SET_ROWS = 200_000
 
 def assign_keys(df: DataFrame, order_cols: list[str], key_col: str,
                 mode: str = "rank", small_rows: int = SMALL_SET_ROWS,
-                known_rows: int | None = None) -> DataFrame:
+                known_rows: int | None = None, check_collisions: bool = True) -> DataFrame:
     """Add ``key_col`` to ``df``. With ``mode="rank"`` rows are numbered
     1..n in ``order_cols`` order (``df`` should be distinct on them, or
     carry extra columns in ``order_cols`` that separate equal rows).
@@ -48,7 +48,10 @@ def assign_keys(df: DataFrame, order_cols: list[str], key_col: str,
     larger set takes the distributed path (range partitioning, checkpoint,
     per-partition offsets)."""
     if mode == "hash":
-        return df.withColumn(key_col, F.xxhash64(*[F.col(c) for c in order_cols]))
+        out = df.withColumn(key_col, F.xxhash64(*[F.col(c) for c in order_cols]))
+        if check_collisions:
+            assert_no_collisions(out, key_col, order_cols)
+        return out
     if mode != "rank":
         raise ValueError(mode)
     sort_cols = [F.col(c).asc_nulls_first() for c in order_cols]
@@ -75,6 +78,16 @@ def assign_keys(df: DataFrame, order_cols: list[str], key_col: str,
     return out.drop("__pid", "__off", "__rn")
 
 
+def assert_no_collisions(df: DataFrame, key_col: str, natural: list[str]) -> None:
+    """Fail when two different natural keys share a hash key (one
+    aggregation; only the offending keys, if any, reach the driver)."""
+    nat = F.struct(*[F.col(c) for c in natural])
+    bad = (df.groupBy(key_col).agg(F.min(nat).alias("a"), F.max(nat).alias("b"))
+             .filter(F.col("a") != F.col("b")).limit(1).collect())
+    if bad:
+        raise AssertionError(f"hash key collision on {key_col}: {bad[0]['a']} vs {bad[0]['b']}")
+
+
 def assert_unique(df: DataFrame, cols: list[str]) -> None:
     dup = df.groupBy(*cols).count().filter("count > 1").limit(1).count()
     if dup:

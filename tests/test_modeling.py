@@ -93,3 +93,13 @@ def test_assign_keys_distributed_path(spark):
     for n in (1, 5):
         keyed = M.assign_keys(df.repartition(n), ["k"], "key", small_rows=10)
         assert sorted((r.k, r.key) for r in keyed.collect()) == [(k, k + 1) for k in range(3000)]
+
+
+def test_hash_keys_checked_for_collisions(spark):
+    import pytest
+    df = spark.range(0, 500).select(F.col("id").cast("string").alias("k"))
+    keyed = M.assign_keys(df, ["k"], "key", mode="hash")
+    assert keyed.select("key").distinct().count() == 500
+    # force a collision: a key column that ignores the natural key
+    with pytest.raises(AssertionError):
+        M.assert_no_collisions(df.withColumn("key", F.lit(1)), "key", ["k"])
