@@ -80,7 +80,7 @@ def generate_orders(spark: SparkSession, rows: int, seed: int = 42) -> DataFrame
         (F.lit(ORDER_ID_MIN) + F.floor(uniform(F.col("id"), draw="oid", seed=seed) *
                                        (ORDER_ID_MAX - ORDER_ID_MIN + 1))).cast("long").alias("order_id"),
         (F.lit(1) + F.floor(uniform(F.col("id"), draw="n", seed=seed) * 5)).cast("long").alias("n_items"))
-    orders = cumulative_sums(orders, [F.col("order_seq").asc()], ["n_items"])
+    orders = cumulative_sums(orders, [F.col("order_seq").asc()], ["n_items"], small_rows=0)
     first_line = F.col("cum_n_items") - F.col("n_items")
     lines = (orders.filter(first_line < rows)
              .select("order_id", first_line.alias("first_line"),

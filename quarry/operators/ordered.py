@@ -16,10 +16,20 @@ from pyspark.sql import functions as F
 from quarry.session import materialize
 
 
+SMALL_ROWS = 200_000
+
+
 def cumulative_sums(df: DataFrame, order: list[Column], values: list[str],
-                    prefix: str = "cum_") -> DataFrame:
+                    prefix: str = "cum_", small_rows: int = SMALL_ROWS) -> DataFrame:
     """Add ``<prefix><v>`` = sum of ``v`` over all rows up to and including
-    this one in ``order`` (``order`` should be total)."""
+    this one in ``order`` (``order`` should be total).
+
+    A set whose measured size is at most ``small_rows`` is summed by one
+    ordered window (one task, bounded); a larger one takes the
+    distributed path below."""
+    if small_rows > 0 and df.limit(small_rows + 1).count() <= small_rows:
+        upto_all = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.select(*df.columns, *[F.sum(v).over(upto_all).alias(f"{prefix}{v}") for v in values])
     src = df.persist()   # sampled by the range partitioner, then sorted
     try:
         ranged = materialize(src.orderBy(*order)).withColumn("__pid", F.spark_partition_id())
