@@ -29,8 +29,10 @@ def brute(rows):
             mc = sum(misses) if misses else None
             runs.setdefault(mc, []).append(r[1])
         for mc, ts in runs.items():
-            out.append((key, mc, len(ts), min(ts), max(ts)))
-    return sorted(out, key=lambda x: (x[0], x[1]))
+            present = [t for t in ts if t is not None]          # SQL min/max skip NULLs
+            out.append((key, mc, len(ts), min(present) if present else None,
+                        max(present) if present else None))
+    return sorted(out, key=lambda x: (x[0] or "", -1 if x[1] is None else x[1]))
 
 
 CASES = {
@@ -162,3 +164,16 @@ def test_row_balanced_equals_time_balanced(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert a == b
+
+
+@pytest.mark.parametrize("balance", ["time", "rows"])
+def test_null_keys_and_null_times(spark, balance):
+    rows = [(None, 0.0, "broken"), (None, 1.0, "broken"), (None, 2.0, "whole"), (None, 3.0, "broken"),
+            ("v", None, "whole"), ("v", None, "broken"), ("v", 0.0, "broken"), ("v", 1.0, "broken"),
+            ("w", 5.0, "broken")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = R.streak_runs(df, "video_file", "t_sec", F.col("state") == "broken", balance=balance)
+    norm = lambda t: tuple("" if v is None else v for v in t)
+    got = sorted(norm((r.video_file, r.run_id, r.streak_len, r.start_t, r.end_t)) for r in got.collect())
+    want = sorted(norm(t) for t in brute(rows))
+    assert got == want
