@@ -177,3 +177,21 @@ def test_null_keys_and_null_times(spark, balance):
     got = sorted(norm((r.video_file, r.run_id, r.streak_len, r.start_t, r.end_t)) for r in got.collect())
     want = sorted(norm(t) for t in brute(rows))
     assert got == want
+
+
+def test_offsets_join_reuses_window_partitioning(spark):
+    """With broadcasts off, the offsets join must consume the window's
+    output directly: the events are shuffled once, not twice."""
+    import re
+    from quarry.plans.inspect import plan_text
+    df = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_text(R.running_miss_count(df, "user_id", "ts", F.col("event_type") == "click"), "simple")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert re.search(r"SortMergeJoin \[_k0[^\n]*\n\s*:- Window", plan), plan
+    assert "coalesce(user_id" not in plan
