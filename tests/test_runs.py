@@ -194,4 +194,4 @@ def test_offsets_join_reuses_window_partitioning(spark):
         for k, v in old.items():
             spark.conf.set(k, v)
     assert re.search(r"SortMergeJoin \[_k0[^\n]*\n\s*:- Window", plan), plan
-    assert "coalesce(user_id" not in plan
+    assert "hashpartitioning(coalesce(" not in plan
