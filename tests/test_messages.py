@@ -60,3 +60,20 @@ def test_minute_batches(spark):
     mb = MS.minute_batches(_users(spark)).collect()
     by = {r.file_name: r.n_records for r in mb}
     assert by == {"users_20240101_000100.jsonl": 3, "users_20240101_000200.jsonl": 1}
+
+
+def test_append_unique_hot_value(spark):
+    """A third of the batch shares one address: exactly the earliest row is
+    admitted, every other copy is rejected as a duplicate."""
+    n = 3000
+    incoming = spark.range(0, n).select(
+        F.col("id").alias("seq"), F.lit("N").alias("name"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot@x.io"))
+         .otherwise(F.concat(F.lit("u"), F.col("id").cast("string"), F.lit("@x.io"))).alias("email"),
+        F.lit("FR").alias("country"))
+    existing = spark.createDataFrame([], "id string, name string, email string, country string")
+    res = MS.append_unique(existing, incoming.repartition(7))
+    hot_acc = res["accepted"].filter("email = 'hot@x.io'").collect()
+    assert [r.seq for r in hot_acc] == [0]
+    assert res["accepted"].count() == n - n // 3 + 1
+    assert res["rejected"].filter("reason = 'duplicate_in_batch'").count() == n // 3 - 1
