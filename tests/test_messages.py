@@ -77,3 +77,12 @@ def test_append_unique_hot_value(spark):
     assert [r.seq for r in hot_acc] == [0]
     assert res["accepted"].count() == n - n // 3 + 1
     assert res["rejected"].filter("reason = 'duplicate_in_batch'").count() == n // 3 - 1
+
+
+def test_latest_by_key_hot_key(spark):
+    n = 3000
+    df = spark.range(0, n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("id"),
+        F.lit("FR").alias("country"), F.col("id").alias("seq"), F.col("id").cast("string").alias("name"))
+    lt = {r.id: r.seq for r in MS.latest_by_key(df.repartition(7), ["country", "id"], ["seq"]).collect()}
+    assert lt["hot"] == 2997 and len(lt) == n - n // 3 + 1
