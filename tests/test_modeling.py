@@ -86,6 +86,7 @@ def test_documents_split_large_groups(spark):
     assert len(docs) >= 10 and all(d.n_parts == 10 for d in docs)
     assert sum(len(d["items"]) for d in docs) == 1000
     assert all(d.order_total == 1000 for d in docs)
+    assert max(len(d["items"]) for d in docs) <= 200        # parts stay near the limit
 
 
 def test_assign_keys_distributed_path(spark):
