@@ -14,11 +14,6 @@ Two kinds of functions live here:
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
-from functools import lru_cache
-
 from pyspark.ml.feature import (HashingTF, IDF, StandardScaler, StopWordsRemover, StringIndexer,
                                 Tokenizer, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
@@ -35,15 +30,21 @@ SKILL_KEYWORDS = ["developer", "engineer", "designer", "writer", "marketing",
 TITLE_KEEP_PATTERN = r"[^a-zA-Z\s]"
 
 
-@lru_cache(maxsize=1)
-def english_stop_words() -> tuple[str, ...]:
-    """Spark's bundled English stop-word list, read from the MLlib jar (no
-    JVM needed; identical to ``StopWordsRemover.loadDefaultStopWords``)."""
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as z:
-        text = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8")
-    return tuple(w for w in text.split("\n") if w)
+# Spark ML's default English stop words, in their order
+# (equal to StopWordsRemover.loadDefaultStopWords("english")).
+ENGLISH_STOP_WORDS = tuple((
+    "i me my myself we our ours ourselves you your yours yourself yourselves he him his himself "
+    "she her hers herself it its itself they them their theirs themselves what which who whom "
+    "this that these those am is are was were be been being have has had having do does did doing "
+    "a an the and but if or because as until while of at by for with about against between into "
+    "through during before after above below to from up down in out on off over under again "
+    "further then once here there when where why how all any both each few more most other some "
+    "such no nor not only own same so than too very s t can will just don should now i'll you'll "
+    "he'll she'll we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're "
+    "they're i've we've you've they've isn't aren't wasn't weren't haven't hasn't hadn't don't "
+    "doesn't didn't won't wouldn't shan't shouldn't mustn't can't couldn't cannot could here's "
+    "how's let's ought that's there's what's when's where's who's why's would "
+).split())
 
 
 # ------------------------------------------------------------- ml stages
@@ -82,7 +83,8 @@ def scaler(input_col: str, output_col: str) -> StandardScaler:
 def text_stages(input_col: str, num_features: int = 1000, idf: bool = True):
     """Tokenizer → StopWordsRemover → HashingTF(num_features) [→ IDF]."""
     st = [Tokenizer(inputCol=input_col, outputCol="words"),
-          StopWordsRemover(inputCol="words", outputCol="filtered_words"),
+          StopWordsRemover(inputCol="words", outputCol="filtered_words",
+                           stopWords=list(ENGLISH_STOP_WORDS)),
           HashingTF(inputCol="filtered_words", outputCol="raw_features", numFeatures=num_features)]
     if idf:
         st.append(IDF(inputCol="raw_features", outputCol="features"))
@@ -136,11 +138,6 @@ def tokenize(c: Column) -> Column:
     return F.split(F.regexp_replace(F.lower(c), r"\s+$", ""), r"\s")
 
 
-def remove_stop_words(tokens: Column, words=None) -> Column:
-    sw = F.array(*[F.lit(w) for w in (words or english_stop_words())])
-    return F.filter(tokens, lambda t: ~F.array_contains(sw, F.lower(t)))
-
-
 def term_table(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
     """(id, term, tf) — one row per distinct term of a document.
 

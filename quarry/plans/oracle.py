@@ -299,9 +299,9 @@ SELECT condition, round(avg_price, 6) AS avg_price, count,
        CAST(ROW_NUMBER() OVER (ORDER BY avg_price DESC, condition) AS BIGINT) AS pos FROM g"""
 
 # ---------------------------------------------------------------- ML features
-from quarry.operators.features import SKILL_KEYWORDS, english_stop_words  # noqa: E402
+from quarry.operators.features import ENGLISH_STOP_WORDS, SKILL_KEYWORDS  # noqa: E402
 
-_STOP = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in english_stop_words()) + "]"
+_STOP = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH_STOP_WORDS) + "]"
 
 SQL["string_index"] = f"""WITH {_CARS}
 SELECT body_type, CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, body_type) - 1 AS BIGINT) AS label

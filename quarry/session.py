@@ -4,23 +4,26 @@ checkpoint-directory policy used by operators that cut lineage."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "quarry",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
-    """A session tuned for this library: AQE (coalescing and skew join) on,
-    UTC session zone, UI off. On a cluster the cluster's own settings win
-    for anything already set."""
+    """A session with this library's settings: AQE (coalescing and skew
+    join) on, UTC session zone, UI off. Whatever the launcher already set
+    (``spark-submit --master/--conf``, defaults file) wins; the master is
+    set only when asked for, or when nothing else names one. ``extra`` and
+    explicit arguments are the caller's wish and always apply."""
+    given = SparkConf()
     cpus = os.environ.get("BENCH_CPUS") or str(os.cpu_count() or 8)
-    b = SparkSession.builder.appName(app)
-    if master or not os.environ.get("SPARK_MASTER"):
-        b = b.master(master or f"local[{cpus}]")
     conf = {
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or cpus),
+        "spark.app.name": app,
+        "spark.master": f"local[{cpus}]",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -30,7 +33,15 @@ def build_session(master: str | None = None, app: str = "quarry",
         "spark.driver.memory": os.environ.get("QUARRY_DRIVER_MEMORY", "16g"),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
+    conf = {k: v for k, v in conf.items() if not given.contains(k)}
+    if conf.get("spark.master", "").startswith("local") and not given.contains("spark.sql.shuffle.partitions"):
+        conf["spark.sql.shuffle.partitions"] = cpus   # one JVM: as many as cores
+    if master:
+        conf["spark.master"] = master
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
+    b = SparkSession.builder
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -39,26 +50,22 @@ def build_session(master: str | None = None, app: str = "quarry",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint directory, configuring it if needed.
+    """The shared folder for stored intermediates.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``; that is
-    always used when present. Only when nothing is configured (local tests,
-    the bench) a scratch folder is created under ``QUARRY_SCRATCH`` or the
-    system temp folder.
+    The cluster names it in ``spark.checkpoint.dir``; a folder set on the
+    context counts as well. Only a single-JVM session (master ``local`` or
+    ``local[...]``: tests, the bench) may fall back to a scratch folder of
+    this machine; on a cluster, where executors do not share local disks,
+    an unset folder raises.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 — remote sessions manage it server-side
-        return spark.conf.get("spark.checkpoint.dir", "")
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or \
-        sc.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    configured = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        base = os.environ.get("QUARRY_SCRATCH") or tempfile.gettempdir()
-        configured = tempfile.mkdtemp(prefix="quarry-ckpt-", dir=base)
-    sc.setCheckpointDir(configured)
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="quarry-ckpt-", dir=os.environ.get("QUARRY_SCRATCH") or tempfile.gettempdir())
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
