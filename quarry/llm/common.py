@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+from quarry.llm.text import worker_store
 from quarry.session import checkpoint_dir
 
 
@@ -55,3 +58,22 @@ def file_bytes(path: str, limit: int = 64 << 20) -> bytes:
     if len(data) > limit:
         raise ValueError(f"{path} is larger than {limit} bytes")
     return data
+
+
+class Shared:
+    """A broadcast object, classes of this subpackage included (a plain
+    broadcast pickles classes by name, which a worker may not have). Only
+    for data of a fixed or checked size; unpickled once per worker."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.key = uuid.uuid4().hex
+        self.data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        held = worker_store()
+        if held.get("shared_key", {}).get(self.key) is None:
+            if len(held.get("shared_key", {})) > 4:
+                held["shared_key"].clear()
+            held.setdefault("shared_key", {})[self.key] = pickle.loads(self.data.value)
+        return held["shared_key"][self.key]

@@ -8,8 +8,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from quarry.llm import token_count
-from quarry.llm.common import table
+from quarry.llm import bpe_codec, token_count, token_store
+from quarry.llm.common import fresh_path, table
 
 QUERIES, SQL = {}, {}
 
@@ -22,3 +22,16 @@ def query(f):
 @query
 def op1_token_counts(spark, d):
     return token_count.token_counts(table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op9_byte_bpe(spark, d):
+    return bpe_codec.encoded_digests(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                                     public_tokenizers.PATTERN)
+
+
+@query
+def op10_token_store(spark, d):
+    path = fresh_path(spark, "token-store")
+    token_store.write_token_store(table(spark, d, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), 1)
+    return token_store.read_token_store(spark, path, tokens=False).withColumnRenamed("id", "doc_id")

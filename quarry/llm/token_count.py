@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from quarry.llm.bpe import MergeTable, merge_all, pairs_of
-from quarry.llm.common import file_bytes, need
+from quarry.llm.common import Shared, file_bytes, need
 from quarry.llm.text import as_utf8, bounded_cache, slices
 
 SPACE = "▁"
@@ -90,7 +90,7 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     No shuffle: one pass in Arrow batches.
     """
     need(docs, id_col, text_col)
-    model = docs.sparkSession.sparkContext.broadcast(PieceModel(file_bytes(model_path)))
+    model = Shared(docs.sparkSession, PieceModel(file_bytes(model_path)))
 
     def run(batches):
         m = model.value
