@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from quarry.llm import bpe_codec, token_count, token_store
+from quarry.llm import bpe_codec, jaccard_join, token_count, token_store
 from quarry.llm.common import fresh_path, table
 
 QUERIES, SQL = {}, {}
@@ -24,6 +24,11 @@ def op1_token_counts(spark, d):
     return token_count.token_counts(table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op2_jaccard_join(spark, d):
+    return jaccard_join.near_duplicates(table(spark, d, "documents"), width=4, percent=85)
+
+
 @query
 def op9_byte_bpe(spark, d):
     return bpe_codec.encoded_digests(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
