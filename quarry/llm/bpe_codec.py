@@ -4,17 +4,17 @@
 1. Every text is cut into pre-tokens (matches of the tokenizer's pattern).
    The pre-tokens of a block of documents (tens of MB) are numbered; a
    document keeps the numbers in text order, so position = place in its
-   array, and the block explodes to one row per distinct pre-token with its
-   number: the positions travel as numbers, not as one row per occurrence.
-2. A shuffle by word leaves each distinct word of the corpus once. It is
-   encoded there, with the merges of all words of a batch applied together
-   (``bpe.merge_all``), and decoded by a join of its ids with the
-   token-byte table.
-3. The ids join back on the word, go to their block, and each document is
-   put together by position.
-
-A word that fills a third of the corpus is one row per block in step 1, so
-no shuffle partition is hot; blocks are bounded by bytes of text, however
+   array. The block's distinct pre-tokens are dealt by hash into buckets and
+   explode to one row per (block, bucket) with the packed words of it.
+2. A shuffle by bucket brings together all of the corpus' words of a hash
+   range; each distinct word is encoded there once, the merges of all words
+   of a batch applied together (``bpe.merge_all``).
+3. The ids go back to their block, join its word numbers, and each document
+   is put together by position. Decoding joins the ids with the token-byte
+   table.
+
+A word that fills a third of the corpus is one entry per block in step 1,
+so no shuffle partition is hot; blocks are bounded by bytes of text, however
 documents are distributed.
 """
 
@@ -23,6 +23,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,8 @@ from quarry.llm.text import as_utf8, slices
 
 #: Bytes of text of one block (a longer single document is one block).
 BLOCK_BYTES = 32 << 20
+#: Most word buckets of a block (fewer shuffle partitions give fewer).
+MOST_BUCKETS = 4096
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -132,17 +135,21 @@ def _encode(docs, ranks_path, pattern, id_col, text_col, row, columns):
     need(docs, id_col, text_col)
     spark = docs.sparkSession
     ranks = read_ranks(file_bytes(ranks_path))
-    model = Shared(spark, ByteModel(ranks))  # fixed by the vocabulary
+    model = Shared(spark, ByteModel(ranks))                 # fixed by the vocabulary
     of_id = [b""] * (max(ranks.values()) + 1)
     for t, i in ranks.items():
         of_id[i] = t
     token_bytes = spark.sparkContext.broadcast(of_id)       # the token-byte table, fixed as well
+    buckets = min(partitions(spark), MOST_BUCKETS)
     src = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     id_type = src.schema["id"].dataType.simpleString()
+    part = pa.struct([("count", pa.int32()), ("numbers", pa.binary()), ("sizes", pa.binary()),
+                      ("width", pa.int32()), ("words", pa.binary())])
 
     def cut(batches):
         """One row per block: the documents' ids, their word numbers in text
-        order, and the distinct words in number order."""
+        order, and the distinct words with their numbers, dealt by hash into
+        buckets and sorted there."""
         units_of, match = splitter(pattern)
         for b in slices(batches, "text", BLOCK_BYTES):
             number: dict[str, int] = {}
@@ -156,45 +163,71 @@ def _encode(docs, ranks_path, pattern, id_col, text_col, row, columns):
                 nums = np.frombuffer(b"".join(map(known.__getitem__, units)), np.int32)
                 places.append(pack(nums))
                 lengths.append(len(nums))
+            dealt = [[] for _ in range(buckets)]
+            for w, n in number.items():
+                w = w.encode()
+                dealt[zlib.crc32(w) % buckets].append((w, n))
+            parts = []
+            for d in dealt:
+                d.sort()
+                words = b"".join(w for w, _ in d)
+                parts.append({"count": len(d), "numbers": pack(np.array([n for _, n in d], np.int32)),
+                              "sizes": pack(np.array([len(w) for w, _ in d], np.int32)),
+                              "width": len(words), "words": pa.compress(words, "zstd", asbytes=True)})
             yield pa.RecordBatch.from_arrays(
                 [pa.array([b.column("id").to_pylist()], pa.list_(b.column("id").type)),
                  pa.array([places], pa.list_(pa.binary())), pa.array([lengths], pa.list_(pa.int32())),
-                 pa.array([list(number)], pa.list_(pa.string()))],
-                ["ids", "places", "lengths", "words"])
+                 pa.array([parts], pa.list_(part))], ["ids", "places", "lengths", "parts"])
 
-    blocks = stored(src.mapInArrow(cut, f"ids array<{id_type}>, places array<binary>, lengths array<int>, words array<string>")
+    blocks = stored(src.mapInArrow(cut, f"ids array<{id_type}>, places array<binary>, lengths array<int>, parts array<struct"
+                                        "<count:int,numbers:binary,sizes:binary,width:int,words:binary>>")
                     .withColumn("block", F.monotonically_increasing_id()), "bpe-blocks")
 
     def encode(batches):
-        """Equal words are neighbours (sorted), so each is encoded once; a
-        word that spans two Arrow batches is encoded once more."""
+        """A bucket holds every distinct word of its hash range: each is
+        encoded the first time it is seen (the memo is bounded)."""
         m = model.value
+        known: dict[bytes, bytes] = {}
         for b in batches:
-            words = as_utf8(b.column("word")).dictionary_encode()
-            ids, n = m.encode([w.encode() for w in words.dictionary.to_pylist()])
-            ends = np.concatenate([[0], np.cumsum(n)])
-            small = ids.astype("<u4").tobytes()
-            per = pa.array([small[4 * a:4 * z] for a, z in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.binary())
+            lists = []
+            for r in b.select(["count", "sizes", "width", "words"]).to_pylist():
+                ends = np.cumsum(unpack(r["sizes"], r["count"])).tolist()
+                words = pa.decompress(r["words"], r["width"], "zstd", asbytes=True)
+                lists.append([words[a:z] for a, z in zip([0, *ends], ends)])
+            if len(known) > 400_000:
+                known.clear()
+            new = list(set().union(*lists).difference(known))
+            ids, n = m.encode(new)
+            raw, ends = ids.astype("<i4").tobytes(), (4 * np.cumsum(n)).tolist()
+            known.update(zip(new, [raw[a:z] for a, z in zip([0, *ends], ends)]))
+            tokens = [[known[w] for w in x] for x in lists]
+            flat = [np.frombuffer(b"".join(x), "<i4") for x in tokens]
             yield pa.RecordBatch.from_arrays(
-                [b.column("block"), b.column("number"), per.take(words.indices)], ["block", "number", "tokens"])
+                [b.column("block"), b.column("bucket"), pa.array([pack(np.array([len(t) // 4 for t in x], np.int32)) for x in tokens], pa.binary()),
+                 pa.array([len(x) for x in flat], pa.int32()), pa.array(list(map(pack, flat)), pa.binary())],
+                ["block", "bucket", "sizes", "total", "tokens"])
 
-    words = blocks.select("block", F.posexplode("words").alias("number", "word"))
-    coded = (words.repartition(partitions(spark), "word").sortWithinPartitions("word")
-             .mapInArrow(encode, "block long, number int, tokens binary"))
+    dealt = blocks.select("block", F.posexplode("parts").alias("bucket", "part")).filter("part.count > 0")
+    coded = (dealt.select("block", "bucket", "part.count", "part.sizes", "part.width", "part.words")
+             .repartition(buckets, "bucket")
+             .mapInArrow(encode, "block long, bucket int, sizes binary, total int, tokens binary"))
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
-        number = right.column("number").to_numpy()
-        order = np.argsort(number)
-        raw = right.column("tokens").to_pylist()
-        tokens = [np.frombuffer(raw[i], "<u4") for i in order.tolist()]
-        table = token_bytes.value
-        texts = [b"".join([table[i] for i in t.tolist()]) for t in tokens]  # ids joined with the token-byte table
-        result = row((tokens, texts))
+        reply = {r["bucket"]: r for r in right.to_pylist()}
         ids, out = [], []
-        for k in range(left.num_rows):
-            ids += left.column("ids")[k].as_py()
-            for packed, n in zip(left.column("places")[k], left.column("lengths")[k].as_py()):
-                out.append(result(unpack(packed.as_py(), n).tolist()))
+        for block in left.to_pylist():
+            tokens = [None] * sum(p["count"] for p in block["parts"])
+            for k, p in enumerate(block["parts"]):
+                if p["count"]:
+                    flat = unpack(reply[k]["tokens"], reply[k]["total"])
+                    ends = np.cumsum(unpack(reply[k]["sizes"], p["count"])).tolist()
+                    for n, a, z in zip(unpack(p["numbers"], p["count"]).tolist(), [0, *ends], ends):
+                        tokens[n] = flat[a:z]
+            table = token_bytes.value
+            texts = [b"".join([table[i] for i in t.tolist()]) for t in tokens]  # ids joined with the token-byte table
+            result = row((tokens, texts))
+            ids += block["ids"]
+            out += [result(unpack(x, n).tolist()) for x, n in zip(block["places"], block["lengths"])]
         kinds = [pa.int64(), *({"array<int>": pa.list_(pa.int32()), "binary": pa.binary(), "string": pa.string()}[c.split()[-1]]
                                for c in columns.split(", "))]
         names = ["id", "n_tokens", *(c.split()[0] for c in columns.split(", "))]
@@ -202,6 +235,7 @@ def _encode(docs, ranks_path, pattern, id_col, text_col, row, columns):
         return pa.Table.from_arrays([pa.array(ids, left.schema.field("ids").type.value_type),
                                      *(pa.array(list(c), k) for c, k in zip(cols, kinds))], names=names)
 
-    out = (blocks.select("block", "ids", "places", "lengths").groupBy("block").cogroup(coded.groupBy("block"))
+    numbered = F.transform("parts", lambda p: F.struct(p["count"].alias("count"), p["numbers"].alias("numbers"))).alias("parts")
+    out = (blocks.select("block", "ids", "places", "lengths", numbered).groupBy("block").cogroup(coded.groupBy("block"))
            .applyInArrow(assemble, f"id {id_type}, n_tokens long, {columns}"))
     return out.withColumnRenamed("id", id_col)
