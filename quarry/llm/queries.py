@@ -7,8 +7,9 @@ the DuckDB text of those that SQL can express on whole tables.
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from quarry.llm import bpe_codec, jaccard_join, token_count, token_store
+from quarry.llm import bpe_codec, jaccard_join, substring, token_count, token_store
 from quarry.llm.common import fresh_path, table
 
 QUERIES, SQL = {}, {}
@@ -29,6 +30,12 @@ def op2_jaccard_join(spark, d):
     return jaccard_join.near_duplicates(table(spark, d, "documents"), width=4, percent=85)
 
 
+@query
+def op3_substring_dedup(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return substring.remove_repeats(docs).withColumn("n_removed", F.size("removed"))
+
+
 @query
 def op9_byte_bpe(spark, d):
     return bpe_codec.encoded_digests(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
