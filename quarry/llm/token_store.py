@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import file_bytes, need, partitions
-from quarry.llm.text import as_utf8, bounded_cache, slices
+from quarry.llm.text import flat_bytes, slices, span_hashes, word_spans, worker_store
 
 #: Bytes of text whose ids make a block (a longer document is one block).
 BLOCK_BYTES = 8 << 20
@@ -79,7 +79,40 @@ def rank_by_frequency(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rank[ids] if len(ids) else np.zeros(0, np.uint32), order.astype("<u4")
 
 
-ODD_SPACE = "\x1c\x1d\x1e\x1f"
+class WordIds:
+    """Word hash -> token ids, as sorted arrays; emptied when full, so it
+    affects speed only."""
+
+    LIMIT = 3_000_000
+
+    def __init__(self):
+        self.key, self.start, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.pool = np.zeros(0, "<u4")
+
+    def missing(self, keys: np.ndarray) -> np.ndarray:
+        if len(self.key) + len(keys) > self.LIMIT:
+            self.__init__()
+        if not len(self.key):
+            return np.ones(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.key, keys), len(self.key) - 1)
+        return self.key[at] != keys
+
+    def add(self, keys: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        start = len(self.pool) + np.cumsum(size) - size
+        self.pool = np.concatenate([self.pool, ids])
+        at = np.searchsorted(self.key, keys)
+        self.key, self.start, self.size = (np.insert(a, at, b) for a, b in
+                                           ((self.key, keys), (self.start, start), (self.size, size)))
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(self.key, keys)
+        return self.start[at], self.size[at]
+
+
+def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of every range, one after another."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
 class WordEncoder:
@@ -87,29 +120,48 @@ class WordEncoder:
     white-space-separated word encoded once per worker.
 
     Valid for tokenizers whose words never cross white space and that drop
-    it; ``check`` compares with whole-text encoding on a probe."""
+    it; ``check`` compares with whole-text encoding on a probe. Words are
+    the runs between ASCII white space; other white space inside them is
+    left to the library. They are known by a 64-bit hash."""
 
     def __init__(self, spec: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_str(spec.decode())
+        self.words: WordIds = worker_store().setdefault("word_ids", WordIds())
 
     def check(self) -> None:
-        probe = "It's a  test,\n\tof 12 WORDS' and more <|endoftext|>."
+        probe = "It's a  test,\n\tof 12 WORDS' and more <|endoftext|>."
         whole = self.library.encode(probe, add_special_tokens=False).ids
         if whole != [i for w in probe.split() for i in self.library.encode(w, add_special_tokens=False).ids]:
             raise ValueError("this tokenizer's words cross white space")
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cache = bounded_cache("word_ids", 300_000)
-        # Python splits at four control characters that the library does not drop: such texts go whole
-        parts = [[t] if any(c in t for c in ODD_SPACE) else t.split() for t in texts]
-        new = list(set().union(*parts).difference(cache))
-        for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
-            for w, e in zip(some, self.library.encode_batch(some, add_special_tokens=False)):
-                cache[w] = np.array(e.ids, "<u4").tobytes()
-        return [np.frombuffer(b"".join(map(cache.__getitem__, p)), "<u4") for p in parts]
+    def _learn(self, words: list[str], keys: np.ndarray) -> None:
+        """Encode new words, joined by spaces, and cut the ids by offset."""
+        ids, size = [], np.zeros(len(words), np.int32)
+        for at in range(0, len(words), 512):
+            some = words[at:at + 512]
+            e = self.library.encode(" ".join(some), add_special_tokens=False)
+            begin = np.cumsum([0] + [len(w) + 1 for w in some[:-1]])
+            tokens = np.array(e.offsets, np.int64).reshape(-1, 2)[:, 0]
+            size[at:at + len(some)] = np.bincount(np.searchsorted(begin, tokens, side="right") - 1, minlength=len(some))
+            ids.append(np.array(e.ids, "<u4"))
+        self.words.add(keys, np.concatenate(ids), size)
+
+    def encode(self, col) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, ids per text)."""
+        data, off = flat_bytes(col)
+        starts, ends, first = word_spans(data, off)
+        keys, at, of = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        new = np.flatnonzero(self.words.missing(keys))
+        if len(new):
+            raw = data.tobytes()
+            some = [raw[a:z].decode() for a, z in zip(starts[at[new]].tolist(), ends[at[new]].tolist())]
+            self._learn(some, keys[new])
+        begin, size = self.words.find(keys)
+        ids = self.words.pool[ragged(begin[of], size[of])]
+        total = np.concatenate([[0], np.cumsum(size[of], dtype=np.int64)])
+        return ids, np.diff(total[first])
 
 
 def write_token_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id",
@@ -135,18 +187,17 @@ def write_token_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     def blocks(batches):
         encoder, block, before = WordEncoder(spec.value), 0, 0
         for part in slices(batches, "text", BLOCK_BYTES):
-            texts, lengths = [], []
+            ids, lengths = [], []
             for b in slices([part], "text"):
-                for ids in encoder.encode([t or "" for t in as_utf8(b.column("text")).to_pylist()]):
-                    texts.append(ids)
-                    texts.append(np.array([end_id], "<u4"))
-                    lengths.append(len(ids) + 1)
-            ids = np.concatenate(texts)
+                flat, size = encoder.encode(b.column("text"))
+                ids.append(np.insert(flat, np.cumsum(size), end_id))
+                lengths.append(size + 1)
+            ids, lengths = np.concatenate(ids), np.concatenate(lengths)
             ranks, ranking = rank_by_frequency(ids)
             control, data = encode_ranks(ranks)
             yield pa.RecordBatch.from_pydict({
                 "shard": [part.column("shard")[0].as_py()], "block": [block], "before": [before],
-                "ids": [part.column("id").to_pylist()], "lengths": [lengths], "ranking": [ranking.tobytes()],
+                "ids": [part.column("id").to_pylist()], "lengths": [lengths.tolist()], "ranking": [ranking.tobytes()],
                 "control": [control], "data": [data]}, schema=BLOCK_ARROW)
             block, before = block + 1, before + len(ids)
 
@@ -163,7 +214,7 @@ BLOCK_ARROW = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("before"
 def block_ids(row: dict) -> np.ndarray:
     """A block's token ids."""
     ranks = decode_ranks(row["control"], row["data"], sum(row["lengths"]))
-    return np.frombuffer(row["ranking"], "<u4")[ranks] if len(ranks) else np.zeros(0, "<u4")
+    return np.frombuffer(row["ranking"], "<u4")[ranks]
 
 
 def read_token_store(spark: SparkSession, path: str, tokens: bool = True) -> DataFrame:
@@ -182,7 +233,7 @@ def read_token_store(spark: SparkSession, path: str, tokens: bool = True) -> Dat
                 ids = block_ids(row)
                 ends = np.cumsum(row["lengths"], dtype=np.int64)
                 starts = ends - np.array(row["lengths"], np.int64)
-                each = [ids[a:z].astype("<u4") for a, z in zip(starts.tolist(), ends.tolist())]
+                each = [ids[a:z] for a, z in zip(starts.tolist(), ends.tolist())]
                 cols = [pa.array([row["shard"]] * len(each), pa.int32()), pa.array(row["ids"], pa.int64()),
                         pa.array(starts + row["before"]), pa.array(row["lengths"], pa.int64()),
                         pa.array([zlib.crc32(x.tobytes()) for x in each], pa.int64())]
