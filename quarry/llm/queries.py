@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe_codec, jaccard_join, quality_rules, substring, token_count, token_store
+from quarry.llm import bpe_codec, jaccard_join, quality_rank, quality_rules, substring, token_count, token_store
 from quarry.llm.common import fresh_path, table
 
 QUERIES, SQL = {}, {}
@@ -44,6 +44,11 @@ def op5_quality_rules(spark, d):
 SQL["op5_quality_rules"] = quality_rules.REPORT_SQL
 
 
+@query
+def op6_quality_rank(spark, d):
+    return quality_rank.quality_scores(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 @query
 def op9_byte_bpe(spark, d):
     return bpe_codec.encoded_digests(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
