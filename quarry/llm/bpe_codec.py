@@ -90,7 +90,19 @@ def odd_space(text: str) -> bool:
 
 def pack(numbers: np.ndarray) -> bytes:
     """int32 numbers as compressed byte planes."""
-    return pa.compress(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True)
+    return squeeze(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def squeeze(data: bytes) -> bytes:
+    return pa.Codec("zstd", compression_level=6).compress(data, asbytes=True)
+
+
+def by_frequency(placed: list[np.ndarray], n: int) -> np.ndarray:
+    """number -> rank by falling count (ties by number)."""
+    count = np.bincount(np.concatenate(placed), minlength=n) if placed else np.zeros(n, np.int64)
+    rank = np.empty(n, np.int32)
+    rank[np.argsort(-count, kind="stable")] = np.arange(n, dtype=np.int32)
+    return rank
 
 
 def unpack(data: bytes, n: int) -> np.ndarray:
@@ -154,17 +166,18 @@ def _encode(docs, ranks_path, pattern, id_col, text_col, row, columns):
         for b in slices(batches, "text", BLOCK_BYTES):
             number: dict[str, int] = {}
             known: dict[str, bytes] = {}
-            places, lengths = [], []
+            placed = []
             for text in as_utf8(b.column("text")):
                 text = text.as_py() or ""
                 units = [text] if odd_space(text) else units_of(text)
                 for u in set(units).difference(known):
                     known[u] = np.array([number.setdefault(w, len(number)) for w in match(u)], np.int32).tobytes()
-                nums = np.frombuffer(b"".join(map(known.__getitem__, units)), np.int32)
-                places.append(pack(nums))
-                lengths.append(len(nums))
+                placed.append(np.frombuffer(b"".join(map(known.__getitem__, units)), np.int32))
+            lengths = [len(x) for x in placed]
+            rank = by_frequency(placed, len(number))  # small numbers for frequent words pack better
+            places = pack(rank[np.concatenate(placed)])
             dealt = [[] for _ in range(buckets)]
-            for w, n in number.items():
+            for w, n in zip(number, rank.tolist()):
                 w = w.encode()
                 dealt[zlib.crc32(w) % buckets].append((w, n))
             parts = []
@@ -173,13 +186,13 @@ def _encode(docs, ranks_path, pattern, id_col, text_col, row, columns):
                 words = b"".join(w for w, _ in d)
                 parts.append({"count": len(d), "numbers": pack(np.array([n for _, n in d], np.int32)),
                               "sizes": pack(np.array([len(w) for w, _ in d], np.int32)),
-                              "width": len(words), "words": pa.compress(words, "zstd", asbytes=True)})
+                              "width": len(words), "words": squeeze(words)})
             yield pa.RecordBatch.from_arrays(
                 [pa.array([b.column("id").to_pylist()], pa.list_(b.column("id").type)),
-                 pa.array([places], pa.list_(pa.binary())), pa.array([lengths], pa.list_(pa.int32())),
+                 pa.array([places], pa.binary()), pa.array([lengths], pa.list_(pa.int32())),
                  pa.array([parts], pa.list_(part))], ["ids", "places", "lengths", "parts"])
 
-    blocks = stored(src.mapInArrow(cut, f"ids array<{id_type}>, places array<binary>, lengths array<int>, parts array<struct"
+    blocks = stored(src.mapInArrow(cut, f"ids array<{id_type}>, places binary, lengths array<int>, parts array<struct"
                                         "<count:int,numbers:binary,sizes:binary,width:int,words:binary>>")
                     .withColumn("block", F.monotonically_increasing_id()), "bpe-blocks")
 
@@ -227,7 +240,9 @@ def _encode(docs, ranks_path, pattern, id_col, text_col, row, columns):
             texts = [b"".join([table[i] for i in t.tolist()]) for t in tokens]  # ids joined with the token-byte table
             result = row((tokens, texts))
             ids += block["ids"]
-            out += [result(unpack(x, n).tolist()) for x, n in zip(block["places"], block["lengths"])]
+            ends = np.cumsum(block["lengths"]).tolist()
+            flat = unpack(block["places"], ends[-1])
+            out += [result(flat[a:z].tolist()) for a, z in zip([0, *ends], ends)]
         kinds = [pa.int64(), *({"array<int>": pa.list_(pa.int32()), "binary": pa.binary(), "string": pa.string()}[c.split()[-1]]
                                for c in columns.split(", "))]
         names = ["id", "n_tokens", *(c.split()[0] for c in columns.split(", "))]

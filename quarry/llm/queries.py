@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe_codec, jaccard_join, quality_rank, quality_rules, substring, token_count, token_store
+from quarry.llm import bpe_codec, jaccard_join, langid, quality_rank, quality_rules, substring, token_count, token_store
 from quarry.llm.common import fresh_path, table
 
 QUERIES, SQL = {}, {}
@@ -36,6 +36,11 @@ def op3_substring_dedup(spark, d):
     return substring.remove_repeats(docs).withColumn("n_removed", F.size("removed"))
 
 
+@query
+def op4_language_id(spark, d):
+    return langid.detect_language(table(spark, d, "documents"))
+
+
 @query
 def op5_quality_rules(spark, d):
     return quality_rules.rule_report(table(spark, d, "documents"))
