@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import file_bytes, need, partitions
-from quarry.llm.text import flat_bytes, slices, span_hashes, word_spans, worker_store
+from quarry.llm.text import flat_bytes, ragged, slices, span_hashes, word_spans, worker_store
 
 #: Bytes of text whose ids make a block (a longer document is one block).
 BLOCK_BYTES = 8 << 20
@@ -109,12 +109,6 @@ class WordIds:
         return self.start[at], self.size[at]
 
 
-def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """start, start + 1, ... of every range, one after another."""
-    ends = np.cumsum(sizes, dtype=np.int64)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
-
-
 class WordEncoder:
     """Ids of whole texts by the tokenizers library, each distinct
     white-space-separated word encoded once per worker.
