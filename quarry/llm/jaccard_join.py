@@ -24,9 +24,9 @@ A document's tokens are its distinct word shingles. Two documents link when
 4. Under each key, texts are first compared with one pivot (the text with
    the smallest share of unshared tokens). Verified links are contracted to
    components; only texts of a key that are still in different components
-   are compared pairwise, when size, shared-token and triangle bounds (the
-   Jaccard distance is a metric, distances to pivots are known) leave a
-   chance. Every candidate pair is verified on its full token sets.
+   are compared pairwise, when bounds leave a chance: sizes, unshared tokens,
+   a parity signature of the shared ones, and the triangle inequality (the
+   Jaccard distance is a metric, distances to pivots are known). Every candidate pair is verified on its full token sets.
 
 Tokens and set digests are 64-bit and 128-bit hashes.
 """
@@ -45,6 +45,10 @@ from quarry.llm.components import components
 from quarry.llm.text import flat_bytes, shingle_sets, slices, word_hashes
 
 
+#: Longs of a text's parity signature.
+WORDS = 8
+
+
 def slack(n, percent: int):
     """p: one more than the tokens that a linked text can miss."""
     spare = (100 - percent) * n
@@ -119,10 +123,31 @@ def prefix_keys(tokens: np.ndarray, counts: np.ndarray, n: int, percent: int, ra
     return np.unique(np.concatenate(keys)).view(np.int64)
 
 
+def _signatures(sets: DataFrame) -> DataFrame:
+    """(x, s0 .. s7): the parity of a text's shared tokens in each of 512
+    hash classes, as eight longs."""
+    def run(batches):
+        for b in batches:
+            bits = [np.packbits(np.bincount((np.asarray(t, np.int64).view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+                                             >> np.uint64(55)).astype(np.int64), minlength=64 * WORDS).astype(np.uint8) & 1).view(">i8")
+                    for t in b.column("tokens").to_pylist()]
+            table = np.stack(bits).astype(np.int64) if bits else np.zeros((0, WORDS), np.int64)
+            yield pa.RecordBatch.from_arrays([b.column("tid"), *(pa.array(table[:, k]) for k in range(WORDS))],
+                                             ["x", *(f"s{k}" for k in range(WORDS))])
+
+    return sets.select("tid", "tokens").mapInArrow(run, "x long, " + ", ".join(f"s{k} long" for k in range(WORDS)))
+
+
 def _may_link(percent: int):
-    """A bound on the Jaccard similarity from sizes and shared tokens."""
+    """Whether sizes and tokens leave two texts a link. Unshared tokens and
+    classes of different parity (each holds a token of one text only) lie in
+    the symmetric difference, of which a link allows (100 - percent) / (100
+    + percent) of the two sizes."""
     most = F.least("x_shared", "y_shared")
-    return 100 * most >= percent * (F.col("x_n") + F.col("y_n") - most)
+    odd = sum((F.bit_count(F.col(f"x_s{k}").bitwiseXOR(F.col(f"y_s{k}"))) for k in range(WORDS)), F.lit(0))
+    apart = F.col("x_n") - F.col("x_shared") + F.col("y_n") - F.col("y_shared") + odd
+    size = F.col("x_n") + F.col("y_n")
+    return (100 * most >= percent * (size - most)) & ((100 + percent) * apart <= (100 - percent) * size)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -215,8 +240,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
                       F.coalesce("d", F.lit(0.0)).alias("x_d")))
     open_keys = (placed.groupBy("key").agg(F.min("x_part").alias("lo"), F.max("x_part").alias("hi"))
                  .filter("lo != hi").select("key"))
-    left = placed.join(open_keys, "key", "left_semi")
-    right = left.select("key", *[F.col(c).alias(c.replace("x", "y", 1)) for c in ("x", "x_n", "x_shared", "x_part", "x_d")])
+    marks = [f"s{k}" for k in range(WORDS)]
+    left = (placed.join(open_keys, "key", "left_semi").join(_signatures(sets), "x")
+            .withColumnsRenamed({m: f"x_{m}" for m in marks}))
+    right = left.select("key", *[F.col(c).alias(c.replace("x", "y", 1))
+                                 for c in ("x", "x_n", "x_shared", "x_part", "x_d", *(f"x_{m}" for m in marks))])
     reach = 1 - percent / 100 + 1e-9
     cross = (left.join(right, "key")
              .filter((F.col("x") < F.col("y")) & (F.col("x_part") != F.col("y_part"))
