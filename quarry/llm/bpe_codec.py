@@ -23,6 +23,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 from quarry.llm.bpe import MergeTable, merge_all, pairs_of
 from quarry.llm.common import Shared, file_bytes, need, partitions, stored
 from quarry.llm.text import as_utf8, slices
+from quarry.llm.token_store import decode_ranks, encode_ranks
 
 #: Bytes of text of one block (a longer single document is one block).
 BLOCK_BYTES = 32 << 20
@@ -89,8 +91,10 @@ def odd_space(text: str) -> bool:
 
 
 def pack(numbers: np.ndarray) -> bytes:
-    """int32 numbers as compressed byte planes."""
-    return squeeze(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes())
+    """int32 numbers: control and data bytes, each compressed."""
+    control, data = encode_ranks(numbers)
+    small = squeeze(control)
+    return struct.pack("<II", len(small), len(data)) + small + squeeze(data)
 
 
 def squeeze(data: bytes) -> bytes:
@@ -105,22 +109,23 @@ def by_frequency(placed: list[np.ndarray], n: int) -> np.ndarray:
     return rank
 
 
-def unpack(data: bytes, n: int) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(data, 4 * n, "zstd", asbytes=True), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, n).T).view("<i4").ravel()
+def unpack(packed: bytes, n: int) -> np.ndarray:
+    size, width = struct.unpack("<II", packed[:8])
+    control = pa.decompress(packed[8:8 + size], -(-n // 4), "zstd", asbytes=True)
+    return decode_ranks(control, pa.decompress(packed[8 + size:], width, "zstd", asbytes=True), n).view(np.int32)
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
-                     text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, ids array<int>, decoded binary) of every text; edge
+                     text_col: str = "text", decoded: bool = True) -> DataFrame:
+    """(id, n_tokens, ids array<int>[, decoded binary]) of every text; edge
     cases as in ``encoded_digests``."""
     def row(words):
         tokens, texts = words
         def result(nums):
             ids = np.concatenate([tokens[i] for i in nums]) if nums else np.zeros(0, np.int32)
-            return len(ids), ids, b"".join(map(texts.__getitem__, nums))
+            return len(ids), ids, *([b"".join(map(texts.__getitem__, nums))] if decoded else [])
         return result
-    return _encode(docs, ranks_path, pattern, id_col, text_col, row, "ids array<int>, decoded binary")
+    return _encode(docs, ranks_path, pattern, id_col, text_col, row, "ids array<int>" + ", decoded binary" * decoded)
 
 
 def encoded_digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",

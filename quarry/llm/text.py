@@ -30,6 +30,19 @@ def bounded_cache(name: str, limit: int) -> dict:
     return cache
 
 
+def memo(f):
+    """Remember results by arguments in a bounded cache of the worker
+    (``functools`` caches are pickled by name, which a worker may not know)."""
+    def known(*args):
+        cache = bounded_cache(f"memo_{f.__name__}", 50_000)
+        if args not in cache:
+            cache[args] = f(*args)
+        return cache[args]
+
+    known.__doc__ = f.__doc__
+    return known
+
+
 def as_utf8(col) -> pa.Array:
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
