@@ -120,11 +120,17 @@ def add_columns(df: DataFrame, names, alive: Column | None = None) -> DataFrame:
     with ``alive``, null where it is false."""
     for n in _order(names):
         if n not in df.columns:
-            value = STEPS[n][0]()
-            df = df.withColumn(n, value if alive is None else F.when(alive, value))
+            df = df.withColumn(n, F.when(_once() if alive is None else alive & _once(), STEPS[n][0]()))
     return df
 
 
+def _once() -> Column:
+    """True, but not deterministic to the optimizer, which therefore does not
+    copy the expression into a filter above, where a lambda would build the
+    arrays that it reads anew for every element."""
+    return F.monotonically_increasing_id() >= 0
+
+
 def _run(df: DataFrame, rule: Rule | None) -> tuple[float, int]:
     begun = time.perf_counter()
     if rule is None:
@@ -157,22 +163,26 @@ def judge(docs: DataFrame, rules=BASE_RULES + RULES, text_col: str = "text", ver
 
     A null text is an empty one: no words, no lines, every count 0 (rules
     with a least count reject it). Repeated rows are judged alike, an empty
-    table gives an empty one; texts of any length are judged whole. Columns
-    of ``docs`` named like a result replace nothing: the result's name is
-    taken, so such a name raises."""
+    table gives an empty one; texts of any length are judged whole. All
+    columns of ``docs`` come back whatever their names; a result whose name
+    is taken gets underscores at its end."""
     need(docs, text_col)
-    taken = {*STEPS, "__text", "__alive", verdict} & set(docs.columns)
-    if taken:
-        raise ValueError(f"columns {sorted(taken)} are names of results or helpers")
-    df = add_columns(docs.withColumn("__text", F.coalesce(F.col(text_col).cast("string"), F.lit(""))), eager)
+    df = docs.select(F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("__row"),
+                     F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("__text"))
+    order = cascade_order(df.select("__text"), rules, sample_rows)
+    df = add_columns(df, eager)
     alive = F.lit(True)
-    plain = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"))
-    ready = set(eager)
-    for r in sorted(cascade_order(plain, rules, sample_rows), key=lambda r: not ready.issuperset(r.needs)):
+    for r in sorted(order, key=lambda r: not set(eager).issuperset(r.needs)):  # what is there costs nothing
         df = add_columns(df, r.needs, alive)
         df = df.withColumn("__alive", alive & F.coalesce(r.passes(), F.lit(False)))
         alive = F.col("__alive")
-    return df.withColumn(verdict, alive).select(*docs.columns, *eager, verdict)
+    taken, out = {c.lower() for c in docs.columns}, [F.col(f"__row.c{i}").alias(c) for i, c in enumerate(docs.columns)]
+    for name, value in [*((n, F.col(n)) for n in eager), (verdict, alive)]:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(value.alias(name))
+    return df.select(*out)
 
 
 def rule_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = 2000) -> DataFrame:

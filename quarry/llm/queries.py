@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe_codec, decontaminate, jaccard_join, langid, quality_rank, quality_rules, substring, token_count, token_store
+from quarry.llm import bpe_codec, chat, decontaminate, jaccard_join, langid, quality_rank, quality_rules, substring, token_count, token_store
 from quarry.llm.common import fresh_path, table
 
 QUERIES, SQL = {}, {}
@@ -54,6 +54,11 @@ def op6_quality_rank(spark, d):
     return quality_rank.quality_scores(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+@query
+def op7_chat_format(spark, d):
+    return chat.repair_chats(table(spark, d, "conversations"))
+
+
 @query
 def op8_decontamination(spark, d):
     return decontaminate.find_leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
