@@ -38,12 +38,4 @@ def ordered(df: DataFrame, order_cols: list[str], pos_col: str = "pos") -> DataF
     (prefix a column with ``-`` for descending). Uses the distributed
     ranking of ``assign_keys`` (range partitioning + per-partition
     offsets), never a single-partition window."""
-    sort_cols = []
-    work = df
-    for i, c in enumerate(order_cols):
-        if c.startswith("-"):
-            work = work.withColumn(f"__o{i}", -F.col(c[1:]))
-        else:
-            work = work.withColumn(f"__o{i}", F.col(c))
-        sort_cols.append(f"__o{i}")
-    return assign_keys(work, sort_cols, pos_col).drop(*sort_cols)
+    return assign_keys(df, order_cols, pos_col)

@@ -1,36 +1,10 @@
-"""Join helpers with an explicit broadcast policy.
-
-A side is broadcast only when its size is *known*: either a caller-stated
-bound that holds by construction (e.g. the 25-row nation table), or a row
-count measured on a side that is already materialized (a checkpointed
-dimension, where counting is a cheap scan of the checkpoint files). Every
-other join is a shuffle join, left to AQE (which can still switch to a
-broadcast from runtime statistics and splits skewed partitions).
-"""
+"""Join helpers."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
-
-def maybe_broadcast(side: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                    known_rows: int | None = None) -> DataFrame:
-    """Broadcast hint iff the side holds at most ``max_rows`` rows.
-
-    ``known_rows`` skips the count when the caller knows the size. The
-    count uses ``limit(max_rows + 1)`` so it stops early on a big side."""
-    n = known_rows if known_rows is not None else side.limit(max_rows + 1).count()
-    return F.broadcast(side) if n <= max_rows else side
-
-
-def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-             max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """fact ⋈ dim with the dim broadcast when its measured size allows."""
-    return fact.join(maybe_broadcast(dim, max_rows), on, how)
-
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str],
                    how: str = "inner") -> DataFrame:

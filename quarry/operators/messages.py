@@ -69,11 +69,12 @@ def minute_batches(df: DataFrame, ts_col: str = "created_at", every: str = "1 mi
                    prefix: str = "users_") -> DataFrame:
     """Batch analogue of a flush-every-minute buffer: tumbling windows on
     the record time; one output file name per non-empty window, named by
-    the flush (window end) time."""
+    the flush (window end) time. Records without a readable time are left to
+    ``unreadable_times``."""
     ts = F.col(ts_col)
     if isinstance(df.schema[ts_col].dataType, T.StringType):
-        ts = F.to_timestamp(ts)
-    w = df.select(F.window(ts.cast("timestamp"), every).alias("w"), ts.alias("_ts"))
+        ts = F.try_to_timestamp(ts)
+    w = df.filter(ts.isNotNull()).select(F.window(ts.cast("timestamp"), every).alias("w"), ts.alias("_ts"))
     g = w.groupBy("w").agg(F.count(F.lit(1)).alias("n_records"),
                            F.min("_ts").alias("first_ts"), F.max("_ts").alias("last_ts"))
     return g.select(F.col("w.start").alias("batch_start"), F.col("w.end").alias("batch_end"),
@@ -82,6 +83,11 @@ def minute_batches(df: DataFrame, ts_col: str = "created_at", every: str = "1 mi
                     "n_records", "first_ts", "last_ts")
 
 
+def unreadable_times(df: DataFrame, ts_col: str = "created_at") -> DataFrame:
+    """The records that ``minute_batches`` cannot place."""
+    return df.filter(F.try_to_timestamp(F.col(ts_col).cast("string")).isNull())
+
+
 def user_rules() -> list[Rule]:
     """Admission rules of a users table: required name/email/country and a
     well-formed e-mail."""
@@ -98,26 +104,27 @@ def append_unique(existing: DataFrame, incoming: DataFrame, unique_col: str = "e
     Accepted rows pass the rules, are the first of the batch for their
     value (by ``order_col``) and the value is not yet in ``existing``; they
     get ``id = uuid()`` and ``created_at = current_timestamp()``. Every
-    other row is returned in ``rejected`` with a reason. The per-value
-    "first" is an aggregation joined back (no per-value window)."""
-    reasons = reject_reasons(user_rules())
-    tagged = incoming.withColumn("_reasons", reasons)
-    valid = tagged.filter(F.size("_reasons") == 0)
-    firsts = valid.groupBy(unique_col).agg(F.min(order_col).alias("_first"))
-    taken = existing.select(unique_col).distinct().withColumn("_exists", F.lit(True))
-    firsts = firsts.join(taken, unique_col, "left")
-    v = valid.join(firsts, unique_col)
-    status = (F.when(F.col("_exists"), F.lit("email_exists"))
-               .when(F.col(order_col) != F.col("_first"), F.lit("duplicate_in_batch")))
-    v = v.withColumn("reason", status)
-    base = [c for c in incoming.columns]
-    accepted = (v.filter(F.col("reason").isNull())
-                 .select(F.expr("uuid()").alias("id"), *base,
-                         F.current_timestamp().alias("created_at")))
-    rejected = (v.filter(F.col("reason").isNotNull()).select(*base, "reason")
-                 .unionByName(tagged.filter(F.size("_reasons") > 0)
-                              .select(*base, F.array_join("_reasons", ";").alias("reason"))))
-    return {"accepted": accepted, "rejected": rejected}
+    other row is returned in ``rejected`` with a reason."""
+    tagged = admission(existing, incoming, unique_col, order_col)
+    base = incoming.columns
+    accepted = (tagged.filter(F.col("reason").isNull())
+                .select(F.expr("uuid()").alias("id"), *base, F.current_timestamp().alias("created_at")))
+    return {"accepted": accepted, "rejected": tagged.filter(F.col("reason").isNotNull()).select(*base, "reason")}
+
+
+def admission(existing: DataFrame, incoming: DataFrame, unique_col: str = "email",
+              order_col: str = "seq") -> DataFrame:
+    """``incoming`` with ``reason``: NULL for rows to accept. One union of
+    both sides, one aggregation per value (does it exist, which row of the
+    batch is its first), one join: each table is read once per side."""
+    tagged = incoming.withColumn("_reasons", reject_reasons(user_rules()))
+    old = existing.select(unique_col, F.lit(True).alias("_exists"), F.lit(None).cast(incoming.schema[order_col].dataType).alias("_at"))
+    new = tagged.filter(F.size("_reasons") == 0).select(unique_col, F.lit(False).alias("_exists"), F.col(order_col).alias("_at"))
+    known = old.unionByName(new).groupBy(unique_col).agg(F.max("_exists").alias("_exists"), F.min("_at").alias("_first"))
+    known = known.filter(F.col("_first").isNotNull())
+    reason = (F.when(F.size("_reasons") > 0, F.array_join("_reasons", ";")).when(F.col("_exists"), F.lit("email_exists"))
+              .when(F.col(order_col) != F.col("_first"), F.lit("duplicate_in_batch")))
+    return tagged.join(known, unique_col, "left").select(*incoming.columns, reason.alias("reason"))
 
 
 def lookup(requests: DataFrame, table: DataFrame, req_key: str, key: str) -> DataFrame:

@@ -6,18 +6,16 @@ Surrogate keys (``assign_keys``) come from the natural key, never from
 partitioning and are recomputed by every action that re-evaluates the
 lineage, so dimension and fact keys could disagree):
 
-* ``mode="rank"`` — consecutive keys 1..n in natural-key order. A set
-  whose measured size is small is numbered by one ordered window; a large
-  set is never funnelled into one task: it is range-partitioned by a
-  global sort and checkpointed (fixing partition ids), per-partition counts
-  (one row per partition) give each partition its offset, and a row's key
-  is its offset plus its row number inside the partition.
-* ``mode="hash"`` — ``xxhash64`` of the natural key: no sort, no
-  checkpoint; uniqueness is asserted with one aggregation.
+* ``mode="rank"`` — consecutive keys 1..n in natural-key order, for sets
+  of any size in the same way: a global sort (range partitioning), one
+  stored copy that fixes partition ids, per-partition counts (one row per
+  partition) as offsets, and a row number inside each partition.
+* ``mode="hash"`` — ``xxhash64`` of the natural key: no sort, no stored
+  copy; uniqueness is asserted with one aggregation. Enough wherever ids
+  need only be unique.
 
 Keys are deterministic functions of the member set, so every consumer
-sees the same keys; dimensions are broadcast to the fact join only after
-their row count has been measured.
+sees the same keys. Joins are left to AQE, which broadcasts by bytes.
 """
 
 from __future__ import annotations
@@ -26,27 +24,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.expressions import date_key, first_present
-from quarry.operators.joins import join_null_safe, maybe_broadcast
+from quarry.operators.joins import join_null_safe
 from quarry.session import materialize
 
 
-SMALL_SET_ROWS = 200_000
-
-
 def assign_keys(df: DataFrame, order_cols: list[str], key_col: str,
-                mode: str = "rank", small_rows: int = SMALL_SET_ROWS,
-                known_rows: int | None = None, check_collisions: bool = True) -> DataFrame:
+                mode: str = "rank", check_collisions: bool = True) -> DataFrame:
     """Add ``key_col`` to ``df``. With ``mode="rank"`` rows are numbered
-    1..n in ``order_cols`` order (``df`` should be distinct on them, or
-    carry extra columns in ``order_cols`` that separate equal rows).
-
-    The set's size is checked first (a count capped at ``small_rows``): a
-    small set is numbered by one ordered window — one task holding at most
-    ``small_rows`` rows, deterministic because the order is total
-    (``known_rows`` skips the count when the caller measured it;
-    ``small_rows=0`` goes straight to the distributed path). A
-    larger set takes the distributed path (range partitioning, checkpoint,
-    per-partition offsets)."""
+    1..n in ``order_cols`` order (prefix a column with ``-`` for descending;
+    ``df`` should be distinct on them, or carry extra columns in
+    ``order_cols`` that separate equal rows). NULL sorts first, with ``-``
+    last."""
     if mode == "hash":
         out = df.withColumn(key_col, F.xxhash64(*[F.col(c) for c in order_cols]))
         if check_collisions:
@@ -54,18 +42,9 @@ def assign_keys(df: DataFrame, order_cols: list[str], key_col: str,
         return out
     if mode != "rank":
         raise ValueError(mode)
-    sort_cols = [F.col(c).asc_nulls_first() for c in order_cols]
-    if small_rows > 0:
-        n = known_rows if known_rows is not None else df.limit(small_rows + 1).count()
-        if n <= small_rows:
-            return df.withColumn(key_col, F.row_number().over(Window.orderBy(*sort_cols)).cast("long"))
-    # the range partitioner samples its input before sorting it: keep the
-    # input once for both passes, release it once the sorted copy is saved
-    src = df.persist()
-    try:
-        ranged = materialize(src.orderBy(*sort_cols)).withColumn("__pid", F.spark_partition_id())
-    finally:
-        src.unpersist()
+    sort_cols = [F.col(c[1:]).desc_nulls_last() if c.startswith("-") else F.col(c).asc_nulls_first()
+                 for c in order_cols]
+    ranged = materialize(df.orderBy(*sort_cols)).withColumn("__pid", F.spark_partition_id())
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     # one row per partition: a window over it is bounded by the partition count
     offsets = counts.select("__pid", F.coalesce(
@@ -120,9 +99,7 @@ def to_3nf(df: DataFrame, dedupe_items: bool = False, key_mode: str = "rank") ->
                           F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("__h"),
                           F.monotonically_increasing_id().alias("__m"))
         order = ["order_id", "menu_item", "__h", "__m"]
-    # line grain is large by construction: no size probe
-    keyed = assign_keys(items, order, "order_item_id", key_mode,
-                        small_rows=SMALL_SET_ROWS if dedupe_items else 0)
+    keyed = assign_keys(items, order, "order_item_id", key_mode)
     out["order_items"] = keyed.select("order_item_id", "order_id", "menu_item")
     return out
 
@@ -140,14 +117,7 @@ def _gid(members: list[str]) -> int:
     return sum(1 << (n - 1 - i) for i, c in enumerate(_STAR_COLS) if c not in members)
 
 
-def _keyed(members: DataFrame, order: list[str], key: str, mode: str) -> tuple[DataFrame, int]:
-    """Members with consecutive keys, and the member count."""
-    n = members.count()
-    return assign_keys(members, order, key, mode, known_rows=n), n
-
-
-def to_star(df: DataFrame, fact_mode: str = "inner", key_mode: str = "rank",
-            max_broadcast_rows: int = 2_000_000) -> dict[str, DataFrame]:
+def to_star(df: DataFrame, fact_mode: str = "inner", key_mode: str = "rank") -> dict[str, DataFrame]:
     """Flat clean lines → ``dim_date, dim_city, dim_facility, dim_menu,
     fact_sales``.
 
@@ -155,11 +125,12 @@ def to_star(df: DataFrame, fact_mode: str = "inner", key_mode: str = "rank",
       (GROUPING SETS; the small result is checkpointed), instead of one scan of
       the lines per dimension;
     * city identity is (city, country); facility identity is
-      (facility_name, city, country) with one row per facility (min of the
-      coordinates), so no dimension join can fan out fact rows; a NULL
+      (facility_name, city, country) with one row per facility (its least
+      (lat, lng) pair), so no dimension join can fan out fact rows; a NULL
       natural key is not a member;
-    * dimensions are broadcast to the fact join when their measured size
-      allows, else joined by shuffle (AQE handles skew);
+    * the lines are read twice, for the members and for the facts; no copy
+      of them is stored; the fact joins are left to AQE (broadcast by
+      bytes, skewed partitions split);
     * ``fact_mode="inner"`` drops lines with no dimension member,
       ``"unknown_member"`` keeps them with key -1.
     """
@@ -167,8 +138,7 @@ def to_star(df: DataFrame, fact_mode: str = "inner", key_mode: str = "rank",
     # small (one row per member of each dimension): checkpointed, so it is
     # computed once, survives executor loss and pins no executor memory
     members = materialize(lines.groupingSets(list(_STAR_SETS.values()), *_STAR_COLS)
-                               .agg(F.min("lat").alias("lat"), F.min("lng").alias("lng"),
-                                    F.grouping_id().alias("_gid")))
+                               .agg(F.min(F.struct("lat", "lng")).alias("at"), F.grouping_id().alias("_gid")))
 
     def part(name):
         cols = _STAR_SETS[name]
@@ -178,24 +148,23 @@ def to_star(df: DataFrame, fact_mode: str = "inner", key_mode: str = "rank",
     dim_date = part("date").select(date_key("date").alias("date_key"), "date",
                                    F.year("date").alias("year"), F.month("date").alias("month"),
                                    F.dayofmonth("date").alias("day"))
-    city, n_city = _keyed(part("city").select("city", "country"), ["city", "country"], "city_key", key_mode)
+    city = assign_keys(part("city").select("city", "country"), ["city", "country"], "city_key", key_mode)
     dim_city = city.select("city_key", "city", "country")
-    small = lambda d, n: F.broadcast(d) if n <= max_broadcast_rows else d
-    fac = join_null_safe(part("facility").select("facility_name", "city", "country", "lat", "lng"),
-                         small(dim_city, n_city), ["city", "country"])
-    fac, n_fac = _keyed(fac, ["facility_name", "city_key"], "facility_key", key_mode)
+    fac = join_null_safe(part("facility").select("facility_name", "city", "country", "at.lat", "at.lng"),
+                         dim_city, ["city", "country"])
+    fac = assign_keys(fac, ["facility_name", "city_key"], "facility_key", key_mode)
     dim_facility = fac.select("facility_key", "facility_name", "city_key", "lat", "lng")
-    menu, n_menu = _keyed(part("menu").select("menu_item"), ["menu_item"], "menu_key", key_mode)
+    menu = assign_keys(part("menu").select("menu_item"), ["menu_item"], "menu_key", key_mode)
     dim_menu = menu.select("menu_key", "menu_item")
 
     how = "inner" if fact_mode == "inner" else "left"
     dt = F.col("datetime")
     f = df.select(_order_id(df).alias("order_id"), "datetime", date_key(dt).alias("date_key"),
                   "city", "country", "facility_name", "menu_item", "price")
-    f = join_null_safe(f, small(dim_city, n_city), ["city", "country"], how)
-    f = join_null_safe(f, small(dim_facility.select("facility_key", "facility_name", "city_key"), n_fac),
+    f = join_null_safe(f, dim_city, ["city", "country"], how)
+    f = join_null_safe(f, dim_facility.select("facility_key", "facility_name", "city_key"),
                        ["facility_name", "city_key"], how)
-    f = join_null_safe(f, small(dim_menu, n_menu), ["menu_item"], how)
+    f = join_null_safe(f, dim_menu, ["menu_item"], how)
     keys = ["city_key", "facility_key", "menu_key"]
     if fact_mode != "inner":
         f = f.select(*[c for c in f.columns if c not in keys],
@@ -210,42 +179,20 @@ def to_documents(df: DataFrame, id_cols: list[str] | None = None,
                  group_cols: tuple[str, ...] = ("city", "country", "facility_name", "lat", "lng"),
                  item_cols: tuple[str, ...] = ("menu_item", "price"),
                  ts_col: str = "datetime", total_col: str = "price",
-                 unique_id: bool = False, max_items_per_doc: int = 100_000) -> DataFrame:
-    """Line rows → nested order documents.
+                 unique_id: bool = False) -> DataFrame:
+    """Line rows → nested order documents, one per group.
 
     One document per (id, group columns) — or per id with ``unique_id``
     (then the group columns are dropped) — with ``datetime = min``,
-    ``order_total = sum`` and ``items`` (array of structs, sorted).
-
-    Document size is bounded: a group larger than ``max_items_per_doc``
-    lines is emitted as ``n_parts`` documents (``part`` 0..n_parts-1, lines
-    spread by a hash of the line), each carrying the whole group's
-    datetime and total. Group sizes come from a partial aggregation; only
-    the oversized groups (at most lines / max_items_per_doc of them) are
-    joined back — by broadcast when their measured count allows — so no
-    task holds more than a part of a hot group.
+    ``order_total = sum`` and ``items`` (array of structs, sorted). One
+    aggregation without a sizing pass; lists are combined map-side. The
+    document with all its items is the feature, so a group has to fit a row
+    (2 GB, in practice some ten million items); ids with more lines than
+    that are no orders and belong in the line table.
     """
     df = df.withColumn("order_id", _order_id(df)) if "order_id" not in df.columns else df
     keys = ["order_id"] + ([] if unique_id else list(id_cols or group_cols))
-    # groups too large for one document: at most lines / max_items of them
-    big = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
-                                 F.min(ts_col).alias("__first_ts"),
-                                 F.sum(F.col(total_col).cast("long")).alias("__total"))
-             .filter(F.col("__n") > max_items_per_doc)
-             .withColumn("__parts", F.ceil(F.col("__n") / F.lit(max_items_per_doc))))
-    # small by construction: saved once so the count and the join reuse it
-    big = materialize(big.drop("__n"))
-    lines = join_null_safe(df.select(*keys, ts_col, total_col, *item_cols),
-                           maybe_broadcast(big), keys, "left")
-    part = F.when(F.col("__parts").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*[F.col(c) for c in item_cols], F.monotonically_increasing_id()),
-               F.col("__parts"))).cast("long")
     item = F.struct(*[F.col(c) for c in item_cols])
-    docs = (lines.withColumn("part", part)
-                 .groupBy(*keys, "part")
-                 .agg(F.coalesce(F.first("__first_ts"), F.min(ts_col)).alias(ts_col),
-                      F.coalesce(F.first("__total"), F.sum(F.col(total_col).cast("long"))).alias("order_total"),
-                      F.coalesce(F.first("__parts"), F.lit(1)).cast("long").alias("n_parts"),
-                      F.array_sort(F.collect_list(item)).alias("items")))
-    return docs.select(F.col("order_id").alias("_id"), *keys[1:], ts_col, "order_total",
-                       "items", "part", "n_parts")
+    docs = df.groupBy(*keys).agg(F.min(ts_col).alias(ts_col), F.sum(F.col(total_col).cast("long")).alias("order_total"),
+                                 F.array_sort(F.collect_list(item)).alias("items"))
+    return docs.select(F.col("order_id").alias("_id"), *keys[1:], ts_col, "order_total", "items")

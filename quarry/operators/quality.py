@@ -126,8 +126,7 @@ def keep_present(df: DataFrame, col: str, missing=("NULL", "")) -> DataFrame:
 def store_clean_orders(raw: DataFrame, good_path: str, dead_letter_path: str,
                        formats=("parquet",), rules: list[Rule] | None = None,
                        partition_cols=("date", "city")) -> dict[str, int]:
-    """The cleaning job: typed parse → rule split → dead letters (one CSV
-    file when few) and the good rows partitioned by (date, city) in every
+    """The cleaning job: typed parse → rule split → dead letters (CSV) and the good rows partitioned by (date, city) in every
     requested format (``parquet``, ``avro`` when present). The tagged rows
     are persisted once, so the input is parsed once for all outputs.
     Returns the row counts of both sides."""

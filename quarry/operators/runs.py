@@ -16,9 +16,9 @@ Scale design. A plain ``Window.partitionBy(key)`` moves every row of a key
 into one task, so one hot key (say a third of all rows) would serialize
 the job. Here the running sum is split in two:
 
-1. a local running sum inside ``(key, slice)`` where a slice is a coarse
-   time bucket (``balance="time"``) or a range partition of a global sort
-   (``balance="rows"``); peers always share a slice, so RANGE semantics
+1. a local running sum inside ``(key, slice)`` where a slice is a range
+   partition of a global sort (``balance="rows"``, the default) or a coarse
+   time bucket (``balance="time"``); peers always share a slice, so RANGE semantics
    hold;
 2. per-bucket totals (a partial aggregation, tiny), turned into offsets by
    a window over buckets of one key (rows = buckets, not events), joined
@@ -66,26 +66,22 @@ def _filled(c: Column, dtype) -> Column:
 
 def running_miss_count(df: DataFrame, key: str, order: str, hit: Column,
                        bucket: Column | None = None,
-                       keep: list[str] | None = None, balance: str = "time") -> DataFrame:
+                       keep: list[str] | None = None, balance: str = "rows") -> DataFrame:
     """Rows of ``df`` with ``is_hit`` (int, nullable), ``miss_flag`` and
     ``miss_cum`` (running count of misses per ``key`` by ``order``).
 
-    ``balance="time"`` slices every key by ``bucket`` (default: day) — no
-    sort, fine when a hot key is spread over time. ``balance="rows"``
-    slices by row count instead: the narrow (key, time, flags) projection
-    is range-sorted and checkpointed, and each range partition is a slice,
-    so even a hot key concentrated in one time slice is split evenly
-    (equal (key, time) rows always share a partition, keeping RANGE
-    peers together)."""
+    ``balance="rows"`` slices by row count: the narrow (key, time, flags)
+    projection is range-sorted and stored, and each range partition is a
+    slice, so even a hot key concentrated in one day is split evenly (equal
+    (key, time) rows always share a partition, keeping RANGE peers
+    together). ``balance="time"`` slices every key by ``bucket`` (default:
+    day) instead: no sort and no stored copy, for logs where no (key,
+    bucket) is hot."""
     keep = keep or []
     cols = [F.col(key), F.col(order), *[F.col(c) for c in keep], hit.cast("int").alias("is_hit")]
     if balance == "rows":
         from quarry.session import materialize
-        src = df.select(*cols).persist()
-        try:
-            ranged = materialize(src.orderBy(F.col(key).asc_nulls_first(), F.col(order).asc_nulls_first()))
-        finally:
-            src.unpersist()
+        ranged = materialize(df.select(*cols).orderBy(F.col(key).asc_nulls_first(), F.col(order).asc_nulls_first()))
         base = ranged.withColumn("_bucket", F.spark_partition_id())
     elif balance == "time":
         bucket = bucket if bucket is not None else default_bucket(df, order)
@@ -120,7 +116,7 @@ def running_miss_count(df: DataFrame, key: str, order: str, hit: Column,
 
 
 def streak_runs(df: DataFrame, key: str, order: str, hit: Column,
-                bucket: Column | None = None, balance: str = "time") -> DataFrame:
+                bucket: Column | None = None, balance: str = "rows") -> DataFrame:
     """One row per run of hits: key, grp (``"<key>_<miss_cum>"``), run_id,
     streak_len, start_t, end_t."""
     labelled = running_miss_count(df, key, order, hit, bucket, balance=balance)
@@ -163,7 +159,7 @@ def top_n_runs(runs: DataFrame, key: str, n: int = 10) -> DataFrame:
 def longest_streaks(df: DataFrame, key: str = "video_file",
                     order: str = "t_sec", hit: Column | None = None,
                     n: int = 10, bucket: Column | None = None,
-                    balance: str = "time") -> dict[str, DataFrame]:
+                    balance: str = "rows") -> dict[str, DataFrame]:
     """The full streak report: ``runs``, ``per_key`` (best run of every key)
     and ``topn``. Default hit rule: ``state == 'broken'``."""
     hit = hit if hit is not None else (F.col("state") == F.lit("broken"))

@@ -136,13 +136,6 @@ def _good_lines(spark, d):
     return Q.split_by_rules(_orders_typed(spark, d), Q.order_rules())["good"]
 
 
-def _stored_good_lines(spark, d):
-    """The clean lines written once (as the cleaning job stores them) for
-    operators that read them in more than one pass."""
-    from quarry.session import materialize
-    return materialize(_good_lines(spark, d))
-
-
 def _nf(spark, d, name):
     return M.to_3nf(_good_lines(spark, d))[name]
 
@@ -174,7 +167,7 @@ def nf_order_items(spark, d):
 
 
 def _star(spark, d, name):
-    return M.to_star(_stored_good_lines(spark, d))[name]
+    return M.to_star(_good_lines(spark, d))[name]
 
 
 @query("star_dim_date")
@@ -210,12 +203,14 @@ def star_fact(spark, d):
 
 @query("order_documents")
 def order_documents(spark, d):
-    docs = M.to_documents(_stored_good_lines(spark, d))
+    return _documents_out(M.to_documents(_good_lines(spark, d)))
+
+
+def _documents_out(docs):
     items = F.array_join(F.array_sort(F.transform(
         "items", lambda x: F.concat_ws(":", x["menu_item"], x["price"].cast("string")))), "|")
-    return docs.select("_id", "city", "country", "facility_name", "lat", "lng",
-                       fmt_ts("datetime").alias("datetime"), "order_total",
-                       items.alias("items"), "part", "n_parts")
+    facility = [c for c in ("city", "country", "facility_name", "lat", "lng") if c in docs.columns]
+    return docs.select("_id", *facility, fmt_ts("datetime").alias("datetime"), "order_total", items.alias("items"))
 
 
 # ---------------------------------------------------------------- detections
@@ -290,11 +285,9 @@ def minute_batches(spark, d):
 
 @query("unique_append")
 def unique_append(spark, d):
-    res = MS.append_unique(V.users_existing(spark, d), V.users_incoming(spark, d))
-    acc = res["accepted"].select("seq", "name", "email", "country", F.lit("accepted").alias("status"),
-                                 F.lit(None).cast("string").alias("reason"))
-    rej = res["rejected"].select("seq", "name", "email", "country", F.lit("rejected").alias("status"), "reason")
-    return acc.unionByName(rej)
+    res = MS.admission(V.users_existing(spark, d), V.users_incoming(spark, d))
+    status = F.when(F.col("reason").isNull(), F.lit("accepted")).otherwise(F.lit("rejected"))
+    return res.select("seq", "name", "email", "country", status.alias("status"), "reason")
 
 
 @query("user_lookup")
@@ -330,7 +323,7 @@ def sorted_groups(spark, d):
 # ---------------------------------------------------------------- ML features
 
 
-_IRIS = ["SepalLengthCm", "SepalWidthCm", "PetalLengthCm", "PetalWidthCm"]
+_IRIS = V.MEASURES
 
 
 @query("string_index")
@@ -361,7 +354,7 @@ def assembled_features(spark, d):
     iris = V.iris(spark, d)
     out = FE.assembler(_IRIS).transform(iris)
     arr = vector_to_array_col("features")
-    return out.select("row_id", *[F.round(arr[i], 6).alias(f"f{i}") for i in range(4)])
+    return out.select("row_id", *[F.round(arr[i], 6).alias(f"f{i}") for i in range(len(_IRIS))])
 
 
 def _jobs_clean(spark, d):
@@ -389,14 +382,16 @@ def _words(spark, d):
 def tokens(spark, d):
     w = _words(spark, d)
     return w.select("doc_id", F.size("words").cast("long").alias("n_tokens"),
-                    F.size(F.array_distinct("words")).cast("long").alias("n_distinct"))
+                    F.size(F.array_distinct("words")).cast("long").alias("n_distinct"),
+                    F.array_join("words", "|").alias("words"))
 
 
 @query("stopword_filter")
 def stopword_filter(spark, d):
     w = _words(spark, d)
     return w.select("doc_id", F.size("filtered_words").cast("long").alias("n_kept"),
-                    F.size(F.array_distinct("filtered_words")).cast("long").alias("n_kept_distinct"))
+                    F.size(F.array_distinct("filtered_words")).cast("long").alias("n_kept_distinct"),
+                    F.array_join("filtered_words", "|").alias("kept"))
 
 
 @query("tfidf_terms")
@@ -432,7 +427,7 @@ def _iris_rule(spark, d):
     """Threshold baseline on one feature: the prediction source whose
     metrics the evaluators are checked on."""
     iris = V.iris(spark, d)
-    pred = F.least(F.lit(9), F.greatest(F.lit(0), F.floor((F.col("SepalLengthCm") + 0.4) * 12.5)))
+    pred = F.least(F.lit(9), F.greatest(F.lit(0), F.floor((F.col("m0") + 0.4) * 12.5)))
     lab = F.regexp_extract("Species", r"(\d+)$", 1).cast("double")
     return iris.select("row_id", lab.alias("label"), pred.cast("double").alias("prediction"), *_IRIS)
 
@@ -451,7 +446,7 @@ def eval_confusion(spark, d):
 
 
 def _scored_jobs(spark, d):
-    j = V.job_postings(spark, d)
+    j = V.job_postings(spark, d).filter(F.col("is_hourly").isNotNull())
     return j.select("doc_id", F.when(F.col("is_hourly") == "True", 1.0).otherwise(0.0).alias("label"),
                     (F.floor(F.col("budget_clean") / 100) / 100.0).alias("score"))
 
@@ -570,17 +565,29 @@ def kmeans_clusters(spark, d):
 
 @query("gmm_clusters")
 def gmm_clusters(spark, d):
+    bike, model = _gmm(spark, d)
+    return model.transform(bike).select("row_id", F.col("prediction").cast("long").alias("prediction"))
+
+
+def _gmm(spark, d):
     bike = V.bike_stations(spark, d).withColumn(
         "distance_from_center", FE.distance_from(F.col("latitude"), F.col("longitude")))
     stages = [FE.assembler(["latitude", "longitude", "distance_from_center"], "raw_features"),
               FE.scaler("raw_features", "features"), ML.gaussian_mixture(3)]
-    model = ML.fit_stages(stages, bike)
-    return model.transform(bike).select("row_id", F.col("prediction").cast("long").alias("prediction"))
+    return bike, ML.fit_stages(stages, bike)
+
+
+@query("gmm_log_likelihood")
+def gmm_log_likelihood(spark, d):
+    """Log-likelihood of the fitted mixture (one number)."""
+    _, model = _gmm(spark, d)
+    s = model.stages[-1].summary
+    return spark.createDataFrame([(float(s.logLikelihood), int(s.numIter))], "log_likelihood double, iterations int")
 
 
 @query("logreg_tfidf")
 def logreg_tfidf(spark, d):
-    jobs = V.job_postings(spark, d).withColumn(
+    jobs = V.job_postings(spark, d).filter(F.col("is_hourly").isNotNull()).withColumn(
         "is_hourly_bool", F.when(F.col("is_hourly") == "True", 1.0).otherwise(0.0))
     sp = FE.hash_split(jobs, F.col("doc_id"))
     stages = FE.text_stages("title") + [ML.logistic(label="is_hourly_bool")]
@@ -699,11 +706,7 @@ def streak_runs_balanced(spark, d):
 
 @query("order_documents_by_id")
 def order_documents_by_id(spark, d):
-    docs = M.to_documents(_stored_good_lines(spark, d), unique_id=True)
-    items = F.array_join(F.array_sort(F.transform(
-        "items", lambda x: F.concat_ws(":", x["menu_item"], x["price"].cast("string")))), "|")
-    return docs.select("_id", fmt_ts("datetime").alias("datetime"), "order_total",
-                       items.alias("items"), "part", "n_parts")
+    return _documents_out(M.to_documents(_good_lines(spark, d), unique_id=True))
 
 
 @query("nf_order_items_dedup")
@@ -715,3 +718,200 @@ def nf_order_items_dedup(spark, d):
 def keyword_flags_token(spark, d):
     flagged = FE.keyword_flags(_jobs_clean(spark, d), mode="token")
     return flagged.select("doc_id", *[f"has_{k}" for k in FE.SKILL_KEYWORDS])
+
+
+# ------------------------------------------------ models with their evaluators
+def _metrics(pred, label="label"):
+    """Accuracy and weighted F1 of fitted predictions."""
+    m = EV.accuracy_f1(pred.select(F.col(label).alias("label"), "prediction"))
+    return m.select(r6("accuracy").alias("accuracy"), r6("f1").alias("f1"))
+
+
+def _iris_scored(spark, d, estimator):
+    sp = _iris_split(spark, d)
+    return ML.fit_score([FE.string_indexer("Species", "label"), FE.assembler(_IRIS), estimator], sp["train"], sp["test"])[1]
+
+
+@query("logreg_multi_metrics")
+def logreg_multi_metrics(spark, d):
+    return _metrics(_iris_scored(spark, d, ML.logistic()))
+
+
+@query("decision_tree_metrics")
+def decision_tree_metrics(spark, d):
+    return _metrics(_iris_scored(spark, d, ML.decision_tree()))
+
+
+@query("logreg_tfidf_auc")
+def logreg_tfidf_auc(spark, d):
+    """Areas under ROC and PR of the fitted model's probabilities."""
+    jobs = V.job_postings(spark, d).filter(F.col("is_hourly").isNotNull()).withColumn(
+        "is_hourly_bool", F.when(F.col("is_hourly") == "True", 1.0).otherwise(0.0))
+    sp = FE.hash_split(jobs, F.col("doc_id"))
+    _, pred = ML.fit_score(FE.text_stages("title") + [ML.logistic(label="is_hourly_bool")], sp["train"], sp["test"])
+    scored = pred.select(F.col("is_hourly_bool").alias("label"), vector_to_array_col("probability")[1].alias("score"))
+    return EV.area_under_roc(scored).crossJoin(EV.area_under_pr(scored))  # one row each
+
+
+@query("naive_bayes_metrics")
+def naive_bayes_metrics(spark, d):
+    """Fit on the split, score the rest: accuracy and F1."""
+    sp = FE.hash_split(_nb_data(spark, d), F.col("doc_id"))
+    flags = [f"has_{k}" for k in FE.SKILL_KEYWORDS]
+    stages = [FE.string_indexer("country", "label"), FE.assembler(flags, "skills_features", "keep"),
+              ML.naive_bayes("skills_features", "label")]
+    return _metrics(ML.fit_score(stages, sp["train"], sp["test"])[1])
+
+
+def _random_forest_top(spark, d):
+    """The five most frequent body types from price, mileage, year and the
+    other categories, indexed, with 100 bins."""
+    cars = A.filter_top_categories(V.used_cars(spark, d), "Body Type", 5)
+    sp = FE.hash_split(cars, F.col("row_id"))
+    stages = [FE.string_indexer("Body Type", "label"),
+              *FE.index_strings_then_assemble(cars, ["Price", "Mileage", "Year", "Fuel Type", "Condition"]),
+              ML.random_forest(max_bins=100)]
+    return ML.fit_score(stages, sp["train"], sp["test"])[1]
+
+
+@query("random_forest_top_categories")
+def random_forest_top_categories(spark, d):
+    return _random_forest_top(spark, d).select("row_id", F.col("prediction").cast("long").alias("prediction"))
+
+
+@query("linreg_three_inputs")
+def linreg_three_inputs(spark, d):
+    """Price from mileage, year and an indexed category: RMSE, R2, MAE of
+    the held-out predictions."""
+    cars = V.used_cars(spark, d)
+    sp = FE.hash_split(cars, F.col("row_id"))
+    stages = [*FE.index_strings_then_assemble(cars, ["Mileage", "Year", "Condition"]), ML.linear_regression(label="Price")]
+    _, pred = ML.fit_score(stages, sp["train"], sp["test"])
+    m = EV.regression_metrics(pred.select(F.col("Price").alias("label"), "prediction"))
+    return m.select(F.round("rmse", 4).alias("rmse"), r6("r2").alias("r2"), F.round("mae", 4).alias("mae"))
+
+
+def _clustered(df, inputs, k, scaled=False):
+    stages = FE.index_strings_then_assemble(df, inputs, "raw_features" if scaled else "features")
+    if scaled:
+        stages = [*stages, FE.scaler("raw_features", "features")]
+    return ML.fit_stages([*stages, ML.kmeans(k)], df).transform(df)
+
+
+@query("kmeans_coordinates")
+def kmeans_coordinates(spark, d):
+    """Five clusters on coordinates, with each cluster's profile."""
+    c = _clustered(V.bike_stations(spark, d), ["latitude", "longitude"], 5)
+    p = A.group_profile(c, "prediction", ["latitude", "longitude"], "station_count")
+    return p.select(F.col("prediction").cast("long").alias("prediction"), r6("avg_latitude").alias("avg_latitude"),
+                    r6("avg_longitude").alias("avg_longitude"), "station_count")
+
+
+@query("kmeans_mixed")
+def kmeans_mixed(spark, d):
+    """Three clusters on text and number columns; rows per cluster and
+    category."""
+    jobs = V.job_postings(spark, d).select("doc_id", "payment_type", "country", "budget_clean", "hourly_rate")
+    c = _clustered(jobs, ["payment_type", "budget_clean", "hourly_rate"], 3)
+    return A.category_counts(c, "prediction", "country").select(
+        F.col("prediction").cast("long").alias("prediction"), "country", "count")
+
+
+@query("kmeans_scaled")
+def kmeans_scaled(spark, d):
+    """Four clusters on standardised columns and their silhouette."""
+    cars = V.used_cars(spark, d).select("row_id", "Price", "Mileage", F.col("Year").cast("double").alias("Year"))
+    c = _clustered(cars, ["Price", "Mileage", "Year"], 4, scaled=True)
+    return EV.silhouette(c).select(r6("silhouette").alias("silhouette"))
+
+
+# --------------------------------------------------- jobs and sinks read back
+@query("cleaning_job")
+def cleaning_job(spark, d):
+    """The whole cleaning job: partitioned Parquet of the good lines, read
+    back with partition discovery."""
+    root = scratch(spark, "clean")
+    Q.store_clean_orders(V.dirty_orders(spark, d), f"{root}/good", f"{root}/dead")
+    back = SR.read_parquet(spark, f"{root}/good/parquet")
+    return _orders_out(back.withColumn("date", F.col("date").cast("date")))
+
+
+@query("dead_letters_read_back")
+def dead_letters_read_back(spark, d):
+    root = scratch(spark, "dead")
+    Q.store_clean_orders(V.dirty_orders(spark, d), f"{root}/good", f"{root}/dead")
+    t = SR.read_csv_text(spark, f"{root}/dead")
+    return t.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("per_key_csv")
+def per_key_csv(spark, d):
+    """One CSV per video, read back from the folder (keys from its name)."""
+    path = scratch(spark, "per-key")
+    log = detection_log(spark, d)
+    SK.write_per_key_csv(log, path)
+    back = spark.read.option("header", True).csv(path)
+    kinds = {f.name: f.dataType for f in log.schema.fields}
+    return back.select(*[F.col(c).cast(kinds[c]).alias(c) for c in log.columns])
+
+
+@query("documents_read_back")
+def documents_read_back(spark, d):
+    path = scratch(spark, "documents")
+    docs = M.to_documents(_good_lines(spark, d))
+    SK.write_documents(docs, path, fmt="json")
+    return _documents_out(spark.read.schema(docs.schema).json(path))
+
+
+@query("label_lines_read_back")
+def label_lines_read_back(spark, d):
+    path = scratch(spark, "labels")
+    lb = B.box_labels(V.clicks(spark, d))
+    SK.write_label_lines(lb, path)
+    return spark.read.option("recursiveFileLookup", False).text(path).select("name", F.col("value").alias("label_line"))
+
+
+@query("minute_files_read_back")
+def minute_files_read_back(spark, d):
+    """Records in one folder per minute batch; rows per file name."""
+    path = scratch(spark, "minutes")
+    ue = V.user_events(spark, d)
+    w = F.window(F.try_to_timestamp("created_at"), "1 minute")
+    named = ue.withColumn("file_name", F.concat(F.lit("users_"), F.date_format(w["end"], "yyyyMMdd_HHmmss"), F.lit(".jsonl")))
+    # folders per hour of the day keep the number of files bounded in the test tables
+    hourly = named.withColumn("hour_file", F.concat(F.substring("file_name", 1, 17), F.lit("00.jsonl")))
+    SK.write_batches_as_files(hourly.select("id", "email", "file_name", "hour_file"), path, "hour_file")
+    return (spark.read.json(path).groupBy("hour_file")
+            .agg(F.count(F.lit(1)).alias("n_records"), F.countDistinct("file_name").alias("n_minutes")))
+
+
+@query("decode_rejects")
+def decode_rejects(spark, d):
+    """Messages that do not parse: every seventh one is cut short."""
+    cut = F.when(F.col("seq") % 7 == 0, F.expr("substring(value, 1, length(value) - 5)")).otherwise(F.col("value"))
+    msgs = MS.to_messages(V.user_events(spark, d).select(*_USER_COLS, "seq"), "country",
+                          value_cols=_USER_COLS + ["seq"])
+    msgs = msgs.withColumn("value", F.col("value").cast("string"))
+    msgs = msgs.withColumn("seq", F.get_json_object("value", "$.seq").cast("long")).select("key", cut.cast("binary").alias("value"))
+    return MS.decode_messages(msgs)["bad"].select("msg_key", F.length("raw").cast("long").alias("n_chars"))
+
+
+@query("id_check")
+def id_check(spark, d):
+    """Ids in the table's pattern: every customer's hash as an id, without
+    its last character for every fifth."""
+    h = F.md5(F.col("c_custkey").cast("string").cast("binary"))
+    parts = [F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
+    uid = F.concat_ws("-", *parts)
+    uid = F.when(F.col("c_custkey") % 5 == 0, F.substring(uid, 1, 35)).otherwise(uid)
+    cu = load_table(spark, d, "customer").select("c_custkey", uid.alias("id"))
+    return cu.select("c_custkey", "id", MS.is_uuid(F.col("id")).alias("valid"))
+
+
+@query("key_partitions")
+def key_partitions(spark, d):
+    """A key-partitioned topic: messages per key, and in how many
+    partitions each key lies (one)."""
+    p = MS.partition_by_key(_messages(spark, d), 10).withColumn("p", F.spark_partition_id())
+    return p.groupBy(F.col("key").cast("string").alias("key")).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("p").alias("n_partitions"))

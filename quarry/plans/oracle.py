@@ -7,6 +7,8 @@ stated in each operator's docstring."""
 
 from __future__ import annotations
 
+from quarry.operators.features import ENGLISH_STOP_WORDS, SKILL_KEYWORDS
+
 TS = "'%Y-%m-%d %H:%M:%S.%f'"
 
 SQL: dict[str, str] = {}
@@ -109,14 +111,15 @@ WHERE Order_id IS NOT NULL AND city IS NOT NULL AND country IS NOT NULL AND faci
   AND datetime IS NOT NULL AND date IS NOT NULL"""
 
 _JOBS = """
-jobs AS (SELECT d.doc_id, d.text AS title,
+jobs AS (SELECT d.doc_id,
+                d.text || CASE WHEN d.doc_id % 3 = 0 THEN ' ' || __SKILLS__[CAST(d.doc_id % 18 AS INTEGER) + 1] ELSE '' END AS title,
                 CASE WHEN d.lang = 'de' THEN 'NULL' WHEN d.lang = 'es' THEN '' ELSE upper(d.lang) END AS country,
                 d.source AS payment_type,
-                CASE WHEN l.quality = 1 THEN 'True' ELSE 'False' END AS is_hourly,
+                CASE l.quality WHEN 1 THEN 'True' WHEN 0 THEN 'False' END AS is_hourly,
                 CAST(d.n_chars AS DOUBLE) AS budget_clean,
                 length(d.text) / 100.0 AS hourly_rate
-         FROM documents d JOIN labels l ON d.doc_id = l.doc_id)
-"""
+         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+""".replace("__SKILLS__", "[" + ", ".join(f"'{k}'" for k in SKILL_KEYWORDS) + "]")
 SQL["missing_country_filter"] = f"""WITH {_JOBS}
 SELECT doc_id, country FROM jobs WHERE country IS NOT NULL AND country NOT IN ('NULL', '')"""
 
@@ -137,8 +140,8 @@ SELECT CAST(ROW_NUMBER() OVER (ORDER BY Order_id NULLS FIRST, menu_item NULLS FI
 _STAR = _GOOD + """,
 dim_city AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY city NULLS FIRST, country NULLS FIRST) AS BIGINT) AS city_key,
                     city, country FROM (SELECT DISTINCT city, country FROM good)),
-fac AS (SELECT facility_name, city, country, MIN(lat) AS lat, MIN(lng) AS lng
-        FROM good GROUP BY facility_name, city, country),
+fac AS (SELECT facility_name, city, country, lat, lng FROM (
+          SELECT *, ROW_NUMBER() OVER (PARTITION BY facility_name, city, country ORDER BY lat, lng) AS rn FROM good) WHERE rn = 1),
 dim_facility AS (
   SELECT CAST(ROW_NUMBER() OVER (ORDER BY f.facility_name NULLS FIRST, c.city_key NULLS FIRST) AS BIGINT) AS facility_key,
          f.facility_name, c.city_key, f.lat, f.lng
@@ -166,9 +169,7 @@ SQL["order_documents"] = f"""WITH {_GOOD}
 SELECT Order_id AS _id, city, country, facility_name, lat, lng,
        strftime(MIN(datetime), {TS}) AS datetime, CAST(SUM(price) AS BIGINT) AS order_total,
        string_agg(concat_ws(':', menu_item, CAST(price AS VARCHAR)), '|'
-                  ORDER BY concat_ws(':', menu_item, CAST(price AS VARCHAR))) AS items,
-       CAST(0 AS BIGINT) AS part,
-       CAST(greatest(1, ceil(COUNT(*) / 100000.0)) AS BIGINT) AS n_parts
+                  ORDER BY concat_ws(':', menu_item, CAST(price AS VARCHAR))) AS items
 FROM good GROUP BY Order_id, city, country, facility_name, lat, lng"""
 
 # ---------------------------------------------------------------- detections
@@ -299,8 +300,6 @@ SELECT condition, round(avg_price, 6) AS avg_price, count,
        CAST(ROW_NUMBER() OVER (ORDER BY avg_price DESC, condition) AS BIGINT) AS pos FROM g"""
 
 # ---------------------------------------------------------------- ML features
-from quarry.operators.features import ENGLISH_STOP_WORDS, SKILL_KEYWORDS  # noqa: E402
-
 _STOP = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH_STOP_WORDS) + "]"
 
 SQL["string_index"] = f"""WITH {_CARS}
@@ -311,10 +310,8 @@ s AS (SELECT AVG(Price) mp, STDDEV_SAMP(Price) sp, AVG(Mileage) mm, STDDEV_SAMP(
              AVG(CAST(Year AS DOUBLE)) my, STDDEV_SAMP(CAST(Year AS DOUBLE)) sy FROM cars)
 SELECT row_id, round((Price - mp) / sp, 6) AS z_price, round((Mileage - mm) / sm, 6) AS z_mileage,
        round((CAST(Year AS DOUBLE) - my) / sy, 6) AS z_year FROM cars, s"""
-SQL["assembled_features"] = """SELECT vec_id AS row_id,
-       round(CAST(embedding[1] AS DOUBLE), 6) AS f0, round(CAST(embedding[2] AS DOUBLE), 6) AS f1,
-       round(CAST(embedding[3] AS DOUBLE), 6) AS f2, round(CAST(embedding[4] AS DOUBLE), 6) AS f3
-FROM embeddings"""
+SQL["assembled_features"] = "SELECT vec_id AS row_id, " + ", ".join(
+    f"round(CAST(embedding[{i + 1}] AS DOUBLE), 6) AS f{i}" for i in range(64)) + " FROM embeddings"
 _CLEAN = _JOBS + """,
 cj AS (SELECT *, lower(regexp_replace(title, '[^a-zA-Z\\s]', '', 'g')) AS clean_title FROM jobs)
 """
@@ -326,9 +323,11 @@ tk AS (SELECT doc_id, string_split_regex(regexp_replace(lower(title), '\\s+$', '
 fw AS (SELECT doc_id, words, list_filter(words, lambda x: NOT list_contains({_STOP}, x)) AS kept FROM tk)
 """
 SQL["tokens"] = f"""WITH {_TOK}
-SELECT doc_id, CAST(len(words) AS BIGINT) AS n_tokens, CAST(len(list_distinct(words)) AS BIGINT) AS n_distinct FROM tk"""
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_tokens, CAST(len(list_distinct(words)) AS BIGINT) AS n_distinct,
+       array_to_string(words, '|') AS words FROM tk"""
 SQL["stopword_filter"] = f"""WITH {_TOK}
-SELECT doc_id, CAST(len(kept) AS BIGINT) AS n_kept, CAST(len(list_distinct(kept)) AS BIGINT) AS n_kept_distinct FROM fw"""
+SELECT doc_id, CAST(len(kept) AS BIGINT) AS n_kept, CAST(len(list_distinct(kept)) AS BIGINT) AS n_kept_distinct,
+       array_to_string(kept, '|') AS kept FROM fw"""
 SQL["hashed_tf"] = f"WITH {_TOK} SELECT doc_id, CAST(len(kept) AS BIGINT) AS total_tf FROM fw"
 SQL["tfidf_terms"] = f"""WITH {_TOK},
 terms AS (SELECT doc_id, unnest(kept) AS term FROM fw),
@@ -354,9 +353,7 @@ FROM bike"""
 _RULE = """
 ir AS (SELECT vec_id AS row_id, CAST(label AS DOUBLE) AS label,
               CAST(least(9, greatest(0, floor((CAST(embedding[1] AS DOUBLE) + 0.4) * 12.5))) AS DOUBLE) AS prediction,
-              CAST(embedding[1] AS DOUBLE) AS x0, CAST(embedding[2] AS DOUBLE) AS x1,
-              CAST(embedding[3] AS DOUBLE) AS x2, CAST(embedding[4] AS DOUBLE) AS x3
-       FROM embeddings)
+              embedding FROM embeddings)
 """
 SQL["eval_confusion"] = f"""WITH {_RULE}
 SELECT CAST(label AS BIGINT) AS label, CAST(prediction AS BIGINT) AS prediction, COUNT(*) AS count
@@ -370,7 +367,7 @@ SELECT round(SUM(tp) / SUM(n), 6) AS accuracy,
        round(SUM(n * CASE WHEN tp = 0 THEN 0.0 ELSE 2.0 * tp / (pp + n) END) / SUM(n), 6) AS f1 FROM st"""
 _SCORED = _JOBS + """,
 sj AS (SELECT doc_id, CASE WHEN is_hourly = 'True' THEN 1 ELSE 0 END AS label,
-              floor(budget_clean / 100) / 100.0 AS score FROM jobs),
+              floor(budget_clean / 100) / 100.0 AS score FROM jobs WHERE is_hourly IS NOT NULL),
 sc AS (SELECT score AS s, SUM(label) AS pos, SUM(1 - label) AS neg FROM sj GROUP BY score)
 """
 SQL["eval_auc"] = f"""WITH {_SCORED},
@@ -384,16 +381,18 @@ p AS (SELECT pos, tp, tp - pos AS tp0, tp / (tp + fp) AS pc,
                   ELSE (tp - pos) / ((tp - pos) + (fp - neg)) END AS pp FROM c)
 SELECT round(SUM((tp - tp0) * (pc + pp) / 2.0) / SUM(pos), 6) AS aupr FROM p"""
 SQL["eval_silhouette"] = f"""WITH {_RULE},
-pt AS (SELECT label AS c, x0, x1, x2, x3, x0*x0 + x1*x1 + x2*x2 + x3*x3 AS nn FROM ir),
-cl AS (SELECT c, COUNT(*) AS n, SUM(nn) AS psi, SUM(x0) y0, SUM(x1) y1, SUM(x2) y2, SUM(x3) y3 FROM pt GROUP BY c),
-d AS (SELECT p.c AS own, cl.c AS other, cl.n,
-             cl.n * p.nn - 2 * (p.x0 * cl.y0 + p.x1 * cl.y1 + p.x2 * cl.y2 + p.x3 * cl.y3) + cl.psi AS tot,
-             p.x0, p.x1, p.x2, p.x3 FROM pt p, cl),
-ab AS (SELECT own, x0, x1, x2, x3,
-              MAX(CASE WHEN own = other THEN tot / greatest(n - 1, 1) END) AS a,
+pt AS (SELECT row_id, label AS c, i, CAST(embedding[i] AS DOUBLE) AS x
+       FROM ir, (SELECT unnest(range(1, 65)) AS i) AS r),
+nn AS (SELECT row_id, c, SUM(x * x) AS nn FROM pt GROUP BY row_id, c),
+cl AS (SELECT c, COUNT(*) AS n, SUM(nn) AS psi FROM nn GROUP BY c),
+cy AS (SELECT c, i, SUM(x) AS y FROM pt GROUP BY c, i),
+dot AS (SELECT p.row_id, cy.c AS other, SUM(p.x * cy.y) AS xy FROM pt p JOIN cy ON p.i = cy.i GROUP BY p.row_id, cy.c),
+d AS (SELECT nn.row_id, nn.c AS own, cl.c AS other, cl.n, cl.n * nn.nn - 2 * dot.xy + cl.psi AS tot
+      FROM nn JOIN dot ON nn.row_id = dot.row_id JOIN cl ON cl.c = dot.other),
+ab AS (SELECT row_id, MAX(CASE WHEN own = other THEN tot / greatest(n - 1, 1) END) AS a,
               MAX(CASE WHEN own = other THEN n END) AS own_n,
               MIN(CASE WHEN own <> other THEN tot / n END) AS b
-       FROM d GROUP BY own, x0, x1, x2, x3)
+       FROM d GROUP BY row_id)
 SELECT round(AVG(CASE WHEN own_n = 1 THEN 0.0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0.0 END), 6)
        AS silhouette FROM ab"""
 SQL["eval_regression"] = f"""WITH {_CARS},
@@ -461,8 +460,7 @@ SQL["streak_runs_balanced"] = SQL["streak_runs"]
 SQL["order_documents_by_id"] = f"""WITH {_GOOD}
 SELECT Order_id AS _id, strftime(MIN(datetime), {TS}) AS datetime, CAST(SUM(price) AS BIGINT) AS order_total,
        string_agg(concat_ws(':', menu_item, CAST(price AS VARCHAR)), '|'
-                  ORDER BY concat_ws(':', menu_item, CAST(price AS VARCHAR))) AS items,
-       CAST(0 AS BIGINT) AS part, CAST(greatest(1, ceil(COUNT(*) / 100000.0)) AS BIGINT) AS n_parts
+                  ORDER BY concat_ws(':', menu_item, CAST(price AS VARCHAR))) AS items
 FROM good GROUP BY Order_id"""
 SQL["nf_order_items_dedup"] = f"""WITH {_GOOD}
 SELECT CAST(ROW_NUMBER() OVER (ORDER BY Order_id NULLS FIRST, menu_item NULLS FIRST) AS BIGINT) AS order_item_id,
@@ -471,3 +469,25 @@ _TFLAGS = ", ".join(
     f"CASE WHEN list_contains(string_split_regex(clean_title, '\\s+'), '{k}') THEN 1 ELSE 0 END AS has_{k}"
     for k in SKILL_KEYWORDS)
 SQL["keyword_flags_token"] = f"WITH {_CLEAN} SELECT doc_id, {_TFLAGS} FROM cj"
+
+# --------------------------------------------------- jobs and sinks read back
+SQL["cleaning_job"] = SQL["clean_good"]
+SQL["dead_letters_read_back"] = f"""WITH {_DIRTY}
+SELECT reject_reason, COUNT(*) AS n FROM tagged WHERE reject_reason <> '' GROUP BY reject_reason"""
+SQL["per_key_csv"] = SQL["detection_log"]
+SQL["documents_read_back"] = SQL["order_documents"]
+SQL["label_lines_read_back"] = SQL["bbox_labels"].replace(""" AS label_line,
+       CAST(printf('%.6f', cxn) AS DOUBLE) AS cx_n, CAST(printf('%.6f', cyn) AS DOUBLE) AS cy_n,
+       CAST(printf('%.6f', wn) AS DOUBLE) AS w_n, CAST(printf('%.6f', hn) AS DOUBLE) AS h_n""", " AS label_line")
+SQL["minute_files_read_back"] = f"""WITH {_USERS},
+t AS (SELECT time_bucket(INTERVAL '1 minute', CAST(created_at AS TIMESTAMP)) + INTERVAL '1 minute' AS e FROM ue)
+SELECT 'users_' || strftime(e, '%Y%m%d_%H') || '00.jsonl' AS hour_file, COUNT(*) AS n_records,
+       COUNT(DISTINCT e) AS n_minutes FROM t GROUP BY 1"""
+SQL["decode_rejects"] = f"""WITH {_USERS}
+SELECT country AS msg_key, length(to_json({{'id': id, 'name': name, 'email': email, 'country': country,
+       'created_at': created_at, 'seq': seq}})::VARCHAR) - 5 AS n_chars FROM ue WHERE seq % 7 = 0"""
+SQL["id_check"] = """WITH h AS (SELECT c_custkey, md5(CAST(c_custkey AS VARCHAR)) AS h FROM customer),
+u AS (SELECT c_custkey, concat_ws('-', h[1:8], h[9:12], h[13:16], h[17:20], h[21:32]) AS u FROM h)
+SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN u[1:35] ELSE u END AS id, c_custkey % 5 <> 0 AS valid FROM u"""
+SQL["key_partitions"] = f"""WITH {_USERS}
+SELECT country AS key, COUNT(*) AS n, CAST(1 AS BIGINT) AS n_partitions FROM ue GROUP BY country"""

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.operators.features import SKILL_KEYWORDS
 from quarry.sources.tables import load_table
 
 # Fixed values of the derivations (shared with the SQL oracle).
@@ -21,10 +22,18 @@ EPOCH = "2024-01-01 00:00:00"
 VIDEO_FPS = [24.0, 25.0, 30.0, 0.0]       # fps by pmod(user_id, 4); 0 → default 30
 FRAME_WIDTH, FRAME_HEIGHT = 640, 480
 BOX_SIDE = 32
+MEASURES = [f"m{i}" for i in range(64)]   # the components of an embedding
+
+
+#: Derived inputs of these tables are dealt out by a key of theirs before
+#: the derivation (a filter on the result still reaches the scan): the jobs'
+#: own inputs would be many files, the driver's tables are single row groups.
+DEAL_BY = {"lineitem": "l_orderkey", "events": "event_id", "documents": "doc_id"}
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return load_table(spark, d, name)
+    t = load_table(spark, d, name)
+    return t.repartition(DEAL_BY[name]) if name in DEAL_BY else t
 
 
 def event_log(spark: SparkSession, d: str) -> DataFrame:
@@ -165,9 +174,8 @@ def users_incoming(spark: SparkSession, d: str) -> DataFrame:
 
 def iris(spark: SparkSession, d: str) -> DataFrame:
     em = _t(spark, d, "embeddings")
-    cols = ["SepalLengthCm", "SepalWidthCm", "PetalLengthCm", "PetalWidthCm"]
     return em.select(F.col("vec_id").alias("row_id"),
-                     *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cols)],
+                     *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(MEASURES)],
                      F.concat(F.lit("class_"), F.col("label").cast("string")).alias("Species"))
 
 
@@ -180,15 +188,20 @@ def bike_stations(spark: SparkSession, d: str) -> DataFrame:
 
 
 def job_postings(spark: SparkSession, d: str) -> DataFrame:
-    """Labelled documents as job postings: title = whole text."""
+    """Documents as job postings: title = whole text, a skill word after
+    every third one; ``is_hourly`` is NULL for unlabelled documents."""
     do = _t(spark, d, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     la = _t(spark, d, "labels").select("doc_id", "quality")
+    skill = F.element_at(F.array(*[F.lit(k) for k in SKILL_KEYWORDS]),
+                         (F.col("doc_id") % len(SKILL_KEYWORDS) + 1).cast("int"))
+    title = F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit(" "), skill)).otherwise(F.col("text"))
     country = F.when(F.col("lang") == "de", F.lit("NULL")) \
         .when(F.col("lang") == "es", F.lit("")).otherwise(F.upper("lang"))
-    return (do.join(la, "doc_id")
-              .select("doc_id", F.col("text").alias("title"), country.alias("country"),
+    return (do.join(la, "doc_id", "left")
+              .select("doc_id", title.alias("title"), country.alias("country"),
                       F.col("source").alias("payment_type"),
-                      F.when(F.col("quality") == 1, F.lit("True")).otherwise(F.lit("False")).alias("is_hourly"),
+                      F.when(F.col("quality") == 1, F.lit("True")).when(F.col("quality") == 0, F.lit("False"))
+                       .alias("is_hourly"),
                       F.col("n_chars").cast("double").alias("budget_clean"),
                       (F.length("text") / F.lit(100.0)).alias("hourly_rate")))
 

@@ -7,7 +7,7 @@ import os
 import re
 import tempfile
 
-from pyspark import SparkConf
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -19,7 +19,12 @@ def build_session(master: str | None = None, app: str = "quarry",
     (``spark-submit --master/--conf``, defaults file) wins; the master is
     set only when asked for, or when nothing else names one. ``extra`` and
     explicit arguments are the caller's wish and always apply."""
-    given = SparkConf()
+    memory = os.environ.get("QUARRY_DRIVER_MEMORY", "16g")
+    if not os.environ.get("PYSPARK_SUBMIT_ARGS"):
+        # the JVM's memory is set when it starts, before any session setting
+        SparkContext._ensure_initialized(conf=SparkConf(loadDefaults=False).set("spark.driver.memory", memory))
+    SparkContext._ensure_initialized()
+    given = SparkConf()  # with the JVM up: what the launcher and the defaults file set
     cpus = os.environ.get("BENCH_CPUS") or str(os.cpu_count() or 8)
     conf = {
         "spark.app.name": app,
@@ -30,7 +35,6 @@ def build_session(master: str | None = None, app: str = "quarry",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": os.environ.get("QUARRY_DRIVER_MEMORY", "16g"),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     conf = {k: v for k, v in conf.items() if not given.contains(k)}

@@ -1,14 +1,6 @@
 """Loading the parquet tables of a data directory (one ``<name>.parquet``
-per table). Column selection is left to Catalyst: callers project what they
-need and the scan's ReadSchema shrinks accordingly.
-
-Scan parallelism: a scan yields one task per file split. On a cluster a big
-table has thousands of splits; a small file written as a single row group
-yields ONE task, and every narrow operator after it (broadcast joins,
-projections, filters) would then run on one core. ``spread`` detects a
-scan with at most half as many splits as the session's parallelism and
-spreads it once (hash of a row id); scans that are already wide are left
-untouched (no extra shuffle).
+per table). Column selection and filters are left to Catalyst: callers
+project and filter what they need and both reach the scan.
 """
 
 from __future__ import annotations
@@ -18,56 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark", "labels", "conversations")
-# Dimension-like tables whose size is small by construction: never spread.
-SMALL_TABLES = frozenset({"region", "nation", "supplier", "labels", "benchmark"})
-
-
-_SPLITS: dict[str, int] = {}
-
-
-def _scan_splits(df: DataFrame, path: str | None) -> int | None:
-    """Split count of a file scan (memoized per path for the session);
-    None when the session cannot tell (e.g. no RDD access)."""
-    if path is not None and path in _SPLITS:
-        return _SPLITS[path]
-    try:
-        n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 — sessions without RDD access
-        return None
-    if path is not None:
-        _SPLITS[path] = n
-    return n
-
-
-def spread(df: DataFrame, min_partitions: int | None = None, path: str | None = None,
-           max_fanout: int = 16) -> DataFrame:
-    """Spread ``df`` if its scan is clearly narrower than the cluster (at
-    most half the default parallelism): into ``2 × parallelism``
-    partitions, but never more than ``max_fanout`` pieces per input split,
-    so a small table is not shredded into tiny partitions. A scan already
-    about as wide as the cluster is left alone (no shuffle). Rows are
-    hash-partitioned on a per-row id (unique, so balanced; derived from the
-    scan position, so a retried task sends every row to the same place) —
-    unlike round-robin, no local sort."""
-    from pyspark.sql import functions as F
-    try:
-        parallelism = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001
-        return df
-    n = _scan_splits(df, path)
-    if n is not None and 2 * n <= parallelism:
-        return df.repartition(min(2 * parallelism, max_fanout * max(n, 1)), F.monotonically_increasing_id())
-    return df
 
 
-def load_table(spark: SparkSession, data_dir: str, name: str, widen: bool = True) -> DataFrame:
+def load_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    path = f"{data_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    if widen and name not in SMALL_TABLES:
-        df = spread(df, path=path)
-    return df
+    return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
 
 
 def register_tables(spark: SparkSession, data_dir: str, names=TABLES) -> None:

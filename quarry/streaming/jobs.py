@@ -13,6 +13,7 @@ a static or a streaming DataFrame).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,11 +67,12 @@ class KeyedUpsertSink:
 
     def _snapshot(self, spark: SparkSession) -> tuple[DataFrame | None, int]:
         """Latest compacted snapshot and the last batch id it contains."""
-        marker = f"{self.root}/_snapshot"
         try:
-            row = spark.read.json(marker).first()
-        except Exception:  # noqa: BLE001 — no snapshot yet
-            return None, -1
+            row = spark.read.json(f"{self.root}/_snapshot").first()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None, -1  # not compacted yet
         if row is None:
             return None, -1
         return spark.read.parquet(row["path"]), int(row["upto"])
@@ -97,16 +99,33 @@ class KeyedUpsertSink:
         latest_by_key(rows, self.keys, self.order).write.mode("overwrite").parquet(path)
         spark.createDataFrame([(path, int(upto))], "path string, upto long") \
             .coalesce(1).write.mode("overwrite").json(f"{self.root}/_snapshot")
+        self._prune(spark, int(upto))
         return int(upto)
 
+    def _prune(self, spark: SparkSession, upto: int) -> None:
+        """Remove log batches that the snapshot holds, except the newest (it
+        keeps the log readable and may still be replayed)."""
+        jvm = spark.sparkContext._jvm
+        log = jvm.org.apache.hadoop.fs.Path(f"{self.root}/log")
+        fs = log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for st in fs.listStatus(log):
+            name = st.getPath().getName()
+            if name.startswith("batch_id=") and int(name.partition("=")[2]) < upto:
+                fs.delete(st.getPath(), True)
+
 
 def start_upsert(spark: SparkSession, messages: DataFrame, sink: KeyedUpsertSink, checkpoint: str,
                  schema: T.StructType = USER_EVENT_SCHEMA, trigger: dict | None = None,
                  extra_cols: list[str] | None = None) -> StreamingQuery:
-    """Decode a message stream and upsert it by key."""
-    dec = decode_messages(messages, schema, keep=extra_cols)["good"].drop("msg_key")
-    dec = dec.withColumn("ingested_at", F.current_timestamp())
-    w = dec.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    """Decode a message stream and upsert it by key. Messages that do not
+    parse go to ``<root>/dead_letters/batch_id=<n>`` in the same batch
+    (overwritten when a batch is replayed, so each is kept once)."""
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        dec = decode_messages(batch, schema, keep=extra_cols)
+        sink(dec["good"].drop("msg_key").withColumn("ingested_at", F.current_timestamp()), batch_id)
+        dec["bad"].write.mode("overwrite").parquet(f"{sink.root}/dead_letters/batch_id={batch_id}")
+
+    w = messages.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
 
 

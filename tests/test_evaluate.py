@@ -101,10 +101,8 @@ def test_hash_split_deterministic(spark):
     assert 0.67 < a.count() / 5000 < 0.73
 
 
-def test_cumulative_sums_both_paths(spark):
+def test_cumulative_sums(spark):
     from quarry.operators.ordered import cumulative_sums
     df = spark.range(0, 3000).select((F.col("id") * 7 % 3000).alias("k"), F.lit(1).alias("one"))
-    for small in (0, 10_000):
-        rows = sorted((r.k, r.cum_one) for r in cumulative_sums(df, [F.col("k").asc()], ["one"],
-                                                                small_rows=small).collect())
-        assert rows == [(k, k + 1) for k in range(3000)]
+    rows = sorted((r.k, r.cum_one) for r in cumulative_sums(df, [F.col("k").asc()], ["one"]).collect())
+    assert rows == [(k, k + 1) for k in range(3000)]

@@ -86,3 +86,9 @@ def test_latest_by_key_hot_key(spark):
         F.lit("FR").alias("country"), F.col("id").alias("seq"), F.col("id").cast("string").alias("name"))
     lt = {r.id: r.seq for r in MS.latest_by_key(df.repartition(7), ["country", "id"], ["seq"]).collect()}
     assert lt["hot"] == 2997 and len(lt) == n - n // 3 + 1
+
+
+def test_unreadable_time_does_not_abort(spark):
+    df = spark.createDataFrame([("2024-01-01T00:00:05.000000",), ("yesterday",), (None,)], "created_at string")
+    assert [r.n_records for r in MS.minute_batches(df).collect()] == [1]
+    assert MS.unreadable_times(df).count() == 2

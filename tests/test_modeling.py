@@ -76,26 +76,38 @@ def test_documents_totals_and_grouping(spark):
     assert sum(d.order_total for d in one) == sum(r[7] for r in ROWS)
 
 
-def test_documents_split_large_groups(spark):
-    lines = spark.range(0, 1000).select(F.lit(7).cast("long").alias("Order_id"),
-                                        F.lit("c").alias("city"), F.lit("x").alias("country"),
-                                        F.lit("f").alias("facility_name"), F.lit(1.0).alias("lat"),
-                                        F.lit(1.0).alias("lng"), F.concat(F.lit("i"), F.col("id").cast("string")).alias("menu_item"),
-                                        F.lit(1).alias("price"), F.lit(datetime(2024, 1, 1)).alias("datetime"))
-    docs = M.to_documents(lines, max_items_per_doc=100).collect()
-    assert len(docs) >= 10 and all(d.n_parts == 10 for d in docs)
-    assert sum(len(d["items"]) for d in docs) == 1000
-    assert all(d.order_total == 1000 for d in docs)
-    assert max(len(d["items"]) for d in docs) <= 200        # parts stay near the limit
-
-
-def test_assign_keys_distributed_path(spark):
+def test_one_document_for_any_group_size(spark):
+    lines = spark.range(0, 100_001).select(F.lit(7).cast("long").alias("Order_id"),
+                                           F.lit("c").alias("city"), F.lit("x").alias("country"),
+                                           F.lit("f").alias("facility_name"), F.lit(1.0).alias("lat"),
+                                           F.lit(1.0).alias("lng"), F.concat(F.lit("i"), F.col("id").cast("string")).alias("menu_item"),
+                                           F.lit(1).alias("price"), F.lit(datetime(2024, 1, 1)).alias("datetime"))
+    docs = M.to_documents(lines).select("_id", "order_total", F.size("items").alias("n")).collect()
+    assert [(d._id, d.order_total, d.n) for d in docs] == [(7, 100_001, 100_001)]
+
+
+def test_facility_coordinates_come_from_one_row(spark):
+    rows = [(1, "c", "x", "f", 1.0, 9.0, "m", 1, datetime(2024, 1, 1)), (2, "c", "x", "f", 5.0, 2.0, "m", 1, datetime(2024, 1, 1))]
+    df = spark.createDataFrame(rows, "Order_id long, city string, country string, facility_name string, lat double, "
+                                     "lng double, menu_item string, price int, datetime timestamp")
+    fac = M.to_star(df)["dim_facility"].collect()
+    assert [(r.lat, r.lng) for r in fac] == [(1.0, 9.0)]
+
+
+def test_assign_keys_distributed(spark):
     df = spark.range(0, 3000).select((F.col("id") * 7919 % 3000).alias("k"))
     for n in (1, 5):
-        keyed = M.assign_keys(df.repartition(n), ["k"], "key", small_rows=10)
+        keyed = M.assign_keys(df.repartition(n), ["k"], "key")
         assert sorted((r.k, r.key) for r in keyed.collect()) == [(k, k + 1) for k in range(3000)]
 
 
+def test_descending_text_order(spark):
+    from quarry.operators.aggregates import ordered
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("c",)], "t string")
+    got = {r.t: r.pos for r in ordered(df, ["-t"]).collect()}
+    assert got == {"c": 1, "b": 2, "a": 3, None: 4}
+
+
 def test_hash_keys_checked_for_collisions(spark):
     import pytest
     df = spark.range(0, 500).select(F.col("id").cast("string").alias("k"))

@@ -107,3 +107,14 @@ def test_upsert_compaction(spark, tmp):
     ST.start_upsert(spark, msgs(), sink, ck, trigger={"availableNow": True}).awaitTermination()
     cur = {(r.country, r.id): r.name for r in sink.current(spark).collect()}
     assert cur == {("FR", "1"): "A2", ("DE", "2"): "B", ("FR", "3"): "C"}
+
+
+def test_unparsed_messages_are_dead_letters(spark, tmp):
+    good = json.dumps({"id": "1", "name": "n", "email": "e@x.io", "country": "FR", "created_at": "2024-01-01T00:00:00"})
+    spark.createDataFrame([("FR", good), ("FR", good[:-9])], "key string, value string").coalesce(1).write.parquet(f"{tmp}/in")
+    msgs = spark.readStream.schema("key string, value string").parquet(f"{tmp}/in").select(
+        F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"))
+    sink = ST.KeyedUpsertSink(f"{tmp}/t", ["country", "id"], ["created_at"])
+    ST.start_upsert(spark, msgs, sink, f"{tmp}/ck", trigger={"availableNow": True}).awaitTermination()
+    assert sink.current(spark).count() == 1
+    assert [r.raw for r in spark.read.parquet(f"{tmp}/t/dead_letters").collect()] == [good[:-9]]
