@@ -30,7 +30,7 @@ ROLES = ("system", "user", "assistant")
 #: Roles read as another one; any other role, or none, is unknown.
 ALIASES = {"human": "user", "prompter": "user", "bot": "assistant", "ai": "assistant", "gpt": "assistant", "model": "assistant"}
 #: What an edit costs. An unknown role takes any label at ``name``.
-COSTS = {"merge": 2, "name": 1, "relabel": 5, "merge_other": 6, "insert": 4}
+COSTS = {"merge": 1, "name": 1, "relabel": 8, "merge_other": 9, "insert": 3}
 
 START, SYSTEM, USER, ASSISTANT = range(4)
 _NEXT = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}

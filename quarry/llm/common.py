@@ -40,10 +40,20 @@ def drop_stored(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Bytes of an Arrow batch sent to a Python worker, where nobody chose.
+BATCH_BYTES = 8 << 20
+
+
 def need(df: DataFrame, *cols: str) -> None:
+    """Check the input of an operator: it has the columns, and its session
+    sends texts to Python workers in batches of a few MB (Spark's own bound
+    of 64 MB is held several times over by the JVM and a worker)."""
     missing = [c for c in cols if c not in df.columns]
     if missing:
         raise ValueError(f"columns {missing} not in {df.columns}")
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(key, "67108864b") in ("67108864b", "67108864", "64m", "64MB"):
+        conf.set(key, str(BATCH_BYTES))
 
 
 def partitions(spark: SparkSession) -> int:

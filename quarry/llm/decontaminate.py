@@ -78,7 +78,11 @@ class Benchmark:
         held = np.zeros(len(self.vocabulary), np.int64)
         for x in self.items:
             held[np.unique(x)] += 1
-        self.common = held > max(2, common_share * len(self.items))
+        while True:  # a share at which every item keeps some words that count
+            self.common = held > max(2, common_share * len(self.items))
+            if all((~self.common[x]).sum() >= min(5, len(x)) for x in self.items):
+                break
+            common_share *= 2
         self.answers = []
         for (_, t), x in zip(rows, self.items):  # the last sentence, at least three words
             tail = [s for s in re.split(r"(?<=[.!?])\s+|\n", t) if WORD.search(s.encode())][-1]

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once in a worker (a longer single text is one slice).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def worker_store() -> dict:

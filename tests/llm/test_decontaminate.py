@@ -1,0 +1,84 @@
+"""Operator 8: planted copies and paraphrases, the common subsequence, the
+decomposition."""
+
+import numpy as np
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from quarry.llm.decontaminate import Benchmark, find_leaks, latent_words, lcs, masks_of, remove_leaks, sketch
+
+VOCAB = [f"{a}{b}{c}" for a in "bdfgklmprs" for b in ("a", "en", "ou", "i") for c in ("st", "ri", "x", "tion", "mo", "")]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(0, 5), max_size=30), st.lists(st.integers(0, 6), max_size=30))
+def test_common_subsequence(a, b):
+    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+    assert lcs(masks_of(np.array(a, int)), len(a), b) == table[-1][-1]
+
+
+def test_single_pass_decomposition(rng):
+    """At full width the vectors span the TF-IDF Gram matrix exactly."""
+    r = np.random.default_rng(2)
+    block = np.sort(r.integers(0, 40, 200))
+    word = r.integers(0, 12, 200)
+    omega = r.standard_normal((12, 12))
+    df, z = sketch(block, word, omega)
+    tf = np.zeros((40, 12))
+    np.add.at(tf, (block, word), 1)
+    assert np.allclose(z, tf.T @ (tf @ omega)) and df.tolist() == (tf > 0).sum(0).tolist()
+    e = latent_words(df, 40, z, np.zeros_like(z), omega, 12)
+    idf = np.log(41 / (df + 1)) + 1e-3
+    assert np.allclose(e @ e.T, np.diag(idf**2), atol=1e-4)   # an orthonormal basis of all 12 words
+
+
+def plant(rng):
+    say = lambda n: " ".join(rng.choices(VOCAB, k=n))
+    items = [(k, say(rng.randint(18, 50)) + ". " + say(6) + ".") for k in range(40)]
+    docs, want = [], set()
+    for i in range(300):
+        text = say(rng.randint(20, 400))
+        if i % 5 == 0:
+            k = i % 40
+            item = items[k][1].upper() if i % 3 == 0 else items[k][1].replace(" ", "\n", 1)
+            text, want = f"{text} {item} {say(rng.randint(0, 60))}", want | {(i, k)}
+        elif i % 5 == 1:                                     # a paraphrase: one word in six is another one
+            k = (i + 7) % 40
+            w = items[k][1].split()
+            w = [rng.choice(VOCAB) if rng.random() < 1 / 6 and p < len(w) - 6 else x for p, x in enumerate(w)]
+            text, want = f"{say(rng.randint(0, 60))} {' '.join(w)} {text}", want | {(i, k)}
+        docs.append((i, text))
+    return items, docs, want
+
+
+def test_planted_leaks_are_found_and_clean_documents_are_not(spark, rng):
+    items, docs, want = plant(rng)
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in find_leaks(d, b).collect()}
+    copies = {(i, k) for i, k in want if i % 5 == 0}
+    assert copies <= set(got) and len(want - set(got)) <= 0.05 * len(want) and not set(got) - want
+    assert all(got[x].share == 1.0 and got[x].answer_found for x in copies)
+    left = {r.doc_id for r in remove_leaks(d, b).collect()}
+    assert left == {i for i, _ in docs} - {i for i, _ in got}
+
+
+def test_edges(spark, edge_docs, no_docs):
+    items = spark.createDataFrame([(1, "a b c d e"), (2, None), (3, ""), (4, "!!!"), (5, "a b c d e"), (None, "Naïve 日本語 text with spaces and")],
+                                  "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id or 0) for r in find_leaks(edge_docs, items).collect())
+    assert got == [(8, 0), (10, 1), (10, 5), (11, 1), (11, 5)]
+    assert find_leaks(no_docs, items).count() == 0 and find_leaks(edge_docs, items.limit(0)).count() == 0
+    assert remove_leaks(edge_docs, items).columns == edge_docs.columns
+    assert sorted(r.doc_id or 0 for r in remove_leaks(edge_docs, items).collect()) == [0, 1, 2, 3, 4, 5, 5, 6, 7, 9]
+
+
+def test_answers_and_common_words():
+    b = Benchmark([1, 2], ["One two three. Four five six seven.", "two"])
+    hashes = {w: int(x[0]) for w, x in zip(["t"], [b.items[1]])}
+    assert [len(x) for x in b.items] == [7, 1] and [len(a) for a in b.answers] == [4, 1] and hashes["t"] in b.items[0]
+    assert b.tokens(pa.array(["", "two"]))[2].tolist() == [0, 0, 1]
