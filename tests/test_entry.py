@@ -27,3 +27,15 @@ def test_entry_imports_without_files(monkeypatch):
 
 def test_stop_words_are_the_library_default(spark):
     assert list(ENGLISH_STOP_WORDS) == StopWordsRemover.loadDefaultStopWords("english")
+
+
+def test_entry_works_without_the_optional_part(monkeypatch):
+    for m in [m for m in sys.modules if m.split(".")[0] == "corpus_pipeline" or m.startswith("quarry.llm")]:
+        monkeypatch.delitem(sys.modules, m)
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    monkeypatch.setitem(sys.modules, "quarry.llm", None)
+    monkeypatch.delitem(sys.modules, "__spark_entry__", raising=False)
+    e = importlib.import_module("__spark_entry__")
+    from quarry.plans.catalog import QUERIES
+    assert set(e.queries()) == set(QUERIES) and set(e.oracle_sql()) <= set(QUERIES)
+    monkeypatch.delitem(sys.modules, "__spark_entry__")
