@@ -18,6 +18,10 @@ from pyspark.sql.types import ArrayType
 from quarry.operators.ordered import cumulative_sums
 
 
+#: Clusters whose statistics a silhouette holds on the driver.
+MOST_CLUSTERS = 10_000
+
+
 def confusion(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     return pred.groupBy(label, prediction).agg(F.count(F.lit(1)).alias("count"))
 
@@ -81,7 +85,9 @@ def silhouette(df: DataFrame, features: str = "features", cluster: str = "predic
     pts = pts.withColumn("nn", F.aggregate("x", F.lit(0.0), lambda acc, v: acc + v * v))
     rows = (pts.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.sum("nn").alias("psi"),
                                  Summarizer.sum(array_to_vector("x")).alias("y"))
-               .collect())
+               .limit(MOST_CLUSTERS + 1).collect())
+    if len(rows) > MOST_CLUSTERS:
+        raise ValueError(f"more than {MOST_CLUSTERS} clusters: their statistics are one literal of the plan")
     stats = F.array(*[F.struct(F.lit(float(r["c"])).alias("c"), F.lit(float(r["n"])).alias("n"),
                                F.lit(float(r["psi"])).alias("psi"),
                                F.array(*[F.lit(float(v)) for v in r["y"].toArray()]).alias("y"))

@@ -154,11 +154,11 @@ def tfidf(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
     idf`` (the ``IDF`` estimator's formula, minDocFreq 0). Document
     frequencies come from the (doc, term) table, a partial aggregation per
     term; the join back is a shuffle join on term (AQE splits a hot term)."""
-    n_docs = df.select(id_col).distinct().count()
+    n_docs = df.select(F.countDistinct(id_col)).scalar()  # part of the query, no job while planning
     tt = term_table(df, id_col, tokens_col)
     dfreq = tt.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     j = tt.join(dfreq, "term")
-    idf = F.log((F.lit(n_docs) + 1) / (F.col("df") + 1))
+    idf = F.log((n_docs + 1) / (F.col("df") + 1))
     return j.select(id_col, "term", "tf", "df", idf.alias("idf"), (F.col("tf") * idf).alias("tfidf"))
 
 

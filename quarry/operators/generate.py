@@ -87,6 +87,14 @@ def generate_orders(spark: SparkSession, rows: int, seed: int = 42) -> DataFrame
                      F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_items") - 1)).alias("k"))
              .withColumn("line", F.col("first_line") + F.col("k"))
              .filter(F.col("line") < rows))
+    return dirty_lines(lines, seed)
+
+
+def dirty_lines(lines: DataFrame, seed: int = 42) -> DataFrame:
+    """A drawn order line (schema of the raw order CSV) for every row of
+    ``lines`` (order_id, line): facility, item, time and dirt are hash draws
+    of ``line``, so equal rows get equal lines whatever the partitioning."""
+    spark = lines.sparkSession
     u = lambda name: uniform(F.col("line"), draw=name, seed=seed)
     n_fac = len(CITIES) * FACILITIES_PER_CITY
     menu_item = F.element_at(F.array(*[F.lit(m[0]) for m in MENU]), (F.floor(u("menu") * len(MENU)) + 1).cast("int"))

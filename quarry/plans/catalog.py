@@ -648,8 +648,10 @@ def row_counts(spark, d):
 
 @query("generated_orders_profile")
 def generated_orders_profile(spark, d):
-    rows = load_table(spark, d, "lineitem").count()
-    gen = G.generate_orders(spark, rows)
+    """Drawn order lines for the order keys of ``lineitem``, one per row."""
+    li = load_table(spark, d, "lineitem")
+    gen = G.dirty_lines(li.select(F.col("l_orderkey").alias("order_id"),
+                                  F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("line")))
     typed = Q.parse_orders(gen.select(*[F.col(c).cast("string") for c in gen.columns]))
     tagged = typed.withColumn("_bad", Q.is_rejected(Q.order_rules()))
     return tagged.agg(F.count(F.lit(1)).alias("n_rows"),
@@ -750,7 +752,8 @@ def logreg_tfidf_auc(spark, d):
     sp = FE.hash_split(jobs, F.col("doc_id"))
     _, pred = ML.fit_score(FE.text_stages("title") + [ML.logistic(label="is_hourly_bool")], sp["train"], sp["test"])
     scored = pred.select(F.col("is_hourly_bool").alias("label"), vector_to_array_col("probability")[1].alias("score"))
-    return EV.area_under_roc(scored).crossJoin(EV.area_under_pr(scored))  # one row each
+    roc = EV.area_under_roc(scored)
+    return roc.select(r6("auc").alias("auc"), F.round(EV.area_under_pr(scored).scalar(), 6).alias("aupr"))
 
 
 @query("naive_bayes_metrics")
