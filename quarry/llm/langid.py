@@ -10,8 +10,9 @@ language is the one with the largest expected share of its words, and that
 share is the score. Code-switched texts thus get a share per language
 (``language_shares``).
 
-Training uses labelled documents outside the held-out fold: at most
-``max_docs`` rows by hash, cut into chains, at most ``max_chains`` of them.
+Training uses labelled documents outside the held-out fold: about
+``max_docs`` rows at most, by hash, cut into chains, about ``max_chains`` of
+them at most.
 Training sequences join one to three chains of any languages, so that the
 transitions are learned from switches as well as from runs.
 """
@@ -209,7 +210,7 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_docs:
     src = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), docs[lang_col].alias("lang"))
     rows = src.filter(~held_out(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     chosen = by_hash(rows.select("id", "lang"), max_docs, "id", "lang").distinct()
-    lines = (rows.join(F.broadcast(chosen), ["id", "lang"])  # at most max_docs pairs
+    lines = (rows.join(F.broadcast(chosen), ["id", "lang"])  # about max_docs pairs
              .select("lang", F.explode(F.split("text", "\n")).alias("line")).filter(F.length("line") > 0)
              .select("lang", F.explode(F.regexp_extract_all("line", F.lit(r"(?:\S+\s*){1,%d}" % CHAIN), F.lit(0))).alias("chain")))
     got = by_hash(lines, max_chains, "chain", "lang").toPandas()

@@ -140,24 +140,22 @@ def _run(df: DataFrame, rule: Rule | None) -> tuple[float, int]:
     return time.perf_counter() - begun, n
 
 
-def cascade_order(df: DataFrame, rules, sample_rows: int = 2000) -> list[Rule]:
+def cascade_order(df: DataFrame, rules, sample_rows: int = 500) -> list[Rule]:
     """``rules`` by rejections per second on the first ``sample_rows`` rows
-    that Spark delivers; ties and an empty sample keep the given order."""
-    sample = df.limit(sample_rows).cache()
-    try:
-        _run(sample, None)
-        idle = _run(sample, None)[0]
-        rate = {}
-        for r in rules:
-            took, rejected = _run(sample, r)
-            rate[r.name] = rejected / max(took - idle, 1e-3)
-    finally:
-        sample.unpersist()
+    of the first partitions (no other is read); ties and an empty sample keep
+    the given order."""
+    sample = df.sparkSession.createDataFrame([(r["__text"],) for r in df.select("__text").take(sample_rows)], "__text string")
+    _run(sample, None)
+    idle = _run(sample, None)[0]
+    rate = {}
+    for r in rules:
+        took, rejected = _run(sample, r)
+        rate[r.name] = rejected / max(took - idle, 1e-3)
     return sorted(rules, key=lambda r: -rate[r.name])
 
 
 def judge(docs: DataFrame, rules=BASE_RULES + RULES, text_col: str = "text", verdict: str = "kept",
-          eager: tuple[str, ...] = (), sample_rows: int = 2000) -> DataFrame:
+          eager: tuple[str, ...] = (), sample_rows: int = 500) -> DataFrame:
     """All columns of ``docs``, the ``eager`` columns of ``STEPS``, and the
     boolean ``verdict``: whether the text meets every rule.
 
@@ -185,7 +183,7 @@ def judge(docs: DataFrame, rules=BASE_RULES + RULES, text_col: str = "text", ver
     return df.select(*out)
 
 
-def rule_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = 2000) -> DataFrame:
+def rule_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = 500) -> DataFrame:
     """(id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept); see ``judge`` for nulls and other cases."""
     need(docs, id_col, text_col)
