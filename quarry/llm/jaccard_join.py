@@ -260,3 +260,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     return (profile.select("id", "n", "digest").join(of_text.join(least, "part").select("digest", "component_id"), "digest", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")))
+
+
+#: ``near_duplicates(documents, 4, 85)`` by joining all texts on shingles.
+REPORT_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+p AS (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 2))) AS i FROM w WHERE len(words) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + 3], ' ') AS shingle FROM p),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+      FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT x, y FROM c JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+      WHERE 100 * shared >= 85 * (nx.n + ny.n - shared)),
+r(doc_id, seen) AS (SELECT doc_id, doc_id FROM documents
+                    UNION SELECT l.y, r.seen FROM r JOIN l ON r.doc_id = l.x)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, d.component_id
+FROM (SELECT doc_id, min(seen) AS component_id FROM r GROUP BY doc_id) d LEFT JOIN n ON n.doc_id = d.doc_id
+"""

@@ -30,6 +30,9 @@ def op2_jaccard_join(spark, d):
     return jaccard_join.near_duplicates(table(spark, d, "documents"), width=4, percent=85)
 
 
+SQL["op2_jaccard_join"] = jaccard_join.REPORT_SQL
+
+
 @query
 def op3_substring_dedup(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")

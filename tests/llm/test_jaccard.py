@@ -113,3 +113,14 @@ def test_components_of_paths_and_hubs(spark):
     assert all(got[i] == 100 for i in range(100, 161)) and all(got[k] == 7 for k in range(200, 400)) and got[7] == 7
     assert got[900] == got[901] == got[902] == 900 and got.get(5, 5) == 5
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_report_equals_its_sql(spark):
+    import duckdb
+
+    from quarry.llm.jaccard_join import REPORT_SQL
+    path = "/root/testdata/sf0.001/documents.parquet"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}')")
+    want = sorted(map(tuple, con.execute(REPORT_SQL).fetchall()))
+    assert sorted(map(tuple, near_duplicates(spark.read.parquet(path), 4, 85).collect())) == want
