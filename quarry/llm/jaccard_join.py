@@ -253,6 +253,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
              .select("x", "y").distinct())
     more = _verified(cross, sets, percent).filter("link").select(F.col("x").alias("a"), F.col("y").alias("b"))
     parts = components(links.unionByName(more))
+    for done in (candidates, sets, posts, star):  # the result reads profile, texts and the contracted links
+        drop_stored(done)
 
     of_text = texts.join(parts.withColumnRenamed("id", "tid"), "tid", "left").select(
         "digest", "rep", F.coalesce("component", "tid").alias("part"))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import need
 from quarry.llm.text import flat_bytes, slices, span_hashes, word_spans
 
-REACH = 20
+REACH = 14
 _WINDOW = 32  # bytes of the rolling hash: its 32 bits are shifted out after as many
 _SLICE = 1 << 20
 
