@@ -106,3 +106,32 @@ def test_cumulative_sums(spark):
     df = spark.range(0, 3000).select((F.col("id") * 7 % 3000).alias("k"), F.lit(1).alias("one"))
     rows = sorted((r.k, r.cum_one) for r in cumulative_sums(df, [F.col("k").asc()], ["one"]).collect())
     assert rows == [(k, k + 1) for k in range(3000)]
+
+
+def _murmur3(data: bytes, seed: int = 42) -> int:
+    """MurmurHash3 x86 32-bit, as a signed number."""
+    def rot(x, r):
+        return (x << r | x >> 32 - r) & 0xFFFFFFFF
+
+    h = seed
+    whole = len(data) // 4 * 4
+    for i in range(0, whole, 4):
+        h = rot(h ^ rot(int.from_bytes(data[i:i + 4], "little") * 0xCC9E2D51 & 0xFFFFFFFF, 15) * 0x1B873593 & 0xFFFFFFFF, 13)
+        h = h * 5 + 0xE6546B64 & 0xFFFFFFFF
+    if data[whole:]:
+        h ^= rot(int.from_bytes(data[whole:], "little") * 0xCC9E2D51 & 0xFFFFFFFF, 15) * 0x1B873593 & 0xFFFFFFFF
+    h ^= len(data)
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
+        h = (h ^ h >> shift) * factor & 0xFFFFFFFF
+    return h - (1 << 32) if h >> 31 else h
+
+
+def test_hashed_terms_fall_into_their_buckets(spark):
+    from collections import Counter
+
+    from pyspark.ml.feature import HashingTF
+    words = ["java", "sql", "java", "é", "data", "a", "scientist", "日本"]
+    df = spark.createDataFrame([(words,)], "words array<string>")
+    v = HashingTF(inputCol="words", outputCol="tf", numFeatures=1000).transform(df).first().tf
+    want = Counter(_murmur3(w.encode()) % 1000 for w in words)
+    assert dict(zip(map(int, v.indices), v.values)) == dict(want)
