@@ -6,6 +6,7 @@ import re
 import pytest
 
 from quarry.llm.chat import _NEXT, _STATE, ASSISTANT, COSTS, START, SYSTEM, edge_states, repair_chats, role_code, solve, transfer
+from llm_fixtures import rng  # noqa: F401
 
 SCHEMA = "conv_id long, turn long, role string, text string"
 

@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quarry.llm.decontaminate import Benchmark, find_leaks, latent_words, lcs, masks_of, remove_leaks, sketch
+from llm_fixtures import edge_docs, no_docs, rng  # noqa: F401
 
 VOCAB = [f"{a}{b}{c}" for a in "bdfgklmprs" for b in ("a", "en", "ou", "i") for c in ("st", "ri", "x", "tion", "mo", "")]
 

@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 
 from quarry.llm.components import components
 from quarry.llm.jaccard_join import near_duplicates, prefix_keys, slack
+from llm_fixtures import edge_docs, no_docs, rng  # noqa: F401
 
 
 def shingles(text, width):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.langid import Chains, Tagger, chains_of, detect_language, language_shares, word_features
 from quarry.llm.text import flat_bytes
+from llm_fixtures import edge_docs, no_docs  # noqa: F401
 
 SF = "/root/testdata/sf0.01"
 

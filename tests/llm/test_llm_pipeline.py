@@ -12,8 +12,8 @@ import corpus_pipeline
 from quarry.llm.bpe_codec import read_ranks
 from quarry.llm.common import file_bytes, stored, table
 from quarry.llm.queries import QUERIES, SQL
-from test_jaccard import all_pairs
-from test_quality import brute
+from test_llm_jaccard import all_pairs
+from test_llm_quality import brute
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import quality_rank
 from quarry.llm.quality_rules import BASE_RULES, REPORT_SQL, RULES, cascade_order, judge, rule_report
+from llm_fixtures import edge_docs, no_docs, rng  # noqa: F401
 
 SF = "/root/testdata/sf0.01"
 

@@ -5,6 +5,7 @@ import pyarrow as pa
 
 from quarry.llm.substring import GEAR, _chunks, chunk_starts, cut_out, remove_repeats, rolling_hash
 from quarry.llm.text import flat_bytes
+from llm_fixtures import edge_docs, no_docs, rng  # noqa: F401
 
 VOCAB = [f"{a}{b}{c}" for a in "bdfgklm" for b in ("a", "en", "ou") for c in ("st", "ri", "x", "tion")]
 

@@ -17,6 +17,7 @@ from tokenizers import Tokenizer
 from quarry.llm import bpe_codec, token_count, token_store
 from quarry.llm.bpe import merge_all, pairs_of
 from quarry.llm.common import file_bytes, fresh_path
+from llm_fixtures import edge_docs, no_docs  # noqa: F401
 
 PIECES = ["a", "B", " ", "  ", "\n", "\t", "the", "hehe", "é", "é", "日本", "🙂", "▁", "Ａ", "<s>", "<unk>", "\x00", "\x1c", "\x85", " ",
           "ing", "'s", "'S", "İ", "ß", "Σ", "12", "!?", "_", "<|endoftext|>", "aaaa", "क्षि", "　"]
