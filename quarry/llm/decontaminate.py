@@ -18,7 +18,7 @@
    is found. A long subsequence is a copy; a shorter one with the answer
    intact is a paraphrase.
 
-Words are runs of letters, digits and bytes above 127, A-Z lower-cased. The
+Words are runs of letters, digits and bytes above 127, lower-cased. The
 benchmark is broadcast; its size is checked.
 """
 
@@ -28,11 +28,12 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 — pa.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import Shared, need
-from quarry.llm.text import TO_LOWER, flat_bytes, ragged, slices, span_hashes
+from quarry.llm.text import as_utf8, flat_bytes, ragged, slices, span_hashes
 
 BLOCK = 16
 #: Most bytes of benchmark text held by the driver and each worker.
@@ -49,11 +50,11 @@ IS_WORD = _word_bytes()
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
 
-def words_of(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, first word of each text)."""
+def words_of(col) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word, first word of each text), in lower case."""
+    data, off = flat_bytes(pa.compute.utf8_lower(as_utf8(col)))
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(off), np.int64)
-    data = TO_LOWER[data]
     solid = IS_WORD[data]
     begin, last = solid.copy(), solid.copy()
     begin[1:] &= ~solid[:-1]
@@ -71,7 +72,7 @@ class Benchmark:
     def __init__(self, ids: list, texts: list[str], common_share: float = 0.02):
         rows = [(i, t) for i, t in zip(ids, texts) if t and WORD.search(t.encode())]
         self.ids = [i for i, _ in rows]
-        hashes, first = words_of(*flat_bytes(pa.array([t for _, t in rows], pa.string())))
+        hashes, first = words_of(pa.array([t for _, t in rows], pa.string()))
         self.vocabulary = np.unique(hashes)
         number = np.searchsorted(self.vocabulary, hashes)
         self.items = [number[a:b] for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
@@ -98,7 +99,7 @@ class Benchmark:
 
     def tokens(self, col) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(number of every word, first word and first block of each text)."""
-        hashes, first = words_of(*flat_bytes(col))
+        hashes, first = words_of(col)
         blocks = np.concatenate([[0], np.cumsum(-(-np.diff(first) // BLOCK))])
         return self.place(hashes), first, blocks
 

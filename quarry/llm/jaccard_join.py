@@ -258,7 +258,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
 
     of_text = texts.join(parts.withColumnRenamed("id", "tid"), "tid", "left").select(
         "digest", "rep", F.coalesce("component", "tid").alias("part"))
-    least = of_text.groupBy("part").agg(F.min("rep").alias("component_id"))
+    # stored, so that a large component is a join partition that Spark can split
+    least = stored(of_text.groupBy("part").agg(F.min("rep").alias("component_id")), "jaccard-least")
     return (profile.select("id", "n", "digest").join(of_text.join(least, "part").select("digest", "component_id"), "digest", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")))

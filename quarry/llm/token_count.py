@@ -16,6 +16,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 — pa.compute
 from pyspark.sql import DataFrame
 
 from quarry.llm.bpe import MergeTable, merge_all, pairs_of
