@@ -115,6 +115,41 @@ def unpack(packed: bytes, n: int) -> np.ndarray:
     return decode_ranks(control, pa.decompress(packed[8 + size:], width, "zstd", asbytes=True), n).view(np.int32)
 
 
+class Block:
+    """Documents of a block as numbers of its distinct words."""
+
+    def __init__(self, units_of, match):
+        self.units_of, self.match = units_of, match
+        self.number: dict[str, int] = {}
+        self.known: dict[str, bytes] = {}
+        self.ids, self.placed, self.size = [], [], 0
+
+    def add(self, ids: list, texts: list) -> None:
+        self.ids += ids
+        for text in texts:
+            text = text or ""
+            self.size += len(text)
+            units = [text] if odd_space(text) else self.units_of(text)
+            for u in set(units).difference(self.known):
+                self.known[u] = np.array([self.number.setdefault(w, len(self.number)) for w in self.match(u)], np.int32).tobytes()
+            self.placed.append(np.frombuffer(b"".join(map(self.known.__getitem__, units)), np.int32))
+
+    def packed(self, buckets: int) -> tuple[bytes, list[int], list[dict]]:
+        """(word numbers of all documents, numbers per document, buckets)."""
+        rank = by_frequency(self.placed, len(self.number))  # small numbers for frequent words pack better
+        dealt = [[] for _ in range(buckets)]
+        for w, n in zip(self.number, rank.tolist()):
+            w = w.encode()
+            dealt[zlib.crc32(w) % buckets].append((w, n))
+        parts = []
+        for d in dealt:
+            d.sort()
+            words = b"".join(w for w, _ in d)
+            parts.append({"count": len(d), "numbers": pack(np.array([n for _, n in d], np.int32)),
+                          "sizes": pack(np.array([len(w) for w, _ in d], np.int32)), "width": len(words), "words": squeeze(words)})
+        return pack(rank[np.concatenate(self.placed)]), [len(x) for x in self.placed], parts
+
+
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
                      text_col: str = "text", decoded: bool = True) -> DataFrame:
     """(id, n_tokens, ids array<int>[, decoded binary]) of every text; edge
@@ -166,36 +201,22 @@ def _encode(docs, ranks_path, pattern, id_col, text_col, row, columns):
     def cut(batches):
         """One row per block: the documents' ids, their word numbers in text
         order, and the distinct words with their numbers, dealt by hash into
-        buckets and sorted there."""
+        buckets and sorted there. A block may span many Arrow batches; only
+        numbers and distinct words are held."""
         units_of, match = splitter(pattern)
-        for b in slices(batches, "text", BLOCK_BYTES):
-            number: dict[str, int] = {}
-            known: dict[str, bytes] = {}
-            placed = []
-            for text in as_utf8(b.column("text")):
-                text = text.as_py() or ""
-                units = [text] if odd_space(text) else units_of(text)
-                for u in set(units).difference(known):
-                    known[u] = np.array([number.setdefault(w, len(number)) for w in match(u)], np.int32).tobytes()
-                placed.append(np.frombuffer(b"".join(map(known.__getitem__, units)), np.int32))
-            lengths = [len(x) for x in placed]
-            rank = by_frequency(placed, len(number))  # small numbers for frequent words pack better
-            places = pack(rank[np.concatenate(placed)])
-            dealt = [[] for _ in range(buckets)]
-            for w, n in zip(number, rank.tolist()):
-                w = w.encode()
-                dealt[zlib.crc32(w) % buckets].append((w, n))
-            parts = []
-            for d in dealt:
-                d.sort()
-                words = b"".join(w for w, _ in d)
-                parts.append({"count": len(d), "numbers": pack(np.array([n for _, n in d], np.int32)),
-                              "sizes": pack(np.array([len(w) for w, _ in d], np.int32)),
-                              "width": len(words), "words": squeeze(words)})
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([b.column("id").to_pylist()], pa.list_(b.column("id").type)),
-                 pa.array([places], pa.binary()), pa.array([lengths], pa.list_(pa.int32())),
-                 pa.array([parts], pa.list_(part))], ["ids", "places", "lengths", "parts"])
+        block = Block(units_of, match)
+        for b in slices(batches, "text"):
+            block.add(b.column("id").to_pylist(), as_utf8(b.column("text")).to_pylist())
+            if block.size >= BLOCK_BYTES:
+                yield row_of(block, b.column("id").type)
+                block = Block(units_of, match)
+        if block.ids:
+            yield row_of(block, b.column("id").type)
+
+    def row_of(block, id_kind):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([block.ids], pa.list_(id_kind)), *(pa.array([v], k) for v, k in zip(
+                block.packed(buckets), (pa.binary(), pa.list_(pa.int32()), pa.list_(part))))], ["ids", "places", "lengths", "parts"])
 
     blocks = stored(src.mapInArrow(cut, f"ids array<{id_type}>, places binary, lengths array<int>, parts array<struct"
                                         "<count:int,numbers:binary,sizes:binary,width:int,words:binary>>")
