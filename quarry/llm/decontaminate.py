@@ -12,10 +12,11 @@
    and keeps the ``rank`` leading right singular vectors.
 3. Second pass: windows of two and three passages, one passage apart, are folded
    into the latent space; those within ``min_cosine`` of an item are
-   candidates of it. A candidate is checked on its words: the longest common
-   subsequence of item and window neighbourhood (all of it, not only the
-   vocabulary of step 1), and whether the item's answer, its last sentence,
-   is found. A long subsequence is a copy; a shorter one with the answer
+   candidates of it. An item longer than a window is searched by overlapping
+   pieces of it, any of which makes a candidate of the whole item. A candidate
+   is checked on its words: the longest common subsequence of the whole item
+   and the window's neighbourhood (all of it, not only the vocabulary of
+   step 1), and whether the item's answer, its last sentence, is found. A long subsequence is a copy; a shorter one with the answer
    intact is a paraphrase.
 
 Words are runs of letters, digits and bytes above 127, lower-cased. The
@@ -36,6 +37,11 @@ from quarry.llm.common import Shared, need
 from quarry.llm.text import as_utf8, flat_bytes, ragged, slices, span_hashes
 
 BLOCK = 16
+#: Words of a piece of a long item: a window of three blocks that begins with
+#: the block where the piece begins holds all of it.
+PIECE = 2 * BLOCK
+#: Share of a passage's words and latent length that a window must hold.
+HELD = 0.4
 #: Most bytes of benchmark text held by the driver and each worker.
 BENCHMARK_BYTES = 32 << 20
 
@@ -66,6 +72,16 @@ def words_of(col) -> tuple[np.ndarray, np.ndarray]:
     return span_hashes(data, starts, np.flatnonzero(last) + 1), np.searchsorted(starts, off)
 
 
+def passages_of(size: int) -> list[tuple[int, int]]:
+    """[first word, end) of the passages that stand for an item: the whole
+    item as long as a window can hold its share, and beyond a window pieces
+    of ``PIECE`` words, ``BLOCK`` words apart, the last at the item's end."""
+    out = [(0, size)] if HELD * size <= 3 * BLOCK else []
+    if size > 3 * BLOCK:
+        out += [(a, a + PIECE) for a in range(0, size - PIECE, BLOCK)] + [(size - PIECE, size)]
+    return out
+
+
 class Benchmark:
     """Items as word numbers; the vocabulary with its common words marked."""
 
@@ -88,7 +104,10 @@ class Benchmark:
         for (_, t), x in zip(rows, self.items):  # the last sentence, at least three words
             tail = [s for s in re.split(r"(?<=[.!?])\s+|\n", t) if WORD.search(s.encode())][-1]
             self.answers.append(x[-max(len(WORD.findall(tail.encode())), min(3, len(x))):])
-        self.informative = np.array([int((~self.common[x]).sum()) for x in self.items])
+        #: what is searched for: (item, first word, end) of whole items and of pieces of long ones
+        self.passages = [(k, a, z) for k, x in enumerate(self.items) for a, z in passages_of(len(x))
+                         if not self.common[x[a:z]].all()]
+        self.informative = np.array([int((~self.common[self.items[k][a:z]]).sum()) for k, a, z in self.passages])
 
     def place(self, hashes: np.ndarray) -> np.ndarray:
         """Vocabulary number of each hash, -1 for other words."""
@@ -170,11 +189,15 @@ class Searcher:
     def __init__(self, bench: Benchmark, latent: np.ndarray, min_cosine: float, copy_share: float, paraphrase_share: float):
         self.bench, self.latent, self.min_cosine = bench, latent, min_cosine
         self.copy_share, self.paraphrase_share = copy_share, paraphrase_share
-        rows = np.stack([latent[x[~bench.common[x]]].sum(0) for x in bench.items]) if bench.items else np.zeros((0, latent.shape[1]))
+        words = [bench.items[k][a:z] for k, a, z in bench.passages]
+        rows = np.stack([latent[x[~bench.common[x]]].sum(0) for x in words]) if words else np.zeros((0, latent.shape[1]))
         self.length = np.maximum(np.linalg.norm(rows, axis=1), 1e-9)
         self.query = rows / self.length[:, None]
         self.common_words = np.array([int(bench.common[x].sum()) for x in bench.items])
         self.size = np.array([len(x) for x in bench.items])
+        self.item, self.before, end = np.array(bench.passages, np.int64).reshape(-1, 3).T
+        # blocks by which a copy of a long item may be stretched on both sides of a piece
+        self.slack = np.where(end - self.before < self.size[self.item], self.size[self.item] // (8 * BLOCK), 0)
         self.pairs = np.unique(np.concatenate([k * len(bench.vocabulary) + x.astype(np.int64) for k, x in enumerate(bench.items)]))
         self.masks = [(masks_of(x), len(x), masks_of(a), len(a)) for x, a in zip(bench.items, bench.answers)]
 
@@ -207,25 +230,32 @@ class Searcher:
         near = (wide[some] / np.maximum(size, 1e-9)[:, None]) @ self.query.T
         i, j = np.nonzero(near >= self.min_cosine)
         # the window must also hold a good part of the item's vector and words
-        use = (near[i, j] * size[i] >= 0.4 * self.length[j]) & (count[some[i]] >= 0.4 * bench.informative[j])
+        use = (near[i, j] * size[i] >= HELD * self.length[j]) & (count[some[i]] >= HELD * bench.informative[j])
         i, j = i[use], j[use]
-        w = some[i]
+        w, k = some[i], self.item[j]
         t = text_of[w]
-        lo = np.maximum(w - 1, blocks[t])
-        hi = np.minimum(w + 2 - (-np.maximum(self.size[j], 3 * BLOCK) // BLOCK), blocks[t + 1])
-        # bound of the common subsequence: counting words there that the item holds, and its common words
+        lo = np.maximum(w - 1 - self.slack[j] - (-(-self.before[j] // BLOCK)), blocks[t])
+        hi = np.minimum(w + 2 + self.slack[j] - (-np.maximum(self.size[k] - self.before[j], 3 * BLOCK) // BLOCK), blocks[t + 1])
         a, z = np.searchsorted(block, lo), np.searchsorted(block, hi)
+        group = np.cumsum(z - a) >> 20  # about a million words are compared at once
+        for part in np.split(np.arange(len(j)), np.flatnonzero(np.diff(group)) + 1):
+            self._compare(near[i[part], j[part]], t[part], k[part], lo[part], hi[part], a[part], z[part], number, first, blocks, word, found, seen)
+
+    def _compare(self, near, t, k, lo, hi, a, z, number, first, blocks, word, found, seen) -> None:
+        """Items ``k`` against the blocks [lo, hi) of the texts ``t``, whose counting words are [a, z)."""
+        bench = self.bench
+        # bound of the common subsequence: counting words there that the item holds, and its common words
         at = ragged(a, z - a)
-        key = np.repeat(j, z - a) * len(bench.vocabulary) + word[at].astype(np.int64)
+        key = np.repeat(k, z - a) * len(bench.vocabulary) + word[at].astype(np.int64)
         held = self.pairs[np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)] == key
         total = np.concatenate([[0], np.cumsum(held)])
         ends = np.cumsum(z - a)
-        most = total[ends] - total[ends - (z - a)] + self.common_words[j]
-        for c in np.flatnonzero(most >= self.paraphrase_share * self.size[j]).tolist():
-            text, item, window = int(t[c]), int(j[c]), int(w[c])
-            if (window, item) in seen:  # as a window of two passages, with the same neighbourhood
+        most = total[ends] - total[ends - (z - a)] + self.common_words[k]
+        for c in np.flatnonzero(most >= self.paraphrase_share * self.size[k]).tolist():
+            text, item, place = int(t[c]), int(k[c]), (int(k[c]), int(lo[c]), int(hi[c]))
+            if place in seen:  # by another window or piece
                 continue
-            seen.add((window, item))
+            seen.add(place)
             masks, m, answer, n = self.masks[item]
             begin = first[text] + (lo[c] - blocks[text]) * BLOCK
             around = number[begin:min(first[text] + (hi[c] - blocks[text]) * BLOCK, first[text + 1])].tolist()
@@ -234,7 +264,7 @@ class Searcher:
                 told = lcs(answer, n, around) >= 0.8 * n
                 if share >= self.copy_share or told and m >= 8:
                     if found.get((text, item), (0, 0))[1] < share:
-                        found[text, item] = float(near[i[c], item]), share, told
+                        found[text, item] = float(near[c]), share, told
 
 
 def _latent(docs: DataFrame, bench: Benchmark, shared: Shared, rank: int, seed: int) -> np.ndarray:
@@ -278,8 +308,9 @@ def _latent(docs: DataFrame, bench: Benchmark, shared: Shared, rank: int, seed:
         z[at:at + len(r["df"])] = np.frombuffer(r["z"], "<f8").reshape(-1, width)
         passages += r["passages"]
     test = omega().astype(float)
-    block = np.repeat(np.arange(len(bench.items)), [len(x) for x in bench.items])
-    word = np.concatenate(bench.items)
+    words = [bench.items[k][a:z] for k, a, z in bench.passages]
+    block = np.repeat(np.arange(len(words)), [len(x) for x in words])
+    word = np.concatenate(words)
     use = ~bench.common[word]
     _, items_z = sketch(block[use], word[use], test)
     return latent_words(df, passages, z, items_z, test, rank)
@@ -292,7 +323,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     of the benchmark, one row per document row and item.
 
     ``share`` is the longest common subsequence over the item's words in the
-    best window. At least ``copy_share`` is a copy; from
+    best window's neighbourhood, ``cosine`` that of the window and the item,
+    or the piece of a long item, that led there. Items of any length are
+    compared whole. At least ``copy_share`` is a copy; from
     ``paraphrase_share`` on, an item of eight words or more counts if its
     answer is there (four fifths of it, in order). Null and empty texts hold
     nothing; null, empty and wordless items match nothing; equal items are

@@ -83,3 +83,22 @@ def test_answers_and_common_words():
     hashes = {w: int(x[0]) for w, x in zip(["t"], [b.items[1]])}
     assert [len(x) for x in b.items] == [7, 1] and [len(a) for a in b.answers] == [4, 1] and hashes["t"] in b.items[0]
     assert b.tokens(pa.array(["", "two"]))[2].tolist() == [0, 0, 1]
+
+
+def test_items_longer_than_a_window(spark, rng):
+    """Copies and paraphrases (one word in five is another one) of items of
+    59 to 1,000 words, anywhere in a document."""
+    say = lambda n: " ".join(rng.choices(VOCAB, k=n))
+    items = [(k, say(n - 6) + ". " + say(6) + ".") for k, n in enumerate([59, 100, 130, 150, 300, 1000] * 4)]
+    docs, want = [], set()
+    for i in range(96):
+        w = items[i % 24][1].split()
+        if i % 3 == 0:
+            w = [rng.choice(VOCAB) if p < len(w) - 6 and rng.random() < 0.2 else x for p, x in enumerate(w)]
+        docs.append((i, f"{say(rng.randint(0, 90))} {' '.join(w)} {say(rng.randint(0, 90))}"))
+        want.add((i, i % 24))
+    docs += [(i, say(1200)) for i in range(96, 140)]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {(r.doc_id, r.item_id): r for r in find_leaks(d, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert set(got) == want
+    assert all(got[x].share == 1.0 and got[x].answer_found for x in want if x[0] % 3)
