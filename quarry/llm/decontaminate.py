@@ -13,7 +13,10 @@
 3. Second pass: windows of two and three passages, one passage apart, are folded
    into the latent space; those within ``min_cosine`` of an item are
    candidates of it. An item longer than a window is searched by overlapping
-   pieces of it, any of which makes a candidate of the whole item. A candidate
+   pieces of it, any of which makes a candidate of the whole item. Beside the
+   cosine, whatever the rank, the rarest three words in a row of every item
+   and piece make a candidate where a text holds them, so an exact copy is
+   always compared. A candidate
    is checked on its words: the longest common subsequence of the whole item
    and the window's neighbourhood (all of it, not only the vocabulary of
    step 1), and whether the item's answer, its last sentence, is found. A long subsequence is a copy; a shorter one with the answer
@@ -44,6 +47,12 @@ PIECE = 2 * BLOCK
 HELD = 0.4
 #: Most bytes of benchmark text held by the driver and each worker.
 BENCHMARK_BYTES = 32 << 20
+#: Most bytes of arrays that a benchmark may take in one process (``memory``).
+MEMORY_BYTES = 640 << 20
+#: Cosines computed at once.
+COSINES = 4 << 20
+#: Words of an anchor, the rarest run of an item or piece.
+ANCHOR = 3
 
 
 def _word_bytes() -> np.ndarray:
@@ -82,6 +91,15 @@ def passages_of(size: int) -> list[tuple[int, int]]:
     return out
 
 
+def run_hashes(number: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """A hash of the ``width`` word numbers from each place ``at`` on."""
+    h = np.zeros(len(at), np.uint64)
+    for k in range(width):
+        h = (h ^ number[at + k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return h
+
+
 class Benchmark:
     """Items as word numbers; the vocabulary with its common words marked."""
 
@@ -109,6 +127,15 @@ class Benchmark:
                          if not self.common[x[a:z]].all()]
         self.informative = np.array([int((~self.common[self.items[k][a:z]]).sum()) for k, a, z in self.passages])
 
+    def memory(self, rank: int) -> int:
+        """Bytes of arrays of the process that holds the most: the driver's
+        decomposition (six float64 arrays of vocabulary x sketch width, more
+        than a task of pass 1 has), or a searcher (vectors of words and
+        passages, bit masks of the items)."""
+        v, words = len(self.vocabulary), np.array([len(x) for x in self.items], float)
+        searcher = 4 * rank * (v + 2 * len(self.passages)) + float((150 * words + words * words / 8).sum())
+        return int(max(48 * (rank + 8) * v, searcher))
+
     def place(self, hashes: np.ndarray) -> np.ndarray:
         """Vocabulary number of each hash, -1 for other words."""
         if not len(self.vocabulary):
@@ -186,7 +213,7 @@ def masks_of(words: np.ndarray) -> dict[int, int]:
 class Searcher:
     """Candidate search and checks of one worker."""
 
-    def __init__(self, bench: Benchmark, latent: np.ndarray, min_cosine: float, copy_share: float, paraphrase_share: float):
+    def __init__(self, bench: Benchmark, latent: np.ndarray, df: np.ndarray, min_cosine: float, copy_share: float, paraphrase_share: float):
         self.bench, self.latent, self.min_cosine = bench, latent, min_cosine
         self.copy_share, self.paraphrase_share = copy_share, paraphrase_share
         words = [bench.items[k][a:z] for k, a, z in bench.passages]
@@ -201,6 +228,18 @@ class Searcher:
         self.pairs = np.unique(np.concatenate([k * len(bench.vocabulary) + x.astype(np.int64) for k, x in enumerate(bench.items)]))
         self.masks = [(masks_of(x), len(x), masks_of(a), len(a)) for x, a in zip(bench.items, bench.answers)]
 
+        weight, runs = np.log1p(df), {}
+        for j, (x, (_, at, _)) in enumerate(zip(words, bench.passages)):
+            width = min(ANCHOR, len(x))
+            total = np.convolve(weight[x], np.ones(width), "valid")
+            runs.setdefault(width, []).append((j, at + int(total.argmin())))
+        self.anchors = []  # (words, ascending hashes, passages, places in the item)
+        for width, found in sorted(runs.items()):
+            j, at = np.array(found, np.int64).T
+            h = np.concatenate([run_hashes(bench.items[k], np.array([p]), width) for k, p in zip(self.item[j].tolist(), at.tolist())])
+            order = np.argsort(h, kind="stable")
+            self.anchors.append((width, h[order], j[order], at[order]))
+
     def search(self, col) -> list[tuple[int, int, float, float, bool]]:
         """(text, item, cosine, share of the item found, answer found)."""
         bench = self.bench
@@ -219,8 +258,10 @@ class Searcher:
             wide[at] += vec[at + step]
             count[at] += told[at + step]
             some = np.flatnonzero(count >= min(2, bench.informative.min()))
-            for lo in range(0, len(some), 8192):
-                self._check(some[lo:lo + 8192], wide, count, number, first, blocks, text_of, block, word, found, seen)
+            many = min(8192, max(COSINES // max(len(self.query), 1), 1))
+            for lo in range(0, len(some), many):
+                self._check(some[lo:lo + many], wide, count, number, first, blocks, text_of, block, word, found, seen)
+        self._anchored(wide, number, first, blocks, block, word, found, seen)
         return [(t, k, *v) for (t, k), v in sorted(found.items())]
 
     def _check(self, some, wide, count, number, first, blocks, text_of, block, word, found, seen) -> None:
@@ -236,10 +277,34 @@ class Searcher:
         t = text_of[w]
         lo = np.maximum(w - 1 - self.slack[j] - (-(-self.before[j] // BLOCK)), blocks[t])
         hi = np.minimum(w + 2 + self.slack[j] - (-np.maximum(self.size[k] - self.before[j], 3 * BLOCK) // BLOCK), blocks[t + 1])
+        self._parts(near[i, j], t, k, lo, hi, number, first, blocks, block, word, found, seen)
+
+    def _anchored(self, wide, number, first, blocks, block, word, found, seen) -> None:
+        """Candidates by the anchors that the texts hold."""
+        known = np.flatnonzero(number >= 0)
+        for width, hashes, passage, place in self.anchors:
+            at = known[known <= len(number) - width]
+            for k in range(1, width):
+                at = at[number[at + k] >= 0]
+            h = run_hashes(number, at, width)
+            lo, hi = np.searchsorted(hashes, h), np.searchsorted(hashes, h, side="right")
+            q, x = np.repeat(at, hi - lo), ragged(lo, hi - lo)
+            j, p = passage[x], place[x]
+            t, k = np.searchsorted(first, q, side="right") - 1, self.item[j]
+            begin = q - first[t] - p  # where the item would begin in the text
+            w = blocks[t] + (q - first[t]) // BLOCK
+            size = np.maximum(np.linalg.norm(wide[w], axis=1), 1e-9)
+            near = (wide[w] / size[:, None] * self.query[j]).sum(1)
+            lo = np.maximum(blocks[t] + begin // BLOCK - 1 - self.slack[j], blocks[t])
+            hi = np.minimum(blocks[t] - (-(begin + self.size[k]) // BLOCK) + 1 + self.slack[j], blocks[t + 1])
+            self._parts(near, t, k, lo, hi, number, first, blocks, block, word, found, seen)
+
+    def _parts(self, near, t, k, lo, hi, number, first, blocks, block, word, found, seen) -> None:
+        """Compare the candidates, about a million words at once."""
         a, z = np.searchsorted(block, lo), np.searchsorted(block, hi)
-        group = np.cumsum(z - a) >> 20  # about a million words are compared at once
-        for part in np.split(np.arange(len(j)), np.flatnonzero(np.diff(group)) + 1):
-            self._compare(near[i[part], j[part]], t[part], k[part], lo[part], hi[part], a[part], z[part], number, first, blocks, word, found, seen)
+        group = np.cumsum(z - a) >> 20
+        for part in np.split(np.arange(len(k)), np.flatnonzero(np.diff(group)) + 1):
+            self._compare(near[part], t[part], k[part], lo[part], hi[part], a[part], z[part], number, first, blocks, word, found, seen)
 
     def _compare(self, near, t, k, lo, hi, a, z, number, first, blocks, word, found, seen) -> None:
         """Items ``k`` against the blocks [lo, hi) of the texts ``t``, whose counting words are [a, z)."""
@@ -267,8 +332,8 @@ class Searcher:
                         found[text, item] = float(near[c]), share, told
 
 
-def _latent(docs: DataFrame, bench: Benchmark, shared: Shared, rank: int, seed: int) -> np.ndarray:
-    """Pass 1 and the decomposition."""
+def _latent(docs: DataFrame, bench: Benchmark, shared: Shared, rank: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pass 1 and the decomposition: (word vectors, passages per word)."""
     v, width = len(bench.vocabulary), min(rank + 8, max(len(bench.vocabulary), 1))
     part = 256  # words per summed row
 
@@ -313,7 +378,7 @@ def _latent(docs: DataFrame, bench: Benchmark, shared: Shared, rank: int, seed:
     word = np.concatenate(words)
     use = ~bench.common[word]
     _, items_z = sketch(block[use], word[use], test)
-    return latent_words(df, passages, z, items_z, test, rank)
+    return latent_words(df, passages, z, items_z, test, rank), df
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -332,7 +397,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     each reported; repeated rows are reported each; empty tables on either
     side give an empty result; other columns are not read. Texts of any
     length are searched whole. A benchmark of more than ``BENCHMARK_BYTES``
-    raises: pass it in parts."""
+    of text or ``MEMORY_BYTES`` of arrays raises: pass it in parts."""
     need(docs, id_col, text_col)
     need(benchmark, item_col, item_text_col)
     items = benchmark.select(benchmark[item_col].cast("long").alias("item"), benchmark[item_text_col].alias("text"))
@@ -347,9 +412,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     names = {"id": id_col, "item": item_col if item_col != id_col else "item_id"}
     if not bench.items:
         return docs.sparkSession.createDataFrame([], schema).withColumnsRenamed(names)
+    if bench.memory(rank) > MEMORY_BYTES:
+        raise ValueError(f"the benchmark takes {bench.memory(rank)} bytes of memory, more than {MEMORY_BYTES}: pass it in parts")
     shared = Shared(docs.sparkSession, bench)
-    latent = _latent(src, bench, shared, rank, seed)
-    searcher = Shared(docs.sparkSession, Searcher(bench, latent, min_cosine, copy_share, paraphrase_share))
+    latent, df = _latent(src, bench, shared, rank, seed)
+    searcher = Shared(docs.sparkSession, Searcher(bench, latent, df, min_cosine, copy_share, paraphrase_share))
 
     def run(batches):
         s = searcher.value

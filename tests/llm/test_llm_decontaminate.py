@@ -3,6 +3,7 @@ decomposition."""
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -102,3 +103,22 @@ def test_items_longer_than_a_window(spark, rng):
     got = {(r.doc_id, r.item_id): r for r in find_leaks(d, spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert set(got) == want
     assert all(got[x].share == 1.0 and got[x].answer_found for x in want if x[0] % 3)
+
+
+def test_exact_copies_do_not_depend_on_the_rank(spark, rng):
+    items, docs, want = plant(rng)
+    items += [(40, "zzone"), (41, "zztwo zzthree")]
+    docs += [(300, "some zzone " * 30), (301, "a zztwo zzthree b")]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {(r.doc_id, r.item_id) for r in find_leaks(d, spark.createDataFrame(items, "item_id long, text string"), rank=1, min_cosine=2.0).collect()}
+    assert {(i, k) for i, k in want if i % 5 == 0} | {(300, 40), (301, 41)} <= got <= want | {(300, 40), (301, 41)}
+
+
+def test_memory_follows_vocabulary_and_items(spark, monkeypatch):
+    few, many = (Benchmark(list(range(n)), [f"word{k} of item{k} and more" for k in range(n)]) for n in (10, 1000))
+    assert many.memory(48) > 50 * few.memory(48) >= 50 * 48 * 56 * 23
+    monkeypatch.setattr("quarry.llm.decontaminate.MEMORY_BYTES", few.memory(48) - 1)
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    items = spark.createDataFrame([(k, f"word{k} of item{k} and more") for k in range(10)], "item_id long, text string")
+    with pytest.raises(ValueError, match="memory"):
+        find_leaks(docs, items)
