@@ -20,3 +20,18 @@ def by_hash(df: DataFrame, rows: int, *cols: str) -> DataFrame:
     if n <= rows:
         return df
     return df.filter(F.pmod(F.xxhash64(*cols), F.lit(1 << 40)) < int((1 << 40) * rows / n))
+
+
+def by_hash_each(df: DataFrame, rows: int, least: int, group: str, *cols: str) -> DataFrame:
+    """``by_hash``, but about ``least`` rows of every value of ``group`` (fewer
+    if the values are many, one at least) where its share of ``rows`` is
+    smaller."""
+    h = F.pmod(F.xxhash64(*cols), F.lit(1 << 40))
+    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.min(h).alias("lo")).collect()  # a row per value
+    n = sum(r["n"] for r in sizes)
+    if n <= rows:
+        return df
+    least = max(min(least, rows // len(sizes)), 1)
+    limits = [(r[group], max(int((1 << 40) * max(rows / n, least / r["n"])), r["lo"] + 1)) for r in sizes]
+    limit = df.sparkSession.createDataFrame(limits, f"`{group}` {df.schema[group].dataType.simpleString()}, __limit long")
+    return df.join(F.broadcast(limit), group).filter(h < F.col("__limit")).select(*df.columns)

@@ -11,8 +11,10 @@ share is the score. Code-switched texts thus get a share per language
 (``language_shares``).
 
 Training uses labelled documents outside the held-out fold: about
-``max_docs`` rows at most, by hash, cut into chains, about ``max_chains`` of
-them at most.
+``max_docs`` rows, by hash, cut into chains, about ``max_chains`` of them;
+languages whose part of that is small have ``LEAST_DOCS`` rows and
+``LEAST_CHAINS`` chains all the same (or what there is), so that every
+labelled language is learned.
 Training sequences join one to three chains of any languages, so that the
 transitions are learned from switches as well as from runs.
 """
@@ -25,11 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import Shared, need
-from quarry.llm.folds import by_hash, held_out
+from quarry.llm.folds import by_hash_each, held_out
 from quarry.llm.text import TO_LOWER, flat_bytes, mix, slices, span_hashes, word_spans, worker_store
 
 CHAIN = 64
 BITS = 17
+LEAST_DOCS, LEAST_CHAINS = 20, 60
 
 
 def _letters() -> np.ndarray:
@@ -209,11 +212,11 @@ class Tagger:
 def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_docs: int, max_chains: int) -> Tagger:
     src = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), docs[lang_col].alias("lang"))
     rows = src.filter(~held_out(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    chosen = by_hash(rows.select("id", "lang"), max_docs, "id", "lang").distinct()
+    chosen = by_hash_each(rows.select("id", "lang"), max_docs, LEAST_DOCS, "lang", "id", "lang").distinct()
     lines = (rows.join(F.broadcast(chosen), ["id", "lang"])  # about max_docs pairs
              .select("lang", F.explode(F.split("text", "\n")).alias("line")).filter(F.length("line") > 0)
              .select("lang", F.explode(F.regexp_extract_all("line", F.lit(r"(?:\S+\s*){1,%d}" % CHAIN), F.lit(0))).alias("chain")))
-    got = by_hash(lines, max_chains, "chain", "lang").toPandas()
+    got = by_hash_each(lines, max_chains, LEAST_CHAINS, "lang", "chain", "lang").toPandas()
     names = sorted(got["lang"].unique().tolist())
     tagger = Tagger(names)
     tagger.fit(got["chain"].tolist(), [names.index(x) for x in got["lang"]])

@@ -71,3 +71,16 @@ def test_edges(spark, edge_docs, no_docs):
     assert {r.lang_pred for r in detect_language(none).collect()} == {"und"}
     assert detect_language(no_docs).count() == 0
     assert {r.doc_id: r.shares for r in language_shares(docs).collect()}[9] == {}
+
+
+def test_a_rare_language_is_learned(spark):
+    """4 of 40,000 documents, far below one of the training sample."""
+    words = {"aa": ["bada", "gode", "lemi", "rota", "sanu"], "bb": ["kwix", "pzyr", "vhoq", "xylk", "jwuz"],
+             "cc": ["ødån", "æblø", "åræs", "økåm", "ætøl"]}
+    lang = F.when(F.col("id") % 10_000 == 17, "cc").when(F.col("id") % 3 == 0, "bb").otherwise("aa")
+    say = [F.concat_ws(" ", *[F.element_at(F.array(*[F.lit(x) for x in w]), (F.pmod(F.hash("id", F.lit(k)), F.lit(5)) + 1).cast("int"))
+                              for k in range(8)]) for w in words.values()]
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), lang.alias("lang"),
+                                      F.when(lang == "aa", say[0]).when(lang == "bb", say[1]).otherwise(say[2]).alias("text"))
+    got = docs.join(detect_language(docs).filter("not held_out"), "doc_id")
+    assert got.filter("lang = 'cc'").count() > 0 and got.filter("lang != lang_pred").count() == 0
