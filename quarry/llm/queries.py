@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe_codec, chat, decontaminate, jaccard_join, langid, quality_rank, quality_rules, substring, token_count, token_store
+from quarry.llm import bpe_codec, chat, decontaminate, jaccard_join, langid, merkle, quality_rank, quality_rules, substring, token_count, token_store
 from quarry.llm.common import fresh_path, table
 
 QUERIES, SQL = {}, {}
@@ -78,3 +78,11 @@ def op10_token_store(spark, d):
     path = fresh_path(spark, "token-store")
     token_store.write_token_store(table(spark, d, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), 1)
     return token_store.read_token_store(spark, path, tokens=False).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op12_merkle_manifest(spark, d):
+    return merkle.tamper_report(table(spark, d, "documents"))
+
+
+SQL["op12_merkle_manifest"] = merkle.REPORT_SQL
