@@ -9,7 +9,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe_codec, chat, decontaminate, jaccard_join, langid, merkle, quality_rank, quality_rules, substring, token_count, token_store
+from quarry.llm import (ball_search, bpe_codec, chat, decontaminate, jaccard_join, langid, merkle, quality_rank, quality_rules, substring,
+                        token_count, token_store)
 from quarry.llm.common import fresh_path, table
 
 QUERIES, SQL = {}, {}
@@ -86,3 +87,11 @@ def op12_merkle_manifest(spark, d):
 
 
 SQL["op12_merkle_manifest"] = merkle.REPORT_SQL
+
+
+@query
+def op13_ranked_search(spark, d):
+    return ball_search.ranked_search(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+SQL["op13_ranked_search"] = ball_search.REPORT_SQL
