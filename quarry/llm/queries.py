@@ -9,8 +9,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quarry.llm import (ball_search, bpe_codec, chat, decontaminate, jaccard_join, langid, merkle, quality_rank, quality_rules, substring,
-                        token_count, token_store)
+from quarry.llm import (ball_search, bpe_codec, chat, decontaminate, jaccard_join, langid, merkle, personal_data, quality_rank,
+                        quality_rules, substring, token_count, token_store)
 from quarry.llm.common import fresh_path, table
 
 QUERIES, SQL = {}, {}
@@ -81,6 +81,11 @@ def op10_token_store(spark, d):
     return token_store.read_token_store(spark, path, tokens=False).withColumnRenamed("id", "doc_id")
 
 
+@query
+def op11_personal_data(spark, d):
+    return personal_data.report(personal_data.find_personal_data(table(spark, d, "documents")))
+
+
 @query
 def op12_merkle_manifest(spark, d):
     return merkle.tamper_report(table(spark, d, "documents"))
