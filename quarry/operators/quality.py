@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quarry.functions.expressions import first_present
@@ -89,8 +89,7 @@ def split_by_rules(df: DataFrame, rules: list[Rule],
                    reason_col: str = "reject_reason") -> dict[str, DataFrame]:
     """``{"good", "bad"}``; ``bad`` carries ``reason_col`` (array). The
     split itself is a plain boolean (codegen'd); reasons are built for the
-    rejected rows only. Callers that consume both sides should ``persist``
-    the input once."""
+    rejected rows only."""
     bad_flag = is_rejected(rules)
     bad = df.filter(bad_flag).withColumn(reason_col, reject_reasons(rules))
     good = df.filter(~bad_flag)
@@ -123,24 +122,40 @@ def keep_present(df: DataFrame, col: str, missing=("NULL", "")) -> DataFrame:
     return df.filter(c.isNotNull() & ~c.isin(*missing))
 
 
+def store_dead_letters(raw: DataFrame, path: str, rules: list[Rule] | None = None) -> int:
+    """Only the dead side of the cleaning job: typed parse, rejected lines
+    with their reasons as CSV. Returns their number, counted by the write."""
+    from quarry.sinks.files import write_dead_letters
+
+    rules = rules or order_rules()
+    typed = parse_orders(raw)
+    bad = typed.filter(is_rejected(rules)).withColumn("reject_reason", reject_reasons(rules))
+    seen = Observation()
+    write_dead_letters(bad.observe(seen, F.count(F.lit(1)).alias("n")), path)
+    return seen.get["n"]
+
+
+def store_good_lines(raw: DataFrame, path: str, formats=("parquet",), rules: list[Rule] | None = None,
+                     partition_cols=("date", "city")) -> int:
+    """Only the good side: typed lines partitioned by ``partition_cols`` in
+    every requested format. Returns their number, counted by the write."""
+    from quarry.sinks.files import write_partitioned
+
+    good = parse_orders(raw).filter(~is_rejected(rules or order_rules()))
+    n = 0
+    for fmt in formats:
+        seen = Observation()
+        write_partitioned(good.observe(seen, F.count(F.lit(1)).alias("n")), f"{path.rstrip('/')}/{fmt}", partition_cols, fmt=fmt)
+        n = seen.get["n"]
+    return n
+
+
 def store_clean_orders(raw: DataFrame, good_path: str, dead_letter_path: str,
                        formats=("parquet",), rules: list[Rule] | None = None,
                        partition_cols=("date", "city")) -> dict[str, int]:
-    """The cleaning job: typed parse → rule split → dead letters (CSV) and the good rows partitioned by (date, city) in every
-    requested format (``parquet``, ``avro`` when present). The tagged rows
-    are persisted once, so the input is parsed once for all outputs.
-    Returns the row counts of both sides."""
-    from quarry.sinks.files import write_dead_letters, write_partitioned
-
-    rules = rules or order_rules()
-    tagged = parse_orders(raw).withColumn("_bad", is_rejected(rules)).persist()
-    try:
-        bad = tagged.filter("_bad").drop("_bad").withColumn("reject_reason", reject_reasons(rules))
-        good = tagged.filter(~F.col("_bad")).drop("_bad")
-        write_dead_letters(bad, dead_letter_path)
-        for fmt in formats:
-            write_partitioned(good, f"{good_path.rstrip('/')}/{fmt}", partition_cols, fmt=fmt)
-        counts = tagged.groupBy(F.col("_bad").alias("bad")).count().collect()
-        return {("bad" if r["bad"] else "good"): r["count"] for r in counts}
-    finally:
-        tagged.unpersist()
+    """The cleaning job: dead letters (CSV) and the good rows partitioned by
+    (date, city) in every requested format (``parquet``, ``avro`` when
+    present). The input is read once per output: no copy of it is held, and
+    the counts of both sides are observed by the writes themselves."""
+    bad = store_dead_letters(raw, dead_letter_path, rules)
+    return {"good": store_good_lines(raw, good_path, formats, rules, partition_cols), "bad": bad}

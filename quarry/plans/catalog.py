@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from quarry.functions.expressions import fmt_ts, r6
 from quarry.operators import aggregates as A
 from quarry.operators import detections as B
+from quarry.operators import durable_keys as DK
 from quarry.operators import evaluate as EV
 from quarry.operators import features as FE
 from quarry.operators import generate as G
@@ -23,6 +24,8 @@ from quarry.operators import modeling as M
 from quarry.operators import models as ML
 from quarry.operators import quality as Q
 from quarry.operators import runs as R
+from quarry.operators import segments as SG
+from quarry.operators import unique_index as UX
 from quarry.plans import views as V
 from quarry.session import checkpoint_dir
 from quarry.sinks import files as SK
@@ -201,6 +204,20 @@ def star_fact(spark, d):
                     "menu_key", F.col("price").cast("long").alias("price"))
 
 
+@query("durable_facility_keys")
+def durable_facility_keys(spark, d):
+    """Facility keys over three loads of orders, by ship month: a facility
+    keeps the number of the load that brought it first. The facts' lines per
+    key."""
+    good = _good_lines(spark, d)
+    held = DK.KeyDictionary(scratch(spark, "facility-keys"), ["facility_name", "city", "country"], "facility_key")
+    third = F.pmod(F.col("Order_id"), F.lit(3))
+    for k in range(3):
+        held.load(good.filter((third == k) & ((F.col("Order_id") % 50 < 2) if k < 2 else F.lit(True))))
+    lines = held.keyed(good)
+    return lines.groupBy("facility_key", "facility_name", "city", "country").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 @query("order_documents")
 def order_documents(spark, d):
     return _documents_out(M.to_documents(_good_lines(spark, d)))
@@ -290,6 +307,19 @@ def unique_append(spark, d):
     return res.select("seq", "name", "email", "country", status.alias("status"), "reason")
 
 
+@query("unique_append_indexed")
+def unique_append_indexed(spark, d):
+    """The sign-up batch against the stored users, by way of the table's
+    Bloom index; the users were appended in two loads."""
+    table = UX.UniqueTable(scratch(spark, "unique-users"), buckets=16, bits_per_bucket=1 << 16)
+    old = V.users_existing(spark, d).withColumn("seq", F.col("id").cast("long")).select("seq", "name", "email", "country")
+    for k in (0, 1):
+        table.append(old.filter(F.col("seq") % 2 == k))
+    res = table.admit(V.users_incoming(spark, d))
+    status = F.when(F.col("reason").isNull(), F.lit("accepted")).otherwise(F.lit("rejected"))
+    return res.select("seq", "name", "email", "country", status.alias("status"), "reason")
+
+
 @query("user_lookup")
 def user_lookup(spark, d):
     req = (V._t(spark, d, "events").filter(F.col("event_type") == "signup")
@@ -829,21 +859,41 @@ def kmeans_scaled(spark, d):
 
 
 # --------------------------------------------------- jobs and sinks read back
+@query("streak_incremental")
+def streak_incremental(spark, d):
+    """Longest run per key from stored day summaries: the days are loaded in
+    three batches, one of them twice; no load reads another's events."""
+    log = V.event_log(spark, d)
+    held = SG.StreakLog(scratch(spark, "segments"), "user_id", "ts", F.col("state") == "broken", F.to_date("ts"))
+    batch = F.pmod(F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")), F.lit(3))
+    for k in (1, 0, 2, 0):
+        held.add(log.filter(batch == k))
+    return _runs_out(held.longest(spark))
+
+
+@query("streak_merged_summaries")
+def streak_merged_summaries(spark, d):
+    """The same from day summaries merged into months, then into one."""
+    s = SG.summarize(V.event_log(spark, d), "user_id", "ts", F.col("state") == "broken", F.to_date("ts"))
+    months = SG.merge_summaries(s, "user_id", F.trunc("segment", "month"))
+    return _runs_out(SG.longest_from_summaries(SG.merge_summaries(months, "user_id", F.lit("1970-01-01").cast("date")), "user_id"))
+
+
 @query("cleaning_job")
 def cleaning_job(spark, d):
     """The whole cleaning job: partitioned Parquet of the good lines, read
     back with partition discovery."""
     root = scratch(spark, "clean")
-    Q.store_clean_orders(V.dirty_orders(spark, d), f"{root}/good", f"{root}/dead")
+    Q.store_clean_orders(V.dirty_orders(spark, d, one_year=True), f"{root}/good", f"{root}/dead")
     back = SR.read_parquet(spark, f"{root}/good/parquet")
     return _orders_out(back.withColumn("date", F.col("date").cast("date")))
 
 
 @query("dead_letters_read_back")
 def dead_letters_read_back(spark, d):
-    root = scratch(spark, "dead")
-    Q.store_clean_orders(V.dirty_orders(spark, d), f"{root}/good", f"{root}/dead")
-    t = SR.read_csv_text(spark, f"{root}/dead")
+    path = scratch(spark, "dead")
+    Q.store_dead_letters(V.dirty_orders(spark, d), path)
+    t = SR.read_csv_text(spark, path)
     return t.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -881,11 +931,8 @@ def minute_files_read_back(spark, d):
     ue = V.user_events(spark, d)
     w = F.window(F.try_to_timestamp("created_at"), "1 minute")
     named = ue.withColumn("file_name", F.concat(F.lit("users_"), F.date_format(w["end"], "yyyyMMdd_HHmmss"), F.lit(".jsonl")))
-    # folders per hour of the day keep the number of files bounded in the test tables
-    hourly = named.withColumn("hour_file", F.concat(F.substring("file_name", 1, 17), F.lit("00.jsonl")))
-    SK.write_batches_as_files(hourly.select("id", "email", "file_name", "hour_file"), path, "hour_file")
-    return (spark.read.json(path).groupBy("hour_file")
-            .agg(F.count(F.lit(1)).alias("n_records"), F.countDistinct("file_name").alias("n_minutes")))
+    SK.write_batches_as_files(named.select("id", "email", "file_name"), path)
+    return spark.read.json(path).groupBy("file_name").agg(F.count(F.lit(1)).alias("n_records"))
 
 
 @query("decode_rejects")

@@ -37,6 +37,8 @@ best AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id
              ORDER BY streak_len DESC, start_t, run_id) AS rn FROM runs)
 SELECT {_RUN_COLS} FROM best WHERE rn = 1"""
 
+SQL["streak_incremental"] = SQL["streak_merged_summaries"] = SQL["streak_longest_per_key"]
+
 SQL["streak_topn"] = f"""WITH {_EVENT_LOG},
 top AS (SELECT *, ROW_NUMBER() OVER (ORDER BY streak_len DESC, user_id, start_t, run_id) AS pos
         FROM runs)
@@ -165,6 +167,13 @@ FROM good g
 JOIN dim_city c ON g.city = c.city AND g.country = c.country
 JOIN dim_facility f ON g.facility_name = f.facility_name AND c.city_key = f.city_key
 JOIN dim_menu m ON g.menu_item = m.menu_item"""
+SQL["durable_facility_keys"] = f"""WITH {_GOOD},
+m AS (SELECT facility_name, city, country, COUNT(*) AS n_lines,
+             MIN(CASE WHEN Order_id % 3 < 2 AND Order_id % 50 < 2 THEN Order_id % 3 ELSE 2 END) AS load,
+             MAX(CASE WHEN Order_id % 3 = 2 OR Order_id % 50 < 2 THEN 1 ELSE 0 END) AS member
+      FROM good WHERE facility_name IS NOT NULL AND city IS NOT NULL AND country IS NOT NULL GROUP BY ALL)
+SELECT ROW_NUMBER() OVER (ORDER BY load, facility_name, city, country) AS facility_key, facility_name, city, country, n_lines
+FROM m WHERE member = 1"""
 SQL["order_documents"] = f"""WITH {_GOOD}
 SELECT Order_id AS _id, city, country, facility_name, lat, lng,
        strftime(MIN(datetime), {TS}) AS datetime, CAST(SUM(price) AS BIGINT) AS order_total,
@@ -254,7 +263,7 @@ g AS (SELECT time_bucket(INTERVAL '1 minute', ts) AS s, COUNT(*) AS n, MIN(ts) A
 SELECT strftime(s, {TS}) AS batch_start, strftime(s + INTERVAL '1 minute', {TS}) AS batch_end,
        'users_' || strftime(s + INTERVAL '1 minute', '%Y%m%d_%H%M%S') || '.jsonl' AS file_name,
        n AS n_records, strftime(f, {TS}) AS first_ts, strftime(l, {TS}) AS last_ts FROM g"""
-SQL["unique_append"] = """WITH
+SQL["unique_append"] = SQL["unique_append_indexed"] = """WITH
 inc AS (SELECT c.c_custkey AS seq, c.c_name AS name,
                'customer' || lpad(CAST(c.c_custkey // 2 AS VARCHAR), 9, '0')
                  || CASE WHEN c.c_acctbal < 0 THEN '.example.com' ELSE '@example.com' END AS email,
@@ -471,7 +480,8 @@ _TFLAGS = ", ".join(
 SQL["keyword_flags_token"] = f"WITH {_CLEAN} SELECT doc_id, {_TFLAGS} FROM cj"
 
 # --------------------------------------------------- jobs and sinks read back
-SQL["cleaning_job"] = SQL["clean_good"]
+SQL["cleaning_job"] = SQL["clean_good"].replace(
+    "strftime(l_shipdate,", "strftime(DATE '1997-01-01' + CAST((dayofyear(l_shipdate) - 1) % 365 AS INTEGER),")
 SQL["dead_letters_read_back"] = f"""WITH {_DIRTY}
 SELECT reject_reason, COUNT(*) AS n FROM tagged WHERE reject_reason <> '' GROUP BY reject_reason"""
 SQL["per_key_csv"] = SQL["detection_log"]
@@ -481,8 +491,7 @@ SQL["label_lines_read_back"] = SQL["bbox_labels"].replace(""" AS label_line,
        CAST(printf('%.6f', wn) AS DOUBLE) AS w_n, CAST(printf('%.6f', hn) AS DOUBLE) AS h_n""", " AS label_line")
 SQL["minute_files_read_back"] = f"""WITH {_USERS},
 t AS (SELECT time_bucket(INTERVAL '1 minute', CAST(created_at AS TIMESTAMP)) + INTERVAL '1 minute' AS e FROM ue)
-SELECT 'users_' || strftime(e, '%Y%m%d_%H') || '00.jsonl' AS hour_file, COUNT(*) AS n_records,
-       COUNT(DISTINCT e) AS n_minutes FROM t GROUP BY 1"""
+SELECT 'users_' || strftime(e, '%Y%m%d_%H%M%S') || '.jsonl' AS file_name, COUNT(*) AS n_records FROM t GROUP BY 1"""
 SQL["decode_rejects"] = f"""WITH {_USERS}
 SELECT country AS msg_key, length(to_json({{'id': id, 'name': name, 'email': email, 'country': country,
        'created_at': created_at, 'seq': seq}})::VARCHAR) - 5 AS n_chars FROM ue WHERE seq % 7 = 0"""

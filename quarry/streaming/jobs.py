@@ -6,21 +6,22 @@ a static or a streaming DataFrame).
   connector is present; ``parquet``/``json``/``memory`` otherwise) with a
   checkpoint, append mode. A restart resumes from the checkpoint and emits
   nothing twice for file sinks.
-* ``KeyedUpsertSink`` — last-write-wins table fed by ``foreachBatch``.
-* ``start_minute_files`` — records flushed to NDJSON files on a
-  processing-time trigger (one micro-batch per interval, none when empty).
+* ``start_upsert`` — messages into a last-write-wins table
+  (``streaming.tables.KeyedUpsertSink``) by ``foreachBatch``.
+* ``start_minute_files`` — records flushed to NDJSON files named by the flush
+  time on a processing-time trigger (none when empty).
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from quarry.operators.messages import USER_EVENT_SCHEMA, decode_messages, latest_by_key, to_messages
+from quarry.operators.messages import USER_EVENT_SCHEMA, decode_messages, to_messages
 from quarry.sources.files import read_json_stream, require_format
+from quarry.streaming.tables import FlushFiles, KeyedUpsertSink
 
 
 def _trigger(w, trigger: dict | None):
@@ -47,73 +48,6 @@ def start_file_to_messages(spark: SparkSession, in_dir: str, checkpoint: str, si
     return _trigger(w, trigger).start()
 
 
-class KeyedUpsertSink:
-    """Idempotent keyed upsert into a table under ``root``.
-
-    Each micro-batch is reduced to its latest row per key and written to
-    ``root/log/batch_id=<n>`` with overwrite: replaying a batch after a
-    failure rewrites the same folder, so the sink is exactly-once with the
-    stream's checkpoint. The current table is the latest row per key over
-    the last snapshot plus later log batches (a partial aggregation, read
-    side); ``compact`` folds the log into a new snapshot.
-    """
-
-    def __init__(self, root: str, keys: list[str], order: list[str]):
-        self.root, self.keys, self.order = root.rstrip("/"), keys, order
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        latest = latest_by_key(batch, self.keys, self.order)
-        latest.write.mode("overwrite").parquet(f"{self.root}/log/batch_id={batch_id}")
-
-    def _snapshot(self, spark: SparkSession) -> tuple[DataFrame | None, int]:
-        """Latest compacted snapshot and the last batch id it contains."""
-        try:
-            row = spark.read.json(f"{self.root}/_snapshot").first()
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None, -1  # not compacted yet
-        if row is None:
-            return None, -1
-        return spark.read.parquet(row["path"]), int(row["upto"])
-
-    def current(self, spark: SparkSession) -> DataFrame:
-        """Latest row per key: the last snapshot plus the log batches after it."""
-        snap, upto = self._snapshot(spark)
-        log = spark.read.parquet(f"{self.root}/log").filter(F.col("batch_id") > upto).drop("batch_id")
-        rows = log if snap is None else snap.unionByName(log, allowMissingColumns=True)
-        return latest_by_key(rows, self.keys, self.order)
-
-    def compact(self, spark: SparkSession) -> int:
-        """Fold the log into a new snapshot (written first, then the marker
-        is replaced), so reads stop growing with the number of batches.
-        Returns the last batch id folded in."""
-        upto = spark.read.parquet(f"{self.root}/log").agg(F.max("batch_id")).first()[0]
-        if upto is None:
-            return -1
-        path = f"{self.root}/snapshot/upto={upto}"
-        snap, prev = self._snapshot(spark)
-        log = spark.read.parquet(f"{self.root}/log").filter(
-            (F.col("batch_id") > prev) & (F.col("batch_id") <= upto)).drop("batch_id")
-        rows = log if snap is None else snap.unionByName(log, allowMissingColumns=True)
-        latest_by_key(rows, self.keys, self.order).write.mode("overwrite").parquet(path)
-        spark.createDataFrame([(path, int(upto))], "path string, upto long") \
-            .coalesce(1).write.mode("overwrite").json(f"{self.root}/_snapshot")
-        self._prune(spark, int(upto))
-        return int(upto)
-
-    def _prune(self, spark: SparkSession, upto: int) -> None:
-        """Remove log batches that the snapshot holds, except the newest (it
-        keeps the log readable and may still be replayed)."""
-        jvm = spark.sparkContext._jvm
-        log = jvm.org.apache.hadoop.fs.Path(f"{self.root}/log")
-        fs = log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        for st in fs.listStatus(log):
-            name = st.getPath().getName()
-            if name.startswith("batch_id=") and int(name.partition("=")[2]) < upto:
-                fs.delete(st.getPath(), True)
-
-
 def start_upsert(spark: SparkSession, messages: DataFrame, sink: KeyedUpsertSink, checkpoint: str,
                  schema: T.StructType = USER_EVENT_SCHEMA, trigger: dict | None = None,
                  extra_cols: list[str] | None = None) -> StreamingQuery:
@@ -122,7 +56,7 @@ def start_upsert(spark: SparkSession, messages: DataFrame, sink: KeyedUpsertSink
     (overwritten when a batch is replayed, so each is kept once)."""
     def upsert(batch: DataFrame, batch_id: int) -> None:
         dec = decode_messages(batch, schema, keep=extra_cols)
-        sink(dec["good"].drop("msg_key").withColumn("ingested_at", F.current_timestamp()), batch_id)
+        sink(dec["good"].drop("msg_key").withColumn("ingested_at", F.current_timestamp()), batch_id, checkpoint)
         dec["bad"].write.mode("overwrite").parquet(f"{sink.root}/dead_letters/batch_id={batch_id}")
 
     w = messages.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
@@ -130,9 +64,15 @@ def start_upsert(spark: SparkSession, messages: DataFrame, sink: KeyedUpsertSink
 
 
 def start_minute_files(records: DataFrame, out_dir: str, checkpoint: str,
-                       interval: str = "60 seconds") -> StreamingQuery:
-    """Flush records to NDJSON files once per ``interval`` of processing
-    time; an interval with no records writes nothing."""
-    return (records.writeStream.format("json").option("path", out_dir)
-            .option("checkpointLocation", checkpoint).outputMode("append")
-            .trigger(processingTime=interval).start())
+                       interval: str = "60 seconds", prefix: str = "users_", trigger: dict | None = None) -> StreamingQuery:
+    """Flush records once per ``interval`` of processing time to a file
+    named by the flush time, exactly once (``FlushFiles``); an interval with
+    no records writes nothing."""
+    flush = FlushFiles(out_dir, prefix)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            flush(batch, batch_id)
+
+    w = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger or {"processingTime": interval}).start()
