@@ -33,6 +33,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401 — pa.compute
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -347,7 +348,7 @@ def _latent(docs: DataFrame, bench: Benchmark, shared: Shared, rank: int, seed:
             number, first, blocks = b.tokens(s.column("text"))
             d, y = sketch(*b.spread(number, first, blocks), test)
             df, z, passages = df + d, z + y, passages + int(blocks[-1])
-        salt = int(np.random.default_rng().integers(1 << 16))
+        salt = TaskContext.get().partitionId()  # the same if the task is run again
         for k in range(0, v, part):
             if df[k:k + part].any() or k == 0:
                 yield row(k // part, salt % 64, passages if k == 0 else 0, df[k:k + part], z[k:k + part])
@@ -397,27 +398,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     each reported; repeated rows are reported each; empty tables on either
     side give an empty result; other columns are not read. Texts of any
     length are searched whole. A benchmark of more than ``BENCHMARK_BYTES``
-    of text or ``MEMORY_BYTES`` of arrays raises: pass it in parts."""
+    of text or ``MEMORY_BYTES`` of arrays is searched in parts, one after
+    another, each with its own passes over the documents."""
     need(docs, id_col, text_col)
-    need(benchmark, item_col, item_text_col)
-    items = benchmark.select(benchmark[item_col].cast("long").alias("item"), benchmark[item_text_col].alias("text"))
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    if size > BENCHMARK_BYTES:
-        raise ValueError(f"the benchmark has {size} bytes of text, more than {BENCHMARK_BYTES}")
-    rows = sorted(((r["item"], r["text"]) for r in items.collect()), key=lambda r: (r[0] is None, r))
-    bench = Benchmark([r[0] for r in rows], [r[1] for r in rows])
     src = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    id_type = src.schema["id"].dataType.simpleString()
-    schema = f"id {id_type}, item long, cosine double, share double, answer_found boolean"
+    schema = f"id {src.schema['id'].dataType.simpleString()}, item long, cosine double, share double, answer_found boolean"
     names = {"id": id_col, "item": item_col if item_col != id_col else "item_id"}
-    if not bench.items:
-        return docs.sparkSession.createDataFrame([], schema).withColumnsRenamed(names)
-    if bench.memory(rank) > MEMORY_BYTES:
-        raise ValueError(f"the benchmark takes {bench.memory(rank)} bytes of memory, more than {MEMORY_BYTES}: pass it in parts")
-    shared = Shared(docs.sparkSession, bench)
-    latent, df = _latent(src, bench, shared, rank, seed)
-    searcher = Shared(docs.sparkSession, Searcher(bench, latent, df, min_cosine, copy_share, paraphrase_share))
+    out = None
+    for searcher in _searchers(src, benchmark, item_col, item_text_col, rank, min_cosine, copy_share, paraphrase_share, seed):
+        part = src.mapInArrow(_report(searcher), schema)
+        out = part if out is None else out.unionByName(part)
+    return (docs.sparkSession.createDataFrame([], schema) if out is None else out).withColumnsRenamed(names)
+
 
+def _report(searcher: Shared):
     def run(batches):
         s = searcher.value
         for b in slices(batches, "text"):
@@ -427,12 +421,51 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                 [b.column("id").take(pa.array(t, pa.int64())), pa.array([s.bench.ids[x] for x in k], pa.int64()),
                  pa.array(c, pa.float64()), pa.array(share, pa.float64()), pa.array(answer, pa.bool_())],
                 ["id", "item", "cosine", "share", "answer_found"])
+    return run
 
-    return src.mapInArrow(run, schema).withColumnsRenamed(names)
 
-
-def remove_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents without those that ``find_leaks`` reports (rows with a
-    null id are kept)."""
-    leaks = find_leaks(docs, benchmark, id_col=id_col, **options).select(id_col).distinct()
-    return docs.join(leaks, id_col, "left_anti").select(*docs.columns)
+def _searchers(src, benchmark, item_col, item_text_col, rank, min_cosine, copy_share, paraphrase_share, seed):
+    """A fitted searcher for each part of the benchmark. Parts are dealt by
+    hash of the item rows; one that takes too much memory is halved. Only a
+    part of one row (as often as it is there) may be larger."""
+    need(benchmark, item_col, item_text_col)
+    items = benchmark.select(benchmark[item_col].cast("long").alias("item"), benchmark[item_text_col].alias("text"))
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(-(-size // BENCHMARK_BYTES), 1)
+    todo = [(parts, k) for k in range(parts)]
+    while todo:
+        n, k = todo.pop(0)
+        rows = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).collect()  # about BENCHMARK_BYTES
+        rows = sorted(((r["item"], r["text"]) for r in rows), key=lambda r: (r[0] is None, r))
+        bench = Benchmark([r[0] for r in rows], [r[1] for r in rows])
+        if not bench.items:
+            continue
+        if bench.memory(rank) > MEMORY_BYTES and len(set(rows)) > 1:
+            todo += [(2 * n, k), (2 * n, k + n)]
+            continue
+        latent, df = _latent(src, bench, Shared(src.sparkSession, bench), rank, seed)
+        yield Shared(src.sparkSession, Searcher(bench, latent, df, min_cosine, copy_share, paraphrase_share))
+
+
+def remove_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                 item_text_col: str = "text", rank: int = 48, min_cosine: float = 0.25, copy_share: float = 0.7,
+                 paraphrase_share: float = 0.6, seed: int = 11) -> DataFrame:
+    """The rows of ``docs`` that hold no item of the benchmark, as
+    ``find_leaks`` decides, with all their columns whatever their names. Each
+    row is judged by itself in the search pass, whether its id is null,
+    repeated or absent; no join follows."""
+    need(docs, text_col)
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    text = names[docs.columns.index(text_col)]
+    out = docs.toDF(*names)
+    src = out.select(out[text].alias("text"))
+    for searcher in _searchers(src, benchmark, item_col, item_text_col, rank, min_cosine, copy_share, paraphrase_share, seed):
+        def run(batches, searcher=searcher):
+            s = searcher.value
+            for b in slices(batches, text):
+                keep = np.ones(b.num_rows, bool)
+                keep[[h[0] for h in s.search(b.column(text))]] = False
+                yield b.filter(pa.array(keep))
+
+        out = out.mapInArrow(run, out.schema)
+    return out.toDF(*docs.columns)

@@ -7,6 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from quarry.llm import decontaminate
 from quarry.llm.decontaminate import Benchmark, find_leaks, latent_words, lcs, masks_of, remove_leaks, sketch
 from llm_fixtures import edge_docs, no_docs, rng  # noqa: F401
 
@@ -114,11 +115,33 @@ def test_exact_copies_do_not_depend_on_the_rank(spark, rng):
     assert {(i, k) for i, k in want if i % 5 == 0} | {(300, 40), (301, 41)} <= got <= want | {(300, 40), (301, 41)}
 
 
-def test_memory_follows_vocabulary_and_items(spark, monkeypatch):
+def test_memory_follows_vocabulary_and_items():
     few, many = (Benchmark(list(range(n)), [f"word{k} of item{k} and more" for k in range(n)]) for n in (10, 1000))
     assert many.memory(48) > 50 * few.memory(48) >= 50 * 48 * 56 * 23
-    monkeypatch.setattr("quarry.llm.decontaminate.MEMORY_BYTES", few.memory(48) - 1)
-    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
-    items = spark.createDataFrame([(k, f"word{k} of item{k} and more") for k in range(10)], "item_id long, text string")
-    with pytest.raises(ValueError, match="memory"):
-        find_leaks(docs, items)
+
+
+def test_a_large_benchmark_is_searched_in_parts(spark, rng, monkeypatch):
+    items, docs, want = plant(rng)
+    d = spark.createDataFrame(docs + [(None, docs[0][1]), (0, "clean words only")], "doc_id long, text string").repartition(4)
+    b = spark.createDataFrame(items, "item_id long, text string")
+    one = {(r.doc_id, r.item_id) for r in find_leaks(d, b).collect()}
+    seen, real = [], decontaminate._latent
+    monkeypatch.setattr(decontaminate, "_latent", lambda *a: seen.append(len(a[1].items)) or real(*a))
+    monkeypatch.setattr(decontaminate, "BENCHMARK_BYTES", sum(len(t) for _, t in items) // 2)
+    monkeypatch.setattr(decontaminate, "MEMORY_BYTES", Benchmark([i for i, _ in items[:9]], [t for _, t in items[:9]]).memory(48))
+    got = {(r.doc_id, r.item_id) for r in find_leaks(d, b).collect()}
+    assert len(seen) > 2 and sum(seen) == len(items)
+    copies = {(i, k) for i, k in want if i % 5 == 0}
+    assert copies <= got and len(got ^ one) <= 0.05 * len(one)
+    left = sorted((r.doc_id is None, r.doc_id, r.text) for r in remove_leaks(d, b).collect())
+    bad = {i for i, _ in got}
+    assert left == sorted((i is None, i, t) for i, t in docs + [(0, "clean words only")] if i not in bad or t == "clean words only")
+
+
+def test_sums_do_not_depend_on_the_run(spark, rng):
+    """A task that is run again sends its sums to the same reducer."""
+    items, docs, _ = plant(rng)
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    b = spark.createDataFrame(items, "item_id long, text string")
+    runs = [sorted(tuple(r) for r in find_leaks(d, b).collect()) for _ in range(2)]
+    assert [r[:2] + r[3:] for r in runs[0]] == [r[:2] + r[3:] for r in runs[1]]
