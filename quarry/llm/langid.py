@@ -14,7 +14,10 @@ Training uses labelled documents outside the held-out fold: about
 ``max_docs`` rows, by hash, cut into chains, about ``max_chains`` of them;
 languages whose part of that is small have ``LEAST_DOCS`` rows and
 ``LEAST_CHAINS`` chains all the same (or what there is), so that every
-labelled language is learned.
+labelled language is learned. Rows and chains are made distinct before they
+are drawn, so repeated ones do not enlarge the sample. More than
+``folds.MAX_VALUES`` languages are an error; beyond 256 the hashed features
+get fewer buckets, so that the broadcast weights stay within 128 MB.
 Training sequences join one to three chains of any languages, so that the
 transitions are learned from switches as well as from runs.
 """
@@ -44,7 +47,7 @@ def _letters() -> np.ndarray:
 MAY_BE_LETTER = _letters()
 
 
-def word_features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """(bucket numbers of all words one after another, buckets per word)."""
     size = ends - starts
     wide = size + 2  # the word between two zero bytes
@@ -56,7 +59,7 @@ def word_features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tup
     kinds, owner = [], []
 
     def add(kind: int, value: np.ndarray, who: np.ndarray) -> None:
-        kinds.append((mix(value * np.uint64(64) + np.uint64(kind)) >> np.uint64(64 - BITS)).astype(np.int32))
+        kinds.append((mix(value * np.uint64(64) + np.uint64(kind)) >> np.uint64(64 - bits)).astype(np.int32))
         owner.append(who)
 
     who = np.arange(len(size))
@@ -139,7 +142,8 @@ class Tagger:
 
     def __init__(self, names: list[str]):
         self.names = names
-        self.weight = np.zeros((1 << BITS, len(names)), np.float32)
+        self.bits = BITS - max(len(names) - 1, 1).bit_length() + 8 if len(names) > 256 else BITS
+        self.weight = np.zeros((1 << self.bits, len(names)), np.float32)
         self.trans = np.zeros((len(names), len(names)))
 
     def fit(self, texts: list[str], labels: list[int], rounds: int = 30, rate: float = 0.3, ridge: float = 1e-5,
@@ -158,7 +162,7 @@ class Tagger:
         edge = edge[edge < len(starts)]
         chains = Chains(edge, np.diff(np.append(edge, len(starts))))
         _, at, of = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        bucket, n = word_features(data, starts[at], ends[at])
+        bucket, n = word_features(data, starts[at], ends[at], self.bits)
         begin = np.cumsum(n) - n
         inner = np.ones(len(starts), bool)
         inner[edge] = False
@@ -190,7 +194,7 @@ class Tagger:
         place = np.searchsorted(have, keys)
         new = np.ones(len(keys), bool) if not len(have) else have[np.minimum(place, len(have) - 1)] != keys
         if new.any():
-            bucket, n = word_features(data, starts[at[new]], ends[at[new]])
+            bucket, n = word_features(data, starts[at[new]], ends[at[new]], self.bits)
             fresh = np.add.reduceat(self.weight[bucket], np.cumsum(n) - n)
             have, rows = np.insert(have, place[new], keys[new]), np.insert(rows, place[new], fresh, axis=0)
             worker_store()[memo] = have, rows
@@ -212,10 +216,11 @@ class Tagger:
 def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_docs: int, max_chains: int) -> Tagger:
     src = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), docs[lang_col].alias("lang"))
     rows = src.filter(~held_out(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    chosen = by_hash_each(rows.select("id", "lang"), max_docs, LEAST_DOCS, "lang", "id", "lang").distinct()
+    chosen = by_hash_each(rows.select("id", "lang").distinct(), max_docs, LEAST_DOCS, "lang", "id", "lang")
     lines = (rows.join(F.broadcast(chosen), ["id", "lang"])  # about max_docs pairs
              .select("lang", F.explode(F.split("text", "\n")).alias("line")).filter(F.length("line") > 0)
-             .select("lang", F.explode(F.regexp_extract_all("line", F.lit(r"(?:\S+\s*){1,%d}" % CHAIN), F.lit(0))).alias("chain")))
+             .select("lang", F.explode(F.regexp_extract_all("line", F.lit(r"(?:\S+\s*){1,%d}" % CHAIN), F.lit(0))).alias("chain"))
+             .distinct())
     got = by_hash_each(lines, max_chains, LEAST_CHAINS, "lang", "chain", "lang").toPandas()
     names = sorted(got["lang"].unique().tolist())
     tagger = Tagger(names)

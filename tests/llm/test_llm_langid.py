@@ -2,10 +2,12 @@
 
 import itertools
 
+import pytest
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from quarry.llm.folds import by_hash_each
 from quarry.llm.langid import Chains, Tagger, chains_of, detect_language, language_shares, word_features
 from quarry.llm.text import flat_bytes
 from llm_fixtures import edge_docs, no_docs  # noqa: F401
@@ -84,3 +86,27 @@ def test_a_rare_language_is_learned(spark):
                                       F.when(lang == "aa", say[0]).when(lang == "bb", say[1]).otherwise(say[2]).alias("text"))
     got = docs.join(detect_language(docs).filter("not held_out"), "doc_id")
     assert got.filter("lang = 'cc'").count() > 0 and got.filter("lang != lang_pred").count() == 0
+
+
+def test_repeated_lines_do_not_enlarge_the_sample(spark):
+    """100,000 equal lines in one document, and equal documents."""
+    docs = spark.range(30_000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "aa").otherwise("bb").alias("lang"),
+        F.when(F.col("id") % 3 == 0, F.lit("the same line")).otherwise(F.concat(F.lit("line "), F.col("id"))).alias("text"))
+    junk = spark.createDataFrame([(90_000, "aa", "junk line here\n" * 100_000)], docs.schema)
+    rows = docs.unionByName(junk)
+    lines = rows.select("lang", F.explode(F.split("text", "\n")).alias("chain")).distinct()
+    assert by_hash_each(lines, 6000, 60, "lang", "chain", "lang").count() <= 6500
+    assert detect_language(rows, max_docs=500, max_chains=300).count() == 30_001
+
+
+def test_many_labels_share_fewer_buckets():
+    assert Tagger([str(k) for k in range(4)]).weight.nbytes < 1 << 23
+    assert Tagger([str(k) for k in range(3000)]).weight.nbytes <= 128 << 20
+
+
+def test_more_labels_than_the_bound_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr("quarry.llm.folds.MAX_VALUES", 3)
+    docs = spark.range(9).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("lang"), F.lit("a text").alias("text"))
+    with pytest.raises(ValueError, match="values of lang"):
+        detect_language(docs)
