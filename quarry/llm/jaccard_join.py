@@ -45,6 +45,8 @@ from quarry.llm.components import components
 from quarry.llm.text import flat_bytes, shingle_sets, slices, word_hashes
 
 
+#: Stands for a null id: sorts after every id.
+NO_ID = (1 << 63) - 1
 #: Longs of a text's parity signature.
 WORDS = 8
 
@@ -218,12 +220,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     whole sequence as one. Null, empty and blank texts have an empty set and
     link with nothing. ``component_id`` is the smallest id that links reach,
     the row's own id included. Repeated rows are copies of each other; rows
-    that repeat an id with another text are texts of their own. A null id is
-    no candidate for the smallest id, a component of null ids only is null.
+    that repeat an id with another text are texts of their own. A null id
+    comes after all others: its row links like any other, and a component of
+    null ids only is null (ids are below ``NO_ID``, which stands for null).
     Empty tables give empty results, other columns are not read. Texts of
     any length are taken whole."""
     need(docs, id_col, text_col)
-    src = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
+    src = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("id"), docs[text_col].alias("text"))
     profile = stored(token_sets(src, width, "n long, digest binary, first array<long>", _profile(percent)), "jaccard-sets")
     texts, candidates = _candidates(profile, percent)
     sets = stored(_ordered_sets(src, candidates, width, percent), "jaccard-ordered")
@@ -261,8 +264,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     # stored, so that a large component is a join partition that Spark can split
     least = stored(of_text.groupBy("part").agg(F.min("rep").alias("component_id")), "jaccard-least")
     return (profile.select("id", "n", "digest").join(of_text.join(least, "part").select("digest", "component_id"), "digest", "left")
-            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")))
+            .select(F.nullif("id", F.lit(NO_ID)).alias(id_col), F.col("n").alias("n_shingles"),
+                    F.nullif(F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")), F.lit(NO_ID)).alias("component_id")))
 
 
 #: ``near_duplicates(documents, 4, 85)`` by joining all texts on shingles.

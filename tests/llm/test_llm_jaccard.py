@@ -125,3 +125,14 @@ def test_report_equals_its_sql(spark):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}')")
     want = sorted(map(tuple, con.execute(REPORT_SQL).fetchall()))
     assert sorted(map(tuple, near_duplicates(spark.read.parquet(path), 4, 85).collect())) == want
+
+
+def test_rows_with_null_ids_link_like_any_other(spark, rng):
+    base = [f"w{k}" for k in range(200)]
+    near = lambda *at: " ".join("x" if k in at else w for k, w in enumerate(base))
+    rows = [(7, near()), (5, near(0, 1)), (None, near(199)), (None, near(199)), (None, "all alone " * 9), (3, "other words " * 7)]
+    assert run(spark, rows, 5, 80) == all_pairs(rows, 5, 80)
+    # the only bridge between two rows is one without an id
+    rows = [(1, near(*range(0, 16))), (None, near()), (2, near(*range(184, 200)))]
+    got = run(spark, rows, 4, 80)
+    assert got == all_pairs(rows, 4, 80) and len({c for _, _, c in got}) == 1
