@@ -18,6 +18,7 @@ from quarry.operators import detections as B
 from quarry.operators import durable_keys as DK
 from quarry.operators import evaluate as EV
 from quarry.operators import features as FE
+from quarry.operators import fits as FT
 from quarry.operators import generate as G
 from quarry.operators import messages as MS
 from quarry.operators import modeling as M
@@ -576,6 +577,37 @@ def decision_tree(spark, d):
     return pred.select("row_id", F.col("prediction").cast("long").alias("prediction"))
 
 
+TREE = {"features": V.MEASURES[:8], "depth": 3, "bins": 16}
+
+
+@query("histogram_tree")
+def histogram_tree(spark, d):
+    """A tree of three levels on binned components; labels of the rest."""
+    sp = _iris_split(spark, d)
+    tree = FT.histogram_tree(sp["train"], TREE["features"], "Species", TREE["depth"], TREE["bins"])
+    return sp["test"].select("row_id", tree.node_of().cast("long").alias("node"), tree.predict().alias("prediction"))
+
+
+@query("kmeans_lloyd")
+def kmeans_lloyd(spark, d):
+    """Centers after six Lloyd steps from hash seeds, with their rows."""
+    iris, cols = V.iris(spark, d), V.MEASURES[:4]
+    centers = FT.lloyd_kmeans(iris, cols, FT.hash_seeds(iris, cols, "row_id", 3), 6)
+    return iris.groupBy(FT.nearest(cols, centers).cast("long").alias("cluster")).agg(
+        F.count(F.lit(1)).alias("n"), *[r6(F.avg(c)).alias(f"avg_{c}") for c in cols])
+
+
+@query("logreg_newton")
+def logreg_newton(spark, d):
+    """Intercept and slope of hourly pay on the posting's length, by Newton
+    steps."""
+    jobs = V.job_postings(spark, d).filter(F.col("is_hourly").isNotNull()).select(
+        F.when(F.col("is_hourly") == "True", 1).otherwise(0).alias("y"), (F.col("budget_clean") / 10000.0).alias("x"))
+    a, b = FT.newton_logistic(jobs, ["x"], "y", 6)
+    return jobs.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("n_hourly"),
+                    F.lit(round(a, 6)).alias("intercept"), F.lit(round(b, 6)).alias("slope"))
+
+
 @query("random_forest")
 def random_forest(spark, d):
     bike = V.bike_stations(spark, d)

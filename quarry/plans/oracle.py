@@ -500,3 +500,69 @@ u AS (SELECT c_custkey, concat_ws('-', h[1:8], h[9:12], h[13:16], h[17:20], h[21
 SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN u[1:35] ELSE u END AS id, c_custkey % 5 <> 0 AS valid FROM u"""
 SQL["key_partitions"] = f"""WITH {_USERS}
 SELECT country AS key, COUNT(*) AS n, CAST(1 AS BIGINT) AS n_partitions FROM ue GROUP BY country"""
+
+# ------------------------------------------------- fits by plain aggregations
+_SPLIT = "((CAST(row_id AS HUGEINT) % 4294967296) * 2654435761) % 4294967296 % 100 < 70"
+
+
+def _tree_sql(n_features: int, depth: int, bins: int) -> str:
+    """Level by level: counts, every cut's impurity, the best cut per node."""
+    xs = range(n_features)
+    sql = f"""WITH p AS (SELECT vec_id AS row_id, 'class_' || CAST(label AS VARCHAR) AS y, embedding AS e FROM embeddings),
+q AS (SELECT *, {_SPLIT} AS train FROM p),
+m AS (SELECT {', '.join(f"min(e[{i + 1}]::DOUBLE) AS lo{i}, (max(e[{i + 1}]::DOUBLE) - min(e[{i + 1}]::DOUBLE)) / {bins} AS w{i}" for i in xs)}
+      FROM q WHERE train),
+l0 AS (SELECT row_id, y, train, 1 AS node,
+       [{', '.join(f"CAST(greatest(least(floor((e[{i + 1}]::DOUBLE - lo{i}) / w{i}), {bins - 1}), 0) AS INTEGER)" for i in xs)}] AS b FROM q, m)"""
+    for k in range(depth):
+        sql += f""",
+h{k} AS (SELECT node, f, b, y, count(*) AS n FROM (SELECT node, y, unnest(range({n_features})) AS f, unnest(b) AS b FROM l{k} WHERE train)
+         GROUP BY ALL),
+s{k} AS (SELECT node, f, cut, y, sum(CASE WHEN b <= cut THEN n ELSE 0 END)::DOUBLE AS l, sum(CASE WHEN b > cut THEN n ELSE 0 END)::DOUBLE AS r
+         FROM h{k}, (SELECT unnest(range({bins - 1})) AS cut) GROUP BY ALL),
+g{k} AS (SELECT node, f, cut, round(sum(l) - sum(l * l) / sum(l) + sum(r) - sum(r * r) / sum(r), 9) AS imp,
+                round(sum(l + r) - sum((l + r) * (l + r)) / sum(l + r), 9) AS whole
+         FROM s{k} GROUP BY node, f, cut HAVING sum(l) > 0 AND sum(r) > 0),
+c{k} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY imp, f, cut) AS rn FROM g{k}) WHERE rn = 1 AND whole - imp > 1e-9),
+l{k + 1} AS (SELECT row_id, y, train, CASE WHEN c.node IS NULL THEN x.node WHEN x.b[c.f + 1] > c.cut THEN 2 * x.node + 1 ELSE 2 * x.node END AS node, x.b
+         FROM l{k} x LEFT JOIN c{k} c ON x.node = c.node)"""
+    return sql + f""",
+v AS (SELECT node, y, row_number() OVER (PARTITION BY node ORDER BY count(*) DESC, y) AS rn FROM l{depth} WHERE train GROUP BY node, y)
+SELECT row_id, CAST(x.node AS BIGINT) AS node, v.y AS prediction FROM l{depth} x JOIN v ON x.node = v.node AND v.rn = 1 WHERE NOT train"""
+
+
+def _lloyd_sql(n_cols: int, k: int, rounds: int) -> str:
+    xs = range(n_cols)
+    cols = ", ".join(f"x{i}" for i in xs)
+    dist = " + ".join(f"(p.x{i} - c.x{i}) * (p.x{i} - c.x{i})" for i in xs)
+    sql = f"""WITH p AS (SELECT vec_id AS row_id, {', '.join(f"embedding[{i + 1}]::DOUBLE AS x{i}" for i in xs)} FROM embeddings),
+c0 AS (SELECT row_number() OVER (ORDER BY md5(row_id::VARCHAR), row_id) - 1 AS c, {cols} FROM p QUALIFY c < {k})"""
+    for r in range(rounds + 1):
+        sql += f""",
+a{r} AS (SELECT row_id, {', '.join(f"p.x{i}" for i in xs)}, c FROM p, c{r} c
+         QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY {dist}, c) = 1)"""
+        if r < rounds:
+            sql += f""",
+c{r + 1} AS (SELECT c.c, {', '.join(f"coalesce(avg(a.x{i}), any_value(c.x{i})) AS x{i}" for i in xs)}
+         FROM c{r} c LEFT JOIN a{r} a ON a.c = c.c GROUP BY c.c)"""
+    return sql + f"""
+SELECT CAST(c AS BIGINT) AS cluster, count(*) AS n, {', '.join(f"round(avg(x{i}), 6) AS avg_m{i}" for i in xs)} FROM a{rounds} GROUP BY c"""
+
+
+def _newton_sql(rounds: int) -> str:
+    sql = f"""WITH {_JOBS},
+j AS (SELECT CASE WHEN is_hourly = 'True' THEN 1 ELSE 0 END AS y, budget_clean / 10000.0::DOUBLE AS x FROM jobs WHERE is_hourly IS NOT NULL),
+b0 AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b)"""
+    for r in range(rounds):
+        sql += f""",
+p{r} AS (SELECT x, y, 1 / (1 + exp(-(a + b * x))) AS p FROM j, b{r}),
+t{r} AS (SELECT sum(y - p) AS g0, sum((y - p) * x) AS g1, sum(p * (1 - p)) AS h00, sum(p * (1 - p) * x) AS h01,
+                sum(p * (1 - p) * x * x) AS h11 FROM p{r}),
+b{r + 1} AS (SELECT a + (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01) AS a, b + (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01) AS b FROM b{r}, t{r})"""
+    return sql + f"""
+SELECT count(*) AS n, CAST(sum(y) AS BIGINT) AS n_hourly, round(any_value(a), 6) AS intercept, round(any_value(b), 6) AS slope FROM j, b{rounds}"""
+
+
+SQL["histogram_tree"] = _tree_sql(8, 3, 16)
+SQL["kmeans_lloyd"] = _lloyd_sql(4, 3, 6)
+SQL["logreg_newton"] = _newton_sql(6)
