@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Cells of a histogram, and classes, that a fit takes.
-MAX_CELLS, MAX_CLASSES = 32_000_000, 1_000
+MAX_CELLS, MAX_CLASSES = 4_000_000, 1_000
 
 
 # ----------------------------------------------------------------- trees
