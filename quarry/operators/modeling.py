@@ -117,6 +117,26 @@ def _gid(members: list[str]) -> int:
     return sum(1 << (n - 1 - i) for i, c in enumerate(_STAR_COLS) if c not in members)
 
 
+def _numbered_members(dims: dict[str, DataFrame], key_mode: str) -> dict[str, DataFrame]:
+    """Members of several dimensions with ``key``, 1.. in the order of their
+    natural columns in each. One global sort by (dimension, natural columns)
+    and one stored copy number all of them; a dimension's first place is its
+    offset (one row per dimension reaches the driver)."""
+    if key_mode != "rank":
+        return {d: assign_keys(m.select(*_STAR_SETS[d], "at.*"), _STAR_SETS[d], "key", key_mode) for d, m in dims.items()}
+    rows = None
+    for k, (d, m) in enumerate(dims.items()):
+        cols = [*_STAR_SETS[d], *[None] * (3 - len(_STAR_SETS[d]))]
+        one = m.select(F.lit(k).alias("dim"), *[(F.col(c) if c else F.lit(None).cast("string")).alias(f"n{i}") for i, c in enumerate(cols)],
+                       "at.lat", "at.lng")
+        rows = one if rows is None else rows.unionByName(one)
+    placed = assign_keys(rows, ["dim", "n0", "n1", "n2"], "place")
+    first = {r["dim"]: r["lo"] for r in placed.groupBy("dim").agg(F.min("place").alias("lo")).collect()}
+    return {d: placed.filter(F.col("dim") == k).select((F.col("place") - first.get(k, 1) + 1).alias("key"),
+                                                       *[F.col(f"n{i}").alias(c) for i, c in enumerate(_STAR_SETS[d])], "lat", "lng")
+            for k, d in enumerate(dims)}
+
+
 def to_star(df: DataFrame, fact_mode: str = "inner", key_mode: str = "rank") -> dict[str, DataFrame]:
     """Flat clean lines → ``dim_date, dim_city, dim_facility, dim_menu,
     fact_sales``.
@@ -148,14 +168,11 @@ def to_star(df: DataFrame, fact_mode: str = "inner", key_mode: str = "rank") ->
     dim_date = part("date").select(date_key("date").alias("date_key"), "date",
                                    F.year("date").alias("year"), F.month("date").alias("month"),
                                    F.dayofmonth("date").alias("day"))
-    city = assign_keys(part("city").select("city", "country"), ["city", "country"], "city_key", key_mode)
-    dim_city = city.select("city_key", "city", "country")
-    fac = join_null_safe(part("facility").select("facility_name", "city", "country", "at.lat", "at.lng"),
-                         dim_city, ["city", "country"])
-    fac = assign_keys(fac, ["facility_name", "city_key"], "facility_key", key_mode)
+    keyed = _numbered_members({k: part(k) for k in ("city", "facility", "menu")}, key_mode)
+    dim_city = keyed["city"].select(F.col("key").alias("city_key"), "city", "country")
+    fac = keyed["facility"].withColumnRenamed("key", "facility_key").join(dim_city, ["city", "country"])
     dim_facility = fac.select("facility_key", "facility_name", "city_key", "lat", "lng")
-    menu = assign_keys(part("menu").select("menu_item"), ["menu_item"], "menu_key", key_mode)
-    dim_menu = menu.select("menu_key", "menu_item")
+    dim_menu = keyed["menu"].select(F.col("key").alias("menu_key"), "menu_item")
 
     how = "inner" if fact_mode == "inner" else "left"
     dt = F.col("datetime")

@@ -25,10 +25,10 @@ BOX_SIDE = 32
 MEASURES = [f"m{i}" for i in range(64)]   # the components of an embedding
 
 
-#: Derived inputs of these tables are dealt out by a key of theirs before
-#: the derivation (a filter on the result still reaches the scan): the jobs'
-#: own inputs would be many files, the driver's tables are single row groups.
-DEAL_BY = {"lineitem": "l_orderkey", "events": "event_id", "documents": "doc_id"}
+#: Tables to deal out by a key before the derivation. None by default: a
+#: scan of many files is spread already, and dealing it out would shuffle the
+#: whole input. ``bench.py`` sets keys, as its tables are single row groups.
+DEAL_BY: dict[str, str] = {}
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
