@@ -27,6 +27,14 @@ A document's tokens are its distinct word shingles. Two documents link when
    are compared pairwise, when bounds leave a chance: sizes, unshared tokens,
    a parity signature of the shared ones, and the triangle inequality (the
    Jaccard distance is a metric, distances to pivots are known). Every candidate pair is verified on its full token sets.
+5. A key that still holds more than ``hot`` texts of different components is
+   not compared pairwise: the combination is extended. Linked texts differ in
+   at most D tokens, D following from a narrow band of sizes. All tokens are
+   dealt by hash into D // 3 + 1 blocks, of which one must hold two of the
+   differing tokens at most, so that three of its five parts are equal: the
+   tokens of every three parts of a block are a key. Texts that share some
+   frequent tokens no longer meet; keys that stay large are extended by the
+   keys of another hash, ``ROUNDS`` times.
 
 Tokens and set digests are 64-bit and 128-bit hashes.
 """
@@ -34,6 +42,8 @@ Tokens and set digests are 64-bit and 128-bit hashes.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +59,8 @@ from quarry.llm.text import flat_bytes, shingle_sets, slices, word_hashes
 NO_ID = (1 << 63) - 1
 #: Longs of a text's parity signature.
 WORDS = 8
+#: How often keys above ``hot`` texts are extended before their texts meet.
+ROUNDS = 3
 
 
 def slack(n, percent: int):
@@ -125,6 +137,79 @@ def prefix_keys(tokens: np.ndarray, counts: np.ndarray, n: int, percent: int, ra
     return np.unique(np.concatenate(keys)).view(np.int64)
 
 
+def size_bands(percent: int, most: int = 1 << 31) -> list[int]:
+    """First sizes of the size bands: linked texts lie in one band or in
+    neighbouring ones."""
+    first = [1, 2]
+    while first[-1] <= most:
+        last = first[-1] - 1  # the largest size of the band before
+        first.append(max(first[-1] + 1, 100 * last // percent + 1, 11 * last // 10))
+    return first
+
+
+def block_keys(tokens: np.ndarray, n: int, percent: int, bands: list[int], seed: int) -> np.ndarray:
+    """Extended combinations (int64) of one text of ``n`` tokens, of which
+    ``tokens`` occur in other texts: linked texts have one in common, under
+    every ``seed``."""
+    own = bisect_right(bands, n) - 1
+    t = (tokens.view(np.uint64) + np.uint64(seed + 1)) * np.uint64(0x9E3779B97F4A7C15)
+    t = (t ^ (t >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    value = (t ^ (t >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    out = []
+    for band in (own, own + 1):  # texts of a band meet their own and those of the band before
+        apart = (100 - percent) * 2 * (bands[band + 1] - 1) // (100 + percent)
+        least = min(apart, 2)
+        blocks, parts = apart // (least + 1) + 1, 2 * least + 1
+        cell = ((t >> np.uint64(33)) % np.uint64(blocks * parts)).astype(np.int64)
+        sums = np.zeros(blocks * parts, np.uint64)
+        np.add.at(sums, cell, value)
+        chosen = np.array(list(combinations(range(parts), parts - least)))
+        keys = sums.reshape(blocks, parts)[:, chosen].sum(axis=2, dtype=np.uint64)
+        place = np.arange(keys.size, dtype=np.uint64).reshape(keys.shape) + np.uint64(band << 40)
+        keys = (keys ^ (place * np.uint64(0xD6E8FEB86659FD93))) * np.uint64(0x9E3779B97F4A7C15)
+        out.append(keys.ravel())
+    return np.concatenate(out).view(np.int64)
+
+
+def _extended(sets: DataFrame, percent: int, seed: int) -> DataFrame:
+    """(x, more): the extended combinations of every text."""
+    bands = size_bands(percent)
+
+    def run(batches):
+        for b in batches:
+            keys = [block_keys(np.asarray(t, np.int64), n, percent, bands, seed)
+                    for t, n in zip(b.column("tokens").to_pylist(), b.column("n").to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column("tid"), pa.array(keys, pa.list_(pa.int64()))], ["x", "keys"])
+
+    return sets.select("tid", "n", "tokens").mapInArrow(run, "x long, keys array<long>").select("x", F.explode("keys").alias("more"))
+
+
+def _open(keyed: DataFrame, hot: int) -> DataFrame:
+    """(key, large) of the keys whose texts (x, x_part) are in different
+    components; ``large``: more than ``hot`` of them."""
+    return (keyed.groupBy("key").agg(F.min("x_part").alias("lo"), F.max("x_part").alias("hi"), F.count(F.lit(1)).alias("c"))
+            .filter("lo != hi").select("key", (F.col("c") > hot).alias("large")))
+
+
+def _split(crowd: DataFrame, sets: DataFrame, parts: DataFrame, percent: int, hot: int) -> list[DataFrame]:
+    """Tables (key, x, x_part) over the texts ``crowd`` (x), stored: linked
+    texts of different components share a key in one of them."""
+    out, large = [], None
+    for seed in range(ROUNDS):
+        texts = crowd if large is None else large.select("x").distinct()
+        more = _extended(sets.join(texts.withColumnRenamed("x", "tid"), "tid", "left_semi"), percent, seed)
+        keyed = (more.withColumnRenamed("more", "key") if large is None else
+                 large.select("x", F.col("key").alias("old")).join(more, "x").select("x", F.xxhash64("old", "more").alias("key")))
+        keyed = keyed.join(parts, "x", "left").select("key", "x", F.coalesce("x_part", "x").alias("x_part"))
+        split = stored(keyed.join(_open(keyed, hot), "key"), "jaccard-split")
+        last = seed == ROUNDS - 1
+        out.append(split if last else split.filter("not large"))
+        large = split.filter("large")
+        if last or large.isEmpty():
+            return out
+    return out
+
+
 def _signatures(sets: DataFrame) -> DataFrame:
     """(x, s0 .. s7): the parity of a text's shared tokens in each of 512
     hash classes, as eight longs."""
@@ -212,7 +297,7 @@ def _posts(sets: DataFrame, percent: int, rare: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
-                    text_col: str = "text", rare: int = 16) -> DataFrame:
+                    text_col: str = "text", rare: int = 16, hot: int = 128) -> DataFrame:
     """(id, n_shingles, component_id) of every row of ``docs``.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case; a document's
@@ -224,7 +309,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     comes after all others: its row links like any other, and a component of
     null ids only is null (ids are below ``NO_ID``, which stands for null).
     Empty tables give empty results, other columns are not read. Texts of
-    any length are taken whole."""
+    any length are taken whole. ``rare`` and ``hot`` move work, not results."""
     need(docs, id_col, text_col)
     src = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("id"), docs[text_col].alias("text"))
     profile = stored(token_sets(src, width, "n long, digest binary, first array<long>", _profile(percent)), "jaccard-sets")
@@ -241,22 +326,27 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
               .join(star.select("x", F.col("y").alias("pivot"), "d"), ["x", "pivot"], "left")
               .select("key", "x", "x_n", "x_shared", "pivot", F.coalesce("component", "x").alias("x_part"),
                       F.coalesce("d", F.lit(0.0)).alias("x_d")))
-    open_keys = (placed.groupBy("key").agg(F.min("x_part").alias("lo"), F.max("x_part").alias("hi"))
-                 .filter("lo != hi").select("key"))
+    open_keys = stored(_open(placed, hot), "jaccard-open")
     marks = [f"s{k}" for k in range(WORDS)]
-    left = (placed.join(open_keys, "key", "left_semi").join(_signatures(sets), "x")
-            .withColumnsRenamed({m: f"x_{m}" for m in marks}))
-    right = left.select("key", *[F.col(c).alias(c.replace("x", "y", 1))
-                                 for c in ("x", "x_n", "x_shared", "x_part", "x_d", *(f"x_{m}" for m in marks))])
     reach = 1 - percent / 100 + 1e-9
-    cross = (left.join(right, "key")
-             .filter((F.col("x") < F.col("y")) & (F.col("x_part") != F.col("y_part"))
-                     & (F.col("x") != F.col("pivot")) & (F.col("y") != F.col("pivot"))
-                     & _may_link(percent) & (F.abs(F.col("x_d") - F.col("y_d")) <= reach))
-             .select("x", "y").distinct())
-    more = _verified(cross, sets, percent).filter("link").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    apart = (F.col("x") < F.col("y")) & (F.col("x_part") != F.col("y_part")) & _may_link(percent)
+
+    def met(rows, also=F.lit(True)):
+        """(x, y) of the rows that meet under a key and may link."""
+        left = rows.join(_signatures(sets), "x").withColumnsRenamed({m: f"x_{m}" for m in marks})
+        right = left.select("key", *[F.col(c).alias(c.replace("x", "y", 1)) for c in left.columns if c.startswith("x")])
+        return left.join(right, "key").filter(apart & also).select("x", "y")
+
+    cross = met(placed.join(open_keys.filter("not large"), "key", "left_semi"),
+                (F.col("x") != F.col("pivot")) & (F.col("y") != F.col("pivot")) & (F.abs(F.col("x_d") - F.col("y_d")) <= reach))
+    crowd = stored(posts.join(open_keys.filter("large"), "key", "left_semi").select("x").distinct(), "jaccard-crowd")
+    split = _split(crowd, sets, first.select(F.col("id").alias("x"), F.col("component").alias("x_part")), percent, hot)
+    sized = sets.select(F.col("tid").alias("x"), F.col("n").alias("x_n"), F.size("tokens").cast("long").alias("x_shared"))
+    for rows in split:
+        cross = cross.unionByName(met(rows.join(sized, "x")))
+    more = _verified(cross.distinct(), sets, percent).filter("link").select(F.col("x").alias("a"), F.col("y").alias("b"))
     parts = components(links.unionByName(more))
-    for done in (candidates, sets, posts, star):  # the result reads profile, texts and the contracted links
+    for done in (candidates, sets, posts, star, open_keys, crowd, *split):  # the result reads profile, texts and the contracted links
         drop_stored(done)
 
     of_text = texts.join(parts.withColumnRenamed("id", "tid"), "tid", "left").select(

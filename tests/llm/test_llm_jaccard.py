@@ -1,13 +1,14 @@
 """Operator 2 against all pairs, on fixtures around the threshold."""
 
 import re
+from hashlib import blake2b
 
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quarry.llm.components import components
-from quarry.llm.jaccard_join import near_duplicates, prefix_keys, slack
+from quarry.llm.jaccard_join import block_keys, near_duplicates, prefix_keys, size_bands, slack
 from llm_fixtures import edge_docs, no_docs, rng  # noqa: F401
 
 
@@ -93,6 +94,59 @@ def test_linked_texts_share_a_key(n, extra, rare, rnd):
         assert lonely <= x ^ y and keys(x) & keys(y)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.integers(2, 300), st.integers(0, 70), st.integers(0, 70), st.sampled_from([80, 85, 100]), st.integers(0, 2), st.randoms(use_true_random=False))
+def test_linked_texts_share_an_extended_key(n, left, right, percent, seed, rnd):
+    """Also when tokens of one text only are left out of its keys."""
+    tokens = rnd.sample(range(-(1 << 60), 1 << 60), n + left + right)
+    x, y = set(tokens[:n + left]), set(tokens[:n] + tokens[n + left:])
+    if 100 * len(x & y) >= percent * len(x | y):
+        alone = set(rnd.sample(sorted(x ^ y), len(x ^ y) // 2))
+        bands = size_bands(percent)
+        keys = [set(block_keys(np.array(sorted(s - alone), np.int64), len(s), percent, bands, seed).tolist()) for s in (x, y)]
+        assert keys[0] & keys[1]
+
+
+def test_size_bands_hold_linked_sizes():
+    for percent in (50, 80, 85, 100):
+        first = size_bands(percent, 100_000)
+        for k in range(len(first) - 2):
+            assert 100 * (first[k + 1] - 1) // percent < first[k + 2]
+
+
+def paragraphs(rng, texts, of=30, take=10):
+    """Texts made of shared paragraphs in any order: all tokens frequent,
+    hardly any links."""
+    pars = [" ".join(f"p{k}w{i}" for i in range(20)) for k in range(of)]
+    rows = [" ".join(rng.sample(pars, take)) for _ in range(texts)]
+    near = [r.replace("w7 ", "w7x ", 1) for r in rows[:texts // 20]]
+    return list(enumerate(rows + near))
+
+
+def test_hot_keys_are_extended(spark, rng):
+    """Hot keys give the links of all pairs, however low the limit."""
+    rows = paragraphs(rng, 300)
+    want = all_pairs(rows, 4, 85)
+    assert len({c for _, _, c in want}) < len(rows)
+    for hot in (1, 8, 10_000):
+        assert run(spark, rows, 4, 85, hot=hot) == want
+    rows = near_copies(rng, 3, 30, 60, 8)
+    assert run(spark, rows, 5, 80, hot=1) == all_pairs(rows, 5, 80)
+
+
+def test_pairs_under_keys_do_not_grow_as_the_square(rng):
+    """Pairs that meet under the extended keys of the paragraph corpus: far
+    fewer than all pairs, of which the plain keys give more than one each."""
+    from collections import Counter
+    for texts in (500, 2000):
+        met = Counter()
+        for _, t in paragraphs(rng, texts):
+            s = np.array(sorted(int.from_bytes(blake2b(" ".join(g).encode(), digest_size=8).digest(), "big", signed=True)
+                                for g in shingles(t, 4)), np.int64)
+            met.update(block_keys(s, len(s), 85, size_bands(85), 0).tolist())
+        assert sum(c * (c - 1) // 2 for c in met.values()) < texts * 20
+
+
 def test_slack_is_one_more_than_a_link_can_miss():
     for percent in (80, 85):
         for n in range(1, 300):
