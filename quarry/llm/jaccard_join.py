@@ -70,7 +70,9 @@ def slack(n, percent: int):
 
 
 def token_sets(docs: DataFrame, width: int, columns: str, row) -> DataFrame:
-    """``row(set)`` of every text's token set (sorted int64), by id."""
+    """``row(set)`` of every text's token set (sorted int64), beside the
+    other columns of ``docs``."""
+    held = [f for f in docs.schema if f.name != "text"]
     fields = columns.split(", ")
     kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
 
@@ -80,10 +82,11 @@ def token_sets(docs: DataFrame, width: int, columns: str, row) -> DataFrame:
             out = [row(s) for s in shingle_sets(words, first, width)]
             cols = zip(*out) if out else [[]] * len(fields)
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), *(pa.array(c, kinds[f.split()[1]]) for c, f in zip(cols, fields))],
-                ["id", *(f.split()[0] for f in fields)])
+                [*(b.column(h) for h in names), *(pa.array(c, kinds[f.split()[1]]) for c, f in zip(cols, fields))],
+                [*names, *(f.split()[0] for f in fields)])
 
-    return docs.mapInArrow(run, f"id long, {columns}")
+    names = [f.name for f in held]
+    return docs.mapInArrow(run, ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in held), columns]))
 
 
 def _profile(percent: int):
@@ -296,22 +299,10 @@ def _posts(sets: DataFrame, percent: int, rare: int) -> DataFrame:
     return keyed.join(held.select("key", F.col("best.x").alias("pivot")), "key")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
-                    text_col: str = "text", rare: int = 16, hot: int = 128) -> DataFrame:
-    """(id, n_shingles, component_id) of every row of ``docs``.
-
-    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case; a document's
-    set holds its distinct ``width``-word shingles, with fewer words the
-    whole sequence as one. Null, empty and blank texts have an empty set and
-    link with nothing. ``component_id`` is the smallest id that links reach,
-    the row's own id included. Repeated rows are copies of each other; rows
-    that repeat an id with another text are texts of their own. A null id
-    comes after all others: its row links like any other, and a component of
-    null ids only is null (ids are below ``NO_ID``, which stands for null).
-    Empty tables give empty results, other columns are not read. Texts of
-    any length are taken whole. ``rare`` and ``hot`` move work, not results."""
-    need(docs, id_col, text_col)
-    src = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("id"), docs[text_col].alias("text"))
+def _grouped(src: DataFrame, width: int, percent: int, rare: int, hot: int) -> DataFrame:
+    """The columns of ``src`` (id, text, others) but the text, with n and
+    part, the row's component, and component_id, its smallest id; both null
+    for an empty set."""
     profile = stored(token_sets(src, width, "n long, digest binary, first array<long>", _profile(percent)), "jaccard-sets")
     texts, candidates = _candidates(profile, percent)
     sets = stored(_ordered_sets(src, candidates, width, percent), "jaccard-ordered")
@@ -353,9 +344,60 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
         "digest", "rep", F.coalesce("component", "tid").alias("part"))
     # stored, so that a large component is a join partition that Spark can split
     least = stored(of_text.groupBy("part").agg(F.min("rep").alias("component_id")), "jaccard-least")
-    return (profile.select("id", "n", "digest").join(of_text.join(least, "part").select("digest", "component_id"), "digest", "left")
-            .select(F.nullif("id", F.lit(NO_ID)).alias(id_col), F.col("n").alias("n_shingles"),
-                    F.nullif(F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")), F.lit(NO_ID)).alias("component_id")))
+    rows = [c for c in profile.columns if c not in ("first", "digest")]
+    found = of_text.join(least, "part").select("digest", "part", "component_id")
+    return profile.select(*rows, "digest").join(found, "digest", "left").select(*rows, "part", "component_id")
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
+                    text_col: str = "text", rare: int = 16, hot: int = 128) -> DataFrame:
+    """(id, n_shingles, component_id) of every row of ``docs``.
+
+    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case; a document's
+    set holds its distinct ``width``-word shingles, with fewer words the
+    whole sequence as one. Null, empty and blank texts have an empty set and
+    link with nothing. ``component_id`` is the smallest id that links reach,
+    the row's own id included. Repeated rows are copies of each other; rows
+    that repeat an id with another text are texts of their own. A null id
+    comes after all others: its row links like any other, and a component of
+    null ids only is null (ids are below ``NO_ID``, which stands for null).
+    Empty tables give empty results, other columns are not read. Texts of
+    any length are taken whole. ``rare`` and ``hot`` move work, not results."""
+    need(docs, id_col, text_col)
+    src = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("id"), docs[text_col].alias("text"))
+    return _grouped(src, width, percent, rare, hot).select(
+        F.nullif("id", F.lit(NO_ID)).alias(id_col), F.col("n").alias("n_shingles"),
+        F.nullif(F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")), F.lit(NO_ID)).alias("component_id"))
+
+
+def without_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
+                   text_col: str = "text", rare: int = 16, hot: int = 128) -> DataFrame:
+    """The rows of ``docs``, one of each component of ``near_duplicates``.
+
+    The row with the smallest id stays (a null id comes last; of rows that
+    repeat this id with other texts the one with the smallest text hash, of
+    rows that repeat id and text any one). Rows without words are no copies
+    of each other: all stay. An id that repeats with texts of different
+    components stays once in each. Other columns pass through whatever their
+    names; an empty table gives an empty one."""
+    need(docs, id_col, text_col)
+    taken = {c.lower() for c in docs.columns}
+    key, mark = ("_" * max(map(len, taken)) + c for c in ("id", "mark"))
+    marked = docs.withColumns({key: F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)), mark: F.xxhash64(docs[text_col])})
+    src = marked.select(F.col(key).alias("id"), F.col(mark).alias("mark"), docs[text_col].alias("text"))
+    rows = stored(_grouped(src, width, percent, rare, hot).filter("n > 0").select("id", "mark", "part"), "jaccard-rows")
+    keep = stored(rows.groupBy("part").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("id", "mark")).alias("first"))
+                  .filter("c > 1").select("part", "first"), "jaccard-keep")
+    # rows equal in id and text are of one component, so they stay or go together
+    fate = stored(rows.join(keep, "part").groupBy(F.col("id").alias(key), F.col("mark").alias(mark))
+                  .agg(F.min(F.struct("id", "mark") == F.col("first")).alias("stays"), F.count(F.lit(1)).alias("c"))
+                  .filter("not stays or c > 1"), "jaccard-fate")
+    left = marked.join(fate.filter("not stays").select(key, mark), [key, mark], "left_anti")
+    again = fate.filter("stays").select(key, mark)
+    if not again.isEmpty():
+        once = left.join(again, [key, mark], "left_semi").dropDuplicates([key, mark])
+        left = left.join(again, [key, mark], "left_anti").unionByName(once)
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 #: ``near_duplicates(documents, 4, 85)`` by joining all texts on shingles.

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quarry.llm.components import components
-from quarry.llm.jaccard_join import block_keys, near_duplicates, prefix_keys, size_bands, slack
+from quarry.llm.jaccard_join import block_keys, near_duplicates, prefix_keys, size_bands, slack, without_copies
 from llm_fixtures import edge_docs, no_docs, rng  # noqa: F401
 
 
@@ -190,3 +190,23 @@ def test_rows_with_null_ids_link_like_any_other(spark, rng):
     rows = [(1, near(*range(0, 16))), (None, near()), (2, near(*range(184, 200)))]
     got = run(spark, rows, 4, 80)
     assert got == all_pairs(rows, 4, 80) and len({c for _, _, c in got}) == 1
+
+
+def test_one_row_of_each_group_stays(spark, rng):
+    """Repeated and null ids, repeated rows, texts without words."""
+    base = [f"w{k}" for k in range(120)]
+    text, near, other = " ".join(base), " ".join(base[:-1] + ["x"]), "another text of its own " * 3
+    rows = [(1, text), (1, text), (2, text), (None, text), (2, other), (3, near), (3, ""), (3, ""), (4, None), (None, "alone here"),
+            (None, "alone here")]
+    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, ID int").repartition(3)
+    got = sorted(((r.doc_id or 0, r.text or "") for r in without_copies(df, 5, 80).collect()))
+    assert got == sorted([(1, text), (2, other), (3, ""), (3, ""), (4, ""), (0, "alone here")])
+    rows = near_copies(rng, 5, 12, 60, 8)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in without_copies(df, 5, 80).collect()} == {c for _, _, c in all_pairs(rows, 5, 80)}
+
+
+def test_edges_without_copies(edge_docs, no_docs):
+    left = without_copies(edge_docs, 5, 80)
+    assert left.columns == edge_docs.columns and sorted(r.doc_id or 0 for r in left.collect()) == [0, 1, 2, 3, 4, 5, 7, 8, 9, 10]
+    assert without_copies(no_docs).count() == 0

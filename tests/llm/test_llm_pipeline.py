@@ -95,7 +95,7 @@ def test_run_is_the_stages(spark, stages):
 
 def test_registration():
     q = E.queries()
-    assert q["pipeline"] is corpus_pipeline.run and {f"op{n}_" for n in range(1, 11)} == {
+    assert q["pipeline"] is corpus_pipeline.run and {f"op{n}_" for n in range(1, 14)} == {
         re.match(r"op\d+_", k)[0] for k in QUERIES} and set(QUERIES) <= set(q) and set(SQL) <= set(E.oracle_sql())
 
 
