@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quarry.llm.bpe_codec import encode_documents
 from quarry.llm.common import stored, table
 from quarry.llm.decontaminate import remove_leaks
-from quarry.llm.jaccard_join import near_duplicates
+from quarry.llm.jaccard_join import without_copies
 from quarry.llm.quality_rules import judge
 from quarry.llm.substring import remove_repeats
 
@@ -25,10 +25,9 @@ def quality(spark, docs, sf_dir):
 def near_copies(spark, docs, sf_dir):
     """One document of each group of near copies, the one with the smallest
     id (operator 2): five-word shingles, similarity 0.8 or more. Documents
-    without words are no copies of each other; rows with a null id stay."""
-    groups = near_duplicates(docs, width=5, percent=80)
-    copies = groups.filter("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    without words are no copies of each other. Rows are judged one by one,
+    so rows that repeat an id, or have none, count like any other."""
+    return without_copies(docs, width=5, percent=80)
 
 
 def repeated_passages(spark, docs, sf_dir):
