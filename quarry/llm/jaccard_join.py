@@ -30,11 +30,12 @@ A document's tokens are its distinct word shingles. Two documents link when
 5. A key that still holds more than ``hot`` texts of different components is
    not compared pairwise: the combination is extended. Linked texts differ in
    at most D tokens, D following from a narrow band of sizes. All tokens are
-   dealt by hash into D // 3 + 1 blocks, of which one must hold two of the
-   differing tokens at most, so that three of its five parts are equal: the
-   tokens of every three parts of a block are a key. Texts that share some
-   frequent tokens no longer meet; keys that stay large are extended by the
-   keys of another hash, ``ROUNDS`` times.
+   dealt by hash into D // 2 + 1 blocks, of which one must hold one of the
+   differing tokens at most, so that two of its three parts are equal: the
+   tokens of every two parts of a block are a key. A text needs as many
+   blocks as its own size and unshared tokens leave differing ones. Texts
+   that share some frequent tokens no longer meet; keys that stay large are
+   extended by the keys of another hash, ``ROUNDS`` times.
 
 Tokens and set digests are 64-bit and 128-bit hashes.
 """
@@ -158,16 +159,24 @@ def block_keys(tokens: np.ndarray, n: int, percent: int, bands: list[int], seed:
     t = (tokens.view(np.uint64) + np.uint64(seed + 1)) * np.uint64(0x9E3779B97F4A7C15)
     t = (t ^ (t >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     value = (t ^ (t >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-    out = []
+    out = [np.zeros(0, np.uint64)]
+    alone, partner = n - len(tokens), 100 * n // percent
     for band in (own, own + 1):  # texts of a band meet their own and those of the band before
-        apart = (100 - percent) * 2 * (bands[band + 1] - 1) // (100 + percent)
-        least = min(apart, 2)
+        most = bands[band + 1] - 1
+        if band > own and partner < bands[band]:
+            continue
+        apart = 2 * (100 - percent) * most // (100 + percent)
+        mine = (100 - percent) * (n + min(partner, most)) // (100 + percent) - alone
+        if mine < 0:
+            continue
+        least = min(apart, 1)
         blocks, parts = apart // (least + 1) + 1, 2 * least + 1
+        need_blocks = mine // (least + 1) + 1  # the first blocks do: one of them holds ``least`` differing tokens at most
         cell = ((t >> np.uint64(33)) % np.uint64(blocks * parts)).astype(np.int64)
         sums = np.zeros(blocks * parts, np.uint64)
         np.add.at(sums, cell, value)
         chosen = np.array(list(combinations(range(parts), parts - least)))
-        keys = sums.reshape(blocks, parts)[:, chosen].sum(axis=2, dtype=np.uint64)
+        keys = sums.reshape(blocks, parts)[:need_blocks][:, chosen].sum(axis=2, dtype=np.uint64)
         place = np.arange(keys.size, dtype=np.uint64).reshape(keys.shape) + np.uint64(band << 40)
         keys = (keys ^ (place * np.uint64(0xD6E8FEB86659FD93))) * np.uint64(0x9E3779B97F4A7C15)
         out.append(keys.ravel())
@@ -189,7 +198,8 @@ def _extended(sets: DataFrame, percent: int, seed: int) -> DataFrame:
 
 def _open(keyed: DataFrame, hot: int) -> DataFrame:
     """(key, large) of the keys whose texts (x, x_part) are in different
-    components; ``large``: more than ``hot`` of them."""
+    components; ``large``: more than ``hot`` of them (some hundred keys of a
+    text through a shuffle cost as much as that many comparisons)."""
     return (keyed.groupBy("key").agg(F.min("x_part").alias("lo"), F.max("x_part").alias("hi"), F.count(F.lit(1)).alias("c"))
             .filter("lo != hi").select("key", (F.col("c") > hot).alias("large")))
 
@@ -350,7 +360,7 @@ def _grouped(src: DataFrame, width: int, percent: int, rare: int, hot: int) -> D
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
-                    text_col: str = "text", rare: int = 16, hot: int = 128) -> DataFrame:
+                    text_col: str = "text", rare: int = 16, hot: int = 1024) -> DataFrame:
     """(id, n_shingles, component_id) of every row of ``docs``.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case; a document's
@@ -371,7 +381,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
 
 
 def without_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
-                   text_col: str = "text", rare: int = 16, hot: int = 128) -> DataFrame:
+                   text_col: str = "text", rare: int = 16, hot: int = 1024) -> DataFrame:
     """The rows of ``docs``, one of each component of ``near_duplicates``.
 
     The row with the smallest id stays (a null id comes last; of rows that
