@@ -34,8 +34,10 @@ A document's tokens are its distinct word shingles. Two documents link when
    differing tokens at most, so that two of its three parts are equal: the
    tokens of every two parts of a block are a key. A text needs as many
    blocks as its own size and unshared tokens leave differing ones. Texts
-   that share some frequent tokens no longer meet; keys that stay large are
-   extended by the keys of another hash, ``ROUNDS`` times.
+   that share some frequent tokens no longer meet. Texts of a key that stays
+   large are compared with one of them, links are contracted, and texts of
+   keys that stay open get the keys of another hash, ``ROUNDS`` times in all;
+   under the last keys texts are compared pairwise whatever their number.
 
 Tokens and set digests are 64-bit and 128-bit hashes.
 """
@@ -60,7 +62,7 @@ from quarry.llm.text import flat_bytes, shingle_sets, slices, word_hashes
 NO_ID = (1 << 63) - 1
 #: Longs of a text's parity signature.
 WORDS = 8
-#: How often keys above ``hot`` texts are extended before their texts meet.
+#: Hashes by which texts of keys above ``hot`` texts are extended.
 ROUNDS = 3
 
 
@@ -204,23 +206,32 @@ def _open(keyed: DataFrame, hot: int) -> DataFrame:
             .filter("lo != hi").select("key", (F.col("c") > hot).alias("large")))
 
 
-def _split(crowd: DataFrame, sets: DataFrame, parts: DataFrame, percent: int, hot: int) -> list[DataFrame]:
-    """Tables (key, x, x_part) over the texts ``crowd`` (x), stored: linked
-    texts of different components share a key in one of them."""
-    out, large = [], None
+def _split(crowd: DataFrame, sets: DataFrame, links: DataFrame, parts: DataFrame, percent: int,
+           hot: int) -> tuple[list[DataFrame], DataFrame]:
+    """(tables, links): linked texts of the ``crowd`` (x) share a key in one
+    of the stored tables (key, x, x_part) or are connected by the links.
+
+    Keys that are still large are mostly those of near copies: their texts
+    are compared with one of them, links are contracted, and only texts of
+    keys that stay open go through the combinations of the next hash."""
+    out = []
     for seed in range(ROUNDS):
-        texts = crowd if large is None else large.select("x").distinct()
-        more = _extended(sets.join(texts.withColumnRenamed("x", "tid"), "tid", "left_semi"), percent, seed)
-        keyed = (more.withColumnRenamed("more", "key") if large is None else
-                 large.select("x", F.col("key").alias("old")).join(more, "x").select("x", F.xxhash64("old", "more").alias("key")))
-        keyed = keyed.join(parts, "x", "left").select("key", "x", F.coalesce("x_part", "x").alias("x_part"))
+        more = _extended(sets.join(crowd.withColumnRenamed("x", "tid"), "tid", "left_semi"), percent, seed)
+        keyed = (more.withColumnRenamed("more", "key").join(parts.select(F.col("id").alias("x"), "component"), "x", "left")
+                 .select("key", "x", F.coalesce("component", "x").alias("x_part")))
         split = stored(keyed.join(_open(keyed, hot), "key"), "jaccard-split")
-        last = seed == ROUNDS - 1
-        out.append(split if last else split.filter("not large"))
         large = split.filter("large")
-        if last or large.isEmpty():
-            return out
-    return out
+        if seed == ROUNDS - 1 or large.isEmpty():
+            return [*out, split], links
+        out.append(split.filter("not large"))
+        star = (large.join(large.groupBy("key").agg(F.min("x").alias("y")), "key").filter("x != y").select("x", "y").distinct())
+        found = _verified(star, sets, percent).filter("link").select(F.col("x").alias("a"), F.col("y").alias("b"))
+        links = links.unionByName(stored(found, "jaccard-more"))
+        parts = components(links)
+        placed = (large.select("key", "x").join(parts.select(F.col("id").alias("x"), "component"), "x", "left")
+                  .select("key", "x", F.coalesce("component", "x").alias("x_part")))
+        crowd = stored(placed.join(_open(placed, hot).select("key"), "key", "left_semi").select("x").distinct(), "jaccard-crowd")
+    return out, links
 
 
 def _signatures(sets: DataFrame) -> DataFrame:
@@ -341,7 +352,7 @@ def _grouped(src: DataFrame, width: int, percent: int, rare: int, hot: int) -> D
     cross = met(placed.join(open_keys.filter("not large"), "key", "left_semi"),
                 (F.col("x") != F.col("pivot")) & (F.col("y") != F.col("pivot")) & (F.abs(F.col("x_d") - F.col("y_d")) <= reach))
     crowd = stored(posts.join(open_keys.filter("large"), "key", "left_semi").select("x").distinct(), "jaccard-crowd")
-    split = _split(crowd, sets, first.select(F.col("id").alias("x"), F.col("component").alias("x_part")), percent, hot)
+    split, links = _split(crowd, sets, links, first, percent, hot)
     sized = sets.select(F.col("tid").alias("x"), F.col("n").alias("x_n"), F.size("tokens").cast("long").alias("x_shared"))
     for rows in split:
         cross = cross.unionByName(met(rows.join(sized, "x")))
