@@ -63,7 +63,7 @@ NO_ID = (1 << 63) - 1
 #: Longs of a text's parity signature.
 WORDS = 8
 #: Hashes by which texts of keys above ``hot`` texts are extended.
-ROUNDS = 3
+ROUNDS = 2
 
 
 def slack(n, percent: int):
