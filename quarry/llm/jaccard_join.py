@@ -24,10 +24,11 @@ A document's tokens are its distinct word shingles. Two documents link when
 4. Under each key, texts are first compared with one pivot (the text with
    the smallest share of unshared tokens). Verified links are contracted to
    components; only texts of a key that are still in different components
-   are compared pairwise, when bounds leave a chance: sizes, unshared tokens,
+   are compared pairwise, and of a key with many texts only those outside its
+   largest component with all, when bounds leave a chance: sizes, unshared tokens,
    a parity signature of the shared ones, and the triangle inequality (the
    Jaccard distance is a metric, distances to pivots are known). Every candidate pair is verified on its full token sets.
-5. A key that still holds more than ``hot`` texts of different components is
+5. A key that would still take more than ``hot`` squared comparisons is
    not compared pairwise: the combination is extended. Linked texts differ in
    at most D tokens, D following from a narrow band of sizes. All tokens are
    dealt by hash into D // 2 + 1 blocks, of which one must hold one of the
@@ -198,28 +199,47 @@ def _extended(sets: DataFrame, percent: int, seed: int) -> DataFrame:
     return sets.select("tid", "n", "tokens").mapInArrow(run, "x long, keys array<long>").select("x", F.explode("keys").alias("more"))
 
 
-def _open(keyed: DataFrame, hot: int) -> DataFrame:
-    """(key, large) of the keys whose texts (x, x_part) are in different
-    components; ``large``: more than ``hot`` of them (some hundred keys of a
-    text through a shuffle cost as much as that many comparisons)."""
-    return (keyed.groupBy("key").agg(F.min("x_part").alias("lo"), F.max("x_part").alias("hi"), F.count(F.lit(1)).alias("c"))
-            .filter("lo != hi").select("key", (F.col("c") > hot).alias("large")))
+def _placed(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """``rows`` with ``x_part``, the component of text x so far."""
+    return (rows.join(parts.select(F.col("id").alias("x"), "component"), "x", "left")
+            .withColumn("x_part", F.coalesce("component", "x")).drop("component"))
 
 
-def _split(crowd: DataFrame, sets: DataFrame, links: DataFrame, parts: DataFrame, percent: int,
-           hot: int) -> tuple[list[DataFrame], DataFrame]:
+def _open(rows: DataFrame, parts: DataFrame, hot: int) -> DataFrame:
+    """(key, major, large), stored, of the keys whose texts (key, x) are in
+    different components. ``major`` is the largest of them, looked for where
+    a key holds many texts: a group of near copies and some texts outside it
+    then cost the texts times those outside. ``large``: even so more than
+    ``hot`` squared comparisons."""
+    rows = rows.select("key", "x")
+    keys = stored(_placed(rows, parts).groupBy("key").agg(F.min("x_part").alias("lo"), F.max("x_part").alias("hi"), F.count(F.lit(1)).alias("n"))
+                  .filter("lo != hi").select("key", "n"), "jaccard-keys")
+    sizes = (_placed(rows.join(keys.filter(F.col("n") > hot // 8), "key"), parts)
+             .groupBy("key", "n", "x_part").agg(F.count(F.lit(1)).alias("c")))
+    top = (sizes.groupBy("key", "n").agg(F.max(F.struct("c", "x_part")).alias("top"))
+           .select("key", F.col("top.x_part").alias("major"), (F.col("n") * (F.col("n") - F.col("top.c")) > hot * hot).alias("large")))
+    out = stored(keys.join(top, "key", "left").select("key", "major", F.coalesce("large", F.lit(False)).alias("large")), "jaccard-open")
+    drop_stored(keys)
+    return out
+
+
+def _split(crowd: DataFrame, sets: DataFrame, parts: DataFrame, percent: int, hot: int) -> tuple[list[DataFrame], DataFrame]:
     """(tables, links): linked texts of the ``crowd`` (x) share a key in one
-    of the stored tables (key, x, x_part) or are connected by the links.
+    of the stored tables (key, major, x, x_part) or are connected by the links,
+    which hold the components ``parts``.
 
     Keys that are still large are mostly those of near copies: their texts
     are compared with one of them, links are contracted, and only texts of
     keys that stay open go through the combinations of the next hash."""
     out = []
+    links = parts.select(F.col("id").alias("a"), F.col("component").alias("b"))
     for seed in range(ROUNDS):
-        more = _extended(sets.join(crowd.withColumnRenamed("x", "tid"), "tid", "left_semi"), percent, seed)
-        keyed = (more.withColumnRenamed("more", "key").join(parts.select(F.col("id").alias("x"), "component"), "x", "left")
-                 .select("key", "x", F.coalesce("component", "x").alias("x_part")))
-        split = stored(keyed.join(_open(keyed, hot), "key"), "jaccard-split")
+        more = stored(_extended(sets.join(crowd.withColumnRenamed("x", "tid"), "tid", "left_semi"), percent, seed)
+                      .withColumnRenamed("more", "key"), "jaccard-extended")
+        open_keys = _open(more, parts, hot)
+        split = stored(_placed(more, parts).join(open_keys, "key"), "jaccard-split")
+        for done in (more, open_keys):
+            drop_stored(done)
         large = split.filter("large")
         if seed == ROUNDS - 1 or large.isEmpty():
             return [*out, split], links
@@ -228,9 +248,8 @@ def _split(crowd: DataFrame, sets: DataFrame, links: DataFrame, parts: DataFrame
         found = _verified(star, sets, percent).filter("link").select(F.col("x").alias("a"), F.col("y").alias("b"))
         links = links.unionByName(stored(found, "jaccard-more"))
         parts = components(links)
-        placed = (large.select("key", "x").join(parts.select(F.col("id").alias("x"), "component"), "x", "left")
-                  .select("key", "x", F.coalesce("component", "x").alias("x_part")))
-        crowd = stored(placed.join(_open(placed, hot).select("key"), "key", "left_semi").select("x").distinct(), "jaccard-crowd")
+        still = _open(large, parts, hot)
+        crowd = stored(large.join(still, "key", "left_semi").select("x").distinct(), "jaccard-crowd")
     return out, links
 
 
@@ -331,28 +350,31 @@ def _grouped(src: DataFrame, width: int, percent: int, rare: int, hot: int) -> D
 
     star = posts.filter(F.col("x") != F.col("pivot")).select("x", F.col("pivot").alias("y")).distinct()
     star = stored(_verified(star, sets, percent), "jaccard-star")
-    links = star.filter("link").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    first = components(links)
+    first = components(star.filter("link").select(F.col("x").alias("a"), F.col("y").alias("b")))
+    open_keys = _open(posts, first, hot)
 
-    placed = (posts.join(first.withColumnRenamed("id", "x"), "x", "left")
+    placed = (_placed(posts.join(open_keys.filter("not large"), "key"), first)
               .join(star.select("x", F.col("y").alias("pivot"), "d"), ["x", "pivot"], "left")
-              .select("key", "x", "x_n", "x_shared", "pivot", F.coalesce("component", "x").alias("x_part"),
-                      F.coalesce("d", F.lit(0.0)).alias("x_d")))
-    open_keys = stored(_open(placed, hot), "jaccard-open")
+              .select("key", "major", "x", "x_n", "x_shared", "pivot", "x_part", F.coalesce("d", F.lit(0.0)).alias("x_d")))
     marks = [f"s{k}" for k in range(WORDS)]
     reach = 1 - percent / 100 + 1e-9
-    apart = (F.col("x") < F.col("y")) & (F.col("x_part") != F.col("y_part")) & _may_link(percent)
+    # texts outside the largest component of a key meet all of its texts
+    apart = ((F.col("x_part") != F.col("y_part")) & ((F.col("x") < F.col("y")) | F.col("y_part").eqNullSafe(F.col("major")))
+             & _may_link(percent))
 
     def met(rows, also=F.lit(True)):
-        """(x, y) of the rows that meet under a key and may link."""
-        left = rows.join(_signatures(sets), "x").withColumnsRenamed({m: f"x_{m}" for m in marks})
-        right = left.select("key", *[F.col(c).alias(c.replace("x", "y", 1)) for c in left.columns if c.startswith("x")])
-        return left.join(right, "key").filter(apart & also).select("x", "y")
+        """(x, y), x < y, of the rows that meet under a key and may link."""
+        rows = rows.join(_signatures(sets), "x").withColumnsRenamed({m: f"x_{m}" for m in marks})
+        right = rows.select("key", *[F.col(c).alias(c.replace("x", "y", 1)) for c in rows.columns if c.startswith("x")])
+        outside = rows.filter(~F.col("x_part").eqNullSafe(F.col("major")))
+        return outside.join(right, "key").filter(apart & also).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
 
-    cross = met(placed.join(open_keys.filter("not large"), "key", "left_semi"),
-                (F.col("x") != F.col("pivot")) & (F.col("y") != F.col("pivot")) & (F.abs(F.col("x_d") - F.col("y_d")) <= reach))
+    cross = met(placed, (F.col("x") != F.col("pivot")) & (F.col("y") != F.col("pivot")) & (F.abs(F.col("x_d") - F.col("y_d")) <= reach))
     crowd = stored(posts.join(open_keys.filter("large"), "key", "left_semi").select("x").distinct(), "jaccard-crowd")
-    split, links = _split(crowd, sets, links, first, percent, hot)
+    if crowd.isEmpty():
+        split, links = [], first.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    else:
+        split, links = _split(crowd, sets, first, percent, hot)
     sized = sets.select(F.col("tid").alias("x"), F.col("n").alias("x_n"), F.size("tokens").cast("long").alias("x_shared"))
     for rows in split:
         cross = cross.unionByName(met(rows.join(sized, "x")))
