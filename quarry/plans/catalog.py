@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.ml.feature import StopWordsRemover, Tokenizer
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -20,6 +21,7 @@ from quarry.operators import evaluate as EV
 from quarry.operators import features as FE
 from quarry.operators import fits as FT
 from quarry.operators import generate as G
+from quarry.operators import heavy_hitters as HH
 from quarry.operators import messages as MS
 from quarry.operators import modeling as M
 from quarry.operators import models as ML
@@ -33,6 +35,7 @@ from quarry.sinks import files as SK
 from quarry.sources import files as SR
 from quarry.sources.tables import TABLES, load_table
 from quarry.streaming import jobs as ST
+from quarry.streaming import tables as TB
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -343,6 +346,12 @@ def topk_category_filter(spark, d):
     return kept.select("row_id", F.col("Body Type").alias("body_type"), r6("Price").alias("price"))
 
 
+@query("heavy_hitters")
+def heavy_hitters(spark, d):
+    """The 20 parts with the most lines, exact, most values ruled out by counters."""
+    return HH.top_values(load_table(spark, d, "lineitem"), "l_partkey", 20)
+
+
 @query("sorted_groups")
 def sorted_groups(spark, d):
     prof = A.group_profile(V.used_cars(spark, d), "Condition", ["Price"])
@@ -698,6 +707,48 @@ def csv_round_trip(spark, d):
     return _orders_out(Q.parse_orders(SR.read_csv_text(spark, path)))
 
 
+@query("typed_csv")
+def typed_csv(spark, d):
+    """Cars written as CSV and read with types inferred from every row."""
+    path = scratch(spark, "cars-csv")
+    SK.write_csv(V.used_cars(spark, d), path)
+    cars = SR.read_csv_typed(spark, path)
+    kinds = dict(cars.dtypes)
+    return cars.select(F.col("row_id").cast("long").alias("row_id"), r6("Price").alias("price"), r6("Mileage").alias("mileage"),
+                       F.col("Year").cast("long").alias("year"), F.col("Body Type").alias("body_type"),
+                       F.lit(",".join(kinds[c] for c in ("Price", "Year", "Body Type"))).alias("kinds"))
+
+
+@query("csv_folder_streaks")
+def csv_folder_streaks(spark, d):
+    """The event log as CSV files of one folder, read by a file pattern; the
+    longest run per key."""
+    path = scratch(spark, "event-csv")
+    SK.write_csv(V.event_log(spark, d).withColumn("t_us", F.unix_micros(F.col("ts").cast("timestamp"))).drop("ts"), path)
+    log = SR.read_csv_folder(spark, path, "part-*.csv").select(
+        F.col("user_id").cast("long").alias("user_id"), F.timestamp_micros(F.col("t_us").cast("long")).alias("ts"),
+        F.col("event_id").cast("long").alias("event_id"), "state")
+    return _runs_out(R.longest_streaks(log, key="user_id", order="ts", hit=F.col("state") == "broken")["per_key"])
+
+
+@query("file_catalog")
+def file_catalog(spark, d):
+    """Sign-ups flushed in four batches to files named by the flush time; the
+    catalogue of these files with the records in each flush (a flush beyond
+    one advisory partition size has several files)."""
+    path = scratch(spark, "flushed")
+    ue = V.user_events(spark, d).select(*_USER_COLS, "seq")
+    for k in range(4):
+        at = datetime(2024, 1, 1) + timedelta(minutes=k)
+        TB.FlushFiles(path, clock=lambda at=at: at)(ue.filter(F.pmod("seq", F.lit(4)) == k), k)
+    stem = F.regexp_extract("name", r"^(users_[0-9_]+)", 1).alias("flush")
+    listed = SR.file_catalog(spark, path, "users_*.jsonl").groupBy(stem).agg(F.sum("length").alias("n_bytes"))
+    held = (spark.read.schema("id string, seq long").option("pathGlobFilter", "users_*.jsonl").json(path)
+            .select(F.col("_metadata.file_name").alias("name"), "seq").groupBy(stem)
+            .agg(F.count(F.lit(1)).alias("n_records"), F.sum("seq").alias("seq_sum")))
+    return listed.join(held, "flush").select("flush", (F.col("n_bytes") > 0).alias("has_bytes"), "n_records", "seq_sum")
+
+
 @query("row_counts")
 def row_counts(spark, d):
     parts = [load_table(spark, d, t).agg(F.count(F.lit(1)).alias("n_rows"))

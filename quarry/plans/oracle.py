@@ -37,7 +37,7 @@ best AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id
              ORDER BY streak_len DESC, start_t, run_id) AS rn FROM runs)
 SELECT {_RUN_COLS} FROM best WHERE rn = 1"""
 
-SQL["streak_incremental"] = SQL["streak_merged_summaries"] = SQL["streak_longest_per_key"]
+SQL["streak_incremental"] = SQL["streak_merged_summaries"] = SQL["csv_folder_streaks"] = SQL["streak_longest_per_key"]
 
 SQL["streak_topn"] = f"""WITH {_EVENT_LOG},
 top AS (SELECT *, ROW_NUMBER() OVER (ORDER BY streak_len DESC, user_id, start_t, run_id) AS pos
@@ -303,6 +303,11 @@ SELECT body_type, fuel_type, COUNT(*) AS count FROM cars GROUP BY body_type, fue
 SQL["topk_category_filter"] = f"""WITH {_CARS},
 top AS (SELECT body_type FROM cars GROUP BY body_type ORDER BY COUNT(*) DESC, body_type NULLS FIRST LIMIT 5)
 SELECT row_id, body_type, round(Price, 6) AS price FROM cars WHERE body_type IN (SELECT body_type FROM top)"""
+SQL["heavy_hitters"] = """SELECT l_partkey, COUNT(*) AS count FROM lineitem
+GROUP BY l_partkey ORDER BY count DESC, l_partkey NULLS FIRST LIMIT 20"""
+SQL["typed_csv"] = f"""WITH {_CARS}
+SELECT row_id, round(Price, 6) AS price, round(Mileage, 6) AS mileage, CAST(Year AS BIGINT) AS year, body_type,
+       'double,int,string' AS kinds FROM cars"""
 SQL["sorted_groups"] = f"""WITH {_CARS},
 g AS (SELECT condition, AVG(Price) AS avg_price, COUNT(*) AS count FROM cars GROUP BY condition)
 SELECT condition, round(avg_price, 6) AS avg_price, count,
@@ -492,6 +497,9 @@ SQL["label_lines_read_back"] = SQL["bbox_labels"].replace(""" AS label_line,
 SQL["minute_files_read_back"] = f"""WITH {_USERS},
 t AS (SELECT time_bucket(INTERVAL '1 minute', CAST(created_at AS TIMESTAMP)) + INTERVAL '1 minute' AS e FROM ue)
 SELECT 'users_' || strftime(e, '%Y%m%d_%H%M%S') || '.jsonl' AS file_name, COUNT(*) AS n_records FROM t GROUP BY 1"""
+SQL["file_catalog"] = f"""WITH {_USERS}
+SELECT 'users_20240101_000' || CAST(seq % 4 AS VARCHAR) || '00' AS flush, true AS has_bytes, COUNT(*) AS n_records,
+       CAST(SUM(seq) AS BIGINT) AS seq_sum FROM ue GROUP BY seq % 4"""
 SQL["decode_rejects"] = f"""WITH {_USERS}
 SELECT country AS msg_key, length(to_json({{'id': id, 'name': name, 'email': email, 'country': country,
        'created_at': created_at, 'seq': seq}})::VARCHAR) - 5 AS n_chars FROM ue WHERE seq % 7 = 0"""
