@@ -138,18 +138,49 @@ TEMPLATE = ("<|{role}|>\n", "\n", "<|end|>\n")
 _SORT = ("conv", "turn", "role", "text")
 
 
+#: Characters of rendered text in one batch, about.
+_OUT = 4 << 20
+
+
+def _rows(piece):
+    """(turn, role, text) of a piece of a stretch."""
+    if isinstance(piece, pa.RecordBatch):
+        return zip(*(piece.column(c).to_pylist() for c in ("turn", "role", "text")))
+    return piece
+
+
+def _roles(pieces) -> str:
+    return "".join(role_code(r) for p in pieces for r in (
+        p.column("role").to_pylist() if isinstance(p, pa.RecordBatch) else [role for _, role, _ in p]))
+
+
 def _stretches(batches):
-    """(conversation, rows) of a sorted partition, in order."""
+    """(part, conversation, pieces) of sorted batches, in order. Only the
+    stretch that is open at the end of a batch is held, as Arrow slices."""
     held, key = [], None
     for b in batches:
-        for r in b.to_pylist():
-            if held and r["conv"] != key:
-                yield key, held
+        if not b.num_rows:
+            continue
+        part = b.column("part").to_numpy(zero_copy_only=False)
+        conv = b.column("conv").fill_null(0).to_numpy(zero_copy_only=False)
+        null = b.column("conv").is_null().to_numpy(zero_copy_only=False)
+        new = (np.diff(part) != 0) | (np.diff(conv) != 0) | (null[1:] != null[:-1])
+        cut = [0, *(np.flatnonzero(new) + 1).tolist(), b.num_rows]
+        rows = None
+        for a, z in zip(cut, cut[1:]):
+            now = int(part[a]), None if null[a] else int(conv[a])
+            if held and now != key:
+                yield *key, held
                 held = []
-            key = r["conv"]
-            held.append(r)
+            key = now
+            if held or z == b.num_rows:
+                held.append(b.slice(a, z - a))
+            else:
+                if rows is None:
+                    rows = list(_rows(b))
+                yield *key, [rows[a:z]]
     if held:
-        yield key, held
+        yield *key, held
 
 
 def repair_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
@@ -169,42 +200,33 @@ def repair_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     src = turns.select(turns[conv_col].cast("long").alias("conv"), turns[turn_col].cast("long").alias("turn"),
                        turns[role_col].alias("role"), turns[text_col].alias("text"))
     dealt = stored(src.repartitionByRange(partitions(spark), *_SORT).withColumn("part", F.spark_partition_id()), "chat-turns")
-    parts = dealt.repartition(partitions(spark), "part").sortWithinPartitions("part", *_SORT)
-
-    def by_part(batches):
-        """(part, conversation, rows) in order; a task may hold several parts."""
-        def split():
-            for b in batches:
-                of = b.column("part").to_numpy(zero_copy_only=False)
-                cut = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
-                for a, z in zip(cut, cut[1:]):
-                    if z > a:
-                        yield int(of[a]), b.slice(a, z - a)
-        held, at = [], None
-        for part, b in split():
-            if held and part != at:
-                yield at, held
-                held = []
-            at = part
-            held.append(b)
-        if held:
-            yield at, held
+
+    def sorted_parts(keys):
+        """Each range in a task of its own, in order; without the texts the
+        order of the roles is the same."""
+        return dealt.select("part", *keys).repartitionById(partitions(spark), "part").sortWithinPartitions("part", *keys)
 
     def summary(batches):
-        for part, held in by_part(batches):
-            edges, k = {}, -1
-            for k, (conv, rows) in enumerate(_stretches(held)):
-                if k < 1:
-                    edges[0] = conv, rows
-                else:
-                    edges[1] = conv, rows
-            for conv, rows in edges.values():
-                m = transfer("".join(role_code(r["role"]) for r in rows))
-                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([conv], pa.int64()),
-                                                  pa.array([m.ravel().tolist()], pa.list_(pa.int64()))], ["part", "conv", "cost"])
+        def edges():
+            """The first and the last stretch of each part."""
+            last, count = None, 0
+            for part, conv, pieces in _stretches(batches):
+                if last and last[0] != part:
+                    if count > 1:
+                        yield last
+                    count = 0
+                count += 1
+                last = part, conv, _roles(pieces)
+                if count == 1:
+                    yield last
+            if last and count > 1:
+                yield last
+        for part, conv, roles in edges():
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([conv], pa.int64()),
+                                              pa.array([transfer(roles).ravel().tolist()], pa.list_(pa.int64()))], ["part", "conv", "cost"])
 
     # two rows per range at most
-    rows = parts.select("part", "conv", "turn", "role", "text").mapInArrow(summary, "part int, conv long, cost array<long>").collect()
+    rows = sorted_parts(_SORT[:-1]).withColumn("text", F.lit(None).cast("string")).mapInArrow(summary, "part int, conv long, cost array<long>").collect()
     edges: dict = {}
     for r in sorted(rows, key=lambda r: r["part"]):
         edges.setdefault(r["conv"], []).append((r["part"], np.array(r["cost"]).reshape(4, 4)))
@@ -217,31 +239,39 @@ def repair_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     opens, joins, ends = template
 
     def render(batches):
-        for part, held in by_part(batches):
-            cols: list[list] = [[] for _ in range(7)]
-            place = part << 32
-            for conv, rows in _stretches(held):
-                a, z, last = fixed.get((part, conv), (START, None, True))
-                plan, _ = solve("".join(role_code(r["role"]) for r in rows), a, z)
-                state = a
-                for r, (after, action, before) in zip(rows, plan):
+        cols: list[list] = [[] for _ in range(7)]
+        size, place, at = 0, 0, None
+        for part, conv, pieces in _stretches(batches):
+            if part != at:
+                at, place = part, part << 32
+            a, z, last = fixed.get((part, conv), (START, None, True))
+            plan = iter(solve(_roles(pieces), a, z)[0])
+            state = a
+            for piece in pieces:
+                for turn, role, text in _rows(piece):
+                    if size > _OUT:  # the row before is complete: a turn of this stretch follows it
+                        yield _batch(cols)
+                        cols, size = [[] for _ in range(7)], 0
+                    after, action, before = next(plan)
                     for s in before:
                         place += 1
-                        piece = (ends if state != START else "") + opens.format(role=ROLES[s - 1])
-                        _put(cols, conv, place, None, None, ROLES[s - 1], "insert", piece)
+                        lead = (ends if state != START else "") + opens.format(role=ROLES[s - 1])
+                        _put(cols, conv, place, None, None, ROLES[s - 1], "insert", lead)
                         state = s
                     lead = joins if action == "merge" else (ends if state != START else "") + opens.format(role=ROLES[after - 1])
                     place += 1
-                    _put(cols, conv, place, r["turn"], r["role"], ROLES[after - 1], action, lead + (r["text"] or ""))
+                    _put(cols, conv, place, turn, role, ROLES[after - 1], action, lead + (text or ""))
+                    size += 64 + len(text or "")
                     state = after
-                if last:
-                    for s in closing(state):
-                        place += 1
-                        _put(cols, conv, place, None, None, ROLES[s - 1], "insert", ends + opens.format(role=ROLES[s - 1]))
-                    cols[6][-1] += ends
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, _KINDS)], _NAMES)
+            if last:
+                for s in closing(state):
+                    place += 1
+                    _put(cols, conv, place, None, None, ROLES[s - 1], "insert", ends + opens.format(role=ROLES[s - 1]))
+                cols[6][-1] += ends
+        if cols[0]:
+            yield _batch(cols)
 
-    out = parts.select("part", "conv", "turn", "role", "text").mapInArrow(
+    out = sorted_parts(_SORT).mapInArrow(
         render, "conv long, place long, turn long, role_in string, role string, action string, rendered string")
     return out.withColumnRenamed("conv", conv_col)
 
@@ -250,6 +280,10 @@ _NAMES = ["conv", "place", "turn", "role_in", "role", "action", "rendered"]
 _KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string()]
 
 
+def _batch(cols: list[list]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, _KINDS)], _NAMES)
+
+
 def _put(cols: list[list], *values) -> None:
     for c, v in zip(cols, values):
         c.append(v)

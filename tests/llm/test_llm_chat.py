@@ -3,9 +3,11 @@
 import itertools
 import re
 
+import pyarrow as pa
 import pytest
 
-from quarry.llm.chat import _NEXT, _STATE, ASSISTANT, COSTS, START, SYSTEM, edge_states, repair_chats, role_code, solve, transfer
+from quarry.llm import chat
+from quarry.llm.chat import _NEXT, _STATE, _rows, _stretches, ASSISTANT, COSTS, START, SYSTEM, edge_states, repair_chats, role_code, solve, transfer
 from llm_fixtures import rng  # noqa: F401
 
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -92,3 +94,24 @@ def test_edges(spark):
     assert text[6] == "<|user|>\n<|end|>\n<|assistant|>\n<|end|>\n"
     assert text[7] == "<|system|>\ns<|end|>\n<|user|>\n<|end|>\n<|assistant|>\n<|end|>\n"
     assert repair_chats(extra.limit(0)).count() == 0
+
+
+def test_stretches_cross_batches(rng):
+    kinds = pa.schema([("part", pa.int32()), ("conv", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())])
+    for _ in range(50):
+        rows = sorted(((rng.randrange(3), rng.choice([None, 0, 1, 2])) for _ in range(rng.randrange(40))),
+                      key=lambda r: (r[0], r[1] is not None, r[1] or 0))
+        table = pa.Table.from_pylist([dict(part=p, conv=c, turn=k, role="user", text=f"t{k}") for k, (p, c) in enumerate(rows)], kinds)
+        cuts = sorted({0, len(rows), *(rng.randrange(len(rows) + 1) for _ in range(6))})
+        batches = [b for a, z in zip(cuts, cuts[1:]) for b in table.slice(a, z - a).combine_chunks().to_batches()]
+        got = [(part, conv, [t for piece in pieces for t, _, _ in _rows(piece)]) for part, conv, pieces in _stretches(batches)]
+        want = [(*key, [k for k, r in enumerate(rows) if r == key]) for key in dict.fromkeys(rows)]
+        assert got == want
+
+
+def test_output_comes_in_batches(spark, monkeypatch):
+    rows = [(k % 3, k // 3, ["user", "assistant"][k // 3 % 2], "x" * 100) for k in range(300)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    want = sorted(tuple(r) for r in repair_chats(df).collect())
+    monkeypatch.setattr(chat, "_OUT", 500)
+    assert len(want) == 300 and sorted(tuple(r) for r in repair_chats(df).collect()) == want
