@@ -20,6 +20,8 @@ sees the same keys. Joins are left to AQE, which broadcasts by bytes.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,19 +79,43 @@ def _order_id(df: DataFrame) -> Column:
     return first_present(df, "order_id", "Order_id")
 
 
+class Tables(Mapping):
+    """Named tables, each made when it is first asked for and then kept:
+    a table whose making runs jobs costs nothing where it is not used."""
+
+    def __init__(self, makers: dict[str, Callable[[], DataFrame]]):
+        self._makers, self._made = makers, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
 # ------------------------------------------------------------------ 3NF
-def to_3nf(df: DataFrame, dedupe_items: bool = False, key_mode: str = "rank") -> dict[str, DataFrame]:
+def to_3nf(df: DataFrame, dedupe_items: bool = False, key_mode: str = "rank") -> Mapping[str, DataFrame]:
     """Flat clean lines → ``cities, facilities, menu_items, orders,
     order_items``. ``order_items`` keeps line grain (one row per line,
     ``order_item_id`` numbered in (order_id, menu_item) order) unless
-    ``dedupe_items``."""
+    ``dedupe_items``; only this table numbers rows (a global sort and a
+    stored copy of the lines), when it is asked for."""
     oid = _order_id(df).alias("order_id")
-    out = {
-        "cities": df.select("city", "country").distinct(),
-        "facilities": df.select("facility_name", "city", "lat", "lng").distinct(),
-        "menu_items": df.select("menu_item", "price").distinct(),
-        "orders": df.select(oid, "datetime", "facility_name", "city").distinct(),
-    }
+    return Tables({
+        "cities": lambda: df.select("city", "country").distinct(),
+        "facilities": lambda: df.select("facility_name", "city", "lat", "lng").distinct(),
+        "menu_items": lambda: df.select("menu_item", "price").distinct(),
+        "orders": lambda: df.select(oid, "datetime", "facility_name", "city").distinct(),
+        "order_items": lambda: _order_items(df, oid, dedupe_items, key_mode),
+    })
+
+
+def _order_items(df: DataFrame, oid: Column, dedupe_items: bool, key_mode: str) -> DataFrame:
     if dedupe_items:
         items, order = df.select(oid, "menu_item").distinct(), ["order_id", "menu_item"]
     else:
@@ -100,8 +126,7 @@ def to_3nf(df: DataFrame, dedupe_items: bool = False, key_mode: str = "rank") ->
                           F.monotonically_increasing_id().alias("__m"))
         order = ["order_id", "menu_item", "__h", "__m"]
     keyed = assign_keys(items, order, "order_item_id", key_mode)
-    out["order_items"] = keyed.select("order_item_id", "order_id", "menu_item")
-    return out
+    return keyed.select("order_item_id", "order_id", "menu_item")
 
 
 # ------------------------------------------------------------------ star

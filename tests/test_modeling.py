@@ -116,3 +116,13 @@ def test_hash_keys_checked_for_collisions(spark):
     # force a collision: a key column that ignores the natural key
     with pytest.raises(AssertionError):
         M.assert_no_collisions(df.withColumn("key", F.lit(1)), "key", ["k"])
+
+
+def test_3nf_numbers_lines_only_when_asked(spark, monkeypatch):
+    calls, real = [], M.assign_keys
+    monkeypatch.setattr(M, "assign_keys", lambda *a, **k: calls.append(a[2]) or real(*a, **k))
+    nf = M.to_3nf(_df(spark))
+    assert nf["orders"].count() == 5 and nf["cities"].count() == 3 and calls == []
+    assert list(nf) == ["cities", "facilities", "menu_items", "orders", "order_items"]
+    assert nf["order_items"].count() == len(ROWS) and nf["order_items"] is nf["order_items"]
+    assert calls == ["order_item_id"]
