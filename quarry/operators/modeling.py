@@ -130,9 +130,13 @@ def _order_items(df: DataFrame, oid: Column, dedupe_items: bool, key_mode: str)
 
 
 # ------------------------------------------------------------------ star
-_STAR_COLS = ["city", "country", "facility_name", "menu_item", "date"]
+_STAR_COLS = ["city", "country", "facility_name", "menu_item", "date", "lat", "lng"]
 _STAR_SETS = {"city": ["city", "country"], "facility": ["facility_name", "city", "country"],
               "menu": ["menu_item"], "date": ["date"]}
+# A dimension of at most so many bytes (its texts and a fixed part per member)
+# is sent to every task that joins the lines with it.
+BROADCAST_BYTES = 32 << 20
+MEMBER_BYTES = 64
 
 
 def _gid(members: list[str]) -> int:
@@ -142,13 +146,14 @@ def _gid(members: list[str]) -> int:
     return sum(1 << (n - 1 - i) for i, c in enumerate(_STAR_COLS) if c not in members)
 
 
-def _numbered_members(dims: dict[str, DataFrame], key_mode: str) -> dict[str, DataFrame]:
+def _numbered_members(dims: dict[str, DataFrame], key_mode: str) -> dict[str, tuple[DataFrame, bool]]:
     """Members of several dimensions with ``key``, 1.. in the order of their
-    natural columns in each. One global sort by (dimension, natural columns)
-    and one stored copy number all of them; a dimension's first place is its
-    offset (one row per dimension reaches the driver)."""
+    natural columns in each, and whether they are few enough to broadcast.
+    One global sort by (dimension, natural columns) and one stored copy number
+    all of them; a dimension's first place is its offset (one row per
+    dimension, with its bytes, reaches the driver)."""
     if key_mode != "rank":
-        return {d: assign_keys(m.select(*_STAR_SETS[d], "at.*"), _STAR_SETS[d], "key", key_mode) for d, m in dims.items()}
+        return {d: (assign_keys(m.select(*_STAR_SETS[d], "at.*"), _STAR_SETS[d], "key", key_mode), False) for d, m in dims.items()}
     rows = None
     for k, (d, m) in enumerate(dims.items()):
         cols = [*_STAR_SETS[d], *[None] * (3 - len(_STAR_SETS[d]))]
@@ -156,10 +161,15 @@ def _numbered_members(dims: dict[str, DataFrame], key_mode: str) -> dict[str, Da
                        "at.lat", "at.lng")
         rows = one if rows is None else rows.unionByName(one)
     placed = assign_keys(rows, ["dim", "n0", "n1", "n2"], "place")
-    first = {r["dim"]: r["lo"] for r in placed.groupBy("dim").agg(F.min("place").alias("lo")).collect()}
-    return {d: placed.filter(F.col("dim") == k).select((F.col("place") - first.get(k, 1) + 1).alias("key"),
-                                                       *[F.col(f"n{i}").alias(c) for i, c in enumerate(_STAR_SETS[d])], "lat", "lng")
-            for k, d in enumerate(dims)}
+    width = sum(F.coalesce(F.octet_length(f"n{i}"), F.lit(0)) for i in range(3)) + F.lit(MEMBER_BYTES)
+    seen = {r["dim"]: r for r in placed.groupBy("dim").agg(F.min("place").alias("lo"), F.sum(width).alias("bytes")).collect()}
+    out = {}
+    for k, d in enumerate(dims):
+        lo, n_bytes = (seen[k]["lo"], seen[k]["bytes"]) if k in seen else (1, 0)
+        keyed = placed.filter(F.col("dim") == k).select((F.col("place") - lo + 1).alias("key"),
+                                                        *[F.col(f"n{i}").alias(c) for i, c in enumerate(_STAR_SETS[d])], "lat", "lng")
+        out[d] = keyed, n_bytes <= BROADCAST_BYTES
+    return out
 
 
 def to_star(df: DataFrame, fact_mode: str = "inner", key_mode: str = "rank") -> dict[str, DataFrame]:
@@ -174,26 +184,36 @@ def to_star(df: DataFrame, fact_mode: str = "inner", key_mode: str = "rank") ->
       (lat, lng) pair), so no dimension join can fan out fact rows; a NULL
       natural key is not a member;
     * the lines are read twice, for the members and for the facts; no copy
-      of them is stored; the fact joins are left to AQE (broadcast by
-      bytes, skewed partitions split);
+      of them is stored. A dimension's bytes are known once it is numbered:
+      up to ``BROADCAST_BYTES`` it is broadcast, so the lines are not
+      shuffled by a handful of cities or items; a larger one is left to AQE
+      (skewed partitions split);
     * ``fact_mode="inner"`` drops lines with no dimension member,
       ``"unknown_member"`` keeps them with key -1.
     """
     lines = df.withColumn("date", F.to_date("datetime"))
     # small (one row per member of each dimension): checkpointed, so it is
-    # computed once, survives executor loss and pins no executor memory
-    members = materialize(lines.groupingSets(list(_STAR_SETS.values()), *_STAR_COLS)
-                               .agg(F.min(F.struct("lat", "lng")).alias("at"), F.grouping_id().alias("_gid")))
+    # computed once, survives executor loss and pins no executor memory. Only
+    # plain columns are aggregated over the lines, which hashing does; a least
+    # struct would sort every line once per grouping set
+    sets = [[*cols, "lat", "lng"] if name == "facility" else cols for name, cols in _STAR_SETS.items()]
+    members = materialize(lines.select("*", F.col("lat").alias("_lat"), F.col("lng").alias("_lng"))
+                               .groupingSets(sets, *_STAR_COLS)
+                               .agg(F.min("_lat").alias("_lat"), F.min("_lng").alias("_lng"), F.grouping_id().alias("_gid")))
 
     def part(name):
         cols = _STAR_SETS[name]
-        return members.filter((F.col("_gid") == _gid(cols)) &
-                              F.expr(" AND ".join(f"{c} IS NOT NULL" for c in cols)))
+        own = members.filter((F.col("_gid") == _gid([*cols, "lat", "lng"] if name == "facility" else cols)) &
+                             F.expr(" AND ".join(f"{c} IS NOT NULL" for c in cols)))
+        # one row per facility and place, then the least place of a facility
+        return own.groupBy(*cols).agg(F.min(F.struct(F.col("_lat").alias("lat"), F.col("_lng").alias("lng"))).alias("at"))
 
     dim_date = part("date").select(date_key("date").alias("date_key"), "date",
                                    F.year("date").alias("year"), F.month("date").alias("month"),
                                    F.dayofmonth("date").alias("day"))
-    keyed = _numbered_members({k: part(k) for k in ("city", "facility", "menu")}, key_mode)
+    numbered = _numbered_members({k: part(k) for k in ("city", "facility", "menu")}, key_mode)
+    keyed = {k: t for k, (t, _) in numbered.items()}
+    sent = {k: F.broadcast if small else (lambda t: t) for k, (_, small) in numbered.items()}
     dim_city = keyed["city"].select(F.col("key").alias("city_key"), "city", "country")
     fac = keyed["facility"].withColumnRenamed("key", "facility_key").join(dim_city, ["city", "country"])
     dim_facility = fac.select("facility_key", "facility_name", "city_key", "lat", "lng")
@@ -203,10 +223,10 @@ def to_star(df: DataFrame, fact_mode: str = "inner", key_mode: str = "rank") ->
     dt = F.col("datetime")
     f = df.select(_order_id(df).alias("order_id"), "datetime", date_key(dt).alias("date_key"),
                   "city", "country", "facility_name", "menu_item", "price")
-    f = join_null_safe(f, dim_city, ["city", "country"], how)
+    f = join_null_safe(f, dim_city, ["city", "country"], how, sent["city"])
     f = join_null_safe(f, dim_facility.select("facility_key", "facility_name", "city_key"),
-                       ["facility_name", "city_key"], how)
-    f = join_null_safe(f, dim_menu, ["menu_item"], how)
+                       ["facility_name", "city_key"], how, sent["facility"])
+    f = join_null_safe(f, dim_menu, ["menu_item"], how, sent["menu"])
     keys = ["city_key", "facility_key", "menu_key"]
     if fact_mode != "inner":
         f = f.select(*[c for c in f.columns if c not in keys],

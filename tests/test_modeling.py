@@ -126,3 +126,25 @@ def test_3nf_numbers_lines_only_when_asked(spark, monkeypatch):
     assert list(nf) == ["cities", "facilities", "menu_items", "orders", "order_items"]
     assert nf["order_items"].count() == len(ROWS) and nf["order_items"] is nf["order_items"]
     assert calls == ["order_item_id"]
+
+
+def test_star_lines_are_not_shuffled_by_small_dimensions(spark, monkeypatch):
+    def joins(df):
+        plan = M.to_star(df)["fact_sales"]._jdf.queryExecution().sparkPlan().toString()
+        return plan.count("BroadcastHashJoin"), plan.count("SortMergeJoin")
+
+    df = _df(spark)
+    few = M.to_star(df)["fact_sales"].collect()
+    assert joins(df)[1] <= 1                            # at most the facility's own city key
+    monkeypatch.setattr(M, "BROADCAST_BYTES", 1)
+    assert joins(df)[1] >= 3
+    assert sorted(map(str, M.to_star(df)["fact_sales"].collect())) == sorted(map(str, few))
+
+
+def test_star_members_are_found_by_hashing(spark, monkeypatch):
+    plans, real = [], M.materialize
+    monkeypatch.setattr(M, "materialize", lambda t: plans.append(t._jdf.queryExecution().sparkPlan().toString()) or real(t))
+    far = spark.createDataFrame([(7, "Kazan", "Russia", "Cafe K", 7.0, None, "Tea", 1, datetime(2024, 3, 2))], SCHEMA)
+    fac = [r for r in M.to_star(_df(spark).unionByName(far))["dim_facility"].collect() if r.facility_name == "Cafe K"]
+    assert [(r.lat, r.lng) for r in fac] == [(7.0, None)]  # still the least pair, null first
+    assert "SortAggregate" not in plans[0] and "HashAggregate" in plans[0]
