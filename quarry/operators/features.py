@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.ml.feature import (HashingTF, IDF, StandardScaler, StopWordsRemover, StringIndexer,
                                 Tokenizer, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.expressions import hash_bucket100
@@ -151,13 +151,15 @@ def term_table(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
 
 def tfidf(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
     """Relational TF-IDF: ``idf = ln((N + 1) / (df + 1))``, ``tfidf = tf ·
-    idf`` (the ``IDF`` estimator's formula, minDocFreq 0). Document
-    frequencies come from the (doc, term) table, a partial aggregation per
-    term; the join back is a shuffle join on term (AQE splits a hot term)."""
+    idf`` (the ``IDF`` estimator's formula, minDocFreq 0). The words are
+    shuffled once, by term: a term's (doc, term) counts and its document
+    frequency are both taken where its words lie, without a join. A hot
+    term's rows are sorted and counted in one task and may spill."""
     n_docs = df.select(F.countDistinct(id_col)).scalar()  # part of the query, no job while planning
-    tt = term_table(df, id_col, tokens_col)
-    dfreq = tt.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    j = tt.join(dfreq, "term")
+    words = (df.select(id_col, F.explode_outer(tokens_col).alias("term"))
+               .filter(F.col("term").isNotNull()).repartition("term"))
+    tt = words.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    j = tt.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("term")))
     idf = F.log((n_docs + 1) / (F.col("df") + 1))
     return j.select(id_col, "term", "tf", "df", idf.alias("idf"), (F.col("tf") * idf).alias("tfidf"))
 
