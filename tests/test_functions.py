@@ -56,3 +56,11 @@ def test_date_key_and_frame_name(spark):
     df = spark.createDataFrame([(datetime(2024, 2, 29, 5), "clip", 7)], "t timestamp_ntz, s string, i int")
     r = df.select(X.date_key("t").alias("k"), X.frame_name(F.col("s"), F.col("i")).alias("n")).first()
     assert r.k == 20240229 and r.n == "clip_f000007"
+
+
+def test_hash_bucket_of_any_integer(spark):
+    keys = [0, 1, -1, 7, -12345, 2**31, 2**32 - 1, 2**32, -2**32 - 5, 2**63 - 1, -2**63, None]
+    got = spark.createDataFrame([(k,) for k in keys], "k long").select("k", X.hash_bucket100(F.col("k")).alias("b")).collect()
+    assert [r.b for r in got] == [None if k is None else (k % 2**32) * 2654435761 % 2**32 % 100 for k in keys]
+    plan = spark.range(1).select(X.hash_bucket100(F.col("id")).alias("b"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("decimal") == plan.count("pmod") == 2  # the key mod 2^32, its halves; the rest are longs

@@ -54,3 +54,28 @@ def test_ols_matches_closed_form(spark):
     lr = ML.fit_stages([FE.assembler(["x"]), ML.linear_regression(label="y")], df).stages[-1]
     c = df.agg(F.regr_slope("y", "x").alias("b"), F.regr_intercept("y", "x").alias("a")).first()
     assert lr.coefficients[0] == pytest.approx(c.b, rel=1e-9) and lr.intercept == pytest.approx(c.a, rel=1e-9)
+
+
+def test_trees_derive_their_rows_once(spark):
+    """One pass counts the indexed columns, one stores label and features;
+    the forest is the one that the plain chain of stages fits."""
+    from pyspark.ml import Pipeline
+    read = spark.sparkContext.accumulator(0)
+
+    def row(i):
+        read.add(1)
+        return f"c{i % 3}", None if i % 11 == 0 else f"a{i % 4}", f"b{i % 5}", float((i * 37) % 101)
+
+    df = spark.createDataFrame(spark.sparkContext.parallelize(range(600), 3).map(row), "y string, a string, b string, x double")
+    stages = lambda: [FE.string_indexer("y", "label"), *FE.index_strings_then_assemble(df, ["x", "a", "b"]),
+                      ML.random_forest(num_trees=5)]
+    model = ML.fit_stages(stages(), df)
+    assert read.value == 2 * 600
+    assert model.stages[-1].toDebugString.split("\n", 1)[1] == Pipeline(stages=stages()).fit(df).stages[-1].toDebugString.split("\n", 1)[1]
+
+
+def test_indexers_are_joined_only_where_they_are_alike():
+    s = [FE.string_indexer("a", "i"), FE.string_indexer("b", "j"), FE.string_indexer("i", "k"),
+         FE.string_indexer("c", "l", "error"), FE.assembler(["i"])]
+    got = ML.counted_together(s)
+    assert len(got) == 4 and got[0].getInputCols() == ["a", "b"] and got[0].getOutputCols() == ["i", "j"] and got[1:] == s[2:]
