@@ -64,3 +64,21 @@ def test_hash_bucket_of_any_integer(spark):
     assert [r.b for r in got] == [None if k is None else (k % 2**32) * 2654435761 % 2**32 % 100 for k in keys]
     plan = spark.range(1).select(X.hash_bucket100(F.col("id")).alias("b"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("decimal") == plan.count("pmod") == 2  # the key mod 2^32, its halves; the rest are longs
+
+
+def test_py_rounded_reads_as_the_text(spark):
+    xs = [0.0, -0.0, 0.5, 2.675, -2.675, 0.125, 0.375, -0.001, 1e-9, 123456.785, 719 / 24, 1 / 3, 99.995, 0.99995, None]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    for d in (0, 2, 3, 4, 6):
+        for r in df.select("x", X.py_rounded("x", d).alias("r"), X.py_fixed("x", d).alias("t")).collect():
+            assert repr(r.r) == repr(None if r.x is None else float(f"{r.x:.{d}f}")) or (r.x == 0 and r.r == 0)
+            assert r.r is None or r.x == 0 or r.t == f"{r.x:.{d}f}"
+
+
+def test_rounding_is_small_enough_to_compile(spark):
+    """A method of more than 8000 bytes is interpreted by the JVM: what the
+    rounding names often is compiled as often."""
+    def named(c):
+        plan = spark.range(1).select(F.col("id").cast("double").alias("xx")).repartition(1).select(c)
+        return plan._jdf.queryExecution().optimizedPlan().toString().count("abs(xx")
+    assert named(X.py_rounded("xx", 4)) <= 16 and named(X.py_fixed("xx", 4)) <= 32
